@@ -13,6 +13,8 @@ from eventide.storage import materialize
 
 # Rows of one key that one task may still sort on its own.
 MAX_GROUP_ROWS = 2_000_000
+# Most slices the rows of all hot keys are cut into; beyond that, slices get longer and may spill.
+MAX_SLICES = 20_000
 # Summary rows that may be sent to every task: a few dozen bytes each.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -74,7 +76,7 @@ def with_neighbours(
     on = same_keys("d", "h", keys)
     rest = df.alias("d").join(few.alias("h"), on, "left_anti")
     heavy = df.alias("d").join(few.alias("h"), on, "left_semi")
-    slices = max(2, math.ceil(2 * hot_rows / max_group_rows))
+    slices = min(MAX_SLICES, max(2, math.ceil(2 * hot_rows / max_group_rows)))
     sliced = _in_slices(
         heavy, keys, order_by, size, position, previous, following, slices, hot_keys
     )
@@ -85,15 +87,15 @@ def _within_one_task(df, keys, order_by, size, position, previous, following) ->
     group = Window.partitionBy(*keys)
     ordered = group.orderBy(*order_by)
     new = {}
-    if size:
-        new[size] = F.count(F.lit(1)).over(group)
     if position:
         new[position] = F.row_number().over(ordered).cast("long")
     for out, column in previous.items():
         new[out] = F.lag(column).over(ordered)
     for out, column in following.items():
         new[out] = F.lead(column).over(ordered)
-    return df.withColumns(new)
+    # The size comes second, so that it runs on the order the others need and costs no sort of its own.
+    rows = df.withColumns(new) if new else df
+    return rows.withColumn(size, F.count(F.lit(1)).over(group)) if size else rows
 
 
 def _in_slices(

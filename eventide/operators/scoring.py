@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.context import RunContext
 from eventide.functions import no_salt, salt_where_null
+from eventide.storage import scratch_path
 
 FEATURES = ["event_count", "active_days", "purchase_count", "spend_usd", "tenure_days", "premium"]
 
@@ -49,14 +50,20 @@ def user_features(facts: DataFrame, churned_before: dt.date | None = None) -> Da
     return features.withColumn("label", (F.col("last_event_date") < late).cast("int"))
 
 
-def train_churn(features: DataFrame, max_iter: int = 20) -> PipelineModel:
-    """Fit a logistic regression; Spark ML sums the gradients over the partitions."""
+def train_churn(features: DataFrame, path: str | None = None, max_iter: int = 20) -> PipelineModel:
+    """Fit a logistic regression; Spark ML sums the gradients over the partitions.
+
+    The model is stored and read back: scoring on other days needs it, and the stored model does not
+    carry the training session into every scoring task.
+    """
     stages = [
         VectorAssembler(inputCols=FEATURES, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features"),
         LogisticRegression(maxIter=max_iter, predictionCol="predicted_label", probabilityCol="_probability"),
     ]
-    return Pipeline(stages=stages).fit(features)
+    path = path or scratch_path(features.sparkSession, "churn-model")
+    Pipeline(stages=stages).fit(features).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def score(rows: DataFrame, features: DataFrame, model: PipelineModel, ctx: RunContext) -> DataFrame:

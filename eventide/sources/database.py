@@ -16,12 +16,13 @@ def range_slot(
 ) -> Column:
     """Which of the parallel reads takes a row, as a number from 0.
 
-    The bounds only set the width of a slot. Values below the first and above the last slot, and NULL,
-    belong to the outer slots, so no row is lost.
+    The bounds only set the width of a slot. Values below the first and above the last slot belong to the
+    outer slots and NULL to the first, so no row is lost.
     """
     stride = upper // parts - lower // parts
     slot = F.floor((F.col(column) - F.lit(lower)) / F.lit(stride)).cast("long")
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(parts - 1), slot)), F.lit(0)).cast("long")
+    inside = F.greatest(F.lit(0), F.least(F.lit(parts - 1), slot))
+    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(inside).cast("long")
 
 
 def change_query(

@@ -56,11 +56,22 @@ def required_nulls(df: DataFrame, schema: T.StructType) -> dict[str, int]:
     return {c: counts[c] for c in required if counts[c]}
 
 
+def _refusing_nulls(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The same rows; reading a NULL in a required column stops the job, and its write with it."""
+
+    def checked(field: T.StructField):
+        stop = F.raise_error(F.lit(f"NULL in required column {field.name}")).cast(field.dataType)
+        return F.coalesce(F.col(field.name), stop)
+
+    return df.withColumns({f.name: checked(f) for f in schema if not f.nullable})
+
+
 def conform(df: DataFrame, schema: T.StructType, mode: str = "strict") -> DataFrame:
     """Let rows through only if they have the declared schema.
 
     `strict` refuses every difference; `additive` lets new columns in (they come after the declared
-    ones) and puts columns in declared order.
+    ones) and puts columns in declared order. Names and types are compared at once; required columns are
+    checked while the rows are written, without another pass.
     """
     diff = compare_schemas(df.schema, schema)
     if mode == "strict":
@@ -72,10 +83,7 @@ def conform(df: DataFrame, schema: T.StructType, mode: str = "strict") -> DataFr
         df = df.select(*schema.names, *diff.extra)
     else:
         raise ValueError(f"unknown schema mode {mode!r}")
-    nulls = required_nulls(df, schema)
-    if nulls:
-        raise SchemaMismatch(f"NULL in required columns: {nulls}")
-    return df
+    return _refusing_nulls(df, schema)
 
 
 def write_days(

@@ -1,0 +1,102 @@
+import datetime as dt
+import json
+import time
+
+from pyspark.sql import functions as F
+
+from eventide.operators.history import read_as_of, read_log
+from eventide.streaming.ingest import (
+    append_files,
+    daily_counts,
+    drain,
+    read_files,
+    upsert_log,
+    without_personal_data,
+    without_replays,
+)
+from tests.conftest import rows
+
+
+def land(folder, name, *events):
+    """One JSON file per call; later calls get later file times, so a stream takes them in order."""
+    import os
+
+    os.makedirs(folder, exist_ok=True)
+    lines = [
+        json.dumps({"event_id": i, "event_timestamp": f"{at}Z", "user_id": "u", "event_type": t, "payload": "{}"})
+        for i, at, t in events
+    ]
+    path = os.path.join(folder, name)
+    with open(path, "w") as out:
+        out.write("\n".join(lines))
+    stamp = time.time() - 1000 + int(name.split(".")[0])
+    os.utime(path, (stamp, stamp))
+
+
+def test_late_and_replayed_events(spark, folder):
+    raw = f"{folder}/raw"
+    land(raw, "1.json", ("a", "2024-01-10T00:00:00", "view"), ("b", "2024-01-09T00:00:00", "view"))
+    land(raw, "2.json", ("b", "2024-01-09T00:00:00", "view"))  # the limit moves between batches
+    land(raw, "3.json", ("c", "2024-01-08T00:00:00", "view"), ("d", "2024-01-06T00:00:00", "view"))
+    land(raw, "4.json", ("a", "2024-01-10T00:00:00", "view"), ("c", "2024-01-08T00:00:00", "view"))
+    drain(append_files(without_replays(read_files(spark, raw, files_per_batch=1)), f"{folder}/t", f"{folder}/c"))
+    # c is two days late and kept, d four days late and dropped, copies are dropped.
+    assert rows(spark.read.parquet(f"{folder}/t").select("event_id")) == [("a",), ("b",), ("c",)]
+
+
+def test_stream_starts_again_where_it_stopped(spark, folder):
+    raw = f"{folder}/raw"
+    for i in range(1, 4):
+        land(raw, f"{i}.json", (f"e{i}", "2024-01-10T00:00:00", "view"))
+        drain(append_files(read_files(spark, raw), f"{folder}/t", f"{folder}/c"))
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+
+
+def _clock(batch):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(hours=batch)
+
+
+def test_batches_are_merged_and_the_newest_counts(spark, folder):
+    raw = f"{folder}/raw"
+    land(raw, "1.json", ("a", "2024-01-10T00:00:00", "view"), ("a", "2024-01-10T00:00:01", "click"))
+    land(raw, "2.json", ("a", "2024-01-10T00:00:02", "purchase"), ("b", "2024-01-10T00:00:00", "view"))
+    stream = read_files(spark, raw, files_per_batch=1)
+    drain(upsert_log(stream, f"{folder}/log", f"{folder}/c", ["event_id"], [F.desc("event_timestamp")], _clock))
+    log = read_log(spark, f"{folder}/log")
+    assert rows(read_as_of(log, ["event_id"]).select("event_id", "event_type")) == [("a", "purchase"), ("b", "view")]
+    first = read_as_of(log, ["event_id"], version=0)
+    assert rows(first.select("event_id", "event_type")) == [("a", "click")]
+
+
+def test_batch_run_again_after_a_lost_checkpoint_changes_nothing(spark, folder):
+    raw = f"{folder}/raw"
+    land(raw, "1.json", ("a", "2024-01-10T00:00:00", "view"))
+    for checkpoint in ("c1", "c2"):
+        stream = read_files(spark, raw)
+        drain(
+            upsert_log(stream, f"{folder}/log", f"{folder}/{checkpoint}", ["event_id"], [F.desc("event_timestamp")], _clock)
+        )
+    assert read_log(spark, f"{folder}/log").count() == 1
+
+
+def test_daily_counts_take_late_events(spark, folder):
+    raw = f"{folder}/raw"
+    land(raw, "1.json", ("a", "2024-01-09T10:00:00", "view"), ("b", "2024-01-10T10:00:00", "view"))
+    land(raw, "2.json", ("c", "2024-01-09T23:00:00", "view"))
+    counts = daily_counts(read_files(spark, raw, files_per_batch=1))
+    query = upsert_log(
+        counts, f"{folder}/log", f"{folder}/c", ["event_date"], [F.desc("row_count")], _clock, output_mode="update"
+    )
+    drain(query)
+    latest = read_as_of(read_log(spark, f"{folder}/log"), ["event_date"])
+    assert rows(latest.select(F.col("event_date").cast("string"), "row_count")) == [("2024-01-09", 2), ("2024-01-10", 1)]
+
+
+def test_personal_data_never_lands(spark, folder):
+    raw = f"{folder}/raw"
+    land(raw, "1.json", ("a", "2024-01-09T10:00:00", "view"))
+    clean = without_personal_data(read_files(spark, raw), hashed=["user_id"], dropped=["event_type"], denied=["email"])
+    drain(append_files(clean, f"{folder}/t", f"{folder}/c"))
+    stored = spark.read.parquet(f"{folder}/t")
+    assert sorted(stored.columns) == ["event_id", "event_timestamp", "payload", "user_id_hash"]
+    assert len(stored.first().user_id_hash) == 64
