@@ -17,7 +17,7 @@ from eventide.plans.staging import earliest_copies, stage_events, union_sources
 from eventide.storage import materialize
 
 # Keys above this many rows are cut into slices in the query that shows the handling of hot sessions.
-SMALL_GROUP = 100
+SMALL_GROUP = 1000
 
 
 def staged(spark: SparkSession, sf_dir: str, lookback_days: int | None = None) -> DataFrame:

@@ -376,7 +376,7 @@ def asof_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_LOG_SQL}
-    SELECT v AS _commit_version, committed AS _commit_ts, count(*) AS rows_written,
+    SELECT CAST(v AS BIGINT) AS _commit_version, committed AS _commit_ts, count(*) AS rows_written,
       CAST(0 AS BIGINT) AS rows_deleted
     FROM log GROUP BY v, committed ORDER BY v DESC LIMIT 10"""
 )

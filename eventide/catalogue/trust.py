@@ -186,7 +186,7 @@ def pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {roles.RAW_SQL}
     SELECT event_id, '{{' || concat_ws(',', '"referrer":"' || referrer || '"',
         '"device_type":"' || device_type || '"', '"country_code":"' || country_code || '"') || '}}' AS payload,
-      NULL AS page_url, device_type
+      CAST(NULL AS VARCHAR) AS page_url, device_type
     FROM raw"""
 )
 def payload_redact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,9 @@ def json_scalar(parsed: str, payload: str, key: str) -> Column:
     text = F.col(parsed)[key]
     value = F.try_variant_get(F.try_parse_json(F.col(payload)), f"$.{key}", "variant")
     is_text = F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
-    return F.when(text.rlike(r"^[\[{]") & ~is_text, F.lit(None)).otherwise(text)
+    # Two nested conditions: joined by "and", Spark would parse every payload a second time.
+    bracketed = text.startswith("{") | text.startswith("[")
+    return F.when(bracketed, F.when(is_text, text)).otherwise(text)
 
 
 def url_origin(url: str | Column) -> Column:

@@ -13,6 +13,8 @@ from eventide.storage import materialize
 
 # Rows of one key that one task may still sort on its own.
 MAX_GROUP_ROWS = 2_000_000
+# Hash buckets in which rows are counted to find out whether any key can be hot.
+COUNT_BUCKETS = 65_536
 # Most slices the rows of all hot keys are cut into; beyond that, slices get longer and may spill.
 MAX_SLICES = 20_000
 # Summary rows that may be sent to every task: a few dozen bytes each.
@@ -66,12 +68,12 @@ def with_neighbours(
     plain = _within_one_task(df, keys, order_by, size, position, previous, following)
     if max_group_rows is None:
         return plain
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > max_group_rows)
+    hot = _larger_than(df, keys, max_group_rows)
+    if hot is None:
+        return plain
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not hot_keys:
         return plain
-    hot = materialize(hot, "hot-keys")
     few = F.broadcast(hot) if hot_keys <= MAX_BROADCAST_ROWS else hot
     on = same_keys("d", "h", keys)
     rest = df.alias("d").join(few.alias("h"), on, "left_anti")
@@ -83,6 +85,22 @@ def with_neighbours(
     return _within_one_task(rest, keys, order_by, size, position, previous, following).unionByName(sliced)
 
 
+def _larger_than(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """Keys with more rows than the limit, None when a look at hash buckets shows that there are none.
+
+    Rows are first counted in a fixed number of buckets, which takes no more than a few numbers from each
+    task. A bucket holds all rows of its keys, so only keys of buckets above the limit need be counted.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(COUNT_BUCKETS))
+    crowded = df.groupBy(bucket.alias("_bucket")).count().filter(F.col("count") > limit)
+    found = [r["_bucket"] for r in crowded.collect()]  # at most COUNT_BUCKETS numbers
+    if not found:
+        return None
+    suspects = df.filter(bucket.isin(found)) if len(found) <= COUNT_BUCKETS // 64 else df
+    sizes = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return materialize(sizes.filter(F.col("_rows") > limit), "hot-keys")
+
+
 def _within_one_task(df, keys, order_by, size, position, previous, following) -> DataFrame:
     group = Window.partitionBy(*keys)
     ordered = group.orderBy(*order_by)

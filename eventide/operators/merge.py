@@ -94,16 +94,17 @@ def upsert_table(
     A missing table is created from the rows as they are. When the partition column is a key, only the
     partitions that occur in the updates are read and rewritten. The merged rows are written to a staging
     folder first, since a folder cannot be overwritten while it is read; a reader that runs during
-    the second write may see the table between two states. `evolve` gives the table the columns of the
+    the second write may see the table between two states, and a failed second write leaves the staging
+    folder behind with all merged rows. `evolve` gives the table the columns of the
     updates (new ones added, missing ones dropped).
     """
     seen = Observation()
     if not table_exists(spark, path):
-        counted = updates.observe(seen, F.count(F.lit(1)).alias("rows_inserted"))
-        _write(counted, path, partition_by, dynamic=False)
+        _write(updates, path, partition_by, False, (seen, F.count(F.lit(1)).alias("rows_inserted")))
         return {"created": True, "rows_inserted": seen.get["rows_inserted"]}
 
-    updates = materialize(updates, "updates")  # used several times below
+    copy = scratch_path(spark, "updates")
+    updates = materialize(updates, "updates", copy)  # used several times below
     target = spark.read.option("mergeSchema", "true").parquet(path)
     if evolve:
         target = sync_columns(target, updates.schema)
@@ -128,14 +129,23 @@ def upsert_table(
     staging = scratch_path(spark, "merge")
     merged = actions.drop("_action")
     merged.write.parquet(staging)
-    _write(read_back(spark, staging, merged.schema), path, partition_by, dynamic=pruned)
-    remove_path(spark, staging)
+    _write(read_back(spark, staging, merged.schema), path, partition_by, pruned)
+    for used in (staging, copy):
+        remove_path(spark, used)
     return {"created": False, "rows_deleted": 0, **seen.get}
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None, dynamic: bool) -> None:
-    if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
-        return
-    writer = df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by)
-    writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
+def _write(
+    df: DataFrame, path: str, partition_by: str | None, dynamic: bool, counted: tuple | None = None
+) -> None:
+    """Overwrite a table or, if dynamic, its partitions that occur in `df`.
+
+    Rows are counted after the last shuffle, where a task that runs again is not counted twice.
+    """
+    df = df.hint("rebalance", F.col(partition_by)) if partition_by else df
+    df = df.observe(*counted) if counted else df
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        mode = "dynamic" if dynamic else "static"
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", mode)
+    writer.parquet(path)

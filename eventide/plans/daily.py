@@ -18,6 +18,7 @@ from eventide.constants import (
 from eventide.context import RunContext
 from eventide.functions import in_days, utc_day
 from eventide.operators.merge import upsert_table
+from eventide.operators.privacy import require_impersonal
 from eventide.operators.quality import (
     SOURCE_TESTS,
     day_counts,
@@ -75,7 +76,7 @@ def run_day(
     staged = materialize_model(
         stage_events(raw, streamed, ctx, lookback_days), "stg_events", "table", lake.path("silver", "stg_events")
     )
-    facts = fct_events(staged, customers, transactions, ctx, True, lookback_days)
+    facts = require_impersonal(fct_events(staged, customers, transactions, ctx, True, lookback_days))
     mart = lake.path("gold", "fct_events")
     merged = upsert_table(spark, mart, facts, ["event_date", "event_key"], partition_by="event_date")
 

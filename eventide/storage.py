@@ -24,9 +24,18 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/eventide/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path that no other run uses; nothing exists there yet."""
-    return f"{shared_root(spark)}/eventide/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop all scratch tables of this application, once no DataFrame reads them any more."""
+    remove_path(spark, _scratch_folder(spark))
 
 
 def _file_system(spark: SparkSession, path: str):

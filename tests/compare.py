@@ -37,12 +37,28 @@ def _plain(value):
     return value
 
 
+# Names of the same type in Spark and in the SQL engine.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def differences(spark_df, con, sql: str) -> list[str]:
     """What differs; empty when columns and rows are the same."""
     result = con.execute(sql)
     sql_columns = [d[0] for d in result.description]
     if sorted(sql_columns) != sorted(spark_df.columns):
         return [f"columns {sorted(spark_df.columns)} and {sorted(sql_columns)}"]
+    sql_types = {d[0]: str(d[1]) for d in result.description}
+    other = {c: (t, sql_types[c]) for c, t in spark_df.dtypes if TYPES.get(t) != sql_types[c]}
+    if other:
+        return [f"types {other}"]
     order = sorted(sql_columns)
     expected = Counter(
         tuple(_plain(row[sql_columns.index(c)]) for c in order) for row in result.fetchall()

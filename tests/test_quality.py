@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.context import RunContext
-from eventide.operators.privacy import pseudonymize, redact_payload, scan_text
+from eventide.operators.privacy import pseudonymize, redact_payload, require_impersonal, scan_text
 from eventide.operators.quality import (
     SOURCE_TESTS,
     GateFailed,
@@ -128,3 +128,10 @@ def test_scan_text(spark):
     df = spark.createDataFrame([("mail a.b@c.org now", "10.0.0.1"), (None, "none")], "x string, y string")
     found = {(r.column_name, r.pattern): r.matching_rows for r in scan_text(df).collect()}
     assert found[("x", "email")] == 1 and found[("y", "ip_address")] == 1 and sum(found.values()) == 2
+
+
+def test_personal_column_names_are_refused(spark):
+    df = spark.createDataFrame([("a", "b")], "user_id string, Email string")
+    assert require_impersonal(df.drop("Email")).columns == ["user_id"]
+    with pytest.raises(ValueError, match="Email"):
+        require_impersonal(df)
