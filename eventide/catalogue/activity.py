@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from eventide.catalogue import roles
 from eventide.catalogue.registry import query
 from eventide.constants import PAYLOAD_KEYS
-from eventide.functions import json_scalar, parse_payload, surrogate_key, url_origin
+from eventide.functions import (
+    hour_floor,
+    json_scalar,
+    parse_payload,
+    url_origin,
+    utc_day,
+    whole_seconds_between,
+)
+from eventide.functions import surrogate_key as key_of
 from eventide.operators.enrich import join_customers, join_daily_spend
-from eventide.operators.metrics import daily_user_metrics
+from eventide.operators.metrics import daily_user_metrics as metrics_by_day
 from eventide.plans.facts import fct_events as fact_rows
 from eventide.plans.facts import session_columns
 from eventide.plans.staging import earliest_copies, stage_events, union_sources
@@ -164,10 +172,10 @@ def customer_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
       AS line_key
     FROM lineitem"""
 )
-def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     flagged = lines.withColumn("flag", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")))
-    key = surrogate_key(["l_orderkey", "l_linenumber", "flag"])
+    key = key_of(["l_orderkey", "l_linenumber", "flag"])
     return flagged.select("l_orderkey", "l_linenumber", "l_partkey", key.alias("line_key"))
 
 
@@ -185,10 +193,35 @@ def page_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount_usd
     FROM raw GROUP BY 1, 2, 3"""
 )
-def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_user_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.when(F.col("event_type") != "error", F.col("user_id").cast("string"))
     amount = F.col("value").cast("decimal(18,2)")
     typed = _visits(
         spark, sf_dir, F.to_date("ts").alias("event_date"), user.alias("user_id"), amount.alias("amount")
     )
-    return _with_double(daily_user_metrics(typed, "amount"), "amount_usd")
+    return _with_double(metrics_by_day(typed, "amount"), "amount_usd")
+
+
+@query(
+    """SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('hour', ts) AS hour,
+      date_sub('second', date_trunc('hour', ts), ts) AS seconds_into_hour,
+      date_sub('second', ts, TIMESTAMP '2024-01-31 06:00:00') AS age_seconds,
+      CAST(CAST(ts AS DATE) - INTERVAL 3 DAY AS DATE) AS lookback_day,
+      upper(event_type) AS shouted, lower(upper(event_type)) AS whispered,
+      coalesce(CASE WHEN event_type <> 'error' THEN event_type END, 'unknown') AS known_type
+    FROM events"""
+)
+def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.col("ts")
+    known = F.when(F.col("event_type") != "error", F.col("event_type"))
+    return roles.events(spark, sf_dir).select(
+        "event_id",
+        utc_day(at).alias("day"),
+        hour_floor(at).alias("hour"),
+        whole_seconds_between(at, hour_floor(at)).alias("seconds_into_hour"),
+        whole_seconds_between(roles.CTX.now_col, at).alias("age_seconds"),
+        F.date_sub(utc_day(at), 3).alias("lookback_day"),
+        F.upper("event_type").alias("shouted"),
+        F.lower(F.upper("event_type")).alias("whispered"),
+        F.coalesce(known, F.lit("unknown")).alias("known_type"),
+    )

@@ -19,6 +19,7 @@ from eventide.operators.merge import merge_metrics as action_counts
 from eventide.operators.metrics import daily_user_metrics
 from eventide.operators.snapshots import snapshot_history, snapshot_update
 from eventide.operators.keyed import first_per_key
+from eventide.plans.tables import VersionedTable
 from eventide.schemas import EVENTS_SCHEMA
 from eventide.sources.database import range_slot
 from eventide.sources.files import load_seed, register_table, take_landed
@@ -27,9 +28,10 @@ from eventide.sources.incremental import (
     ingest_day,
     latest_watermarks,
     lookup_watermark,
+    read_control,
     typed_copy,
 )
-from eventide.sources.lake import append_bronze, read_table, replace_days
+from eventide.sources.lake import append_bronze, read_table, replace_days, write_days
 from eventide.storage import materialize, remove_path, scratch_path
 
 # ---- reads and writes -------------------------------------------------------------------------
@@ -76,6 +78,26 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT CAST(ts AS DATE) AS event_date, count(*) AS row_count, count(DISTINCT event_id) AS event_count,
+      min(scored) AS first_run, max(scored) AS last_run
+    FROM (SELECT *, 1 AS scored FROM events UNION ALL SELECT *, 2 FROM events) GROUP BY 1"""
+)
+def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of a query appended by two runs: rows of a run that is repeated are there twice."""
+    path = scratch_path(spark, "appended")
+    rows = roles.events(spark, sf_dir).select("event_id", F.to_date("ts").alias("event_date"))
+    for run in (1, 2):
+        write_days(rows.withColumn("run", F.lit(run)), path, "event_date", "append")
+    stored = read_table(spark, path, "event_id long, run int, event_date date")
+    return stored.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("event_id").alias("event_count"),
+        F.min("run").alias("first_run"),
+        F.max("run").alias("last_run"),
+    )
+
+
 @query(
     """SELECT CAST(ts AS DATE) AS event_date, event_id, event_type, value FROM events
     WHERE ts < TIMESTAMP '2024-01-10' OR ts >= TIMESTAMP '2024-01-13'
@@ -199,12 +221,8 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.select("event_id", F.col("ts").alias("updated_at"), "event_type")
 
 
-@query(
-    """SELECT event_id, ts, user_id, event_type, value, props FROM events
-    WHERE ts <= TIMESTAMP '2024-01-20 23:59:59'"""
-)
-def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs of the incremental load: up to the 10th, the 20th, and the 20th again."""
+def _ingest(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Three runs of the incremental load, up to the 10th, the 20th, and the 20th again: table, control."""
     table, folder, state = (scratch_path(spark, n) for n in ("loaded", "landed", "control"))
     for day in ("2024-01-10", "2024-01-20", "2024-01-20"):
         ingest_day(
@@ -218,9 +236,37 @@ def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
             day,
             column="ts",
         )
+    return table, state
+
+
+@query(
+    """SELECT event_id, ts, user_id, event_type, value, props FROM events
+    WHERE ts <= TIMESTAMP '2024-01-20 23:59:59'"""
+)
+def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, _ = _ingest(spark, sf_dir)
     return read_table(spark, table, roles.EVENTS)
 
 
+def _run_sql(after: str, day: str) -> str:
+    rows = f"ts > TIMESTAMP '{after}' AND ts <= TIMESTAMP '{day} 23:59:59'"
+    return (
+        f"SELECT 'ingest_events' AS pipeline_name, 'events' AS table_name, TIMESTAMP '{day}' AS "
+        f"last_load_timestamp, count(*) AS rows_copied FROM events WHERE {rows}"
+    )
+
+
+@query(
+    f"""{_run_sql("1900-01-01", "2024-01-10")}
+    UNION ALL {_run_sql("2024-01-10", "2024-01-20")}
+    UNION ALL {_run_sql("2024-01-20", "2024-01-20")}"""
+)
+def ingest_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The control rows of these runs, with the rows each of them copied."""
+    _, state = _ingest(spark, sf_dir)
+    return read_control(spark, state)
+
+
 @query(
     """SELECT slot, count(*) AS row_count, min(l_partkey) AS lowest, max(l_partkey) AS highest FROM (
       SELECT l_partkey, greatest(0, least(3, CAST(floor((l_partkey - 1) / 100.0) AS BIGINT))) AS slot
@@ -403,6 +449,50 @@ def vacuum_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vacuum(orders_log(spark, sf_dir), ["o_orderkey"], dt.datetime(2024, 1, 9, 12))
 
 
+def _versioned(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[dict]]:
+    table = VersionedTable(spark, scratch_path(spark, "versioned"), ["o_orderkey"])
+    parts = [_before_1999(spark, sf_dir), _from_1998(spark, sf_dir), _closed(spark, sf_dir)]
+    return table, [table.upsert(p, dt.datetime(2024, 1, i + 1)) for i, p in enumerate(parts)]
+
+
+@query(
+    f"""WITH {_LOG_SQL}, latest AS (
+      SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY v DESC) AS place
+      FROM log WHERE v <= 2
+    )
+    SELECT * EXCLUDE (v, committed, place), CAST(NULL AS VARCHAR) AS channel FROM latest
+    WHERE place = 1 AND o_totalprice > 100000 AND o_orderstatus <> 'P'"""
+)
+def versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three upserts and a new column; then an old version is read through a filter."""
+    table, _ = _versioned(spark, sf_dir)
+    table.add_column("channel", T.StringType(), dt.datetime(2024, 1, 4))
+    return table.read(version=2, filters=[("o_totalprice", ">", 100000), ("o_orderstatus", "!=", "P")])
+
+
+@query(
+    f"""WITH {_LOG_SQL}, marked AS (
+      SELECT v, EXISTS (SELECT 1 FROM log b WHERE b.o_orderkey = log.o_orderkey AND b.v < log.v) AS known
+      FROM log
+    )
+    SELECT CAST(v AS BIGINT) AS version, count(*) FILTER (NOT known) AS rows_inserted,
+      count(*) FILTER (known) AS rows_updated
+    FROM marked GROUP BY v"""
+)
+def versioned_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, outcomes = _versioned(spark, sf_dir)
+    lines = [(o["version"], o["rows_inserted"], o["rows_updated"]) for o in outcomes]
+    return spark.createDataFrame(lines, "version long, rows_inserted long, rows_updated long")
+
+
+@query(_as_of_sql(3))
+def optimized_and_vacuumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current rows of a table after its care; replaced rows and small files are gone."""
+    table, _ = _versioned(spark, sf_dir)
+    table.optimize_and_vacuum(dt.datetime(2024, 1, 9, 12), ["o_custkey", "o_orderpriority"])
+    return table.read()
+
+
 # ---- snapshots --------------------------------------------------------------------------------
 
 

@@ -90,15 +90,21 @@ def z_value(buckets: Sequence[Column], bits: int) -> Column:
     return z
 
 
-def z_ordered(df: DataFrame, columns: Sequence[str], bits: int = 6, files: int | None = None) -> DataFrame:
+def z_ordered(
+    df: DataFrame,
+    columns: Sequence[str],
+    bits: int = 6,
+    files: int | None = None,
+    within: Sequence[str] = (),
+) -> DataFrame:
     """Rows laid out along a Z-curve over some columns, so that filters on any of them skip files.
 
-    Partition columns do not belong here: within a partition they have one value.
+    Partition columns of the table go to `within`: rows are kept together by them first. Among the Z-order
+    columns they would be useless, having one value per partition.
     """
     bounds = column_bounds(df, columns, 2**bits)
     z = z_value([bucket_of(c, bounds[c]) for c in columns], bits)
     with_z = df.withColumn("_z", z)
-    order = [F.col("_z"), F.xxhash64(*[F.col(c) for c in df.columns])]
+    order = [*[F.col(c) for c in within], F.col("_z"), F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = with_z.repartitionByRange(files, *order) if files else with_z.repartitionByRange(*order)
-    return ranged.sortWithinPartitions("_z", *columns).drop("_z")
-
+    return ranged.sortWithinPartitions(*within, "_z", *columns).drop("_z")

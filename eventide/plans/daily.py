@@ -110,4 +110,4 @@ def run_day(
 def append_predictions(predictions: DataFrame, path: str) -> int:
     """Add predictions to the table; a rerun of the day adds them again (see `replace_days`)."""
     mode = "append" if table_exists(predictions.sparkSession, path) else "overwrite"
-    return write_days(predictions, path, "event_date", mode)
+    return write_days(predictions, path, "event_date", mode)["rows"]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,8 +94,9 @@ def write_days(
     rows_per_file: int = ROWS_PER_FILE,
     dynamic: bool = False,
     cluster_by: Sequence[str] = (),
-) -> int:
-    """Write rows into day folders and return their number, counted while writing.
+    counts: Sequence[Column] = (),
+) -> dict[str, int]:
+    """Write rows into day folders and return their number, and other counts, taken while writing.
 
     The rebalance step gathers a day's rows into files of even size and, at run time, cuts a day that is
     much larger than the others into several tasks. With clustering columns the rows are cut into ranges
@@ -103,12 +104,12 @@ def write_days(
     """
     seen = Observation()
     laid_out = clustered(df, day, cluster_by) if cluster_by else df.hint("rebalance", F.col(day))
-    rows = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
     writer = rows.write.mode(mode).partitionBy(day).option("maxRecordsPerFile", rows_per_file)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-    return seen.get["rows"]
+    return seen.get
 
 
 def append_bronze(
@@ -120,7 +121,7 @@ def append_bronze(
     day: str = "_partition_date",
 ) -> int:
     """Append raw rows to the bronze table, partitioned by day, if they pass the schema gate."""
-    return write_days(conform(df, schema, schema_mode), path, day, mode)
+    return write_days(conform(df, schema, schema_mode), path, day, mode)["rows"]
 
 
 def replace_days(
@@ -132,14 +133,12 @@ def replace_days(
     dropped by hand, or its old rows would stay.
     """
     spark = df.sparkSession
+    named = F.date_format(F.col(day), "yyyy-MM-dd")
+    per_day = [F.count_if(named == d).alias(f"day {d}") for d in days]
     exists = table_exists(spark, path)
-    written = write_days(df, path, day, "overwrite", dynamic=exists, cluster_by=cluster_by)
-    if days:
-        named = F.date_format(F.col(day), "yyyy-MM-dd")
-        kept = df.filter(named.isin(list(days))).select(named.alias("d")).distinct()
-        filled = {r["d"] for r in kept.collect()}  # at most len(days) values
-        for name in list_folders(spark, path):
-            key, _, value = name.partition("=")
-            if key == day and value in set(days) - filled:
-                remove_path(spark, f"{path}/{name}")
-    return written
+    written = write_days(df, path, day, "overwrite", dynamic=exists, cluster_by=cluster_by, counts=per_day)
+    empty = {f"{day}={d}" for d in days if not written[f"day {d}"]}
+    for name in list_folders(spark, path):
+        if name in empty:
+            remove_path(spark, f"{path}/{name}")
+    return written["rows"]
