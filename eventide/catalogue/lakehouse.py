@@ -228,7 +228,7 @@ def _ingest(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         ingest_day(
             spark,
             lambda: roles.events(spark, sf_dir),
-            lambda rows: upsert_table(spark, table, rows, ["event_id"]),
+            lambda rows: upsert_table(spark, table, rows, ["event_id"], newest_by="ts"),
             state,
             folder,
             "ingest_events",
@@ -240,8 +240,10 @@ def _ingest(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 @query(
-    """SELECT event_id, ts, user_id, event_type, value, props FROM events
-    WHERE ts <= TIMESTAMP '2024-01-20 23:59:59'"""
+    """SELECT event_id, ts, user_id, event_type, value, props FROM (
+      SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS place FROM events
+      WHERE ts <= TIMESTAMP '2024-01-20 23:59:59'
+    ) WHERE place = 1"""
 )
 def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = _ingest(spark, sf_dir)
@@ -604,7 +606,7 @@ def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM events")
 def zorder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "zorder")
-    z_ordered(roles.events(spark, sf_dir), ["user_id", "event_type"]).write.parquet(path)
+    z_ordered(roles.events(spark, sf_dir), ["user_id", "event_type"], stored=True).write.parquet(path)
     return read_table(spark, path, roles.EVENTS)
 
 
@@ -612,6 +614,6 @@ def zorder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clustered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "clustered")
     rows = roles.events(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
-    laid_out = clustered(rows, "event_date", ["event_type", "user_id"])
+    laid_out = clustered(rows, "event_date", ["event_type", "user_id"], stored=True)
     laid_out.write.partitionBy("event_date").parquet(path)
     return read_table(spark, path, rows.schema)

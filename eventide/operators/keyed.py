@@ -56,8 +56,8 @@ def with_neighbours(
 ) -> DataFrame:
     """Add the group size, the position in the group, and values of the rows before and after.
 
-    `previous` and `following` map a new column to the column it is taken from. `order_by` must order the
-    rows of a key completely. NULL is a key like any other.
+    `previous` and `following` map a new column to the column it is taken from. `order_by` should order the
+    rows of a key completely; rows it leaves equal come in any order. NULL is a key like any other.
 
     A window gives a whole key to one task, which does not scale for a key that holds a large part of
     all rows. Keys above `max_group_rows` therefore go a second way with the same result: their rows are
@@ -119,9 +119,12 @@ def _within_one_task(df, keys, order_by, size, position, previous, following) ->
 def _in_slices(
     heavy, keys, order_by, size, position, previous, following, slices, hot_keys
 ) -> DataFrame:
+    # Numbers given while reading files stay the same when a task runs again. They cut equal rows apart.
+    numbered = materialize(heavy, "hot-rows").withColumn("_row", F.monotonically_increasing_id())
+    order_by = [*order_by, "_row"]
     # The slice of a row must not change between the two uses below, so the rows are written once.
     rows = materialize(
-        heavy.repartitionByRange(slices, *keys, *order_by).withColumn("_slice", F.spark_partition_id()),
+        numbered.repartitionByRange(slices, *keys, *order_by).withColumn("_slice", F.spark_partition_id()),
         "slices",
     )
     part = ["_slice", *keys]

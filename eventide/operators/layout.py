@@ -43,14 +43,26 @@ def compact(
     return len(list_files(spark, source)), len(list_files(spark, target))
 
 
-def clustered(df: DataFrame, day: str, columns: Sequence[str], files: int | None = None) -> DataFrame:
-    """Rows ordered by day and clustering columns, cut into even ranges.
+def _last_key(df: DataFrame, stored: bool) -> Column:
+    """What cuts rows that are equal in all sort columns.
 
-    A hash over the row closes the order, so that one frequent combination is cut like any other range.
+    A hash over the row cuts everything but exact copies. A row number cuts these as well, but only for rows
+    read straight from files does it stay the same when a task runs again.
     """
-    order = [F.col(day), *[F.col(c) for c in columns], F.xxhash64(*[F.col(c) for c in df.columns])]
+    return F.monotonically_increasing_id() if stored else F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def clustered(
+    df: DataFrame, day: str, columns: Sequence[str], files: int | None = None, stored: bool = False
+) -> DataFrame:
+    """Rows ordered by day and clustering columns, cut into even ranges, frequent combinations too.
+
+    `stored` says that `df` is a table as read from its files.
+    """
+    df, names = df.withColumn("_last", _last_key(df, stored)), df.columns
+    order = [F.col(day), *[F.col(c) for c in columns], F.col("_last")]
     ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(day, *columns)
+    return ranged.sortWithinPartitions(day, *columns).select(*names)
 
 
 def column_bounds(df: DataFrame, columns: Sequence[str], buckets: int, seed: int = 7) -> dict[str, list[Any]]:
@@ -96,6 +108,7 @@ def z_ordered(
     bits: int = 6,
     files: int | None = None,
     within: Sequence[str] = (),
+    stored: bool = False,
 ) -> DataFrame:
     """Rows laid out along a Z-curve over some columns, so that filters on any of them skip files.
 
@@ -104,7 +117,7 @@ def z_ordered(
     """
     bounds = column_bounds(df, columns, 2**bits)
     z = z_value([bucket_of(c, bounds[c]) for c in columns], bits)
-    with_z = df.withColumn("_z", z)
-    order = [*[F.col(c) for c in within], F.col("_z"), F.xxhash64(*[F.col(c) for c in df.columns])]
+    with_z = df.withColumns({"_z": z, "_last": _last_key(df, stored)})
+    order = [*[F.col(c) for c in within], F.col("_z"), F.col("_last")]
     ranged = with_z.repartitionByRange(files, *order) if files else with_z.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*within, "_z", *columns).drop("_z")
+    return ranged.sortWithinPartitions(*within, "_z", *columns).drop("_z", "_last")

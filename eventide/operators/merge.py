@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import any_null, no_salt, salt_where_null
 from eventide.operators.evolve import sync_columns
+from eventide.operators.keyed import first_per_key
 from eventide.storage import materialize, read_back, remove_path, scratch_path, table_exists
 
 # Distinct partition values of one batch of updates that are still used to prune the target.
@@ -88,6 +89,7 @@ def upsert_table(
     keys: Sequence[str],
     partition_by: str | None = None,
     evolve: bool = False,
+    newest_by: str | None = None,
 ) -> dict[str, Any]:
     """Merge rows into the Parquet table at `path` and return what was done.
 
@@ -96,8 +98,12 @@ def upsert_table(
     folder first, since a folder cannot be overwritten while it is read; a reader that runs during
     the second write may see the table between two states, and a failed second write leaves the staging
     folder behind with all merged rows. `evolve` gives the table the columns of the
-    updates (new ones added, missing ones dropped).
+    updates (new ones added, missing ones dropped). With `newest_by` only the newest of several updates
+    of one key counts; otherwise several updates of one target row are refused.
     """
+    if newest_by:
+        complete = first_per_key(updates.filter(~any_null(keys)), keys, [F.desc(newest_by)])
+        updates = complete.unionByName(updates.filter(any_null(keys)))
     seen = Observation()
     if not table_exists(spark, path):
         _write(updates, path, partition_by, False, (seen, F.count(F.lit(1)).alias("rows_inserted")))

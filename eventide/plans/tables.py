@@ -141,7 +141,7 @@ class VersionedTable:
         rows_before, rows_after = old.count(), kept.count()
         files = max(1, round(sum(size for _, size in before) / (target_mb * 1024 * 1024)))
         if z_columns:
-            laid_out = z_ordered(kept, z_columns, files=files, within=[VERSION])
+            laid_out = z_ordered(kept, z_columns, files=files, within=[VERSION], stored=True)
         else:
             laid_out = kept.hint("rebalance", F.col(VERSION))
         static = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")

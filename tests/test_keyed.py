@@ -46,7 +46,7 @@ def test_hot_key_with_all_times_equal(spark):
     assert rows(_columns(df, 10)) == rows(_columns(df, None))
 
 
-def test_hot_key_is_spread_evenly(spark, monkeypatch):
+def test_hot_key_of_equal_rows_is_spread_evenly(spark, monkeypatch):
     from eventide.operators import keyed
 
     written = {}
@@ -59,7 +59,7 @@ def test_hot_key_is_spread_evenly(spark, monkeypatch):
         .otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
         .alias("session"),
         F.lit(START).alias("at"),
-        "id",
+        F.lit(1).cast("long").alias("id"),
         F.lit("view").alias("type"),
     )
     result = _columns(df, 1000)

@@ -98,6 +98,12 @@ def test_ambiguous_source_leaves_the_table_alone(spark, folder):
     assert rows(spark.read.parquet(folder)) == [(1, 1, "a")]
 
 
+def test_newest_update_of_a_key_counts(spark, folder):
+    upsert_table(spark, folder, table(spark, (1, 1, "a"), (1, 2, "b"), (None, 1, "n")), ["k"], newest_by="j")
+    upsert_table(spark, folder, table(spark, (1, 5, "c"), (1, 4, "d"), (2, 1, "e")), ["k"], newest_by="j")
+    assert rows(spark.read.parquet(folder)) == [(None, 1, "n"), (1, 5, "c"), (2, 1, "e")]
+
+
 def test_only_touched_partitions_are_rewritten(spark, folder):
     from eventide.storage import list_files
 

@@ -268,6 +268,15 @@ def test_clustering_splits_a_hot_combination(spark):
     assert len(sizes) == 8 and max(s["count"] for s in sizes) < 1000
 
 
+def test_layouts_split_exact_copies_of_a_stored_table(spark, folder):
+    spark.range(4000).select(F.lit(DAY).alias("day"), F.lit("view").alias("type")).write.parquet(folder)
+    df = spark.read.parquet(folder)
+    for laid_out in (clustered(df, "day", ["type"], 8, stored=True), z_ordered(df, ["type"], files=8, stored=True)):
+        assert laid_out.columns == df.columns
+        sizes = laid_out.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 8 and max(s["count"] for s in sizes) < 1000
+
+
 def test_z_buckets_and_bits(spark):
     df = spark.createDataFrame([(None,), (1,), (5,), (9,)], "x int")
     buckets = [r[0] for r in df.select(bucket_of("x", [2, 5, 8])).collect()]

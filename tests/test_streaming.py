@@ -44,6 +44,17 @@ def test_late_and_replayed_events(spark, folder):
     assert rows(spark.read.parquet(f"{folder}/t").select("event_id")) == [("a",), ("b",), ("c",)]
 
 
+def test_copies_are_thinned_out_before_they_travel(spark, folder):
+    raw = f"{folder}/raw"
+    copies = [("a", "2024-01-10T00:00:00", "view")] * 500
+    land(raw, "1.json", *copies, ("a", "2024-01-10T00:00:01", "view"), ("b", "2024-01-10T00:00:00", "view"))
+    run = append_files(without_replays(read_files(spark, raw)), f"{folder}/t", f"{folder}/c")
+    drain(run)
+    assert rows(spark.read.parquet(f"{folder}/t").select("event_id")) == [("a",), ("b",)]
+    dropped = sum(s["customMetrics"].get("numDroppedDuplicateRows", 0) for p in run.recentProgress for s in p["stateOperators"])
+    assert dropped == 1  # only the copy with another time reached the state
+
+
 def test_stream_starts_again_where_it_stopped(spark, folder):
     raw = f"{folder}/raw"
     for i in range(1, 4):
