@@ -166,7 +166,8 @@ def customer_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_orderkey, l_linenumber, l_partkey, md5(coalesce(CAST(l_orderkey AS VARCHAR), '_dbt_utils_surrogate_key_null_')
+    """SELECT l_orderkey, l_linenumber, l_partkey,
+      md5(coalesce(CAST(l_orderkey AS VARCHAR), '_dbt_utils_surrogate_key_null_')
       || '-' || coalesce(CAST(l_linenumber AS VARCHAR), '_dbt_utils_surrogate_key_null_')
       || '-' || coalesce(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, '_dbt_utils_surrogate_key_null_'))
       AS line_key

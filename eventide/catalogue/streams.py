@@ -24,7 +24,10 @@ from eventide.streaming.ingest import (
     without_replays,
 )
 
-_START = dt.datetime(2024, 2, 1)
+
+
+def _batch_time(batch: int) -> dt.datetime:
+    return dt.datetime(2024, 2, 1) + dt.timedelta(hours=batch)
 
 
 def _landed(spark: SparkSession, sf_dir: str, replay: bool) -> str:
@@ -65,9 +68,7 @@ def stream_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "stream-log")
     events = read_files(spark, _landed(spark, sf_dir, replay=True), files_per_batch=1)
     order = [F.desc("event_timestamp")]
-    drain(
-        upsert_log(events, log, f"{log}-checkpoint", ["event_id"], order, lambda b: _START + dt.timedelta(hours=b))
-    )
+    drain(upsert_log(events, log, f"{log}-checkpoint", ["event_id"], order, _batch_time))
     latest = read_as_of(read_log(spark, log), ["event_id"])
     return latest.select("event_id", "event_timestamp", "user_id", "event_type")
 
@@ -89,7 +90,7 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{log}-checkpoint",
             ["event_date"],
             [F.desc("row_count")],
-            lambda b: _START + dt.timedelta(hours=b),
+            _batch_time,
             output_mode="update",
         )
     )

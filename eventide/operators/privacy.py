@@ -33,11 +33,18 @@ def pseudonymize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def redact_payload(df: DataFrame, payload: str, denied: Sequence[str]) -> DataFrame:
     """Drop top-level keys from a JSON text column; the other values keep their type and nesting.
 
-    A payload that is not a JSON object cannot be checked and becomes NULL.
+    A payload that is not a JSON object cannot be checked and becomes NULL. A payload in whose text no
+    denied key can occur, not even in escaped form, is passed on as it is.
     """
-    fields = F.from_json(F.col(payload), "map<string,variant>", {"allowSingleQuotes": "false"})
-    kept = F.map_filter(fields, lambda key, _: ~key.isin(list(denied)))
-    return df.withColumn(payload, F.to_json(kept, {"ignoreNullFields": "false"}))
+    names, text = df.columns, F.col(payload)
+    parsed = df.withColumn("_fields", F.from_json(text, "map<string,variant>", {"allowSingleQuotes": "false"}))
+    suspect = text.contains("\\")
+    for key in denied:
+        suspect = suspect | text.contains(key)
+    kept = F.map_filter("_fields", lambda key, _: ~key.isin(list(denied)))
+    rewritten = F.to_json(kept, {"ignoreNullFields": "false"})
+    clean = F.when(F.col("_fields").isNull(), F.lit(None)).when(suspect, rewritten).otherwise(text)
+    return parsed.withColumn(payload, clean).select(*names)
 
 
 def personal_columns(df: DataFrame, denied: Sequence[str] = PERSONAL_COLUMNS) -> list[str]:

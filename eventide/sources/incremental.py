@@ -140,15 +140,21 @@ def ingest_day(
     column: str = "updated_at",
     upper: str = "end_of_day",
     advance: str = "partition_date",
+    schema: T.StructType | None = None,
 ) -> dict[str, object]:
     """Look up the watermark, land the changes, load them, then advance the watermark.
 
     Each step runs only after the one before it succeeded, so a failed run leaves the watermark alone
     and the next run takes the same range again. `advance` is `partition_date` (midnight at the start of
     the loaded day: the next run reads that day again, and the load must be an upsert) or `max_seen`.
+    With a schema the rows are converted to it, and those that do not convert land in a folder of their own.
     """
     watermark = lookup_watermark(read_control(spark, control_path), pipeline, table)
     changes = extract_changes(read_source(), watermark, partition_date, column, upper)
+    refused = 0
+    if schema is not None:
+        changes, bad = typed_copy(changes, schema)
+        _, refused = land_day(bad, f"{folder.rstrip('/')}_refused", partition_date)
     path, rows = land_day(changes, folder, partition_date)
     landed = read_back(spark, path, changes.schema)
     outcome = load(landed)
@@ -160,4 +166,4 @@ def ingest_day(
         raise ValueError(f"unknown way to advance the watermark: {advance!r}")
     if moment is not None:
         advance_watermark(spark, control_path, pipeline, table, moment, rows)
-    return {"watermark": watermark, "path": path, "rows_copied": rows, "load": outcome}
+    return {"watermark": watermark, "path": path, "rows_copied": rows, "rows_refused": refused, "load": outcome}

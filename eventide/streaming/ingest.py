@@ -66,7 +66,9 @@ def _first_copies(columns: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]]
     return cut
 
 
-def without_replays(events: DataFrame, delay: str = f"{LOOKBACK_DAYS} days", ids: Sequence[str] = ("event_id",)) -> DataFrame:
+def without_replays(
+    events: DataFrame, delay: str = f"{LOOKBACK_DAYS} days", ids: Sequence[str] = ("event_id",)
+) -> DataFrame:
     """Drop events later than `delay`, and copies of an id that arrive within it.
 
     Spark's streaming deduplication sends all copies of an id to one task. Each task therefore first drops
@@ -101,13 +103,17 @@ def upsert_log(
     """Write each batch as one commit of a change log, keyed by `keys`.
 
     The batch number is the commit number, so a batch that is run again after a failure replaces its own
-    commit. The newest version of the log holds one row per key.
+    commit. The newest version of the log holds one row per key. A batch is written down before it is used
+    twice, since computing it again would run the stream's state again.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        complete = first_per_key(batch.filter(~any_null(keys)), keys, order_by)
-        rows = complete.unionByName(batch.filter(any_null(keys)))
+        copy = scratch_path(batch.sparkSession, "batch")
+        taken = materialize(batch, "batch", copy)
+        complete = first_per_key(taken.filter(~any_null(keys)), keys, order_by)
+        rows = complete.unionByName(taken.filter(any_null(keys)))
         append_commit(rows, path, batch_id, clock(batch_id))
+        remove_path(batch.sparkSession, copy)
 
     writer = events.writeStream.foreachBatch(commit).outputMode(output_mode)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

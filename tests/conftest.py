@@ -4,7 +4,7 @@ import uuid
 import pytest
 
 from eventide.session import local_session
-from eventide.storage import scratch_path
+from eventide.storage import clear_scratch, scratch_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,6 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8, "eventide-tests", "6g")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -114,6 +114,8 @@ def test_pseudonymize(spark):
         ('{"email":"a@b.de","n":1,"t":true,"x":null,"o":{"c":[1,"2"]}}', '{"n":1,"t":true,"x":null,"o":{"c":[1,"2"]}}'),
         ('{"n":"1"}', '{"n":"1"}'),
         ('{"email":"a"}', "{}"),
+        ('{"\\u0065mail":"a","n":1}', '{"n":1}'),
+        ('{"n": 1.50}', '{"n": 1.50}'),
         ("[1]", None),
         ("broken", None),
         (None, None),

@@ -181,6 +181,22 @@ def test_ingest_is_repeatable(spark, folder, advance, expected):
     assert rows(spark.read.parquet(f"{folder}/table").select("id")) == [(0,), (1,), (2,)]
 
 
+def test_ingest_converts_and_sets_aside(spark, folder):
+    df = moments(spark, "2024-01-01", "2024-01-01").withColumn("n", F.when(F.col("id") == 0, "7").otherwise("x"))
+    schema = T.StructType(
+        [
+            T.StructField("id", T.IntegerType()),
+            T.StructField("updated_at", T.TimestampType()),
+            T.StructField("n", T.IntegerType()),
+        ]
+    )
+    done = ingest_day(
+        spark, lambda: df, lambda new: new.count(), f"{folder}/c", f"{folder}/l", "p", "t", "2024-01-02", schema=schema
+    )
+    assert (done["rows_copied"], done["rows_refused"], done["load"]) == (1, 1, 1)
+    assert rows(spark.read.parquet(f"{folder}/l_refused/2024/01/02").select("id", "n")) == [(1, "x")]
+
+
 def test_failed_load_leaves_the_watermark(spark, folder):
     def fail(_):
         raise RuntimeError("no load")
