@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -452,7 +453,8 @@ def vacuum_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _versioned(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[dict]]:
-    table = VersionedTable(spark, scratch_path(spark, "versioned"), ["o_orderkey"])
+    schema = roles.orders(spark, sf_dir).schema
+    table = VersionedTable(spark, scratch_path(spark, "versioned"), ["o_orderkey"], schema)
     parts = [_before_1999(spark, sf_dir), _from_1998(spark, sf_dir), _closed(spark, sf_dir)]
     return table, [table.upsert(p, dt.datetime(2024, 1, i + 1)) for i, p in enumerate(parts)]
 
@@ -467,7 +469,7 @@ def _versioned(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, list[d
 )
 def versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three upserts and a new column; then an old version is read through a filter."""
-    table, _ = _versioned(spark, sf_dir)
+    table = replace(_versioned(spark, sf_dir)[0], schema=None)
     table.add_column("channel", T.StringType(), dt.datetime(2024, 1, 4))
     return table.read(version=2, filters=[("o_totalprice", ">", 100000), ("o_orderstatus", "!=", "P")])
 

@@ -11,15 +11,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.constants import RETENTION_HOURS
 from eventide.context import utc_literal
 from eventide.functions import any_null
 from eventide.operators.keyed import first_per_key
+from eventide.sources.lake import read_table
 from eventide.storage import table_exists
 
 VERSION, COMMITTED, OP = "_commit_version", "_commit_ts", "_op"
-LOG_COLUMNS = [VERSION, COMMITTED, OP]
+_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField(COMMITTED, T.TimestampType()),
+        T.StructField(OP, T.StringType()),
+        T.StructField(VERSION, T.LongType()),
+    ]
+)
+LOG_COLUMNS = _LOG_SCHEMA.names
 
 
 def as_commit(df: DataFrame, version: int, committed: dt.datetime, op: str = "upsert") -> DataFrame:
@@ -37,9 +46,11 @@ def append_commit(
     writer.option("partitionOverwriteMode", "dynamic" if exists else "static").parquet(path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    log = spark.read.option("mergeSchema", "true").parquet(path)
-    return log.withColumn(VERSION, F.col(VERSION).cast("long"))
+def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The log at a path; `schema` is that of the table's own columns, found in the files if not given."""
+    if schema is not None:
+        schema = T.StructType([*schema, *_LOG_SCHEMA])
+    return read_table(spark, path, schema).withColumn(VERSION, F.col(VERSION).cast("long"))
 
 
 def commits(log: DataFrame) -> DataFrame:
@@ -76,9 +87,17 @@ def _latest(log: DataFrame, keys: Sequence[str] | None) -> DataFrame:
     return newest.unionByName(log.filter(any_null(keys))).filter(F.col(OP) != "delete")
 
 
-def read_version(log: DataFrame, version: int, keys: Sequence[str] | None = None) -> DataFrame:
-    """The table as commit `version` left it. Without keys every commit only adds rows."""
-    first, last = log.agg(F.min(VERSION), F.max(VERSION)).first()
+def read_version(
+    log: DataFrame,
+    version: int,
+    keys: Sequence[str] | None = None,
+    span: tuple[int | None, int | None] | None = None,
+) -> DataFrame:
+    """The table as commit `version` left it. Without keys every commit only adds rows.
+
+    `span` gives the first and last commit where they are known without reading the log.
+    """
+    first, last = span or log.agg(F.min(VERSION), F.max(VERSION)).first()
     if first is None or not first <= version <= last:
         raise LookupError(f"version {version} is not in the log, which holds {first} to {last}")
     return _latest(log.filter(F.col(VERSION) <= version), keys).drop(*LOG_COLUMNS)
@@ -89,12 +108,13 @@ def read_as_of(
     keys: Sequence[str] | None = None,
     as_of: dt.datetime | None = None,
     version: int | None = None,
+    span: tuple[int | None, int | None] | None = None,
 ) -> DataFrame:
     """The table at a moment, at a version, or now. A moment goes before a version."""
     if as_of is not None:
         version = version_at(log, as_of)
     if version is not None:
-        return read_version(log, version, keys)
+        return read_version(log, version, keys, span)
     return _latest(log, keys).drop(*LOG_COLUMNS)
 
 

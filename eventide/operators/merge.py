@@ -8,10 +8,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.functions import any_null, no_salt, salt_where_null
 from eventide.operators.evolve import sync_columns
 from eventide.operators.keyed import first_per_key
+from eventide.sources.lake import read_table
 from eventide.storage import materialize, read_back, remove_path, scratch_path, table_exists
 
 # Distinct partition values of one batch of updates that are still used to prune the target.
@@ -90,6 +92,7 @@ def upsert_table(
     partition_by: str | None = None,
     evolve: bool = False,
     newest_by: str | None = None,
+    schema: T.StructType | None = None,
 ) -> dict[str, Any]:
     """Merge rows into the Parquet table at `path` and return what was done.
 
@@ -99,7 +102,8 @@ def upsert_table(
     the second write may see the table between two states, and a failed second write leaves the staging
     folder behind with all merged rows. `evolve` gives the table the columns of the
     updates (new ones added, missing ones dropped). With `newest_by` only the newest of several updates
-    of one key counts; otherwise several updates of one target row are refused.
+    of one key counts; otherwise several updates of one target row are refused. `schema` is that of the
+    table; without it the footers of all its files are read to find out.
     """
     if newest_by:
         complete = first_per_key(updates.filter(~any_null(keys)), keys, [F.desc(newest_by)])
@@ -111,7 +115,7 @@ def upsert_table(
 
     copy = scratch_path(spark, "updates")
     updates = materialize(updates, "updates", copy)  # used several times below
-    target = spark.read.option("mergeSchema", "true").parquet(path)
+    target = read_table(spark, path, schema)
     if evolve:
         target = sync_columns(target, updates.schema)
     doubled = ambiguous_keys(updates, keys, target).limit(5).collect()

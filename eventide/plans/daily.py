@@ -78,19 +78,20 @@ def run_day(
     )
     facts = require_impersonal(fct_events(staged, customers, transactions, ctx, True, lookback_days))
     mart = lake.path("gold", "fct_events")
-    merged = upsert_table(spark, mart, facts, ["event_date", "event_key"], partition_by="event_date")
+    keys, shape = ["event_date", "event_key"], facts.schema
+    merged = upsert_table(spark, mart, facts, keys, partition_by="event_date", schema=shape)
 
     landed = raw.filter(F.col("_partition_date") == ctx.ds_col)
     tests = test_and_store(landed, SOURCE_TESTS[0], lake.path("test_results", day), severity)
 
     served = lake.path("gold", "fact_events")
-    mart_day = read_table(spark, mart, filters=[("event_date", "=", ctx.ds)])
+    mart_day = read_table(spark, mart, shape, [("event_date", "=", ctx.ds)])
     loaded = replace_days(mart_day, served, "event_date", [day], cluster_by=["event_type", "user_id"])
 
     scored = None
-    fact_day = read_table(spark, served, mart_day.schema, [("event_date", "=", ctx.ds)])
+    fact_day = read_table(spark, served, shape, [("event_date", "=", ctx.ds)])
     if model is not None:
-        predictions = score(fact_day, user_features(read_table(spark, mart)), model, ctx)
+        predictions = score(fact_day, user_features(read_table(spark, mart, shape)), model, ctx)
         scored = replace_days(predictions, lake.path("gold", "ml_predictions"), "event_date", [day])
 
     require(

@@ -46,22 +46,30 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class VersionedTable:
-    """A table at a path, with the keys that identify its rows. Without keys it only grows."""
+    """A table at a path, with the keys that identify its rows. Without keys it only grows.
+
+    Give the schema of a large table, or every read looks it up in all its files.
+    """
 
     spark: SparkSession
     path: str
     keys: Sequence[str] = ()
+    schema: T.StructType | None = None
 
     def exists(self) -> bool:
         return table_exists(self.spark, self.path)
 
-    def last_version(self) -> int:
-        """The newest commit, from folder names; 0 before the first."""
+    def versions(self) -> list[int]:
+        """Commit numbers in order, from folder names."""
         found = [n.partition("=") for n in list_folders(self.spark, self.path)]
-        return max((int(v) for k, _, v in found if k == VERSION), default=0)
+        return sorted(int(v) for k, _, v in found if k == VERSION)
+
+    def last_version(self) -> int:
+        """The newest commit; 0 before the first."""
+        return max(self.versions(), default=0)
 
     def log(self) -> DataFrame:
-        return read_log(self.spark, self.path)
+        return read_log(self.spark, self.path, self.schema)
 
     def upsert(self, rows: DataFrame, committed: dt.datetime, version: int | None = None) -> dict[str, Any]:
         """Append rows as a commit: keys in the table change their row, the others are new.
@@ -101,7 +109,9 @@ class VersionedTable:
         filters: Sequence[tuple[str, str, Any]] | None = None,
     ) -> DataFrame:
         """The rows at a moment, at a version, or now. Filters apply to the rows that were current then."""
-        return read_as_of(self.log(), self.keys, as_of, version).filter(all_of(filters))
+        found = self.versions()
+        span = (found[0], found[-1]) if found else (None, None)
+        return read_as_of(self.log(), self.keys, as_of, version, span).filter(all_of(filters))
 
     def history(self, limit: int = 10) -> DataFrame:
         return table_history(self.log(), limit)

@@ -37,7 +37,7 @@ def read_table(
     """Scan a table; filters and columns reach the Parquet reader.
 
     Without a schema the columns of all files are joined by name, so rows written before a column was
-    added read as NULL there.
+    added read as NULL there. That reads every file's footer; for a large table pass the schema.
     """
     if schema is not None:
         df = spark.read.schema(schema).parquet(path)
