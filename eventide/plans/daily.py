@@ -66,11 +66,13 @@ def run_day(
     limits: GateLimits = GateLimits(),
     lookback_days: int = LOOKBACK_DAYS,
     severity: str = "error",
+    features: DataFrame | None = None,
 ) -> dict[str, object]:
     """Run one day. A failed test or gate stops the day where it stands; a rerun gives the same tables.
 
     Staged events go to the silver layer and the fact rows of the last days are merged into the mart. If
-    the source tests hold, the day is loaded into the served table and scored; gates judge it last.
+    the source tests hold, the day is loaded into the served table and scored; gates judge it last. Give
+    `features` where user features are kept in a table; otherwise they are computed from the whole mart.
     """
     day = ctx.ds.isoformat()
     staged = materialize_model(
@@ -91,7 +93,8 @@ def run_day(
     scored = None
     fact_day = read_table(spark, served, shape, [("event_date", "=", ctx.ds)])
     if model is not None:
-        predictions = score(fact_day, user_features(read_table(spark, mart, shape)), model, ctx)
+        known = user_features(read_table(spark, mart, shape)) if features is None else features
+        predictions = score(fact_day, known, model, ctx)
         scored = replace_days(predictions, lake.path("gold", "ml_predictions"), "event_date", [day])
 
     require(

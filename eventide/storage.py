@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -48,10 +49,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds a finished write (an empty folder is not a table)."""
+def _data_files(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
     fs, target = _file_system(spark, path)
-    return fs.exists(target) and len(fs.listStatus(target)) > 0
+    if not fs.exists(target):
+        return
+    root, walk = fs.makeQualified(target).toString(), fs.listFiles(target, True)
+    while walk.hasNext():
+        status = walk.next()
+        name = status.getPath().toString()
+        if not any(_hidden(part) for part in name.removeprefix(root).strip("/").split("/")):
+            yield name, status.getLen()
+
+
+def _hidden(part: str) -> bool:
+    """Names that Spark does not read: markers, temporary files, stream metadata."""
+    return part.startswith(".") or (part.startswith("_") and "=" not in part)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when there is a data file; a partitioned table written without rows has none."""
+    return next(_data_files(spark, path), None) is not None
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:
@@ -63,13 +80,7 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
 
 def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(path, bytes) of the data files below a folder; file metadata only."""
-    fs, target = _file_system(spark, path)
-    found, walk = [], fs.listFiles(target, True)
-    while walk.hasNext():
-        status = walk.next()
-        if not status.getPath().getName().startswith(("_", ".")):
-            found.append((status.getPath().toString(), status.getLen()))
-    return found
+    return list(_data_files(spark, path))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

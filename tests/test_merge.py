@@ -127,3 +127,20 @@ def test_evolving_table_follows_the_columns_of_its_updates(spark, folder):
     wider = spark.createDataFrame([(2, "b", 0.5)], "k int, v string, score double")
     upsert_table(spark, folder, wider, ["k"], evolve=True)
     assert rows(spark.read.parquet(folder).select("k", "v", "score")) == [(1, "a", None), (2, "b", 0.5)]
+
+
+def test_empty_updates(spark, folder):
+    none = table(spark)
+    assert upsert_table(spark, folder, none, ["k", "j"], partition_by="k", schema=none.schema)["rows_inserted"] == 0
+    done = upsert_table(spark, folder, table(spark, (1, 1, "a")), ["k", "j"], partition_by="k", schema=none.schema)
+    assert (done["created"], done["rows_inserted"]) == (True, 1)
+    done = upsert_table(spark, folder, none, ["k", "j"], partition_by="k", schema=none.schema)
+    assert (done["rows_inserted"], done["rows_updated"]) == (0, 0)
+    assert rows(spark.read.parquet(folder).select("k", "j", "v")) == [(1, 1, "a")]
+
+
+def test_empty_first_load_without_schema(spark, folder):
+    upsert_table(spark, folder, table(spark), ["k", "j"], partition_by="k")
+    done = upsert_table(spark, folder, table(spark, (1, 1, "a")), ["k", "j"], partition_by="k")
+    assert done["rows_inserted"] == 1
+    assert rows(spark.read.parquet(folder).select("k", "j", "v")) == [(1, 1, "a")]

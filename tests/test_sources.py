@@ -197,6 +197,22 @@ def test_ingest_converts_and_sets_aside(spark, folder):
     assert rows(spark.read.parquet(f"{folder}/l_refused/2024/01/02").select("id", "n")) == [(1, "x")]
 
 
+def test_day_without_changes(spark, folder):
+    df = moments(spark, "2024-01-01 03:00:00")
+
+    def run(day):
+        return ingest_day(
+            spark, lambda: df, lambda new: upsert_table(spark, f"{folder}/t", new, ["id"]), f"{folder}/c", f"{folder}/l",
+            "p", "t", day, advance="max_seen",
+        )
+
+    assert run("2023-12-31")["rows_copied"] == 0
+    assert run("2024-01-01")["rows_copied"] == 1
+    assert run("2024-01-02")["rows_copied"] == 0
+    assert lookup_watermark(read_control(spark, f"{folder}/c"), "p", "t") == ts("2024-01-01 03:00:00")
+    assert spark.read.parquet(f"{folder}/t").count() == 1
+
+
 def test_failed_load_leaves_the_watermark(spark, folder):
     def fail(_):
         raise RuntimeError("no load")

@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from eventide.operators.history import read_as_of, read_log
+from eventide.storage import list_files
 from eventide.streaming.ingest import (
     append_files,
     daily_counts,
@@ -61,6 +62,7 @@ def test_stream_starts_again_where_it_stopped(spark, folder):
         land(raw, f"{i}.json", (f"e{i}", "2024-01-10T00:00:00", "view"))
         drain(append_files(read_files(spark, raw), f"{folder}/t", f"{folder}/c"))
     assert spark.read.parquet(f"{folder}/t").count() == 3
+    assert all(name.endswith(".parquet") for name, _ in list_files(spark, f"{folder}/t"))
 
 
 def _clock(batch):
