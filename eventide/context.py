@@ -37,3 +37,14 @@ def utc_literal(moment: dt.datetime) -> Column:
     if moment.tzinfo is not None:
         moment = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
     return F.lit(moment.isoformat(sep=" ") + "Z").cast("timestamp")
+
+
+def wall_time(moment: dt.datetime) -> Column:
+    """A moment to compare columns with, in UTC and without zone.
+
+    Compared with a column without zone it needs no cast of the column, and compared with a zoned column
+    Spark turns the literal into a zoned one, so either way the comparison reaches the file reader.
+    """
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventide.context import wall_time
+
 
 def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -31,7 +33,6 @@ def in_days(column: str, first: dt.date, last: dt.date) -> Column:
     Written as a range on the bare column, so that file statistics can skip data; `to_date(ts) = d`
     could not.
     """
-    after = last + dt.timedelta(days=1)
-    return (F.col(column) >= F.lit(first.isoformat()).cast("timestamp")) & (
-        F.col(column) < F.lit(after.isoformat()).cast("timestamp")
-    )
+    begin = dt.datetime.combine(first, dt.time())
+    end = dt.datetime.combine(last, dt.time()) + dt.timedelta(days=1)
+    return (F.col(column) >= wall_time(begin)) & (F.col(column) < wall_time(end))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import operator
 from collections.abc import Sequence
 from functools import reduce
@@ -10,6 +11,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventide.context import wall_time
+
 _COMPARE = {
     "=": operator.eq,
     "==": operator.eq,
@@ -21,14 +24,18 @@ _COMPARE = {
 }
 
 
+def _literal(value: Any) -> Column:
+    return wall_time(value) if isinstance(value, dt.datetime) else F.lit(value)
+
+
 def _one(name: str, op: str, value: Any) -> Column:
     col = F.col(name)
     if op in _COMPARE:
-        return _COMPARE[op](col, F.lit(value))
+        return _COMPARE[op](col, _literal(value))
     if op == "in":
-        return col.isin(list(value))
+        return col.isin([_literal(v) for v in value])
     if op == "not in":
-        return ~col.isin(list(value))
+        return ~col.isin([_literal(v) for v in value])
     raise ValueError(f"unknown comparison {op!r} on column {name!r}")
 
 

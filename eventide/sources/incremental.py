@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.context import utc_literal
+from eventide.context import utc_literal, wall_time
 from eventide.schemas import CONTROL_SCHEMA
 from eventide.storage import read_back, table_exists
 
@@ -47,8 +47,8 @@ def changed_between(
 ) -> Column:
     """Rows changed after the watermark (all earlier ones when there is none) up to a day's end."""
     op, end = upper_bound(partition_date, upper)
-    bound = F.col(column) <= utc_literal(end) if op == "<=" else F.col(column) < utc_literal(end)
-    return bound if watermark is None else (F.col(column) > utc_literal(watermark)) & bound
+    bound = F.col(column) <= wall_time(end) if op == "<=" else F.col(column) < wall_time(end)
+    return bound if watermark is None else (F.col(column) > wall_time(watermark)) & bound
 
 
 def extract_changes(

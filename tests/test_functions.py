@@ -13,6 +13,7 @@ from eventide.functions import (
     url_origin,
     whole_seconds_between,
 )
+from eventide.sources.incremental import changed_between
 from tests.conftest import ts
 
 
@@ -89,8 +90,22 @@ def test_filters(spark):
         all_of([("id", "~", 1)])
 
 
-def test_day_filter_reaches_the_files(spark):
-    schema = "event_id long, ts timestamp"
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_time_filters_reach_the_files(spark, kind):
+    df = spark.read.schema(f"event_id long, ts {kind}").parquet("/root/testdata/sf0.001/events.parquet")
+    for condition in (
+        all_of([("ts", ">=", ts("2024-01-05 06:00:00")), ("event_id", "in", [200, 201])]),
+        changed_between("ts", ts("2024-01-05"), "2024-01-06"),
+    ):
+        plan = df.filter(condition)._jdf.queryExecution().executedPlan().toString()
+        pushed = plan.split("PushedFilters: ")[1].split("]")[0]
+        assert "(ts,2024-01-05" in pushed
+    assert df.filter(changed_between("ts", ts("2024-01-05"), "2024-01-06")).count() == 80
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_day_filter_reaches_the_files(spark, kind):
+    schema = f"event_id long, ts {kind}"
     df = spark.read.schema(schema).parquet("/root/testdata/sf0.001/events.parquet")
     day = ts("2024-01-05").date()
     plan = df.filter(in_days("ts", day, day))._jdf.queryExecution().executedPlan().toString()
