@@ -143,7 +143,7 @@ def catalog_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = roles.events(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
     rows.hint("rebalance", F.col("event_date")).write.partitionBy("event_date").parquet(path)
     name = "registered_" + path.rsplit("-", 1)[1]
-    table = register_table(spark, name, path, rows.schema, ["event_date"])
+    table = register_table(spark, name, path, rows.schema, "event_date")
     counted = table.groupBy("event_date", "event_type").agg(
         F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("first_id")
     )

@@ -6,16 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions import no_salt, salt_where_null
+from eventide.operators.keyed import MAX_BROADCAST_ROWS, small_side
 
 
-def join_customers(events: DataFrame, customers: DataFrame, spread_by: str = "event_id") -> DataFrame:
+def join_customers(
+    events: DataFrame,
+    customers: DataFrame,
+    spread_by: str = "event_id",
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """Every event with its customer's attributes; events without a known customer keep NULLs.
 
-    No broadcast is asked for: Spark takes it when the customer table is small and otherwise splits a
-    hot customer at run time. Events without a user are spread by a salt.
+    Few customers are broadcast. With many, Spark splits a hot customer at run time, and events without a
+    user are spread by a salt.
     """
     salted = events.withColumn("_salt", salt_where_null(["user_id"], [spread_by]))
-    known = customers.withColumn("_salt", no_salt(["user_id"]))
+    known = small_side(customers.withColumn("_salt", no_salt(["user_id"])), max_broadcast_rows)
     return salted.join(known, ["user_id", "_salt"], "left").drop("_salt")
 
 

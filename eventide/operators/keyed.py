@@ -37,6 +37,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     )
 
 
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`df`, marked for broadcast if its rows, counted first, are few; else as it is.
+
+    Spark guesses the size of a joined or filtered table from its inputs and may shuffle the large side for
+    nothing. Counting the rows of stored tables reads no column.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def same_keys(left: str, right: str, columns: Sequence[str]) -> Column:
     """Equality of two aliased frames on some columns, NULL being equal to NULL."""
     pairs = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
@@ -74,7 +83,7 @@ def with_neighbours(
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not hot_keys:
         return plain
-    few = F.broadcast(hot) if hot_keys <= MAX_BROADCAST_ROWS else hot
+    few = small_side(hot)
     on = same_keys("d", "h", keys)
     rest = df.alias("d").join(few.alias("h"), on, "left_anti")
     heavy = df.alias("d").join(few.alias("h"), on, "left_semi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -35,15 +37,26 @@ def take_landed(
 
 
 def register_table(
-    spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by: list[str]
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    partition_by: str,
+    values: Sequence[str] = (),
 ) -> DataFrame:
-    """Make a partitioned folder known to the catalog, or pick up its new partitions."""
+    """Make a partitioned folder known to the catalog and register its new partitions.
+
+    With values only these partitions are added, as a daily run does; without, all folders are listed.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    days = ", ".join(f"`{c}`" for c in partition_by)
     place = path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({days}) LOCATION '{place}'"
+        f"PARTITIONED BY (`{partition_by}`) LOCATION '{place}'"
     )
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if values:
+        parts = " ".join(f"PARTITION (`{partition_by}` = '{v}')" for v in values)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    else:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)

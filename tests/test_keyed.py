@@ -105,10 +105,13 @@ def test_rows_without_key_are_spread_by_the_join(spark):
     spark.conf.set(auto, "-1")
     try:
         customers = spark.createDataFrame([("u1", "gold")], "user_id string, segment string")
-        plan = join_customers(_events(spark), customers)._jdf.queryExecution().executedPlan().toString()
+        joined = join_customers(_events(spark), customers, max_broadcast_rows=0)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset(auto)
     assert plan.count("hashpartitioning(user_id") == 2 and plan.count("_salt") > 2
+    few = join_customers(_events(spark), customers)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in few and rows(joined) == rows(join_customers(_events(spark), customers))
     assert "_salt#" in plan.split("hashpartitioning(user_id")[1].split(")")[0]
 
 

@@ -125,3 +125,16 @@ def test_day_of_lake_prunes_partitions(spark, folder):
     assert "PartitionFilters: [isnotnull(_partition_date" in plan
     assert stage_events(stored, stream, CTX).count() == 1
     assert set(PAYLOAD_KEYS) - set(stored.columns) == {"page_url", "referrer"}
+
+
+def test_fact_plan_shuffles_no_more_than_it_needs(spark):
+    from eventide.catalogue import roles
+    from tests.conftest import SMALL
+
+    staged = stage_events(roles.lake(spark, SMALL), roles.streamed(spark, SMALL), CTX, None)
+    facts = fct_events(
+        staged, roles.customers(spark, SMALL), roles.transactions(spark, SMALL), max_group_rows=None
+    )
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    # One shuffle each for event ids, sessions, and purchases per user and day.
+    assert plan.count("Exchange hashpartitioning") == 3 and "Exchange SinglePartition" not in plan
