@@ -1,7 +1,8 @@
 """Table versions as a change log: every row carries its commit number, commit time and operation.
 
 The log is a Parquet folder partitioned by commit number. Appending a commit, reading an old version,
-listing commits and dropping old rows are queries over it.
+listing commits and dropping old rows are queries over it. In a table with keys, a commit holds a key at most
+once; rows whose key has a NULL are not bound by that.
 """
 
 from __future__ import annotations
@@ -79,12 +80,26 @@ def version_at(log: DataFrame, as_of: dt.datetime) -> int:
     return value
 
 
-def _latest(log: DataFrame, keys: Sequence[str] | None) -> DataFrame:
-    """The newest row per key. Rows with a NULL key never replace each other."""
-    if not keys:
+def _span(log: DataFrame) -> tuple[int | None, int | None]:
+    """First and last commit of a log."""
+    return tuple(log.agg(F.min(VERSION), F.max(VERSION)).first())
+
+
+def _latest(log: DataFrame, keys: Sequence[str] | None, first: int | None) -> DataFrame:
+    """The newest row per key. Rows with a NULL key never replace each other.
+
+    The first commit usually holds most rows. Its rows are not sorted with the others: those whose key
+    occurs in no later commit stay, which takes no shuffle of them while the later commits are small.
+    """
+    if not keys or first is None:
         return log
-    newest = first_per_key(log.filter(~any_null(keys)), keys, [F.desc(VERSION)])
-    return newest.unionByName(log.filter(any_null(keys))).filter(F.col(OP) != "delete")
+    complete = log.filter(~any_null(keys))
+    later = complete.filter(F.col(VERSION) > first)
+    newest = first_per_key(later, keys, [F.desc(VERSION)])
+    base = complete.filter(F.col(VERSION) == first)
+    untouched = base.join(later.select(*keys), list(keys), "left_anti").select(*log.columns)
+    rows = untouched.unionByName(newest).unionByName(log.filter(any_null(keys)))
+    return rows.filter(F.col(OP) != "delete")
 
 
 def read_version(
@@ -97,10 +112,10 @@ def read_version(
 
     `span` gives the first and last commit where they are known without reading the log.
     """
-    first, last = span or log.agg(F.min(VERSION), F.max(VERSION)).first()
+    first, last = span or _span(log)
     if first is None or not first <= version <= last:
         raise LookupError(f"version {version} is not in the log, which holds {first} to {last}")
-    return _latest(log.filter(F.col(VERSION) <= version), keys).drop(*LOG_COLUMNS)
+    return _latest(log.filter(F.col(VERSION) <= version), keys, first).drop(*LOG_COLUMNS)
 
 
 def read_as_of(
@@ -115,7 +130,8 @@ def read_as_of(
         version = version_at(log, as_of)
     if version is not None:
         return read_version(log, version, keys, span)
-    return _latest(log, keys).drop(*LOG_COLUMNS)
+    first = (span or _span(log))[0] if keys else None
+    return _latest(log, keys, first).drop(*LOG_COLUMNS)
 
 
 def vacuum(
@@ -136,11 +152,13 @@ def vacuum(
     cutoff = now - dt.timedelta(hours=retention_hours)
     base = log.filter(F.col(COMMITTED) <= utc_literal(cutoff))
     newest = base.groupBy(VERSION).agg(F.max(COMMITTED).alias("at")).agg(
-        F.max(VERSION).alias("version"), F.date_format(F.max_by("at", VERSION), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
+        F.min(VERSION).alias("first"),
+        F.max(VERSION).alias("version"),
+        F.date_format(F.max_by("at", VERSION), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"),
     ).first()
     if newest["version"] is None:
         return log
-    rebased = _latest(log.filter(F.col(VERSION) <= newest["version"]), keys).withColumns(
+    rebased = _latest(log.filter(F.col(VERSION) <= newest["version"]), keys, newest["first"]).withColumns(
         {
             VERSION: F.lit(newest["version"]).cast("long"),
             COMMITTED: utc_literal(dt.datetime.fromisoformat(newest["at"])),

@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +41,38 @@ def test_versions(spark):
     assert rows(read_as_of(log(spark), ["k"])) == [(None, "x"), (None, "y"), (2, "b"), (3, "d")]
 
 
+COMMITS = st.lists(
+    st.tuples(
+        st.sampled_from(["upsert", "upsert", "delete"]),
+        st.dictionaries(st.integers(0, 5), st.sampled_from("abc"), min_size=1, max_size=5),
+    ),
+    min_size=1,
+    max_size=4,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(COMMITS)
+def test_every_version_is_the_replay_of_its_commits(spark, commits):
+    log, table, expected = None, {}, []
+    for version, (op, values) in enumerate(commits, 1):
+        df = as_commit(spark.createDataFrame(list(values.items()), "k int, v string"), version, dt.datetime(2024, 1, version), op)
+        log = df if log is None else log.unionByName(df)
+        table = {k: v for k, v in table.items() if k not in values} | (values if op == "upsert" else {})
+        expected.append(sorted(table.items()))
+    assert [rows(read_version(log, v, ["k"])) for v in range(1, len(commits) + 1)] == expected
+    assert rows(read_as_of(log, ["k"])) == expected[-1]
+
+
+def test_large_first_commit_is_not_shuffled(spark, folder):
+    append_commit(spark.range(10000).withColumn("v", F.lit("a")), folder, 1, dt.datetime(2024, 1, 1))
+    append_commit(spark.range(5).withColumn("v", F.lit("b")), folder, 2, dt.datetime(2024, 1, 2))
+    latest = read_as_of(read_log(spark, folder), ["id"])
+    assert latest.count() == 10000 and latest.filter("v = 'b'").count() == 5
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+
+
 def test_without_keys_versions_only_add(spark):
     added = log(spark).filter("_op = 'upsert'")
     assert read_version(added, 2).count() == 5 and read_as_of(added).count() == 7
