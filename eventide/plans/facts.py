@@ -12,6 +12,7 @@ from eventide.context import RunContext
 from eventide.functions import surrogate_key, whole_seconds_between
 from eventide.operators.enrich import join_customers, join_daily_spend
 from eventide.operators.keyed import MAX_GROUP_ROWS, with_neighbours
+from eventide.schemas import CUSTOMERS_SCHEMA
 
 FACT_COLUMNS = [
     "event_key",
@@ -84,5 +85,6 @@ def fct_events(
         transactions = recent(transactions, "transaction_date", ctx, lookback_days)
     carried = staged.drop("seconds_into_hour", "page_url", "referrer", "dbt_invocation_id")
     sessions = session_columns(carried, max_group_rows)
-    enriched = join_daily_spend(join_customers(sessions, customers), transactions)
+    known = customers.select(*CUSTOMERS_SCHEMA.names)
+    enriched = join_daily_spend(join_customers(sessions, known), transactions)
     return enriched.withColumn("event_key", surrogate_key(["event_id"])).select(*FACT_COLUMNS)

@@ -14,10 +14,11 @@ from eventide.sources.incremental import upper_bound
 def range_slot(
     column: str, lower: int = RANGE_LOWER, upper: int = RANGE_UPPER, parts: int = RANGE_PARTS
 ) -> Column:
-    """Which of the parallel reads takes a row, as a number from 0.
+    """The even range of a split a value falls into, as a number from 0.
 
-    The bounds only set the width of a slot. Values below the first and above the last slot belong to the
-    outer slots and NULL to the first, so no row is lost.
+    A parallel read with these bounds splits its rows this way, give or take the rounding of the bounds. The
+    bounds only set the width of a range: values beyond them belong to the outer ranges and NULL to the
+    first, so no row is lost.
     """
     stride = upper // parts - lower // parts
     slot = F.floor((F.col(column) - F.lit(lower)) / F.lit(stride)).cast("long")
