@@ -14,6 +14,7 @@ from eventide.operators.enrich import join_customers, join_daily_spend
 from eventide.operators.keyed import MAX_GROUP_ROWS, with_neighbours
 from eventide.schemas import CUSTOMERS_SCHEMA
 
+# The columns of the fact table, in order.
 FACT_COLUMNS = [
     "event_key",
     "event_id",

@@ -14,6 +14,7 @@ def _schema(**columns: tuple[T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, (t, nullable) in columns.items()])
 
 
+# The declared columns of the source tables, in order. False marks required ones.
 EVENTS_SCHEMA = _schema(
     event_id=(_S, False),
     event_timestamp=(_TS, False),
