@@ -1,11 +1,13 @@
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eventide.operators.enrich import join_customers, join_daily_spend
 from eventide.operators.keyed import first_per_key, with_neighbours
+from eventide.operators.merge import merge_actions
 from tests.conftest import rows
 
 START = dt.datetime(2024, 1, 1)
@@ -126,3 +128,47 @@ def test_daily_spend_sums_and_flags(spark):
         "event_id", "has_same_day_transaction", F.col("transaction_amount_usd").cast("string")
     )
     assert rows(joined) == [("e1", True, "3.30"), ("e2", False, None), ("e3", False, None), ("e4", False, None)]
+
+
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Sizes at which a test table counts as skewed."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SKEW_SETTINGS:
+        spark.conf.unset(key)
+
+
+def _executed(df):
+    query = df._jdf.queryExecution()
+    query.toRdd().count()
+    return query.executedPlan().toString()
+
+
+def test_hot_user_and_hot_merge_key_are_split_at_run_time(spark, small_partitions):
+    # A third of the rows belongs to user 7, a third to no user.
+    user = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id"))
+    events = spark.range(300_000).select(
+        F.col("id").cast("string").alias("event_id"),
+        user.cast("string").alias("user_id"),
+        F.md5(F.col("id").cast("string")).alias("x"),
+    )
+    customers = spark.range(5000).select(F.col("id").cast("string").alias("user_id"), F.lit("gold").alias("segment"))
+    joined = join_customers(events, customers, max_broadcast_rows=0)
+    assert "skew=true" in _executed(joined)
+    known = 100_000 + len(range(1, 5000, 3))
+    assert joined.filter("segment is not null").count() == known
+    updates = customers.select(F.lit("new").alias("event_id"), "user_id", F.lit("x").alias("x"))
+    merged = merge_actions(events, updates, ["user_id"])
+    assert "skew=true" in _executed(merged)
+    assert merged.filter("_action = 'update'").count() == known

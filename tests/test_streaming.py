@@ -22,6 +22,7 @@ def land(folder, name, *events):
     """One JSON file per call; later calls get later file times, so a stream takes them in order."""
     import os
 
+    folder = folder.removeprefix("file://").removeprefix("file:")
     os.makedirs(folder, exist_ok=True)
     lines = [
         json.dumps({"event_id": i, "event_timestamp": f"{at}Z", "user_id": "u", "event_type": t, "payload": "{}"})
