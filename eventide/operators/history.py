@@ -54,11 +54,6 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return read_table(spark, path, schema).withColumn(VERSION, F.col(VERSION).cast("long"))
 
 
-def commits(log: DataFrame) -> DataFrame:
-    """One row per commit and operation."""
-    return log.groupBy(VERSION, COMMITTED, OP).agg(F.count(F.lit(1)).alias("rows"))
-
-
 def table_history(log: DataFrame, limit: int = 10) -> DataFrame:
     """The newest commits first, with their rows by operation."""
     return (

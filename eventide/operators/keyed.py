@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -73,25 +74,31 @@ def with_neighbours(
     range-partitioned on key and order into even slices, numbered within each slice, and joined with
     what the slices before and after contribute. `df` is read more than once and should be a table.
     """
-    previous, following = dict(previous or {}), dict(following or {})
-    plain = _within_one_task(df, keys, order_by, size, position, previous, following)
-    if max_group_rows is None:
-        return plain
-    hot = _larger_than(df, keys, max_group_rows)
+    want = _Wanted(list(keys), list(order_by), size, position, dict(previous or {}), dict(following or {}))
+    hot = None if max_group_rows is None else _larger_than(df, keys, max_group_rows)
     if hot is None:
-        return plain
+        return _within_one_task(df, want)
     hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not hot_keys:
-        return plain
+        return _within_one_task(df, want)
     few = small_side(hot)
     on = same_keys("d", "h", keys)
     rest = df.alias("d").join(few.alias("h"), on, "left_anti")
     heavy = df.alias("d").join(few.alias("h"), on, "left_semi")
     slices = min(MAX_SLICES, max(2, math.ceil(2 * hot_rows / max_group_rows)))
-    sliced = _in_slices(
-        heavy, keys, order_by, size, position, previous, following, slices, hot_keys
-    )
-    return _within_one_task(rest, keys, order_by, size, position, previous, following).unionByName(sliced)
+    return _within_one_task(rest, want).unionByName(_in_slices(heavy, want, slices, hot_keys))
+
+
+@dataclass(frozen=True)
+class _Wanted:
+    """The columns to add, and the groups and order they refer to."""
+
+    keys: list[str]
+    order_by: list[str]
+    size: str | None
+    position: str | None
+    previous: dict[str, str]
+    following: dict[str, str]
 
 
 def _larger_than(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
@@ -110,71 +117,68 @@ def _larger_than(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame |
     return materialize(sizes.filter(F.col("_rows") > limit), "hot-keys")
 
 
-def _within_one_task(df, keys, order_by, size, position, previous, following) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy(*order_by)
+def _within_one_task(df: DataFrame, want: _Wanted) -> DataFrame:
+    """The plain window: Spark gives each key to one task."""
+    group = Window.partitionBy(*want.keys)
+    ordered = group.orderBy(*want.order_by)
     new = {}
-    if position:
-        new[position] = F.row_number().over(ordered).cast("long")
-    for out, column in previous.items():
-        new[out] = F.lag(column).over(ordered)
-    for out, column in following.items():
-        new[out] = F.lead(column).over(ordered)
+    if want.position:
+        new[want.position] = F.row_number().over(ordered).cast("long")
+    new |= {out: F.lag(c).over(ordered) for out, c in want.previous.items()}
+    new |= {out: F.lead(c).over(ordered) for out, c in want.following.items()}
     # The size comes second, so that it runs on the order the others need and costs no sort of its own.
     rows = df.withColumns(new) if new else df
-    return rows.withColumn(size, F.count(F.lit(1)).over(group)) if size else rows
+    return rows.withColumn(want.size, F.count(F.lit(1)).over(group)) if want.size else rows
 
 
-def _in_slices(
-    heavy, keys, order_by, size, position, previous, following, slices, hot_keys
-) -> DataFrame:
+def _in_slices(heavy: DataFrame, want: _Wanted, slices: int, hot_keys: int) -> DataFrame:
+    """The same columns for keys whose rows are cut into slices."""
     # Numbers given while reading files stay the same when a task runs again. They cut equal rows apart.
     numbered = materialize(heavy, "hot-rows").withColumn("_row", F.monotonically_increasing_id())
-    order_by = [*order_by, "_row"]
+    order_by = [*want.order_by, "_row"]
     # The slice of a row must not change between the two uses below, so the rows are written once.
-    rows = materialize(
-        numbered.repartitionByRange(slices, *keys, *order_by).withColumn("_slice", F.spark_partition_id()),
-        "slices",
-    )
-    part = ["_slice", *keys]
+    ranged = numbered.repartitionByRange(slices, *want.keys, *order_by)
+    rows = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
+
+    part = ["_slice", *want.keys]
     ordered = Window.partitionBy(*part).orderBy(*order_by)
-    local = rows.withColumns(
-        {
-            "_at": F.row_number().over(ordered).cast("long"),
-            **{out: F.lag(c).over(ordered) for out, c in previous.items()},
-            **{out: F.lead(c).over(ordered) for out, c in following.items()},
-        }
-    )
+    local = {"_at": F.row_number().over(ordered).cast("long")}
+    local |= {out: F.lag(c).over(ordered) for out, c in want.previous.items()}
+    local |= {out: F.lead(c).over(ordered) for out, c in want.following.items()}
+
+    edges = _slice_edges(rows, want, part, order_by)
+    if slices + hot_keys <= MAX_BROADCAST_ROWS:  # one edge row per slice and key meeting in it
+        edges = F.broadcast(edges)
+    joined = rows.withColumns(local).alias("l").join(edges.alias("e"), same_keys("l", "e", part))
+    at_start, at_end = F.col("l._at") == 1, F.col("l._at") == F.col("e._rows")
+    added = {}
+    if want.size:
+        added[want.size] = F.col("e._total")
+    if want.position:
+        added[want.position] = F.col("e._before") + F.col("l._at")
+    for out in want.previous:
+        added[out] = F.when(at_start, F.col(f"e._last.{out}")).otherwise(F.col(f"l.{out}"))
+    for out in want.following:
+        added[out] = F.when(at_end, F.col(f"e._first.{out}")).otherwise(F.col(f"l.{out}"))
+    return joined.select(*[F.col(f"l.{c}") for c in heavy.columns], *[v.alias(k) for k, v in added.items()])
+
+
+def _slice_edges(rows: DataFrame, want: _Wanted, part: list[str], order_by: list[str]) -> DataFrame:
+    """Per slice and key: rows here, before and in all, the last row before and the first one after."""
     # Structs compare by their first fields, so the largest one carries the values of the last row.
-    last = F.struct(*order_by, *[F.col(c).alias(o) for o, c in previous.items()])
-    first = F.struct(*order_by, *[F.col(c).alias(o) for o, c in following.items()])
+    last = F.struct(*order_by, *[F.col(c).alias(o) for o, c in want.previous.items()])
+    first = F.struct(*order_by, *[F.col(c).alias(o) for o, c in want.following.items()])
     edges = rows.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_rows"), F.max(last).alias("_last"), F.min(first).alias("_first")
     )
-    across = Window.partitionBy(*keys)
+    across = Window.partitionBy(*want.keys)
     by_slice = across.orderBy("_slice")
-    edges = edges.select(
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    return edges.select(
         *part,
         "_rows",
-        F.coalesce(
-            F.sum("_rows").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_rows").over(across).alias("_total"),
         F.lag("_last").over(by_slice).alias("_last"),
         F.lead("_first").over(by_slice).alias("_first"),
     )
-    if slices + hot_keys <= MAX_BROADCAST_ROWS:  # one edge row per slice and key meeting in it
-        edges = F.broadcast(edges)
-    joined = local.alias("l").join(edges.alias("e"), same_keys("l", "e", part))
-    at_start, at_end = F.col("l._at") == 1, F.col("l._at") == F.col("e._rows")
-    added = []
-    if size:
-        added.append(F.col("e._total").alias(size))
-    if position:
-        added.append((F.col("e._before") + F.col("l._at")).alias(position))
-    for out in previous:
-        added.append(F.when(at_start, F.col(f"e._last.{out}")).otherwise(F.col(f"l.{out}")).alias(out))
-    for out in following:
-        added.append(F.when(at_end, F.col(f"e._first.{out}")).otherwise(F.col(f"l.{out}")).alias(out))
-    original = [F.col(f"l.{c}") for c in heavy.columns]
-    return joined.select(*original, *added)

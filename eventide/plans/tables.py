@@ -82,7 +82,8 @@ class VersionedTable:
             doubled = ambiguous_keys(rows, self.keys).limit(5).collect()
             if doubled:
                 raise AmbiguousSource(f"several rows for one key: {[r.asDict() for r in doubled]}")
-        created, version = not self.exists(), version or self.last_version() + 1
+        created = not self.exists()
+        version = self.last_version() + 1 if version is None else version
         total, updated = rows.count(), 0
         if not created and self.keys:
             updated = self._changed_keys(rows, version).count()

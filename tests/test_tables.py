@@ -82,3 +82,14 @@ def test_table_without_keys_grows(spark, folder):
     for n in (1, 2):
         table.upsert(data(spark, (1, "a")), day(n))
     assert table.read().count() == 2 and table.read(version=1).count() == 1
+
+
+def test_log_of_a_stream_is_a_versioned_table(spark, folder):
+    from eventide.operators.history import append_commit
+
+    append_commit(data(spark, (1, "a"), (2, "a")), folder, 0, day(1))  # streams count batches from 0
+    table = VersionedTable(spark, folder, ["k"])
+    assert table.upsert(data(spark, (1, "b")), day(2), version=1)["rows_updated"] == 1
+    assert rows(table.read()) == [(1, "b"), (2, "a")] and rows(table.read(version=0)) == [(1, "a"), (2, "a")]
+    assert table.upsert(data(spark, (1, "z"), (2, "a")), day(1), version=0)["version"] == 0
+    assert rows(table.read()) == [(1, "b"), (2, "a")] and rows(table.read(version=0)) == [(1, "z"), (2, "a")]
