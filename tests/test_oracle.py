@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from eventide.catalogue import ORACLES, QUERIES
 from tests.compare import connect, differences
 from tests.conftest import SMALL
 
@@ -16,17 +17,17 @@ def con():
 
 
 def test_every_query_but_the_model_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_query_gives_the_rows_of_its_sql(spark, con, name):
-    df = entry.queries()[name](spark, SMALL)
+    df = QUERIES[name](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert step not in plan
-    assert differences(df, con, entry.oracle_sql()[name]) == []
+    assert differences(df, con, ORACLES[name]) == []
 
 
 def test_entry(spark):
@@ -34,7 +35,7 @@ def test_entry(spark):
 
 
 def test_scores_are_probabilities_for_every_fact_row(spark):
-    scores = entry.queries()["churn_scores"](spark, SMALL).collect()
+    scores = QUERIES["churn_scores"](spark, SMALL).collect()
     assert len(scores) == 1000
     assert all(abs(r.churn_probability + r.stay_probability - 1) < 1e-9 for r in scores)
     assert {r.predicted_label for r in scores} <= {0, 1}
