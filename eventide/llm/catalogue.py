@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import bpe, rules, token_counts
+from eventide.llm import bpe, decontaminate, ngram_join, quality, rules, token_counts
 from eventide.llm.frames import table
 from eventide.llm.oracles import ORACLES
 
@@ -31,4 +32,32 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("dup_line_share", "repeat_shares")
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op7_token_counts, op10_quality_rules)}
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    learned = labels.where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scored = quality.score(docs, quality.train(docs, learned))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_quality_classifier,
+        op4_byte_bpe,
+        op5_ngram_join,
+        op6_decontaminate,
+        op7_token_counts,
+        op10_quality_rules,
+    )
+}
