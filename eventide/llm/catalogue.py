@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import bpe, decontaminate, ngram_join, quality, rules, token_counts
+from eventide.llm import bpe, decontaminate, ngram_join, quality, rules, substring_dedup, token_counts
 from eventide.llm.frames import table
 from eventide.llm.oracles import ORACLES
 
@@ -27,6 +27,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", counts.n_tokens > 512)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return substring_dedup.dedup_substrings(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.drop("dup_line_share", "repeat_shares")
@@ -58,6 +63,7 @@ QUERIES = {
         op5_ngram_join,
         op6_decontaminate,
         op7_token_counts,
+        op8_substring_dedup,
         op10_quality_rules,
     )
 }
