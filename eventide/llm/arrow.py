@@ -187,3 +187,18 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[first[1:]] - total[first[:-1]]
+
+
+def lines(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Byte ranges of all lines, cut at line feeds, with the document of each and its number there."""
+    breaks = np.flatnonzero(piece.data == 10)
+    starts = np.concatenate([piece.offsets[:-1], breaks + 1])
+    owner = np.concatenate([np.arange(len(piece)), np.searchsorted(piece.offsets, breaks, "right") - 1])
+    # A break as last byte of a document starts an empty line at the offset of the next one: sort by document.
+    order = np.lexsort((starts, owner))
+    starts, owner = starts[order], owner[order]
+    last = np.ones(len(owner), bool)
+    last[:-1] = owner[1:] != owner[:-1]
+    ends = np.where(last, piece.offsets[owner + 1], np.append(starts[1:], 0) - 1)
+    number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    return starts, ends, owner, number

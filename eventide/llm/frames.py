@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from eventide.llm.arrow import mix
+from eventide.storage import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,3 +39,113 @@ def map_batches(
                 )
 
     return df.mapInArrow(run, fields)
+
+
+#: Bits of a `Bitmap`: four MB, whatever the data.
+BITMAP_BITS = 1 << 25
+
+
+class Bitmap:
+    """A bounded set of ids for every executor: `has` is true for each of them, and for few others.
+
+    It only saves shuffles; an exact join follows wherever it is used. With very many ids it fills up and
+    saves nothing, and results stay the same.
+    """
+
+    def __init__(self, ids: DataFrame):
+        """`ids` has one column of type long. The driver gets a row for each 64 bits at most."""
+        spark, name = ids.sparkSession, ids.columns[0]
+
+        def work(batch: pa.RecordBatch):
+            at = np.unique(_bit(batch.column(0).drop_null().to_numpy()))
+            yield {"word": at >> 6, "bits": np.int64(1) << (at & 63)}
+
+        bits = map_batches(ids.select(name), "word long, bits long", work)
+        found = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+        table = np.zeros(BITMAP_BITS // 64, np.int64)
+        table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        self._shared = spark.sparkContext.broadcast(table)
+
+    def test(self, ids: np.ndarray) -> np.ndarray:
+        at = _bit(ids)
+        return self._shared.value[at >> 6] >> (at & 63) & 1 == 1
+
+    def has(self, column: Column) -> Column:
+        """False for NULL."""
+
+        def check(ids: pd.Series) -> pd.Series:
+            known = ids.notna().to_numpy()
+            return pd.Series(known & self.test(ids.fillna(0).to_numpy(np.int64)))
+
+        return F.pandas_udf(check, "boolean")(column)
+
+
+def _bit(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(BITMAP_BITS)).astype(np.int64)
+
+
+def candidate_pairs(
+    members: DataFrame, near: Callable[[dict, np.ndarray, np.ndarray], np.ndarray], tile: int
+) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of members of a group that `near` lets through.
+
+    `members` has long columns key and member, and what `near` needs; it gets the columns of many groups as
+    arrays and two arrays of row numbers, and says which of those pairs are near. A group with more than `tile`
+    rows is cut into blocks by a hash of the member, and each pair of blocks is compared on its own; so no
+    group in a task is larger than about two tiles, and only near pairs leave the task.
+    """
+    blocks = members.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
+    blocks = materialize(blocks, "pair-blocks")
+    block = F.pmod(F.xxhash64("member"), F.col("blocks").cast("long")).cast("int")
+    each = members.join(blocks, "key").withColumn("block", block)
+    each = each.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    rest = [c for c in members.columns if c not in ("key", "member")]
+    each = each.select(
+        group.alias("group"),
+        (F.col("block") != F.col("other")).alias("cross"),
+        (F.col("block") > F.col("other")).alias("side"),
+        "member",
+        *rest,
+    )
+    each = each.repartition("group").sortWithinPartitions("group")
+    schema = members.sparkSession.createDataFrame([], "a long, b long").schema
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([batch] if left is None else [*left.to_batches(), batch])
+            group = rows["group"].to_numpy()
+            whole = int(np.searchsorted(group, group[-1]))  # the last group may go on
+            left = rows.slice(whole)
+            yield _pairs(rows.slice(0, whole), near, arrow)
+        if left is not None:
+            yield _pairs(left, near, arrow)
+
+    return each.mapInArrow(run, schema).distinct()
+
+
+def _pairs(rows: pa.Table, near, schema: pa.Schema) -> pa.RecordBatch:
+    """All pairs within groups, by their distance in the order of rows."""
+    columns = {n: rows[n].to_numpy() for n in rows.column_names}
+    group, member, side, cross = (columns[n] for n in ("group", "member", "side", "cross"))
+    end = np.searchsorted(group, group, "right")
+    first = np.arange(len(group))
+    out = []
+    step = 0
+    while len(first):
+        step += 1
+        first = first[first + step < end[first]]
+        i, j = first, first + step
+        use = (member[i] != member[j]) & (~cross[i] | (side[i] != side[j]))
+        i, j = i[use], j[use]
+        if len(i):
+            use = near(columns, i, j)
+            out.append((np.minimum(member[i], member[j])[use], np.maximum(member[i], member[j])[use]))
+    empty = np.empty(0, np.int64)
+    a = np.concatenate([empty, *(x for x, _ in out)])
+    b = np.concatenate([empty, *(y for _, y in out)])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 
 from eventide.llm.arrow import FIRST, Piece, lowered, mix, pieces, whole_runs, words
 from eventide.llm.components import connected_components
-from eventide.llm.frames import map_batches, two_columns
+from eventide.llm.frames import Bitmap, candidate_pairs, map_batches, two_columns
 from eventide.storage import materialize
 
 BAND_RATIO = 1.25
-#: Members of a signature that are compared in one task; larger groups are cut into tiles of this size.
+#: Members of a signature that are compared at once; larger groups are cut into blocks of this size.
 TILE = 4_096
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -124,20 +124,14 @@ def signatures(values: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.
     return np.stack(out, 1).ravel(), np.repeat(which[row], 3)
 
 
-def sketches(values: np.ndarray, first: np.ndarray, percent: int) -> list[bytes]:
-    """Parity bits of each set. Two sets that differ in d elements differ in at most d bits.
-
-    The length is a power of two, 512 bits at least and four times the allowed difference; the parities
-    of a longer sketch fold into those of a shorter one.
-    """
-    sizes = np.diff(first)
-    need = np.maximum(4 * most_apart(2 * sizes, percent), 512)
-    bits = 1 << np.ceil(np.log2(need)).astype(np.int64)
-    begin = _starts(bits)
-    home = np.repeat(np.arange(len(sizes)), sizes)
-    at = (mix(values ^ _ODD[2]) % bits[home].astype(np.uint64)).astype(np.int64) + begin[home]
-    parity = np.packbits((np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
-    return [parity[a:b] for a, b in zip(begin[:-1] // 8, begin[1:] // 8, strict=True)]
+def sketches(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """512 parity bits of each set. Two sets that differ in d elements differ in at most d bits."""
+    count = len(first) - 1
+    home = np.repeat(np.arange(count), np.diff(first))
+    at = (mix(values ^ _ODD[2]) % np.uint64(512)).astype(np.int64) + 512 * home
+    parity = (np.bincount(at, minlength=512 * count) & 1).astype(np.uint8)
+    packed = np.packbits(parity, bitorder="little").tobytes()
+    return [packed[64 * i : 64 * i + 64] for i in range(count)]
 
 
 def _features(texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -154,7 +148,7 @@ def _features(texts: DataFrame, n: int, percent: int) -> DataFrame:
                 "n_shingles": np.diff(first),
                 "set_a": _wrapped_sums(mix(values), first).view(np.int64),
                 "set_b": _wrapped_sums(mix(values ^ _ODD[1]), first).view(np.int64),
-                "sketch": sketches(values, first, percent),
+                "sketch": sketches(values, first),
                 "signatures": pa.ListArray.from_arrays(cuts.astype(np.int32), signed),
             }
 
@@ -183,6 +177,8 @@ def _shared(signed: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose whole texts are similar."""
+    known = Bitmap(pairs.select(F.explode(F.array("a", "b"))))
+    texts = texts.where(known.has(F.col("doc_id")))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("text_a", "text_b", "a", "b")
@@ -199,57 +195,16 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return map_batches(both, "a long, b long", work)
 
 
-def _fold(sketch: bytes, size: int) -> np.ndarray:
-    bits = np.frombuffer(sketch, np.uint64)
-    while len(bits) > size:
-        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
-    return bits
-
-
-def _near(table: pa.Table, percent: int) -> pa.Table:
-    """Pairs of one tile that may be similar, from different components, by sizes and sketches."""
-    ids, comps = table["doc_id"].to_numpy(), table["component"].to_numpy()
-    sizes, sides = table["n_shingles"].to_numpy(), table["side"].to_numpy()
-    words_each = min(len(s) for s in table["sketch"].to_pylist()) // 8
-    bits = np.stack([_fold(s, words_each) for s in table["sketch"].to_pylist()])
-    out_a, out_b = [], []
-    one_side = (sides == 0).all()
-    for i in np.flatnonzero(sides == 0):
-        others = np.arange(i + 1, len(ids)) if one_side else np.flatnonzero(sides == 1)
-        others = others[comps[others] != comps[i]]
-        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-        others = others[100 * small >= percent * large]
-        apart = np.bitwise_count(bits[others] ^ bits[i]).sum(1)
-        others = others[apart <= most_apart(sizes[others] + sizes[i], percent)]
-        out_a.append(np.minimum(ids[others], ids[i]))
-        out_b.append(np.maximum(ids[others], ids[i]))
-    empty = np.empty(0, np.int64)
-    return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
-
-
-def _tiles(members: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Pairs of members (sig, doc_id, component, n_shingles, sketch) that are still open, each once.
-
-    A signature with more than `tile` members is cut into blocks by a hash of the id, and every pair
-    of blocks is a group of its own; so no task holds more than about two blocks.
-    """
-    blocks = members.groupBy("sig").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
-    blocks = materialize(blocks, "join-blocks")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int")
-    each = members.join(blocks, "sig").withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    each = each.select("*", other.alias("other")).select(
-        "sig",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "doc_id",
-        "component",
-        "n_shingles",
-        "sketch",
-    )
-    found = each.groupBy("sig", "low", "high").applyInArrow(lambda t: _near(t, percent), "a long, b long")
-    return found.distinct()
+def _near(columns: dict, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of different components that sizes and sketches do not rule out."""
+    sizes, component = columns["n_shingles"], columns["component"]
+    if "bits" not in columns:
+        columns["bits"] = np.frombuffer(b"".join(columns["sketch"]), np.uint64).reshape(-1, 8)
+    small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+    use = (component[i] != component[j]) & (100 * small >= percent * large)
+    apart = np.bitwise_count(columns["bits"][i[use]] ^ columns["bits"][j[use]]).sum(1)
+    use[use] = apart <= most_apart(small[use] + large[use], percent)
+    return use
 
 
 def jaccard_classes(
@@ -292,8 +247,10 @@ def jaccard_classes(
     open_sigs = materialize(open_sigs.where("x != y").select("sig"), "join-open")
     marks = sets.select("doc_id", "n_shingles", "sketch").join(lead, ["doc_id", "n_shingles"], "left_semi")
     members = labelled.join(open_sigs, "sig", "left_semi").distinct().join(marks, "doc_id")
-    near = materialize(_tiles(materialize(members, "join-members"), percent, tile), "join-near")
-    near = near.join(pairs, ["a", "b"], "left_anti")
+    members = members.withColumnsRenamed({"sig": "key", "doc_id": "member"})
+    members = materialize(members, "join-members")
+    near = candidate_pairs(members, lambda c, i, j: _near(c, i, j, percent), tile)
+    near = materialize(near.join(pairs, ["a", "b"], "left_anti"), "join-near")
     links = links.unionByName(_linked(near, texts, n, percent))
     found = materialize(connected_components(materialize(links, "join-links"), "join"), "join-found")
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from eventide.llm.arrow import FIRST, Piece, code_points, mix, pieces, repeated, sums, whole_runs, words
+from eventide.llm.arrow import FIRST, Piece, code_points, lines, mix, pieces, repeated, sums, whole_runs, words
 from eventide.llm.frames import map_batches, two_columns
 
 SYMBOLS = b"#*$%&|<>"
@@ -114,17 +114,7 @@ def _covered(piece: Piece, found, lengths: list[int]) -> dict[int, np.ndarray]:
 
 def _lines(piece: Piece, found, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per document: lines with a word that equal an earlier line, their characters, those of all such lines."""
-    breaks = np.flatnonzero(piece.data == 10)
-    starts = np.concatenate([piece.offsets[:-1], breaks + 1])
-    owner = np.concatenate(
-        [np.arange(len(piece)), np.searchsorted(piece.offsets, breaks, "right") - 1]
-    )
-    # A break as last byte of a document starts an empty line at the offset of the next one: sort by document.
-    order = np.lexsort((starts, owner))
-    starts, owner = starts[order], owner[order]
-    ends = np.append(starts[1:], 0)
-    last = np.append(owner[1:] != owner[:-1], True) if len(owner) else np.empty(0, bool)
-    ends = np.where(last, piece.offsets[owner + 1], ends - 1)
+    starts, ends, owner, _ = lines(piece)
     with_word = np.searchsorted(found.starts, ends) > np.searchsorted(found.starts, starts)
     starts, ends, owner = starts[with_word], ends[with_word], owner[with_word]
     hashes = FIRST.ranges(piece.data, starts, ends)
