@@ -5,13 +5,30 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import bpe, decontaminate, ngram_join, quality, rules, substring_dedup, token_counts
+from eventide.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    ngram_join,
+    pii,
+    quality,
+    rules,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 from eventide.llm.frames import table
 from eventide.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    before = docs.withColumn("lines_before", F.size(F.split("text", "\n")).cast("long"))
+    return line_dedup.dedup_lines(before)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
@@ -32,11 +49,23 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(docs, digest=True).withColumnRenamed("kept", "kept_sha256")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal(table(spark, sf_dir, "documents")).drop("sanitised")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.drop("dup_line_share", "repeat_shares")
 
 
+#: Fixed values of the contract.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -58,12 +87,15 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_url_filter,
         op2_quality_classifier,
+        op3_line_dedup,
         op4_byte_bpe,
         op5_ngram_join,
         op6_decontaminate,
         op7_token_counts,
         op8_substring_dedup,
+        op9_pii,
         op10_quality_rules,
     )
 }
