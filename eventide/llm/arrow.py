@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 BLOCK = 1 << 18
 
 _SPACE = np.zeros(256, bool)
@@ -102,7 +102,9 @@ def pieces(column: pa.Array | pa.ChunkedArray, size: int = PIECE_BYTES) -> Itera
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     row = 0
     for chunk in chunks:
-        chunk = chunk.cast(pa.large_binary()).fill_null(b"")
+        chunk = chunk.cast(pa.large_binary())
+        if chunk.null_count:
+            chunk = chunk.fill_null(b"")
         if not len(chunk):
             continue
         _, ends, body = chunk.buffers()

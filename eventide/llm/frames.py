@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,9 +61,9 @@ class Bitmap:
             yield {"word": at >> 6, "bits": np.int64(1) << (at & 63)}
 
         bits = map_batches(ids.select(name), "word long, bits long", work)
-        found = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+        found = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
         table = np.zeros(BITMAP_BITS // 64, np.int64)
-        table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        table[found["word"].to_numpy()] = found["bits"].to_numpy()
         self._shared = spark.sparkContext.broadcast(table)
 
     def test(self, ids: np.ndarray) -> np.ndarray:
@@ -73,11 +73,11 @@ class Bitmap:
     def has(self, column: Column) -> Column:
         """False for NULL."""
 
-        def check(ids: pd.Series) -> pd.Series:
-            known = ids.notna().to_numpy()
-            return pd.Series(known & self.test(ids.fillna(0).to_numpy(np.int64)))
+        def check(ids: pa.Array) -> pa.Array:
+            known = self.test(pc.fill_null(ids, 0).to_numpy())
+            return pc.and_(pa.array(known), pc.is_valid(ids))
 
-        return F.pandas_udf(check, "boolean")(column)
+        return F.arrow_udf(check, "boolean")(column)
 
 
 def _bit(ids: np.ndarray) -> np.ndarray:
@@ -149,3 +149,17 @@ def _pairs(rows: pa.Table, near, schema: pa.Schema) -> pa.RecordBatch:
     a = np.concatenate([empty, *(x for x, _ in out)])
     b = np.concatenate([empty, *(y for _, y in out)])
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+
+
+def without(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id is not in the one column of `ids`; only rows that may be are shuffled.
+
+    Rows without an id stay.
+    """
+    name = "id_to_drop"
+    while name in docs.columns:
+        name += "_"
+    ids = ids.select(F.col(ids.columns[0]).alias(name)).dropna().distinct()
+    maybe = Bitmap(ids).has(docs[id_col])
+    some = docs.where(maybe).join(ids, F.col(id_col) == F.col(name), "left_anti")
+    return docs.where(~maybe).unionByName(some)

@@ -11,7 +11,6 @@ line in (document, line) order stays.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
@@ -285,9 +284,10 @@ def dedup_lines(
         name += "_"
     first = first.select(F.col("doc_id").alias(f"{name}_id"), F.col("first").alias(name))
     some = docs.where(changed).join(first, docs[id_col] == first[f"{name}_id"], "left").drop(f"{name}_id")
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, numbers: pd.Series) -> pd.Series:
-        return pd.Series([_kept(t, n) for t, n in zip(texts, numbers, strict=True)], dtype=object)
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+        both = zip(texts.to_pylist(), numbers.to_pylist(), strict=True)
+        return pa.array([_kept(t, n) for t, n in both], pa.string())
 
     some = some.withColumn(text_col, cut(text_col, name)).select(*docs.columns)
     return docs.where(~changed).unionByName(some)
@@ -311,10 +311,10 @@ def _decide(docs, edits, min_chars, id_col, text_col, tile) -> tuple[DataFrame,
     return first, Bitmap(changed).has(docs[id_col])
 
 
-def _kept(text: str | None, first: np.ndarray | None) -> str | None:
+def _kept(text: str | None, numbers: list[int] | None) -> str | None:
     """The text without the lines that have a word and are not first."""
     if text is None:
         return None
-    first = set() if first is None else set(first.tolist())
+    first = set(numbers or ())
     left = (x for i, x in enumerate(text.split("\n")) if i in first or not x.strip(" \t\n\v\f\r"))
     return "\n".join(left)
