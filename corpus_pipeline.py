@@ -1,12 +1,71 @@
-"""A corpus pipeline; see STAGES."""
+"""A corpus pipeline: drop bad documents, repeated lines, near copies and benchmark leaks, then encode.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. Its result is written
+as Parquet and read again as the next one's docs. All but the last return the columns of `docs`.
+"""
 
 from __future__ import annotations
 
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from eventide.llm import bpe, decontaminate, line_dedup, ngram_join, quality
+from eventide.llm.frames import table, without
+from eventide.storage import materialize
+
+#: No SQL: compression, edit distances and byte-pair merges are beyond it.
 ORACLE_SQL = None
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier scores 0.5 or more. Its labels are all of the table's."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.train(docs, labels)
+    return docs.where(quality.probability(spark, F.col("text"), model) >= 0.5)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat another one, exactly or nearly; n_chars follows the text."""
+    left = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of documents with much the same n-grams."""
+    classes = ngram_join.jaccard_classes(docs)
+    copies = materialize(classes.where("component_id != doc_id").select("doc_id"), "copies")
+    return without(docs, "doc_id", copies)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return docs.where(~decontaminate.holds_item(F.col("text"), table(spark, sf_dir, "benchmark")))
+
+
+def byte_pairs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token ids, and the text that they decode to."""
+    import public_tokenizers as public
+
+    encoded = bpe.encode_documents(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text")
+    )
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", repeated_lines),
+    ("ngram_join", near_copies),
+    ("decontamination", benchmark_leaks),
+    ("byte_bpe", byte_pairs),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

@@ -8,12 +8,13 @@ Myers' bit-parallel algorithm then gives the least edit distance between the ite
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
 import pyarrow as pa
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from eventide.llm.arrow import pieces
 from eventide.llm.frames import map_batches, two_columns
@@ -146,17 +147,43 @@ def contaminated(
     documents. An item longer than that is a shard of its own.
     """
     texts = two_columns(docs, id_col, text_col)
+    found = None
+    for shard in _shards(items, shard_bytes):
+        one = _search(texts, shard, percent)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def holds_item(
+    text: Column, items: DataFrame, percent: int = 5, shard_bytes: int = 16 << 20
+) -> Column:
+    """Whether a text holds a passage of any item; false for NULL. See `contaminated`."""
+    spark, found = items.sparkSession, F.lit(False)
+    for shard in _shards(items, shard_bytes):
+        shared = spark.sparkContext.broadcast((shard, percent))
+
+        found = found | _any_match(shared)(text.cast("string"))
+    return found
+
+
+def _any_match(shared):
+    def work(texts: pa.Array) -> pa.Array:
+        finder = _finder(shared)
+        return pa.array([bool(t) and bool(finder.matches(t)) for t in texts.to_pylist()], pa.bool_())
+
+    return F.arrow_udf(work, "boolean")
+
+
+def _shards(items: DataFrame, shard_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The items that can match, one shard after the other; at least one."""
     own = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna(subset=["text"])
     own = own.where(F.length("text") > 0)
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = total // shard_bytes + 1
-    found = None
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
     for shard in range(shards):
-        part = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard) if shards > 1 else own
-        rows = sorted((r.item_id if r.item_id is not None else -1, r.item_id, r.text) for r in part.collect())
-        one = _search(texts, [(i, t) for _, i, t in rows], percent)
-        found = one if found is None else found.unionByName(one)
-    return found
+        rows = own.where(place == shard).collect()
+        yield sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
 def _search(texts: DataFrame, items: list[tuple[int, str]], percent: int) -> DataFrame:

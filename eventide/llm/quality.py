@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from eventide.llm.arrow import Piece, pieces
 from eventide.llm.frames import map_batches, two_columns
@@ -80,12 +80,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield {
                 "doc_id": batch.column(0).slice(piece.row, len(piece)),
                 "difference": difference,
-                "score": 1 / (1 + np.exp(-(own.slope * difference + own.intercept))),
+                "score": _on_curve(difference, own),
             }
 
     return map_batches(two_columns(docs, id_col, text_col), SCHEMA, work)
 
 
+def probability(spark: SparkSession, text: Column, model: Model) -> Column:
+    """The score of a text column, to filter rows with all their columns; see `score`."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def work(texts: pa.Array) -> pa.Array:
+        found = [_differences(piece, shared.value) for piece in pieces(texts)]
+        return pa.array(_on_curve(np.concatenate([np.empty(0), *found]), shared.value))
+
+    return F.arrow_udf(work, "double")(text.cast("string"))
+
+
+def _on_curve(difference: np.ndarray, model: Model) -> np.ndarray:
+    return 1 / (1 + np.exp(-(model.slope * difference + model.intercept)))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
