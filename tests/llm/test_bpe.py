@@ -1,0 +1,90 @@
+import hashlib
+
+import public_tokenizers as public
+import pytest
+import tiktoken
+
+from eventide.llm import bpe
+from eventide.llm.arrow import pieces
+from eventide.llm.token_counts import _tokenizer, count_tokens
+from tests.llm.conftest import DOCS
+
+PATH, JSON = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
+PARTS = list("ab 'stre\n\t\x85\xa0 　éß1²½٣中!?-_") + ["  ", "\r\n", "'s", " '", "​", "😀", "\x1c", "<|endoftext|>"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = bpe.load_encoder(PATH, public.PATTERN).ranks
+    return tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def texts(rng, n=300):
+    return ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 40))) for _ in range(n)] + [
+        "a" * 3000,
+        "ab" * 2000,
+        "ñandú" * 500,
+        " " * 2000,
+        "",
+    ]
+
+
+def test_queue_gives_the_lowest_rank_first(rng):
+    queue, ranks = bpe.RankQueue(50_000), [rng.randrange(50_001) for _ in range(500)]
+    for i, rank in enumerate(ranks):
+        queue.push(rank, [i])
+    out = []
+    while (rank := queue.lowest()) >= 0:
+        out += [rank] * len(queue.take(rank))
+    assert out == sorted(ranks)
+    assert not any(queue.low) and not any(queue.middle) and not queue.top
+
+
+def test_pre_tokens_together_and_alone_have_the_ids_of_the_library(library, rng):
+    encoder = bpe.load_encoder(PATH, public.PATTERN)
+    tokens = sorted({t for x in texts(rng) for t in encoder.pattern.findall(x)})
+    packed = [t.encode() for t in tokens]
+    expected = [library.encode_ordinary(t) for t in tokens]
+    assert [encoder.encode_long(t) for t in packed] == expected
+    assert encoder.encode_all(packed) == expected
+
+
+def test_documents_have_the_ids_of_the_library_and_decode_to_themselves(spark, library, frame, rng, odd, rows):
+    own = [(i, t) for i, t in enumerate(texts(rng))] + [(1000 + i, t) for i, t in rows[:50]] + odd
+    got = bpe.encode_documents(frame(own), PATH, public.PATTERN).collect()
+    assert [r.doc_id for r in got] == [i for i, _ in own]
+    for r, (_, text) in zip(got, own, strict=True):
+        assert r.ids == library.encode_ordinary(text or "")
+        assert bytes(r.decoded).decode() == (text or "")
+    digests = bpe.digest_documents(frame(own), PATH, public.PATTERN).collect()
+    for d, r in zip(digests, got, strict=True):
+        assert d.n_tokens == len(r.ids)
+        assert d.ids_sha256 == hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest()
+        assert d.decoded_sha256 == hashlib.sha256(bytes(r.decoded)).hexdigest()
+    ids = bpe.encode_documents(frame(own), PATH, public.PATTERN)
+    back = bpe.decode_documents(ids, PATH, public.PATTERN).collect()
+    assert [r.text for r in back] == [t or "" for _, t in own]
+
+
+def test_counts_are_those_of_the_library(spark, frame, rng, odd, rows):
+    own = [(i, t) for i, t in enumerate(texts(rng))] + [(1000 + i, t) for i, t in rows[:50]] + odd
+    library = _tokenizer(JSON)
+    expected = [len(library.encode(t or "", add_special_tokens=False).ids) for _, t in own]
+    for size in (65_536, 5):  # with and without most of the first tier
+        got = count_tokens(frame(own), JSON, public.PATTERN, table_size=size, per_task=4).collect()
+        assert [r.n_tokens for r in got] == expected
+        assert [r.n_bytes for r in got] == [len((t or "").encode()) for _, t in own]
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], DOCS)
+    assert bpe.encode_documents(empty, PATH, public.PATTERN).count() == 0
+    assert count_tokens(empty, JSON, public.PATTERN).count() == 0
+
+
+def test_pieces_hold_whole_documents():
+    import pyarrow as pa
+
+    cut = list(pieces(pa.array(["a" * 10, None, "b" * 50, "c"]).slice(1), 20))
+    assert [p.text(i) for p in cut for i in range(len(p))] == ["", "b" * 50, "c"]
+    assert [p.row for p in cut] == [0, 1, 2]
