@@ -3,11 +3,12 @@
 Every window of `window` words has an anchor: of the phrases of three tenths as many words inside it, the one of
 smallest hash. Equal windows have equal anchors, so only windows whose anchor occurs elsewhere can repeat.
 
-1. Anchors of all documents are counted by hash; those found twice or more are the recurring phrases.
-2. Documents are dealt into shards of some MB. A shard gets the recurring phrases that occur in it and compiles
+1. Whole texts that equal an earlier one are set aside; all their words go, if there are enough for a window.
+2. Anchors of all other documents are counted by hash; those found twice or more are the recurring phrases.
+3. Documents are dealt into shards of some MB. A shard gets the recurring phrases that occur in it and compiles
    them into an Aho-Corasick automaton over words; its documents run through it, which locates every
    occurrence. A document is read by one automaton only, whatever the number of phrases.
-3. Windows around located anchors are compared by 128-bit hashes over all shards, which leaves the first
+4. Windows around located anchors are compared by 128-bit hashes over all shards, which leaves the first
    document of each, and the words of all later occurrences are removed.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventide.llm.arrow import FIRST, SECOND, Piece, Words, mix, pieces, whole_runs, words
-from eventide.llm.frames import map_batches, two_columns
+from eventide.llm.frames import Bitmap, map_batches, two_columns
 from eventide.storage import materialize
 
 SHARD_BYTES = 4 << 20
@@ -89,32 +90,27 @@ def _anchor_rows(texts: DataFrame, window: int) -> DataFrame:
 class PhraseAutomaton:
     """Phrases of words as an automaton over the word numbers of some documents.
 
-    A word is one character, or two of disjoint alphabets where there are more words than characters.
+    A word is written as the hexadecimal digits of its number. Digits of each position have symbols of their
+    own, so a phrase is found at words only; and a state has few followers, which the automaton tries in turn.
     """
 
     def __init__(self, numbers: np.ndarray, first: np.ndarray, size: int):
         self.size = size
-        self.wide = 1 if len(numbers) == 0 or numbers.max() < 0x10F000 else 2
+        self.digits = max(1, -(-int(numbers.max(initial=0)).bit_length() // 4))
         owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
         self.place = np.arange(len(numbers)) + owner  # a separator stands after each document
-        symbols = np.zeros((len(numbers) + len(first) - 1, self.wide), np.uint32)
-        symbols[self.place] = self._symbols(numbers)
-        self.text = symbols.ravel().tobytes().decode("utf-32-le")
+        symbols = np.zeros((len(numbers) + len(first) - 1, self.digits), np.uint8)
+        for i in range(self.digits):
+            symbols[self.place, i] = (numbers >> (4 * i) & 15) + 16 * i + 1
+        self.text = symbols.tobytes().decode("latin-1")
         self.word_at = np.full(len(symbols), -1, np.int64)
         self.word_at[self.place] = np.arange(len(numbers))
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
 
-    def _symbols(self, numbers: np.ndarray) -> np.ndarray:
-        if self.wide == 1:
-            code = numbers.astype(np.uint32) + 1
-            return (code + np.where(code >= 0xD800, 0x800, 0).astype(np.uint32))[:, None]
-        high, low = numbers >> 14, numbers & 0x3FFF
-        return np.stack([high + 0xE000, low + 1], 1).astype(np.uint32)
-
     def add(self, starts: np.ndarray) -> None:
         """Compile the phrases that begin at these words."""
-        for at in (self.place[starts] * self.wide).tolist():
-            self.automaton.add_word(self.text[at : at + self.size * self.wide], at)
+        for at in (self.place[starts] * self.digits).tolist():
+            self.automaton.add_word(self.text[at : at + self.size * self.digits], at)
         if len(starts):
             self.automaton.make_automaton()
 
@@ -123,8 +119,7 @@ class PhraseAutomaton:
         hit = np.zeros(len(self.place), bool)
         if len(self.automaton):
             ends = np.fromiter((end for end, _ in self.automaton.iter(self.text)), np.int64)
-            begin = self.word_at[(ends + 1) // self.wide - self.size]
-            hit[begin[begin >= 0]] = True
+            hit[self.word_at[(ends + 1) // self.digits - self.size]] = True
         return hit
 
 
@@ -226,19 +221,48 @@ def dedup_substrings(
         body = b" ".join(kept)
         return hashlib.sha256(body).hexdigest() if digest else body.decode("utf-8", "replace")
 
+    last = (1 << 63) - 1
     texts = two_columns(docs, id_col, text_col)
+    texts = texts.withColumn("place", F.coalesce("doc_id", F.lit(last)))
+    texts, copies = _without_copies(texts)
     located = materialize(_located(texts, window, shard_bytes, finish), "substring-located")
-    open_docs = located.where(F.size("starts") > 0)
-    place = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    open_docs = located.where(F.size("starts") > 0).withColumn("place", F.coalesce("doc_id", F.lit(last)))
     # In a document only the first of equal windows can be the first of all.
     windows = F.filter(F.arrays_zip("a", "b", "seen"), lambda x: ~x["seen"])
-    each = open_docs.select(place.alias("place"), F.explode(windows).alias("w")).select("place", "w.a", "w.b")
+    each = open_docs.select("place", F.explode(windows).alias("w")).select("place", "w.a", "w.b")
     first = materialize(each.groupBy("a", "b").agg(F.min("place").alias("place")), "substring-first")
     first = first.groupBy("place").agg(F.collect_list("a").alias("first"))  # as many as the document has windows
-    some = open_docs.withColumn("place", place).join(first, "place", "left")
+    some = open_docs.join(first, "place", "left")
     some = some.select("doc_id", "text", "n_words", "starts", "seen", "a", "first")
     schema = "doc_id long, n_words long, n_removed long, done string"
     some = map_batches(some, schema, lambda batch: _cut(batch, window, finish))
     rest = located.where(F.size("starts") == 0)
     rest = rest.select("doc_id", F.col("n_words").cast("long"), F.lit(0).cast("long").alias("n_removed"), "done")
-    return rest.unionByName(some).withColumnRenamed("done", "kept")
+    copies = map_batches(copies, schema, lambda batch: _copies(batch, window, finish))
+    return rest.unionByName(some).unionByName(copies).withColumnRenamed("done", "kept")
+
+
+def _without_copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The texts without those that equal the text of a smaller place, and (doc_id, text) of these."""
+    named = texts.where("text is not null").withColumn("name", F.unhex(F.md5("text")))
+    named = named.withColumn("key", F.xxhash64("place", "text"))
+    names = materialize(named.select("place", "key", "name"), "substring-names")
+    first = names.groupBy("name").agg(F.min("place").alias("first"), F.count("*").alias("times"))
+    first = materialize(first.where("times > 1").select("name", "first"), "substring-firsts")
+    copies = names.join(first, "name").where("place > first").select("place", "key", "name").distinct()
+    copies = materialize(copies, "substring-copies")
+    maybe = Bitmap(copies.select("key")).has(F.xxhash64("place", "text"))
+    same = copies.select("place", "name", F.lit(True).alias("copy"))
+    some = named.where(maybe).join(same, ["place", "name"], "left").select("doc_id", "text", "place", "copy")
+    some = materialize(some, "substring-some")
+    left = texts.where(F.col("text").isNull() | ~maybe)
+    left = left.unionByName(some.where("copy is null").drop("copy"))
+    return left, some.where("copy").select("doc_id", "text")
+
+
+def _copies(batch: pa.RecordBatch, window: int, finish):
+    """Copies go as a whole, if they have a window."""
+    cut = [t.encode().split() for t in batch.column(1).to_pylist()]
+    gone = [len(w) if len(w) >= window else 0 for w in cut]
+    done = [finish(w[n:]) for w, n in zip(cut, gone, strict=True)]
+    yield {"doc_id": batch.column(0), "n_words": [len(w) for w in cut], "n_removed": gone, "done": done}
