@@ -22,17 +22,17 @@ def sha256_hex(column: str | Column) -> Column:
     return F.sha2(col.cast("string"), 256)
 
 
-def salt_where_null(keys: Sequence[str], spread_by: Sequence[str], slots: int = 1024) -> Column:
+def salt_where_null(keys: Sequence[str], spread_by: Sequence[str]) -> Column:
     """0 for rows with complete join keys, a number above 0 for rows with a NULL key.
 
     Rows with a NULL key match nothing, yet a join would send all of them to one task. Joined as one
-    more key against `no_salt` on the other side, this number spreads them over the tasks and changes
-    no match.
+    more key against `no_salt` on the other side, this number, a hash, spreads them over any number of
+    tasks and changes no match.
     """
     missing = F.lit(False)
     for key in keys:
         missing = missing | F.col(key).isNull()
-    number = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(slots)) + 1
+    number = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in spread_by]), 2) + 1
     return F.when(missing, number).otherwise(F.lit(0)).cast("long")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions import no_salt, salt_where_null
@@ -25,20 +25,20 @@ def join_customers(
     return salted.join(known, ["user_id", "_salt"], "left").drop("_salt")
 
 
-def daily_spend(transactions: DataFrame, *more_keys: Column) -> DataFrame:
+def daily_spend(transactions: DataFrame) -> DataFrame:
     """Amount per customer and day, summed as decimals, with a flag for the join."""
     return transactions.groupBy(
-        F.col("customer_id").alias("user_id"), F.col("transaction_date").alias("event_date"), *more_keys
+        F.col("customer_id").alias("user_id"), F.col("transaction_date").alias("event_date")
     ).agg(F.lit(True).alias("has_transaction"), F.sum("amount_usd").alias("transaction_amount_usd"))
 
 
 def join_daily_spend(events: DataFrame, transactions: DataFrame, spread_by: str = "event_id") -> DataFrame:
     """Flag events on days on which the same user also bought, with the day's amount.
 
-    The totals are grouped by the salt as well, so that they leave the aggregation partitioned as the join
-    needs them.
+    The totals get their salt after the aggregation, so that the join shuffles them once more: only then can
+    Spark split a day on which one user has very many events.
     """
-    spend = daily_spend(transactions, no_salt(["customer_id", "transaction_date"]).alias("_salt"))
+    spend = daily_spend(transactions).withColumn("_salt", no_salt(["user_id", "event_date"]))
     salted = events.withColumn("_salt", salt_where_null(["user_id", "event_date"], [spread_by]))
     return (
         salted.join(spend, ["user_id", "event_date", "_salt"], "left")

@@ -14,12 +14,9 @@ from eventide.storage import materialize
 
 # Rows of one key that one task may still sort on its own.
 MAX_GROUP_ROWS = 2_000_000
-# Hash buckets in which rows are counted to find out whether any key can be hot.
-COUNT_BUCKETS = 65_536
-# Most slices the rows of all hot keys are cut into; beyond that, slices get longer and may spill.
-MAX_SLICES = 20_000
-# Summary rows that may be sent to every task: a few dozen bytes each.
+# Rows, and bytes of all their values as text, of a table that may be sent to every task.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -39,12 +36,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """`df`, marked for broadcast if its rows, counted first, are few; else as it is.
+    """`df`, marked for broadcast if its rows and their bytes, counted first, are few; else as it is.
 
     Spark guesses the size of a joined or filtered table from its inputs and may shuffle the large side for
-    nothing. Counting the rows of stored tables reads no column.
+    nothing. Counting the rows of stored tables reads no column; bytes are added up only where rows are few.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if df.count() > max_rows:
+        return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= MAX_BROADCAST_BYTES else df
 
 
 def same_keys(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -75,18 +75,18 @@ def with_neighbours(
     what the slices before and after contribute. `df` is read more than once and should be a table.
     """
     want = _Wanted(list(keys), list(order_by), size, position, dict(previous or {}), dict(following or {}))
-    hot = None if max_group_rows is None else _larger_than(df, keys, max_group_rows)
-    if hot is None:
+    if max_group_rows is None:
         return _within_one_task(df, want)
-    hot_keys, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
-    if not hot_keys:
+    hot = _larger_than(df, keys, max_group_rows)
+    hot_rows = hot.agg(F.sum("_rows")).first()[0]
+    if not hot_rows:
         return _within_one_task(df, want)
     few = small_side(hot)
     on = same_keys("d", "h", keys)
     rest = df.alias("d").join(few.alias("h"), on, "left_anti")
     heavy = df.alias("d").join(few.alias("h"), on, "left_semi")
-    slices = min(MAX_SLICES, max(2, math.ceil(2 * hot_rows / max_group_rows)))
-    return _within_one_task(rest, want).unionByName(_in_slices(heavy, want, slices, hot_keys))
+    slices = max(2, math.ceil(2 * hot_rows / max_group_rows))
+    return _within_one_task(rest, want).unionByName(_in_slices(heavy, want, slices))
 
 
 @dataclass(frozen=True)
@@ -101,19 +101,9 @@ class _Wanted:
     following: dict[str, str]
 
 
-def _larger_than(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys with more rows than the limit, None when a look at hash buckets shows that there are none.
-
-    Rows are first counted in a fixed number of buckets, which takes no more than a few numbers from each
-    task. A bucket holds all rows of its keys, so only keys of buckets above the limit need be counted.
-    """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(COUNT_BUCKETS))
-    crowded = df.groupBy(bucket.alias("_bucket")).count().filter(F.col("count") > limit)
-    found = [r["_bucket"] for r in crowded.collect()]  # at most COUNT_BUCKETS numbers
-    if not found:
-        return None
-    suspects = df.filter(bucket.isin(found)) if len(found) <= COUNT_BUCKETS // 64 else df
-    sizes = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def _larger_than(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Keys with more rows than the limit, and how many. Map tasks add up their rows of a key first."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return materialize(sizes.filter(F.col("_rows") > limit), "hot-keys")
 
 
@@ -131,7 +121,7 @@ def _within_one_task(df: DataFrame, want: _Wanted) -> DataFrame:
     return rows.withColumn(want.size, F.count(F.lit(1)).over(group)) if want.size else rows
 
 
-def _in_slices(heavy: DataFrame, want: _Wanted, slices: int, hot_keys: int) -> DataFrame:
+def _in_slices(heavy: DataFrame, want: _Wanted, slices: int) -> DataFrame:
     """The same columns for keys whose rows are cut into slices."""
     # Numbers given while reading files stay the same when a task runs again. They cut equal rows apart.
     numbered = materialize(heavy, "hot-rows").withColumn("_row", F.monotonically_increasing_id())
@@ -146,9 +136,8 @@ def _in_slices(heavy: DataFrame, want: _Wanted, slices: int, hot_keys: int) -> D
     local |= {out: F.lag(c).over(ordered) for out, c in want.previous.items()}
     local |= {out: F.lead(c).over(ordered) for out, c in want.following.items()}
 
-    edges = _slice_edges(rows, want, part, order_by)
-    if slices + hot_keys <= MAX_BROADCAST_ROWS:  # one edge row per slice and key meeting in it
-        edges = F.broadcast(edges)
+    # One edge row per slice and key meeting in it.
+    edges = small_side(materialize(_slice_edges(rows, want, part, order_by), "slice-edges"))
     joined = rows.withColumns(local).alias("l").join(edges.alias("e"), same_keys("l", "e", part))
     at_start, at_end = F.col("l._at") == 1, F.col("l._at") == F.col("e._rows")
     added = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import Any
 
@@ -12,8 +13,6 @@ from eventide.constants import COMPACT_TARGET_MB
 from eventide.storage import list_files
 
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-# Rows sampled to find Z-order bounds; the driver never holds more than four times as many.
-SAMPLE_ROWS = 1000
 
 
 def compact(
@@ -65,27 +64,36 @@ def clustered(
     return ranged.sortWithinPartitions(day, *columns).select(*names)
 
 
-def column_bounds(df: DataFrame, columns: Sequence[str], buckets: int, seed: int = 7) -> dict[str, list[Any]]:
-    """Values that cut each column into about even buckets, taken from a small sample."""
-    total = df.count()
-    fraction = min(1.0, SAMPLE_ROWS / max(total, 1))
-    sample = df.select(*columns).sample(fraction, seed).limit(4 * SAMPLE_ROWS).collect()
-    bounds = {}
-    for column in columns:
-        values = sorted(r[column] for r in sample if r[column] is not None)
-        picks = [values[len(values) * i // buckets] for i in range(1, buckets)] if values else []
-        bounds[column] = sorted(set(picks))
-    return bounds
+def column_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[Any]]:
+    """Values that cut each column into about even buckets, from one aggregation over all rows.
+
+    Numbers and times are cut at approximate percentiles. Text has none in Spark, so it is cut at those of
+    the number that its first bytes make up, which has the same order; values that share them go together.
+    """
+    shares = [i / buckets for i in range(1, buckets)]
+    types = dict(df.dtypes)
+    picks = [
+        F.percentile_approx(_prefix(c) if types[c] == "string" else F.col(c), shares).alias(c) for c in columns
+    ]
+    found = df.agg(*picks).first()
+    return {c: sorted(set(found[c] or [])) for c in columns}
+
+
+def _prefix(column: str) -> Column:
+    """The first seven bytes of a text as a number."""
+    first = F.rpad(F.substring(F.hex(F.col(column)), 1, 14), 14, "0")
+    return F.conv(first, 16, 10).cast("long")
 
 
-def bucket_of(column: str, bounds: Sequence[Any]) -> Column:
+def bucket_of(column: str | Column, bounds: Sequence[Any]) -> Column:
     """How many bounds lie at or below the value, found by halving; NULL goes to bucket 0."""
+    value = F.col(column) if isinstance(column, str) else column
 
     def search(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(F.col(column) >= F.lit(bounds[middle]), search(middle + 1, high)).otherwise(
+        return F.when(value >= F.lit(bounds[middle]), search(middle + 1, high)).otherwise(
             search(low, middle)
         )
 
@@ -105,7 +113,7 @@ def z_value(buckets: Sequence[Column], bits: int) -> Column:
 def z_ordered(
     df: DataFrame,
     columns: Sequence[str],
-    bits: int = 6,
+    bits: int | None = None,
     files: int | None = None,
     within: Sequence[str] = (),
     stored: bool = False,
@@ -113,11 +121,15 @@ def z_ordered(
     """Rows laid out along a Z-curve over some columns, so that filters on any of them skip files.
 
     Partition columns of the table go to `within`: rows are kept together by them first. Among the Z-order
-    columns they would be useless, having one value per partition.
+    columns they would be useless, having one value per partition. There are about four cells for each
+    file, unless `bits` says otherwise; rows of one cell are ordered by the columns, so its files don't overlap.
     """
-    bounds = column_bounds(df, columns, 2**bits)
-    z = z_value([bucket_of(c, bounds[c]) for c in columns], bits)
+    if bits is None:
+        parts = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bits = max(1, math.ceil(math.log2(4 * parts) / len(columns)))
+    bounds, types = column_bounds(df, columns, 2**bits), dict(df.dtypes)
+    z = z_value([bucket_of(_prefix(c) if types[c] == "string" else c, bounds[c]) for c in columns], bits)
     with_z = df.withColumns({"_z": z, "_last": _last_key(df, stored)})
-    order = [*[F.col(c) for c in within], F.col("_z"), F.col("_last")]
+    order = [*[F.col(c) for c in within], F.col("_z"), *[F.col(c) for c in columns], F.col("_last")]
     ranged = with_z.repartitionByRange(files, *order) if files else with_z.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*within, "_z", *columns).drop("_z", "_last")

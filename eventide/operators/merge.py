@@ -16,9 +16,6 @@ from eventide.operators.keyed import first_per_key
 from eventide.sources.lake import read_table
 from eventide.storage import materialize, read_back, remove_path, scratch_path, table_exists
 
-# Distinct partition values of one batch of updates that are still used to prune the target.
-MAX_TOUCHED = 10_000
-
 
 class AmbiguousSource(ValueError):
     """Several source rows want to change the same target row."""
@@ -42,7 +39,8 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
     Source rows are unique per key. A key with NULL matches nothing, so such source rows are inserted and
     such target rows kept. Target rows go through one left join, which Spark broadcasts for a small
-    source and splits for a hot key; rows with a NULL key are spread by a salt.
+    source and splits for a hot key; rows with a NULL key are spread by a salt. A full join would read the
+    target once only, but Spark can't split a hot key of a full join.
     """
     columns = target.columns
     if set(source.columns) != set(columns):
@@ -78,10 +76,12 @@ def merge_metrics(actions: DataFrame) -> DataFrame:
     )
 
 
-def _touched(updates: DataFrame, column: str) -> list[Any] | None:
-    """The partition values of the updates, None when there are too many to list."""
-    rows = updates.select(column).distinct().limit(MAX_TOUCHED + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= MAX_TOUCHED else None
+def _touched(target: DataFrame, updates: DataFrame, column: str) -> DataFrame:
+    """The rows of the target's partitions that occur in the updates. Spark prunes them by the join."""
+    values = updates.select(column).distinct()
+    named = target.join(values.where(F.col(column).isNotNull()), column, "left_semi")
+    without = values.where(F.col(column).isNull()).limit(1).count()  # these are in a partition of their own
+    return named.unionByName(target.where(F.col(column).isNull())) if without else named
 
 
 def upsert_table(
@@ -118,18 +118,15 @@ def upsert_table(
     target = read_table(spark, path, schema)
     if evolve:
         target = sync_columns(target, updates.schema)
-    doubled = ambiguous_keys(updates, keys, target).limit(5).collect()
+    # Only where the source itself has a key several times does the target need to be asked.
+    repeated = ambiguous_keys(updates, keys).limit(1).count()
+    doubled = ambiguous_keys(updates, keys, target).limit(5).collect() if repeated else []
     if doubled:
         raise AmbiguousSource(f"several source rows match one target row: {[r.asDict() for r in doubled]}")
 
-    pruned = False
-    if partition_by in keys and not evolve:
-        values = _touched(updates, partition_by)
-        if values is not None:
-            inside = F.col(partition_by).isin([v for v in values if v is not None])
-            if None in values:  # those updates are written to the partition of rows without a value
-                inside = inside | F.col(partition_by).isNull()
-            target, pruned = target.filter(inside), True
+    pruned = partition_by in keys and not evolve
+    if pruned:
+        target = _touched(target, updates, partition_by)
 
     actions = merge_actions(target, updates, keys).observe(
         seen,

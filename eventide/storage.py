@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,13 +14,16 @@ from pyspark.sql import types as T
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see.
 
-    A cluster names it in `spark.checkpoint.dir`. Only where that is unset (tests on one machine) a
-    temporary folder is made and remembered in the session.
+    A cluster names it in `spark.checkpoint.dir`. Only where that is unset and all tasks run in this
+    process (tests on one machine), a temporary folder is made and remembered in the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("eventide.scratch.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="eventide-")
         spark.conf.set("eventide.scratch.dir", root)
     return root.rstrip("/")

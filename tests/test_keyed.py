@@ -172,3 +172,21 @@ def test_hot_user_and_hot_merge_key_are_split_at_run_time(spark, small_partition
     merged = merge_actions(events, updates, ["user_id"])
     assert "skew=true" in _executed(merged)
     assert merged.filter("_action = 'update'").count() == known
+
+
+def test_hot_day_of_one_user_is_split_at_run_time(spark, small_partitions):
+    hot = F.when(F.col("id") % 4 != 0, F.lit(7)).otherwise(F.col("id"))
+    events = spark.range(400_000).select(
+        F.col("id").cast("string").alias("event_id"),
+        hot.cast("string").alias("user_id"),
+        F.lit("2024-01-01").cast("date").alias("event_date"),
+        F.md5(F.col("id").cast("string")).alias("x"),
+    )
+    bought = spark.range(5000).select(
+        F.col("id").cast("string").alias("customer_id"),
+        F.lit("2024-01-01").cast("date").alias("transaction_date"),
+        F.lit(2).cast("decimal(10,2)").alias("amount_usd"),
+    )
+    joined = join_daily_spend(events, bought)
+    assert "skew=true" in _executed(joined)
+    assert joined.filter("has_same_day_transaction").count() == 300_000 + 1250
