@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
 from eventide.storage import materialize
 
 
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+def connected_components(
+    edges: DataFrame, write: Callable[[DataFrame, str], DataFrame] = materialize
+) -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest node.
 
-    `edges` has columns a and b of one orderable type. NULL ends and loops are ignored, direction and
+    `write` puts a table into shared storage and reads it back. `edges` has columns a and b of one orderable type. NULL ends and loops are ignored, direction and
     repetition do not matter. Without edges the result is empty.
 
     Each round hangs the larger neighbours of every node on its smallest neighbour, then its smaller ones
@@ -21,20 +25,18 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """
     a, b = F.col("a"), F.col("b")
     own = edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    own = materialize(own, f"{name}-edges")
+    own = write(own, "component-edges")
     before = _state(own)
     while True:
         both = own.unionByName(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(
-            both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low")),
-            f"{name}-low",
-        )
+        low = both.groupBy("u").agg(F.min("v").alias("low"))
+        low = write(low.select("u", F.least("u", "low").alias("low")), "component-low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = materialize(large.distinct(), f"{name}-large")
-        low = materialize(large.groupBy("u").agg(F.min("v").alias("low")), f"{name}-low")
+        large = write(large.distinct(), "component-large")
+        low = write(large.groupBy("u").agg(F.min("v").alias("low")), "component-low")
         small = large.join(low, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         small = small.unionByName(low.select("u", F.col("low").alias("v")))
-        own = materialize(small.distinct(), f"{name}-small")
+        own = write(small.distinct(), "component-small")
         after = _state(own)
         if after == before:
             break

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventide.llm.arrow import mix
-from eventide.storage import materialize
+from eventide.storage import materialize, remove_path, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,22 @@ def map_batches(
     return df.mapInArrow(run, fields)
 
 
+class Scratch:
+    """Tables in shared storage that nothing needs any more once an operator has its result."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self._paths.append(scratch_path(self._spark, name))
+        return materialize(df, name, self._paths[-1])
+
+    def clear(self) -> None:
+        for path in self._paths:
+            remove_path(self._spark, path)
+        self._paths = []
+
+
 #: Bits of a `Bitmap`: four MB, whatever the data.
 BITMAP_BITS = 1 << 25
 
@@ -85,7 +101,10 @@ def _bit(ids: np.ndarray) -> np.ndarray:
 
 
 def candidate_pairs(
-    members: DataFrame, near: Callable[[dict, np.ndarray, np.ndarray], np.ndarray], tile: int
+    members: DataFrame,
+    near: Callable[[dict, np.ndarray, np.ndarray], np.ndarray],
+    tile: int,
+    write: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
     """Distinct pairs (a, b), a < b, of members of a group that `near` lets through.
 
@@ -95,7 +114,7 @@ def candidate_pairs(
     group in a task is larger than about two tiles, and only near pairs leave the task.
     """
     blocks = members.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
-    blocks = materialize(blocks, "pair-blocks")
+    blocks = write(blocks, "pair-blocks")
     block = F.pmod(F.xxhash64("member"), F.col("blocks").cast("long")).cast("int")
     each = members.join(blocks, "key").withColumn("block", block)
     each = each.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

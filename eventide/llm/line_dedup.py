@@ -10,6 +10,8 @@ line in (document, line) order stays.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 
 from eventide.llm.arrow import FIRST, SECOND, Piece, code_points, lines, mix, pieces, sums, words
 from eventide.llm.components import connected_components
-from eventide.llm.frames import Bitmap, candidate_pairs, map_batches, two_columns
+from eventide.llm.frames import Bitmap, Scratch, candidate_pairs, map_batches, two_columns
 from eventide.storage import materialize
 
 EDITS = 2
@@ -234,32 +236,40 @@ def _verified(pairs: DataFrame, bodies: DataFrame, edits: int) -> DataFrame:
 
 
 def near_lines(
-    docs: DataFrame, facts: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, tile: int = TILE
+    docs: DataFrame,
+    facts: DataFrame,
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+    tile: int = TILE,
+    write: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
     """Links (a, b) between the names of near lines, from (doc_id, text) rows and their `_line_facts`."""
-    rows = materialize(_meeting(_key_rows(docs, edits, min_chars)), "line-keys")
-    pairs = candidate_pairs(rows, lambda c, i, j: _near(c, i, j, edits), tile)
+    rows = write(_meeting(_key_rows(docs, edits, min_chars)), "line-keys")
+    pairs = candidate_pairs(rows, lambda c, i, j: _near(c, i, j, edits), tile, write)
     pairs = pairs.select(F.shiftrightunsigned("a", 1).alias("a"), F.shiftrightunsigned("b", 1).alias("b"))
     twins = facts.where("node is not null").groupBy("node").count().where("count > 1")  # share a number
     pairs = pairs.unionByName(twins.select(F.col("node").alias("a"), F.col("node").alias("b")))
-    pairs = materialize(pairs.distinct(), "line-pairs")
+    pairs = write(pairs.distinct(), "line-pairs")
     nodes = Bitmap(pairs.select(F.explode(F.array("a", "b"))))
-    bodies = materialize(_line_texts(docs, nodes, min_chars), "line-texts")
-    return materialize(_verified(pairs, bodies, edits), "line-links")
+    bodies = write(_line_texts(docs, nodes, min_chars), "line-texts")
+    return write(_verified(pairs, bodies, edits), "line-links")
 
 
 def first_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, tile: int = TILE) -> DataFrame:
     """(doc_id, first): for each document the numbers of its lines that are the first of their class."""
+    scratch = Scratch(docs.sparkSession)
     facts = _line_facts(docs, min_chars)
     facts = facts.groupBy("line", "node").agg(F.min(F.struct("doc_id", "number")).alias("place"))
-    facts = materialize(facts, "line-facts")
-    links = near_lines(docs, facts, edits, min_chars, tile)
-    classes = connected_components(links, "lines").withColumnRenamed("node", "line")
-    classes = materialize(classes, "line-classes")
+    facts = scratch.write(facts, "line-facts")
+    links = near_lines(docs, facts, edits, min_chars, tile, scratch.write)
+    classes = connected_components(links, scratch.write).withColumnRenamed("node", "line")
+    classes = scratch.write(classes, "line-classes")
     alone = facts.join(classes, "line", "left_anti").select("place")
     joined = facts.join(classes, "line").groupBy("component").agg(F.min("place").alias("place")).select("place")
     kept = alone.unionByName(joined).groupBy("place.doc_id")
-    return materialize(kept.agg(F.collect_list("place.number").alias("first")), "line-first")
+    first = materialize(kept.agg(F.collect_list("place.number").alias("first")), "line-first")
+    scratch.clear()
+    return first
 
 
 def dedup_lines(

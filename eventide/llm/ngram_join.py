@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from eventide.llm.arrow import FIRST, Piece, lowered, mix, pieces, whole_runs, words
 from eventide.llm.components import connected_components
-from eventide.llm.frames import Bitmap, candidate_pairs, map_batches, two_columns
+from eventide.llm.frames import Bitmap, Scratch, candidate_pairs, map_batches, two_columns, without
 from eventide.storage import materialize
 
 BAND_RATIO = 1.25
@@ -134,25 +134,29 @@ def sketches(values: np.ndarray, first: np.ndarray) -> list[bytes]:
     return [packed[64 * i : 64 * i + 64] for i in range(count)]
 
 
-def _features(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, signatures array<long>"
-
+def _features(texts: DataFrame, n: int) -> DataFrame:
     def work(batch: pa.RecordBatch):
         for piece in pieces(batch.column(1)):
             values, first = shingle_sets(piece, n)
-            signed, owner = signatures(values, first, percent)
-            order = np.argsort(owner, kind="stable")
-            signed, cuts = signed[order].view(np.int64), np.searchsorted(owner[order], np.arange(len(piece) + 1))
             yield {
                 "doc_id": batch.column(0).slice(piece.row, len(piece)),
                 "n_shingles": np.diff(first),
                 "set_a": _wrapped_sums(mix(values), first).view(np.int64),
                 "set_b": _wrapped_sums(mix(values ^ _ODD[1]), first).view(np.int64),
                 "sketch": sketches(values, first),
-                "signatures": pa.ListArray.from_arrays(cuts.astype(np.int32), signed),
             }
 
-    return map_batches(texts, schema, work)
+    return map_batches(texts, "doc_id long, n_shingles long, set_a long, set_b long, sketch binary", work)
+
+
+def _signed(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    def work(batch: pa.RecordBatch):
+        for piece in pieces(batch.column(1)):
+            signed, owner = signatures(*shingle_sets(piece, n), percent)
+            ids = batch.column(0).to_numpy()[piece.row + owner]
+            yield {"sig": signed.view(np.int64), "doc_id": ids}
+
+    return map_batches(texts, "sig long, doc_id long", work)
 
 
 def _shared(signed: DataFrame) -> DataFrame:
@@ -222,37 +226,38 @@ def jaccard_classes(
     other. A row without an id has no component. An empty table gives an empty result, and only the two
     named columns are read.
     """
-    texts = two_columns(docs, id_col, text_col)
-    features = materialize(_features(texts, n, percent), "join-features")
+    scratch, texts = Scratch(docs.sparkSession), two_columns(docs, id_col, text_col)
+    features = materialize(_features(texts, n), "join-features")
     sets = features.where("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "set_a", "set_b"]
     classes = materialize(sets.groupBy(key).agg(F.min("doc_id").alias("class")), "join-classes")
+    lead = classes.select(F.col("class").alias("doc_id"), "n_shingles").distinct()
+    copies = scratch.write(sets.select("doc_id").join(lead, "doc_id", "left_anti"), "join-copies")
     texts = texts.where("doc_id is not null")
-    lead = classes.select(F.col("class").alias("doc_id"), *key).distinct()
-    signed = sets.join(lead, ["doc_id", *key], "left_semi").select("doc_id", F.explode("signatures").alias("sig"))
-    shared = materialize(_shared(signed), "join-shared")
+    shared = scratch.write(_shared(_signed(without(texts, "doc_id", copies), n, percent)), "join-shared")
 
     # One pair for each document first: with the smallest that shares a signature with it.
-    low = materialize(shared.groupBy("sig").agg(F.min("doc_id").alias("a")), "join-low")
+    low = scratch.write(shared.groupBy("sig").agg(F.min("doc_id").alias("a")), "join-low")
     pairs = shared.join(low, "sig").where("doc_id != a").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a"))
-    pairs = materialize(pairs.select("a", "b"), "join-pairs")
-    links = materialize(_linked(pairs, texts, n, percent), "join-links")
-    found = materialize(connected_components(links, "join"), "join-found")
+    pairs = scratch.write(pairs.select("a", "b"), "join-pairs")
+    links = scratch.write(_linked(pairs, texts, n, percent), "join-links")
+    found = scratch.write(connected_components(links, scratch.write), "join-found")
 
     # Then all pairs that share a signature and are not yet connected.
     member = found.withColumnRenamed("node", "doc_id")
     labelled = shared.join(member, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    labelled = materialize(labelled, "join-labelled")
+    labelled = scratch.write(labelled, "join-labelled")
     open_sigs = labelled.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_sigs = materialize(open_sigs.where("x != y").select("sig"), "join-open")
+    open_sigs = scratch.write(open_sigs.where("x != y").select("sig"), "join-open")
     marks = sets.select("doc_id", "n_shingles", "sketch").join(lead, ["doc_id", "n_shingles"], "left_semi")
     members = labelled.join(open_sigs, "sig", "left_semi").distinct().join(marks, "doc_id")
     members = members.withColumnsRenamed({"sig": "key", "doc_id": "member"})
-    members = materialize(members, "join-members")
-    near = candidate_pairs(members, lambda c, i, j: _near(c, i, j, percent), tile)
-    near = materialize(near.join(pairs, ["a", "b"], "left_anti"), "join-near")
-    links = links.unionByName(_linked(near, texts, n, percent))
-    found = materialize(connected_components(materialize(links, "join-links"), "join"), "join-found")
+    members = scratch.write(members, "join-members")
+    near = candidate_pairs(members, lambda c, i, j: _near(c, i, j, percent), tile, scratch.write)
+    near = scratch.write(near.join(pairs, ["a", "b"], "left_anti"), "join-near")
+    links = scratch.write(links.unionByName(_linked(near, texts, n, percent)), "join-all-links")
+    found = materialize(connected_components(links, scratch.write), "join-found")
+    scratch.clear()
 
     top = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
     top = top.select(*key, F.coalesce("component", "class").alias("top"))

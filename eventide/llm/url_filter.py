@@ -117,7 +117,7 @@ def judge_pages(
     if redirects is not None:
         more = redirects.select(node_of(F.col("source")).alias("a"), node_of(F.col("target")).alias("b"))
         edges = edges.unionByName(more)
-    found = materialize(connected_components(edges, "urls"), "url-components")
+    found = materialize(connected_components(edges), "url-components")
     node = F.col("node")
     action = rule_of(host_of(node), path_of(node), rules)["action"]
     verdicts = found.withColumn("action", action).groupBy("component").agg(
