@@ -73,6 +73,19 @@ def stream_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("event_id", "event_timestamp", "user_id", "event_type")
 
 
+@query(f"WITH {roles.RAW_SQL} SELECT event_id, event_timestamp, user_id, event_type FROM raw")
+def stream_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, of even and of odd event ids, into one log: neither replaces the other's commits."""
+    log = scratch_path(spark, "shared-log")
+    landed = _landed(spark, sf_dir, replay=True)
+    for name, odd in (("even", 0), ("odd", 1)):
+        events = read_files(spark, landed).filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == odd)
+        order = [F.desc("event_timestamp")]
+        drain(upsert_log(events, log, f"{log}-{name}", ["event_id"], order, _batch_time, writer=name))
+    latest = read_as_of(read_log(spark, log), ["event_id"])
+    return latest.select("event_id", "event_timestamp", "user_id", "event_type")
+
+
 @query(
     f"""WITH {roles.RAW_SQL}
     SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS row_count,

@@ -19,7 +19,7 @@ from eventide.context import utc_literal
 from eventide.functions import any_null
 from eventide.operators.keyed import first_per_key
 from eventide.sources.lake import read_table
-from eventide.storage import table_exists
+from eventide.storage import create_file, list_folders, list_names, table_exists
 
 VERSION, COMMITTED, OP = "_commit_version", "_commit_ts", "_op"
 _LOG_SCHEMA = T.StructType(
@@ -30,6 +30,8 @@ _LOG_SCHEMA = T.StructType(
     ]
 )
 LOG_COLUMNS = _LOG_SCHEMA.names
+# Ends the name of the folder beside a log, where its writers claim commit numbers.
+_CLAIMS = "-claims"
 
 
 def as_commit(df: DataFrame, version: int, committed: dt.datetime, op: str = "upsert") -> DataFrame:
@@ -47,6 +49,28 @@ def append_commit(
     writer.option("partitionOverwriteMode", "dynamic" if exists else "static").parquet(path)
 
 
+def claim_commit(spark: SparkSession, path: str, writer: str, batch: int, rows: DataFrame) -> int:
+    """The commit number for a writer's batch: that of its first try, or else the next free one.
+
+    A claim is a file beside the log whose name says writer, batch, a digest of the rows, and the number. The same
+    batch with the same rows is a retry and gets the same number; anything else gets a number of its own,
+    so that no writer replaces what another one, or an earlier run on other input, has written.
+    """
+    mixed = F.xxhash64(*[F.col(c) for c in rows.columns])
+    count, total = rows.agg(F.count(F.lit(1)), F.sum(F.shiftright(mixed, 16))).first()
+    own = f"{writer}-{batch}-{count}-{total or 0}"
+    folder = f"{path.rstrip('/')}{_CLAIMS}"
+    claims = [name.rpartition("@") for name in list_names(spark, folder)]
+    for claimed, _, version in claims:
+        if claimed == own:
+            return int(version)
+    taken = [int(version) for _, _, version in claims]
+    taken += [int(n.partition("=")[2]) for n in list_folders(spark, path) if n.startswith(f"{VERSION}=")]
+    version = max(taken, default=-1) + 1
+    create_file(spark, f"{folder}/{own}@{version}")
+    return version
+
+
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The log at a path; `schema` is that of the table's own columns, found in the files if not given."""
     if schema is not None:

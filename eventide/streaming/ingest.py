@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventide.constants import LOOKBACK_DAYS
 from eventide.functions import any_null
-from eventide.operators.history import append_commit
+from eventide.operators.history import append_commit, claim_commit
 from eventide.operators.keyed import first_per_key
 from eventide.operators.privacy import pseudonymize, redact_payload
 from eventide.schemas import STREAM_EVENTS_SCHEMA
@@ -99,11 +99,12 @@ def upsert_log(
     order_by: Sequence[Column],
     clock: Callable[[int], dt.datetime],
     output_mode: str = "append",
+    writer: str = "stream",
 ) -> StreamingQuery:
     """Write each batch as one commit of a change log, keyed by `keys`.
 
-    The batch number is the commit number, so a batch that is run again after a failure replaces its own
-    commit. The newest version of the log holds one row per key. A batch is written down before it is used
+    A batch that is run again with the same rows replaces its own commit and no other, so several streams
+    can feed one log, one after the other; `writer` names this one. The newest version of the log holds one row per key. A batch is written down before it is used
     twice, since computing it again would run the stream's state again.
     """
 
@@ -112,11 +113,12 @@ def upsert_log(
         taken = materialize(batch, "batch", copy)
         complete = first_per_key(taken.filter(~any_null(keys)), keys, order_by)
         rows = complete.unionByName(taken.filter(any_null(keys)))
-        append_commit(rows, path, batch_id, clock(batch_id))
+        version = claim_commit(batch.sparkSession, path, writer, batch_id, taken)
+        append_commit(rows, path, version, clock(batch_id))
         remove_path(batch.sparkSession, copy)
 
-    writer = events.writeStream.foreachBatch(commit).outputMode(output_mode)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    sink = events.writeStream.foreachBatch(commit).outputMode(output_mode)
+    return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def daily_counts(events: DataFrame, delay: str = f"{LOOKBACK_DAYS} days") -> DataFrame:

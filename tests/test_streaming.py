@@ -93,6 +93,16 @@ def test_batch_run_again_after_a_lost_checkpoint_changes_nothing(spark, folder):
     assert read_log(spark, f"{folder}/log").count() == 1
 
 
+def test_streams_on_one_log_do_not_replace_each_other(spark, folder):
+    for name, writer in (("a", "one"), ("b", "two"), ("c", "one")):  # the last one has lost its checkpoint
+        land(f"{folder}/{name}", "1.json", (name, "2024-01-10T00:00:00", "view"))
+        stream = read_files(spark, f"{folder}/{name}")
+        order = [F.desc("event_timestamp")]
+        drain(upsert_log(stream, f"{folder}/log", f"{folder}/c-{name}", ["event_id"], order, _clock, writer=writer))
+    log = read_log(spark, f"{folder}/log")
+    assert rows(log.select("event_id", "_commit_version")) == [("a", 0), ("b", 1), ("c", 2)]
+
+
 def test_daily_counts_take_late_events(spark, folder):
     raw = f"{folder}/raw"
     land(raw, "1.json", ("a", "2024-01-09T10:00:00", "view"), ("b", "2024-01-10T10:00:00", "view"))
