@@ -22,7 +22,6 @@ from eventide.operators.snapshots import snapshot_history, snapshot_update
 from eventide.operators.keyed import first_per_key
 from eventide.plans.tables import VersionedTable
 from eventide.schemas import EVENTS_SCHEMA
-from eventide.sources.database import range_slot
 from eventide.sources.files import load_seed, register_table, take_landed
 from eventide.sources.incremental import (
     extract_changes,
@@ -270,26 +269,6 @@ def ingest_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_control(spark, state)
 
 
-@query(
-    """SELECT slot, count(*) AS row_count, min(l_partkey) AS lowest, max(l_partkey) AS highest FROM (
-      SELECT l_partkey, greatest(0, least(3, CAST(floor((l_partkey - 1) / 100.0) AS BIGINT))) AS slot
-      FROM lineitem
-    ) GROUP BY slot"""
-)
-def range_read_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How a parallel read with bounds 1 to 400 in four parts splits a table; no row is filtered."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return (
-        lines.select("l_partkey", range_slot("l_partkey", 1, 400, 4).alias("slot"))
-        .groupBy("slot")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min("l_partkey").alias("lowest"),
-            F.max("l_partkey").alias("highest"),
-        )
-    )
-
-
 # ---- merges -----------------------------------------------------------------------------------
 
 _ORDERS_LOG = """target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,10 @@ from pyspark.sql import types as T
 
 from eventide.functions import sha256_hex
 
-# Column names that must not reach a table without personal data.
+# Column names that must not reach a table without personal data.
 PERSONAL_COLUMNS = ["email", "phone", "full_name", "ssn", "ip_address", "address", "date_of_birth"]
 
-# Text that looks like personal data.
+# Text that looks like personal data.
 PERSONAL_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]{2,}",
     "phone": r"\+[0-9]{1,3}[ -][0-9]{2,4}[ -][0-9]{3,4}[ -][0-9]{3,4}",
@@ -31,26 +32,36 @@ def pseudonymize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def redact_payload(df: DataFrame, payload: str, denied: Sequence[str]) -> DataFrame:
-    """Drop top-level keys from a JSON text column; the other values keep their type and nesting.
+    """Drop keys from a JSON text column, in any case; the other values keep their type and nesting.
 
-    A payload that is not a JSON object cannot be checked and becomes NULL. A payload in whose text no
-    denied key can occur, not even in escaped form, is passed on as it is.
+    A top-level value that holds a denied key at any depth goes as a whole. A payload that is not a JSON
+    object cannot be checked and becomes NULL. A payload in whose text no denied key can occur, not even in
+    escaped form, is passed on as it is.
     """
     names, text = df.columns, F.col(payload)
     parsed = df.withColumn("_fields", F.from_json(text, "map<string,variant>", {"allowSingleQuotes": "false"}))
     suspect = text.contains("\\")
-    for key in denied:
-        suspect = suspect | text.contains(key)
-    kept = F.map_filter("_fields", lambda key, _: ~key.isin(list(denied)))
+    names_denied = [d.lower() for d in denied]
+    for key in names_denied:
+        suspect = suspect | F.lower(text).contains(key)
+    inside = r'(?i)"(?:' + "|".join(map(re.escape, denied)) + r')"\s*:'
+
+    def allowed(key: Column, value: Column) -> Column:
+        return ~F.lower(key).isin(names_denied) & ~F.coalesce(F.to_json(value).rlike(inside), F.lit(False))
+
+    kept = F.map_filter("_fields", allowed)
     rewritten = F.to_json(kept, {"ignoreNullFields": "false"})
     clean = F.when(F.col("_fields").isNull(), F.lit(None)).when(suspect, rewritten).otherwise(text)
     return parsed.withColumn(payload, clean).select(*names)
 
 
 def personal_columns(df: DataFrame, denied: Sequence[str] = PERSONAL_COLUMNS) -> list[str]:
-    """Columns whose name says that they hold personal data."""
-    names = {d.lower() for d in denied}
-    return [c for c in df.columns if c.lower() in names]
+    """Columns whose name, or a part of it between underscores, says that they hold personal data.
+
+    Digests, whose names end in `_hash`, do not.
+    """
+    part = re.compile("(^|_)(" + "|".join(re.escape(d.lower()) for d in denied) + ")(_|$)")
+    return [c for c in df.columns if part.search(c.lower()) and not c.lower().endswith("_hash")]
 
 
 def require_impersonal(df: DataFrame, denied: Sequence[str] = PERSONAL_COLUMNS) -> DataFrame:

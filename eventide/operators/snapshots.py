@@ -36,12 +36,14 @@ def snapshot_history(
 def snapshot_update(
     snapshot: DataFrame, current: DataFrame, key: str, updated_at: str
 ) -> DataFrame:
-    """Bring a snapshot up to date with the current rows of its source (one per key).
+    """Bring a snapshot up to date with the current rows of its source.
 
-    An open version is closed when its row was updated since, and the new row is added as open version.
+    Of several rows of one key the newest counts, and among equals the one a hash picks. Rows without a key
+    can't be followed from run to run and are left out. An open version is closed when its row was updated since, and the new row is added as open version.
     Keys that vanished from the source keep their open version.
     """
     time = current.schema[updated_at].dataType
+    current = first_per_key(current.filter(F.col(key).isNotNull()), [key], [F.desc(updated_at)])
     is_open = F.col("valid_to").isNull()
     news = current.select(F.col(key).alias("_key"), F.col(updated_at).alias("_updated_at"))
     opened = snapshot.filter(is_open)

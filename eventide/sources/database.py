@@ -1,35 +1,23 @@
-"""Parallel range reads over JDBC, and the split they use."""
+"""Parallel range reads over JDBC."""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from eventide.constants import RANGE_LOWER, RANGE_PARTS, RANGE_UPPER
 from eventide.sources.incremental import upper_bound
 
 
-def range_slot(
-    column: str, lower: int = RANGE_LOWER, upper: int = RANGE_UPPER, parts: int = RANGE_PARTS
-) -> Column:
-    """The even range of a split a value falls into, as a number from 0.
-
-    A parallel read with these bounds splits its rows this way, give or take the rounding of the bounds. The
-    bounds only set the width of a range: values beyond them belong to the outer ranges and NULL to the
-    first, so no row is lost.
-    """
-    stride = upper // parts - lower // parts
-    slot = F.floor((F.col(column) - F.lit(lower)) / F.lit(stride)).cast("long")
-    inside = F.greatest(F.lit(0), F.least(F.lit(parts - 1), slot))
-    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(inside).cast("long")
-
-
 def change_query(
     table: str, column: str, watermark: dt.datetime | None, partition_date: str, upper: str = "end_of_day"
 ) -> str:
-    """The sub-query a database runs, so that only changed rows leave it."""
+    """The sub-query a database runs, so that only changed rows leave it. Names are plain or dotted ones."""
+    for name in (table, column):
+        if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)*", name):
+            raise ValueError(f"{name!r} is not a plain name")
     op, end = upper_bound(partition_date, upper)
     text = f"SELECT * FROM {table} WHERE {column} {op} TIMESTAMP '{end}'"
     if watermark is not None:

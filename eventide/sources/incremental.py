@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from eventide.context import utc_literal, wall_time
 from eventide.schemas import CONTROL_SCHEMA
-from eventide.storage import read_back, table_exists
+from eventide.storage import materialize, read_back, table_exists
 
 
 def latest_watermarks(control: DataFrame) -> DataFrame:
@@ -119,11 +119,14 @@ def _exact_cast(name: str, source: T.DataType, target: T.DataType) -> Column:
     whole = None
     if isinstance(source, T.StringType):
         if isinstance(target, T.DecimalType):
-            whole = given.try_cast(T.DecimalType(38, 18)) == value
+            plain = r"^\s*[+-]?[0-9]*\.?([0-9]*)\s*$"
+            digits = F.length(F.rtrim(F.regexp_extract(given, plain, 1), F.lit("0")))
+            rounded = given.try_cast(T.DecimalType(38, 18)) == value  # with an exponent
+            whole = F.when(given.rlike(plain), digits <= target.scale).otherwise(rounded)
         elif isinstance(target, T.DateType):
             whole = given.try_cast("timestamp") == value.cast("timestamp")
-    elif isinstance(source, (T.FractionalType, T.TimestampType, T.TimestampNTZType)):
-        if isinstance(target, (T.IntegralType, T.DecimalType, T.DateType)):
+    elif isinstance(source, (T.NumericType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(target, (T.NumericType, T.DateType)):
             whole = value.try_cast(source) == given
     return value if whole is None else F.when(whole, value)
 
@@ -153,7 +156,8 @@ def ingest_day(
     changes = extract_changes(read_source(), watermark, partition_date, column, upper)
     refused = 0
     if schema is not None:
-        changes, bad = typed_copy(changes, schema)
+        # The source is read once: read twice, a row that changes meanwhile could be in both parts or in none.
+        changes, bad = typed_copy(materialize(changes, "changes"), schema)
         _, refused = land_day(bad, f"{folder.rstrip('/')}_refused", partition_date)
     path, rows = land_day(changes, folder, partition_date)
     landed = read_back(spark, path, changes.schema)

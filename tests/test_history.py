@@ -182,3 +182,16 @@ def test_sync_columns(spark):
     bad = spark.createDataFrame([(1, "seven", "")], "k int, n string, x string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         sync_columns(bad, target).collect()
+
+
+def test_snapshot_update_takes_the_newest_of_equal_keys_and_no_row_without_key(spark):
+    schema = "k int, v string, updated_at timestamp, valid_from timestamp, valid_to timestamp"
+    old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 5)
+    snapshot = spark.createDataFrame([(1, "a", old, old, None)], schema)
+    news = [(1, "b", dt.datetime(2024, 1, 3)), (1, "c", new), (None, "d", new), (2, "e", new), (2, "e", new)]
+    current = spark.createDataFrame(news, "k int, v string, updated_at timestamp")
+    for _ in range(2):
+        snapshot = snapshot_update(snapshot, current, "k", "updated_at")
+    assert rows(snapshot.select("k", "v", "valid_to")) == rows(
+        spark.createDataFrame([(1, "a", new), (1, "c", None), (2, "e", None)], "k int, v string, valid_to timestamp")
+    )

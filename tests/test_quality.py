@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.context import RunContext
-from eventide.operators.privacy import pseudonymize, redact_payload, require_impersonal, scan_text
+from eventide.operators.privacy import personal_columns, pseudonymize, redact_payload, require_impersonal, scan_text
 from eventide.operators.quality import (
     SOURCE_TESTS,
     GateFailed,
@@ -137,3 +137,17 @@ def test_personal_column_names_are_refused(spark):
     assert require_impersonal(df.drop("Email")).columns == ["user_id"]
     with pytest.raises(ValueError, match="Email"):
         require_impersonal(df)
+
+
+def test_nested_and_differently_cased_keys_are_redacted(spark):
+    payloads = [
+        ('{"ctx":{"email":"x"},"a":1}', '{"a":1}'),
+        ('{"Email":"x","b":[1,2]}', '{"b":[1,2]}'),
+        ('{"c":[{"d":{"EMAIL":"x"}}],"e":"email: none"}', '{"e":"email: none"}'),
+        ('{"f":{"\\u0065mail":"x"},"g":2}', '{"g":2}'),
+        ('{"h":{"mail":"x"}}', '{"h":{"mail":"x"}}'),
+    ]
+    df = redact_payload(spark.createDataFrame([(p,) for p, _ in payloads], "p string"), "p", ["email"])
+    assert [r.p for r in df.collect()] == [clean for _, clean in payloads]
+    frame = spark.createDataFrame([], "user_email string, email_hash string, mailing string, ip_address string")
+    assert personal_columns(frame) == ["user_email", "ip_address"]

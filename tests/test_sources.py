@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 from eventide.operators.layout import bucket_of, clustered, column_bounds, compact, z_ordered, z_value
 from eventide.operators.merge import upsert_table
 from eventide.schemas import EVENTS_SCHEMA, SchemaMismatch, compare_schemas
-from eventide.sources.database import change_query, range_slot
+from eventide.sources.database import change_query
 from eventide.sources.files import load_seed, register_table, take_landed
 from eventide.sources.incremental import (
     advance_watermark,
@@ -247,12 +248,6 @@ def test_boolean_is_not_a_number(spark):
         typed_copy(df, T.StructType([T.StructField("b", T.IntegerType())]))
 
 
-def test_range_slots_hold_every_row(spark):
-    df = spark.createDataFrame([(-5,), (1,), (250_000,), (250_001,), (999_999,), (2_000_000,), (None,)], "id long")
-    slots = {r.id: r.slot for r in df.select("id", range_slot("id").alias("slot")).collect()}
-    assert slots == {-5: 0, 1: 0, 250_000: 0, 250_001: 1, 999_999: 3, 2_000_000: 3, None: 0}
-
-
 def test_change_query():
     text = change_query("dbo.t", "updated_at", ts("2024-01-01"), "2024-01-02")
     assert text == (
@@ -331,3 +326,19 @@ def test_z_order_skips_files_for_both_columns(spark, folder):
         hit = spans.filter("lo <= 20 and hi >= 20").count()
         assert hit <= 8
     assert len(column_bounds(df, ["a"], 64)["a"]) <= 63
+
+
+def test_conversions_that_would_lose_digits_are_refused(spark):
+    def kept(values, source, target):
+        df = spark.createDataFrame([(v,) for v in values], f"x {source}")
+        good, bad = typed_copy(df, T.StructType([T.StructField("x", T._parse_datatype_string(target))]))
+        return [r.x for r in good.collect()], bad.count()
+
+    whole = "1234567890123456789012345"
+    assert kept([whole, "1.5", "2.0", "9" * 39], "string", "decimal(38,0)") == ([D(whole), D(2)], 2)
+    assert kept(["1.234", "1.230", " -1.2 ", "1e2", "x"], "string", "decimal(9,2)") == ([D("1.23"), D("-1.2"), D(100)], 2)
+    assert kept([9007199254740992, 9007199254740993], "bigint", "double") == ([9007199254740992.0], 1)
+    assert kept([0.5, 0.1, float("inf")], "double", "float") == ([0.5, float("inf")], 1)
+    assert kept([1.0, 1.5], "double", "int") == ([1], 1)
+    times = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 5)]
+    assert kept(times, "timestamp", "date") == ([dt.date(2024, 1, 1)], 1)
