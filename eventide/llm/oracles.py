@@ -1,3 +1,68 @@
 """SQL over the test tables for the operators that it can express at that size."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+#: A word, as the operators take it, and the words of each document in order.
+WORD = r"[^\x20\x09-\x0D]+"
+_WORDS = f"""words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS w, text FROM documents
+)"""
+
+
+def _runs(n: int, words: str = "words") -> str:
+    """Every run of n words: document, place of its first word from 1, and the run as a list."""
+    return f"""SELECT doc_id, i, list_slice(w, i, i + {n - 1}) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM {words} WHERE len(w) >= {n})"""
+
+
+URLS = """WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+), named AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut
+), rules(rule_host, rule_path, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fits AS (
+  SELECT page_id, max_by(rule_host || rule_path, len(rule_host || rule_path)) AS rule,
+    max_by(action, len(rule_host || rule_path)) AS action
+  FROM named JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id
+)
+-- No page of the tables declares a canonical link or a refresh, so no URL has an alias.
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM named LEFT JOIN fits USING (page_id)"""
+
+CLASSES = f"""WITH RECURSIVE {_WORDS.replace("text, '", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '")},
+sets AS (
+  SELECT DISTINCT doc_id, g FROM ({_runs(3)})
+  UNION ALL SELECT doc_id, w FROM words WHERE len(w) BETWEEN 1 AND 2
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached r LEFT JOIN sizes USING (doc_id) GROUP BY 1"""
+
+REPEATS = f"""WITH {_WORDS},
+runs AS ({_runs(20)}),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS place FROM runs)
+  WHERE place > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+marks AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)), ' ')) AS kept_sha256
+FROM words LEFT JOIN marks USING (doc_id)"""
+
+#: By operator query. The others compress, merge byte pairs, count tokens or search by edit distance.
+ORACLES: dict[str, str] = {
+    "op1_url_filter": URLS,
+    "op5_ngram_join": CLASSES,
+    "op8_substring_dedup": REPEATS,
+}
