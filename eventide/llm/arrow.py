@@ -204,3 +204,10 @@ def lines(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     ends = np.where(last, piece.offsets[owner + 1], np.append(starts[1:], 0) - 1)
     number = np.arange(len(owner)) - np.searchsorted(owner, owner)
     return starts, ends, owner, number
+
+
+def with_word(piece: Piece, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of these byte ranges hold a byte of a word."""
+    before = np.zeros(len(piece.data) + 1, np.int32 if len(piece.data) < 1 << 31 else np.int64)
+    np.cumsum(~_SPACE[piece.data], out=before[1:])
+    return before[ends] > before[starts]

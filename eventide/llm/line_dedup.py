@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
-from eventide.llm.arrow import FIRST, SECOND, Piece, code_points, lines, mix, pieces, sums, words
+from eventide.llm.arrow import FIRST, SECOND, Piece, code_points, lines, mix, pieces, sums, with_word
 from eventide.llm.components import connected_components
 from eventide.llm.frames import Bitmap, Scratch, candidate_pairs, map_batches, two_columns
 from eventide.storage import materialize
@@ -38,14 +38,14 @@ class Lines:
     """
 
     def __init__(self, piece: Piece, min_chars: int):
-        found, before = words(piece), code_points(piece)
+        before = code_points(piece)
         starts, ends, owner, number = lines(piece)
-        some = np.searchsorted(found.starts, ends) > np.searchsorted(found.starts, starts)
+        some = with_word(piece, starts, ends)
+        self.data = piece.data
         self.starts, self.ends, self.owner, self.number = (x[some] for x in (starts, ends, owner, number))
         self.first = np.searchsorted(self.owner, np.arange(len(piece) + 1))
         self.chars = before[self.ends] - before[self.starts]
         self.a = FIRST.ranges(piece.data, self.starts, self.ends)
-        self.b = SECOND.ranges(piece.data, self.starts, self.ends)
         self.long = self.chars >= min_chars
         self.symbols = np.frombuffer(
             piece.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32
@@ -54,15 +54,19 @@ class Lines:
         self.node = self._parity() << np.uint64(31) | self.a >> np.uint64(33)
 
     def _parity(self) -> np.ndarray:
-        symbols = self.symbols.astype(np.uint64)
-        bits = np.zeros(len(symbols) + 1, np.uint64)
-        bits[1:-1] = np.uint64(1) << (mix(symbols[:-1] * _ODD + symbols[1:]) & np.uint64(31))
+        symbols = self.symbols
+        bits = np.zeros(len(symbols) + 1, np.uint32)
+        place = (symbols[:-1] * np.uint32(0x9E3779B1) ^ symbols[1:] * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE3D)
+        bits[1:-1] = np.uint32(1) << (place >> np.uint32(27))
         total = np.bitwise_xor.accumulate(bits)  # bits[i] is the bigram that ends at symbol i
         last = np.maximum(self.at + self.chars - 1, self.at)
-        return total[last] ^ total[self.at]
+        return (total[last] ^ total[self.at]).astype(np.uint64)
 
     def names(self, which: np.ndarray) -> list[bytes]:
-        packed = np.stack([self.a[which], self.b[which]], 1).astype(">u8").tobytes()
+        order = np.argsort(self.starts[which], kind="stable")
+        second = np.empty(len(which), np.uint64)
+        second[order] = SECOND.ranges(self.data, self.starts[which][order], self.ends[which][order])
+        packed = np.stack([self.a[which], second], 1).astype(">u8").tobytes()
         return [packed[i : i + 16] for i in range(0, len(packed), 16)]
 
 
@@ -310,8 +314,8 @@ def _decide(docs, edits, min_chars, id_col, text_col, tile) -> tuple[DataFrame,
 
     def work(batch: pa.RecordBatch):
         for piece in pieces(batch.column(1)):
-            found, (starts, ends, owner, _) = words(piece), lines(piece)
-            some = np.searchsorted(found.starts, ends) > np.searchsorted(found.starts, starts)
+            starts, ends, owner, _ = lines(piece)
+            some = with_word(piece, starts, ends)
             count = sums(some, np.searchsorted(owner, np.arange(len(piece) + 1)))
             yield {"doc_id": batch.column(0).slice(piece.row, len(piece)), "lines": count}
 
