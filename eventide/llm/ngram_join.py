@@ -4,7 +4,7 @@ A document is its set of distinct word n-grams. Two sets of at most s elements t
 similarity is p percent or more differ in at most k = s (100 - p) / (100 + p) elements. Sets are put into size bands,
 so that k is fixed in a band. There the domain of n-grams is cut into n1 = (k + 1) / 2 parts by hash, and each
 part into three: in some part at most one element differs, so the two sets agree in two of its three
-subparts. A set therefore has a signature for each part and each choice of two subparts, and sufficiently
+subparts (or, should these be empty, the third one without an element). A set therefore has a signature for each part and each choice of two subparts, and sufficiently
 similar sets share one. A set signs for its own band and those above it that a similar set may be in.
 
 Sets that are equal are one class, which its smallest id stands for. Links are checked on the n-grams of the
@@ -110,18 +110,36 @@ def signatures(values: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.
     parts = (apart + 2) // 2
     begin = _starts(parts)
     own, home = _spread(values, first, which)
-    cell = mix(own ^ _ODD[0]) % (3 * parts[home]).astype(np.uint64)
+    cell = (mix(own ^ _ODD[0]) % (3 * parts[home]).astype(np.uint64)).astype(np.int64) + 3 * begin[home]
+    value = mix(own ^ _ODD[1])
     sums = np.zeros(3 * begin[-1], np.uint64)
-    np.add.at(sums, 3 * begin[home] + cell.astype(np.int64), mix(own ^ _ODD[1]))
+    np.add.at(sums, cell, value)
+    filled = np.bincount(cell, minlength=len(sums)).reshape(-1, 3) > 0
     sums = sums.reshape(-1, 3)
     row = np.repeat(np.arange(len(which)), parts)
     part = (np.arange(len(row)) - begin[row]).astype(np.uint64)
     tag = mix(mix(bands[row].astype(np.uint64) + _ODD[2]) + part)
-    out = [
-        mix(tag * _ODD[1] + mix(sums[:, (left + 1) % 3] + _ODD[0]) + mix(sums[:, (left + 2) % 3]) * _ODD[2] + np.uint64(left))
-        for left in range(3)
-    ]
-    return np.stack(out, 1).ravel(), np.repeat(which[row], 3)
+    signed, owner = [], []
+    bare = np.zeros((len(row), 3), bool)
+    for left in range(3):
+        one, other = (left + 1) % 3, (left + 2) % 3
+        bare[:, left] = ~filled[:, one] & ~filled[:, other]
+        both = mix(sums[:, one] + _ODD[0]) + mix(sums[:, other]) * _ODD[2]
+        signed.append(_sign(tag, left, np.where(bare[:, left], mix(sums[:, left] + _ODD[1]), both)))
+        owner.append(which[row])
+    # Two empty subparts say nothing. Then the third ones differ in one element at most: they are equal, or
+    # one is the other without an element. So a set signs for its third subpart, and for it without each.
+    alone = np.flatnonzero(bare.ravel()[cell])
+    at = cell[alone]
+    for left in range(3):
+        own_at, own_value = at[at % 3 == left], value[alone[at % 3 == left]]
+        signed.append(_sign(tag[own_at // 3], left, mix(sums.ravel()[own_at] - own_value + _ODD[1])))
+        owner.append(which[row[own_at // 3]])
+    return np.concatenate(signed), np.concatenate(owner)
+
+
+def _sign(tag: np.ndarray, left: int, agreed: np.ndarray) -> np.ndarray:
+    return mix(tag * _ODD[1] + agreed + np.uint64(left))
 
 
 def sketches(values: np.ndarray, first: np.ndarray) -> list[bytes]:
