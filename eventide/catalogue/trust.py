@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from eventide.constants import ACCEPTED_EVENT_TYPES, FRESHNESS_EVENTS, FRESHNESS
 from eventide.functions import json_scalar, parse_payload
 from eventide.operators.privacy import PERSONAL_PATTERNS, pseudonymize, redact_payload, scan_text
 from eventide.operators.quality import (
+    SOURCE_TESTS,
     TableTests,
     day_counts,
     day_gates,
@@ -77,6 +80,49 @@ def dq_not_null_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_tests(lines, TableTests("lineitem", not_null=["l_orderkey", "l_shipdate"], unique=["line_id"]))
 
 
+_CUSTOMERS_SQL = """(SELECT CAST(c_custkey AS VARCHAR) AS customer_id, sha256(c_name) AS email_hash,
+      DATE '2024-01-01' - CAST(floor(abs(c_acctbal)) AS INTEGER) AS created_at FROM customer)"""
+_SOURCE_SQL = {
+    "raw_events": "(SELECT *, event_date AS _partition_date FROM lake)",
+    "raw_customers": _CUSTOMERS_SQL,
+    "transactions": "transactions",
+    "events": "streamed",
+}
+
+
+def _declared_sql() -> str:
+    """All declared tests of all sources."""
+    lines = []
+    for t in SOURCE_TESTS:
+        own = _SOURCE_SQL[t.table]
+        lines += [_line("not_null", c, f"count(*) FILTER ({c} IS NULL)", t.table, own) for c in t.not_null]
+        for c, values in t.accepted.items():
+            listed = ", ".join(f"'{v}'" for v in values)
+            lines.append(_line("accepted_values", c, f"count(*) FILTER ({c} NOT IN ({listed}))", t.table, own))
+        for c in t.unique:
+            repeated = f"(SELECT {c} FROM {own} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+            lines.append(_line("unique", c, "count(*)", t.table, repeated))
+    return " UNION ALL ".join(lines)
+
+
+@query(f"WITH {roles.RAW_SQL}, results AS ({_declared_sql()}) {_STATUS} results")
+def dq_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test declared for any source table."""
+    tenure = F.floor(F.abs("c_acctbal")).cast("int")
+    customers = roles.customer(spark, sf_dir).select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.sha2("c_name", 256).alias("email_hash"),
+        F.date_sub(F.lit("2024-01-01").cast("date"), tenure).alias("created_at"),
+    )
+    frames = {
+        "raw_events": roles.lake(spark, sf_dir),
+        "raw_customers": customers,
+        "transactions": roles.transactions(spark, sf_dir),
+        "events": roles.streamed(spark, sf_dir),
+    }
+    return reduce(DataFrame.unionByName, [run_tests(frames[t.table], t) for t in SOURCE_TESTS])
+
+
 @query(
     f"""SELECT event_type AS value_field, count(*) AS n_records FROM events
     WHERE event_type NOT IN ({_ACCEPTED}) GROUP BY 1"""
