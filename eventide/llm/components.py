@@ -27,7 +27,7 @@ def connected_components(
     own = edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     own = write(own, "component-edges")
     before = _state(own)
-    while True:
+    while before[0]:
         both = own.unionByName(own.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low"))
         low = write(low.select("u", F.least("u", "low").alias("low")), "component-low")
