@@ -30,7 +30,7 @@ from eventide.llm.arrow import FIRST, SECOND, Piece, Words, mix, pieces, whole_r
 from eventide.llm.frames import Bitmap, map_batches, two_columns
 from eventide.storage import materialize
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: `done` is the result of a document without open windows, and only the others carry their text along.
 LOCATED = (
     "doc_id long, text string, n_words int, done string, starts array<int>, seen array<boolean>, "
