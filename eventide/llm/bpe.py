@@ -30,7 +30,7 @@ from eventide.llm.units import TwoGenerations, UnitCache, units
 
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
 #: Large pieces give the queue many pre-tokens at once.
-PIECE_BYTES = 1 << 23
+PIECE_BYTES = 1 << 22
 #: Pre-tokens of more bytes go through the queue one at a time.
 LONG = 64
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -96,7 +96,7 @@ class Encoder:
         }
         self.pairs = np.sort(np.fromiter(joins, np.int64, len(joins)))
         self.pair_ranks = np.array([joins[k] for k in self.pairs.tolist()] + [-1], np.int64)
-        self.known = TwoGenerations(150_000)
+        self.known = TwoGenerations(100_000)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids put together, -1 where that is no token."""
@@ -241,7 +241,7 @@ def load_encoder(path: str, pattern: str) -> Encoder:
 
 @lru_cache(maxsize=2)
 def _cache(path: str) -> UnitCache:
-    return UnitCache()
+    return UnitCache(120_000)
 
 
 def shared_file(spark, path: str) -> str:
