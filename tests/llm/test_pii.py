@@ -83,7 +83,7 @@ def test_terms_that_tell_of_an_entity_are_found_in_its_documents(frame, rng):
         digest = ",".join(f"{k}:{s}:{e}" for s, k, e in base)
         assert got[i].base_sha256 == hashlib.sha256(digest.encode()).hexdigest()
         assert [got[i][f"n_{k}"] for k in KINDS] == [sum(x == k for _, x, _ in base) for k in KINDS]
-    assert got[100].sanitised == "line aaaa the  of [EMAIL],  \n again\nthe"
+    assert got[100].sanitised == "line aaaa the [TERM] of [EMAIL],  \n[TERM] again\nthe"
     assert "[TERM]" in got[200].sanitised and got[0].sanitised == own[0][1]
 
 
