@@ -240,8 +240,8 @@ def load_encoder(path: str, pattern: str) -> Encoder:
 
 
 @lru_cache(maxsize=2)
-def _cache(path: str) -> UnitCache:
-    return UnitCache(120_000)
+def _cache(path: str, most: int) -> UnitCache:
+    return UnitCache(most)
 
 
 def shared_file(spark, path: str) -> str:
@@ -254,13 +254,13 @@ def worker_path(name: str) -> str:
     return SparkFiles.get(name)
 
 
-def _batches(docs: DataFrame, path: str, pattern: str, schema: str, row) -> DataFrame:
+def _batches(docs: DataFrame, path: str, pattern: str, schema: str, row, size: int, most: int) -> DataFrame:
     name = shared_file(docs.sparkSession, path)
 
     def work(batch: pa.RecordBatch):
-        encoder, cache = load_encoder(worker_path(name), pattern), _cache(name)
+        encoder, cache = load_encoder(worker_path(name), pattern), _cache(name, most)
 
-        for piece in pieces(batch.column(1), PIECE_BYTES):
+        for piece in pieces(batch.column(1), size):
             found = units(piece, encoder.pattern)
             hashes = FIRST.ranges(piece.data, found.starts, found.ends)
             values, where = cache.look_up(piece, found, hashes, encoder.encode_units)
@@ -289,7 +289,7 @@ def encode_documents(
     def row(encoder: Encoder, ids: np.ndarray, units: list) -> dict:
         return {"ids": ids, "decoded": encoder.decode(ids.tolist())}
 
-    return _batches(two_columns(docs, id_col, text_col), path, pattern, SCHEMA, row)
+    return _batches(two_columns(docs, id_col, text_col), path, pattern, SCHEMA, row, PIECE_BYTES // 4, 40_000)
 
 
 def digest_documents(
@@ -305,7 +305,7 @@ def digest_documents(
             "decoded_sha256": hashlib.sha256(encoder.decode(ids.tolist())).hexdigest(),
         }
 
-    return _batches(two_columns(docs, id_col, text_col), path, pattern, DIGESTS, row)
+    return _batches(two_columns(docs, id_col, text_col), path, pattern, DIGESTS, row, PIECE_BYTES, 120_000)
 
 
 def decode_documents(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
