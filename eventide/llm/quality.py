@@ -115,12 +115,14 @@ def train(
     `docs` has doc_id and text, `labels` has doc_id and label, 1 for good and 0 for bad. Rows without id or
     label are left out; of several labels of one document the highest counts. Half of the sample goes into
     the dictionaries, `blocks_per_doc` blocks of `block` bytes spread over each text; the other half fits the
-    curve. If a label is missing altogether, every score is the share of good labels, or 0.5 without any.
+    curve, each row weighted so that the labels have their shares among all labelled documents, however many
+    were sampled. If a label is missing altogether, every score is the share of good labels, or 0.5 without any.
     """
     texts = two_columns(docs, "doc_id", "text")
     clean = labels.select("doc_id", F.col("label").cast("int").alias("label")).dropna()
     clean = clean.groupBy("doc_id").agg(F.max("label").alias("label"))
     clean = clean.join(texts.select("doc_id"), "doc_id", "left_semi")
+    totals = {r.label: r["count"] for r in clean.groupBy("label").count().collect()}
     place = F.xxhash64("doc_id", F.lit("sample"))
     picked = None
     for label in (0, 1):
@@ -144,7 +146,7 @@ def train(
     rest = sample.where("not place")
     known = {r.doc_id: r.label for r in ids}
     found = [(r.difference, known[r.doc_id]) for r in score(rest, model).collect()]
-    slope, intercept = _curve(np.array(found, float).reshape(-1, 2))
+    slope, intercept = _curve(np.array(found, float).reshape(-1, 2), totals[1] / (totals[0] + totals[1]))
     return Model(*dictionaries, slope, intercept, block, level)
 
 
@@ -173,18 +175,22 @@ def _dictionary(blocks: list[bytes], size: int) -> bytes:
         return b"".join(blocks)[:size] or b"\n"
 
 
-def _curve(found: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and intercept of the logistic curve by Newton's method, with softened labels."""
+def _curve(found: np.ndarray, share: float, steps: int = 50) -> tuple[float, float]:
+    """Slope and intercept of the logistic curve by Newton's method, with softened labels.
+
+    `share` is that of good labels among all documents; the rows are weighted to have it.
+    """
     x, y = found[:, 0], found[:, 1]
     if len(set(y)) < 2:
         return -30.0, 0.0
     smooth = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
     design = np.stack([x, np.ones_like(x)], 1)
+    rows = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     weights = np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
-        slope = design.T @ (p - smooth) + 1e-3 * weights
-        curve = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        slope = design.T @ (rows * (p - smooth)) + 1e-3 * weights
+        curve = (design * (rows * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
         step = np.linalg.solve(curve, slope)
         weights -= step
         if np.abs(step).max() < 1e-9:

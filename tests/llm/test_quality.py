@@ -1,5 +1,7 @@
 import zlib
+from statistics import NormalDist
 
+import numpy as np
 import pyspark.sql.functions as F
 import pytest
 
@@ -39,6 +41,23 @@ def test_held_out_accuracy(spark, labelled):
     assert quality.train(docs, learned) == model
 
 
+def test_a_reached_cap_keeps_the_share_of_labels(labelled):
+    docs, labels = labelled
+    counts = {r.label: r["count"] for r in labels.groupBy("label").count().collect()}
+    cap = counts[0] * 3 // 4
+    assert counts[1] > 4 * cap
+    large, small = quality.train(docs, labels), quality.train(docs, labels, sample_docs=cap)
+    own = labels.join(quality.score(docs, small), "doc_id").agg(F.avg("score")).first()[0]
+    whole = labels.join(quality.score(docs, large), "doc_id").agg(F.avg("score")).first()[0]
+    share = counts[1] / (counts[0] + counts[1])
+    assert abs(own - share) < 0.05 and abs(own - whole) < 0.05
+    spread = [NormalDist(m, 0.02).inv_cdf((i + 0.5) / n) for n, m in ((4000, -0.03), (600, 0.03)) for i in range(n)]
+    rows = np.c_[spread, np.arange(4600) < 4000]
+    (a, b), (c, d) = (quality._curve(x, 4000 / 4600) for x in (rows, np.vstack([rows[:4000:7], rows[4000:]])))
+    at = np.linspace(-0.1, 0.1, 21)
+    assert np.abs(1 / (1 + np.exp(-a * at - b)) - 1 / (1 + np.exp(-c * at - d))).max() < 0.05
+
+
 def test_odd_rows(spark, labelled, frame, odd):
     docs, labels = labelled
     model = quality.train(docs, labels, sample_docs=100)
