@@ -3,10 +3,13 @@
 An item with an error budget of k edits is split into k + 1 pieces. A passage within k edits of the item has at
 least one piece unchanged, so an Aho-Corasick automaton of all pieces finds every place where an item may be.
 Myers' bit-parallel algorithm then gives the least edit distance between the item and any passage there.
+All this is done twice, on the characters as they are and without case and with every run of white space as one
+space; neither finds all that the other does, as a word taken out leaves one space more.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +29,27 @@ def error_budget(length: int, percent: int) -> int:
     return length * percent // 100
 
 
+def fold(text: str) -> str:
+    """The text without case, its runs of white space as one space each, and none at its ends."""
+    return " ".join(text.casefold().split())
+
+
+def unfold(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Where spans of `fold(text)` are in the text itself."""
+    begins, ends = [], []  # of each folded character
+    for word in re.finditer(r"\S+", text):
+        if begins:
+            begins.append(ends[-1])
+            ends.append(word.start())
+        places = range(word.start(), word.end())
+        if len(word[0].casefold()) > len(word[0]):  # such as a sharp s, which is two characters then
+            places = [i for i in places for _ in text[i].casefold()]
+        begins.extend(places)
+        ends.extend(i + 1 for i in places)
+    begins.append(len(text))
+    return [(begins[a], ends[b - 1] if b > a else begins[a]) for a, b in spans]
+
+
 @dataclass
 class Finder:
     """The pieces of some items as an automaton."""
@@ -72,6 +96,24 @@ class Finder:
         return out
 
 
+class FoldingFinder:
+    """The passages of some items as they are and as they are folded, the nearer one for each item."""
+
+    def __init__(self, items: list[tuple[int, str]], percent: int):
+        self.items = items
+        self.plain = Finder([(n, text) for n, (_, text) in enumerate(items)], percent)
+        folded = ((n, fold(text)) for n, (_, text) in enumerate(items))
+        self.folded = Finder([(n, text) for n, text in folded if text], percent)
+
+    def matches(self, text: str) -> list[tuple[int, int, int, int]]:
+        best = {n: (distance, a, b) for n, a, b, distance in self.plain.matches(text)}
+        found = self.folded.matches(fold(text))
+        found = [x for x in found if x[0] not in best or x[3] < best[x[0]][0]]
+        places = unfold(text, [(a, b) for _, a, b, _ in found]) if found else []
+        best |= {n: (distance, a, b) for (n, _, _, distance), (a, b) in zip(found, places, strict=True)}
+        return [(self.items[n][0], a, b, distance) for n, (distance, a, b) in sorted(best.items())]
+
+
 def _windows(starts: list[int], length: int, budget: int, end: int) -> list[list[int]]:
     """Ranges of the text that hold every passage with one of these starts, put together where they overlap."""
     out: list[list[int]] = []
@@ -139,9 +181,11 @@ def contaminated(
     """The documents that hold a passage of an item, with the best passage for each such item.
 
     `items` has item_id and text. The budget of an item is `percent` of its characters, rounded down, so one of
-    fewer than 100 / percent characters matches exactly. Matching is on characters as they are. An item that is
-    NULL or empty matches nothing, nor does a NULL text; rows that repeat are searched one by one and items of
-    equal text are reported one by one. Spans count characters, the end is exclusive.
+    fewer than 100 / percent characters matches exactly. Matching is on characters as they are, and again on those
+    that `fold` leaves of item and text, with the budget that goes with them; of the two the least distance counts,
+    the former if they are equal. An item that is NULL or empty matches nothing, nor does a NULL text; rows that
+    repeat are searched one by one and items of equal text are reported one by one. Spans count characters of the
+    text as it is, the end is exclusive.
 
     Items go to the workers by broadcast, in shards of about `shard_bytes`; each shard is one pass over the
     documents. An item longer than that is a shard of its own.
@@ -205,9 +249,9 @@ def _search(texts: DataFrame, items: list[tuple[int, str]], percent: int) -> Dat
 _LAST: list = [None, None]
 
 
-def _finder(shared) -> Finder:
-    """The automaton of a broadcast, built once per worker."""
+def _finder(shared) -> FoldingFinder:
+    """The automata of a broadcast, built once per worker."""
     items, percent = shared.value
     if _LAST[0] is not items:
-        _LAST[:] = items, Finder(items, percent)
+        _LAST[:] = items, FoldingFinder(items, percent)
     return _LAST[1]

@@ -1,7 +1,7 @@
 import pyspark.sql.functions as F
 import pytest
 
-from eventide.llm.decontaminate import Finder, contaminated, error_budget, holds_item, myers
+from eventide.llm.decontaminate import Finder, contaminated, error_budget, fold, holds_item, myers, unfold
 from tests.llm.brute import distance
 
 
@@ -68,6 +68,42 @@ def test_documents(spark, frame, odd, rng, shard_bytes):
     assert kept.count() == len(docs) - 7
 
 
+def test_unfold_gives_the_places_in_the_text(rng):
+    for _ in range(300):
+        text = "".join(rng.choices(["a", "B", "ß", "İ", "ﬃ", "é", " ", "\n", "\t ", "\u00a0"], k=rng.randint(1, 30)))
+        short = fold(text)
+        assert short == fold(short) == fold(text.upper()) or "İ" in text
+        for (a, b), (start, end) in zip(all_spans := [(i, j) for i in range(len(short) + 1) for j in range(i, len(short) + 1)],
+                                        unfold(text, all_spans), strict=True):
+            assert 0 <= start <= end <= len(text) and (a == b) == (start == end)
+            assert short[a:b].strip() in fold(text[start:end])
+        assert not short or unfold(text, [(0, len(short))]) == [(len(text) - len(text.lstrip()), len(text.rstrip()))]
+
+
+def test_upper_cased_and_rewrapped_passages(spark, frame, rng):
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(25)]
+    item = " ".join([*words, "die Straße", *words[::-1]])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    edits = edited(rng, item, error_budget(len(item), 5) // 2, "xyz")
+    passages = {
+        10: item.upper(),
+        11: item.replace(" ", "\n"),
+        12: item.replace(" ", " \r\n\t  "),
+        13: item.title().replace(" ", "\n   "),
+        14: edits.upper().replace(" ", "  "),
+    }
+    docs = [(i, f"Ein  Anfang\n\n{x}\n ENDE ") for i, x in passages.items()]
+    docs += [(20, "\n".join(words).upper()), (21, " \n "), (22, None)]
+    got = {r.doc_id: r for r in contaminated(frame(docs), bench).collect()}
+    assert got.keys() == passages.keys() and {r.item_id for r in got.values()} == {1}
+    for i, text in docs[:4]:
+        assert (text[got[i].start : got[i].end], got[i].distance) == (passages[i], 0)
+    assert got[14].distance <= error_budget(len(fold(item)), 5)
+    assert fold(dict(docs)[14][got[14].start : got[14].end]) in fold(dict(docs)[14])
+    kept = frame(docs).where(~holds_item(F.col("text"), bench))
+    assert {r.doc_id for r in kept.collect()} == {20, 21, 22}
+
+
 def test_empty_tables(spark, frame):
     items = spark.createDataFrame([], "item_id long, text string")
     docs = frame([(1, "some text")])
