@@ -50,7 +50,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find_personal(table(spark, sf_dir, "documents")).drop("sanitised")
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal(docs, min_support=1, around=1, doubt=1, term=pii.ANY_TERM)
+    return found.drop("sanitised")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

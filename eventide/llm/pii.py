@@ -3,7 +3,8 @@
 Protected entities are the e-mail addresses, IP addresses, card and phone numbers in the texts. How much a term
 tells about an entity is estimated from the whole corpus: over lines, the pointwise mutual information of
 term and entity, log2(c(t, e) N / (c(t) c(e))), divided by the entity's information, log2(N / c(e)). One
-means that the term occurs nowhere without the entity. In documents that hold the entity, terms from
+means that the term occurs nowhere without the entity. Lines next to an entity's own can count as its lines, and
+a share is made less by how few different lines tell of it. In documents that hold the entity, terms from
 one threshold on are generalised, and from a higher one on removed. Only DataFrame functions are used.
 """
 
@@ -27,6 +28,8 @@ PATTERNS = {
 #: A text without these has no match, which is cheaper to find out.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}{3,}"
+#: Short words, names and numbers as well.
+ANY_TERM = r"[\p{L}\p{N}]+"
 SPAN = "struct<start:int,kind:int,end:int,match:string>"
 
 
@@ -99,17 +102,19 @@ def _written(found: Column, names: list[str]) -> Column:
     return F.concat_ws(",", F.transform(found, one))
 
 
-def _terms(line: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(TERM), F.lit(0)))
+def _terms(line: Column, term: str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(term), F.lit(0)))
 
 
 def disclosing_terms(
-    base: DataFrame, texts: DataFrame, generalise_at: float, min_support: int
+    base: DataFrame, texts: DataFrame, generalise_at: float, min_support: int, around: int, doubt: float, term: str
 ) -> tuple[DataFrame, DataFrame]:
     """(entity, term, share) from `generalise_at` on, and the documents (doc_id, entity) of each entity.
 
-    `base` has doc_id, text and found. A pair counts as evidence if at least `min_support` different lines hold
-    both, so that copies of one line are none. Counts are over all lines of all texts.
+    `base` has doc_id, text and found. An entity's lines are those that hold it and `around` lines before and
+    after. A pair counts as evidence if at least `min_support` different ones of them hold the term, so that copies
+    of one line are none, and with n different ones its count is taken as n / (n + doubt) of what it is. Counts
+    are over all lines of all texts.
     """
     span = F.col("span")
     before = F.substring("text", F.lit(1), span["start"])
@@ -120,27 +125,53 @@ def disclosing_terms(
         F.lower(span["match"]).alias("entity"),
         (span["start"] - F.length(F.substring_index(before, "\n", -1))).alias("at"),
         line.alias("line"),
+        *_lines_around(before, after, around),
     )
     held = materialize(held.dropDuplicates(["doc_id", "entity", "at"]), "pii-lines")
-    entities = held.groupBy("entity").agg(F.count("*").alias("c_e"))
-    both = held.select("entity", F.xxhash64("line").alias("mark"), F.explode(_terms(F.col("line"))).alias("term"))
+    own = held.select("doc_id", "entity", "at", "line")
+    if around:
+        next_to = held.select("doc_id", "entity", F.explode("near").alias("near"))
+        next_to = next_to.select("doc_id", "entity", "near.at", "near.line").dropDuplicates(["doc_id", "entity", "at"])
+        next_to = next_to.join(own.select("doc_id", "entity", "at"), ["doc_id", "entity", "at"], "left_anti")
+        own = materialize(own.unionByName(next_to), "pii-near")
+    entities = own.groupBy("entity").agg(F.count("*").alias("c_e"))
+    both = own.select("entity", F.xxhash64("line").alias("mark"), F.explode(_terms(F.col("line"), term)).alias("term"))
     both = both.groupBy("entity", "term", "mark").agg(F.count("*").alias("times"))
     both = both.groupBy("entity", "term").agg(F.sum("times").alias("c_te"), F.count("*").alias("support"))
     both = materialize(both.where(F.col("support") >= min_support), "pii-pairs")
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
     total = lines.count()
-    counted = lines.select(F.explode(_terms(F.col("line"))).alias("term")).groupBy("term").agg(F.count("*").alias("c_t"))
+    counted = lines.select(F.explode(_terms(F.col("line"), term)).alias("term")).groupBy("term").agg(F.count("*").alias("c_t"))
     wanted = both.select("term").distinct()
     counted = materialize(counted.join(wanted, "term", "left_semi"), "pii-terms")
     entities = materialize(entities.join(both.select("entity").distinct(), "entity", "left_semi"), "pii-entities")
     all_lines = F.lit(float(max(total, 1)))
-    told = F.log2(F.col("c_te") * all_lines / (F.col("c_t") * F.col("c_e")))
+    sure = F.col("support") / (F.col("support") + F.lit(float(doubt)))
+    told = F.log2(sure * F.col("c_te") * all_lines / (F.col("c_t") * F.col("c_e")))
     whole = F.log2(all_lines / F.col("c_e"))
     share = F.when(whole > 0, told / whole)
     shares = both.join(counted, "term").join(entities, "entity").select("entity", "term", share.alias("share"))
     return shares.where(F.col("share") >= generalise_at), held.select("doc_id", "entity").distinct()
 
 
+def _lines_around(before: Column, after: Column, around: int) -> list[Column]:
+    """`near`: where the lines next to the one between `before` and `after` begin, and what they are."""
+    if not around:
+        return []
+    above, below = F.split(before, "\n"), F.split(after, "\n")
+    # Of the lines above, the last is the entity's own; of those below, the first.
+    above = F.reverse(F.slice(F.reverse(above), 2, around))
+    below = F.slice(below, 2, around)
+    first = F.length(before) - F.length(F.substring_index(before, "\n", -(around + 1)))
+    next_one = F.length("text") - F.length(after) + F.length(F.substring_index(after, "\n", 1)) + 1
+
+    def begins(start: Column, some: Column) -> Column:
+        earlier = lambda i: F.aggregate(F.slice(some, F.lit(1), i), start, lambda n, x: n + F.length(x) + 1)
+        return F.transform(some, lambda x, i: F.struct(earlier(i).alias("at"), x.alias("line")))
+
+    return [F.concat(begins(first, above), begins(next_one, below)).alias("near")]
+
+
 def find_personal(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -148,12 +179,16 @@ def find_personal(
     generalise_at: float = 0.9,
     remove_at: float = 0.99,
     min_support: int = 3,
+    around: int = 0,
+    doubt: float = 0.0,
+    term: str = TERM,
 ) -> DataFrame:
     """Counts of base matches, spans and the sanitised text; one row per row of `docs`.
 
     `spans` adds to the base spans those of kind term, which are generalised to [TERM], and of kind quasi,
     which are removed; entities become [EMAIL], [IP], [CARD] and [PHONE]. Spans count characters, the end is
-    exclusive, and a term inside a base span is part of that. A NULL or empty text has no spans. Rows of
+    exclusive, and a term inside a base span is part of that. `term` is the pattern of a term; for `min_support`,
+    `around` and `doubt` see `disclosing_terms`. A NULL or empty text has no spans. Rows of
     one id count as one document; a row without an id gets base spans only. An empty table gives an empty
     result, and only the two named columns are read.
     """
@@ -161,7 +196,7 @@ def find_personal(
     found = texts.select("doc_id", "text", base_spans(F.col("text")).alias("found"))
     base = materialize(found.withColumn("personal", F.size("found") > 0), "pii-base")
     own = base.where("personal")
-    shares, held = disclosing_terms(own, texts, generalise_at, min_support)
+    shares, held = disclosing_terms(own, texts, generalise_at, min_support, around, doubt, term)
     shares = materialize(shares, "pii-shares")
     worst = held.join(shares, "entity").groupBy("doc_id", "term").agg(F.max("share").alias("share"))
     by_doc = worst.groupBy("doc_id").agg(
@@ -173,8 +208,9 @@ def find_personal(
     with_terms = own.join(by_doc, "doc_id", "left")
     none = F.array().cast(f"array<{SPAN}>")
     added = []
+    letter = r"\p{L}" if term == TERM else r"[\p{L}\p{N}]"
     for n, name in ((4, "term"), (5, "quasi")):
-        pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.col(name), F.lit(r")(?!\p{L})"))
+        pattern = F.concat(F.lit(rf"(?iu)(?<!{letter})(?:"), F.col(name), F.lit(rf")(?!{letter})"))
         some = spans(F.col("text"), pattern, F.lit(n))
         added.append(F.when(F.coalesce(F.col(name), F.lit("")) != "", some).otherwise(none))
     outside = lambda t: ~F.exists("found", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"]))

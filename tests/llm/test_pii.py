@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pyspark.sql.functions as F
 
-from eventide.llm.pii import KINDS, base_spans, find_personal
+from eventide.llm.pii import ANY_TERM, KINDS, base_spans, find_personal
 from tests.llm.brute import personal
 from tests.llm.conftest import DOCS
 
@@ -87,6 +87,62 @@ def test_terms_that_tell_of_an_entity_are_found_in_its_documents(frame, rng):
     assert "[TERM]" in got[200].sanitised and got[0].sanitised == own[0][1]
 
 
+def around_terms(rows, share_from):
+    """doc id -> term -> share, over an entity's own lines and the ones next to them, one of n lines in doubt."""
+    word = r"[^\W_]+"
+    lines = [x for _, t in rows for x in t.split("\n")]
+    in_lines = Counter(t for x in lines for t in set(re.findall(word, x.lower())))
+    own, holders = {}, defaultdict(set)
+    for near in (True, False):
+        for i, text in rows:
+            for start, _, end in personal(text):
+                entity, n = text[start:end].lower(), text.count("\n", 0, start)
+                holders[entity].add(i)
+                every = text.split("\n")
+                begin = text.rfind("\n", 0, start) + 1
+                line = text[begin:start] + " " + (text[end:] + "\n").split("\n")[0]
+                found = {m: every[m] for m in (n - 1, n + 1) if 0 <= m < len(every)} if near else {n: line}
+                own |= {(entity, i, m): x for m, x in found.items()}
+    both, marks, of_entity, out = Counter(), defaultdict(set), Counter(), defaultdict(dict)
+    for (entity, _, _), line in own.items():
+        of_entity[entity] += 1
+        for t in set(re.findall(word, line.lower())):
+            both[entity, t] += 1
+            marks[entity, t].add(line)
+    for (e, t), c in both.items():
+        sure = len(marks[e, t]) / (len(marks[e, t]) + 1)
+        whole = math.log2(len(lines) / of_entity[e])
+        share = math.log2(sure * c * len(lines) / (in_lines[t] * of_entity[e])) / whole
+        if share >= share_from:
+            for i in holders[e]:
+                out[i][t] = max(share, out[i].get(t, 0))
+    return out
+
+
+def test_terms_beside_one_address_are_found(frame, rng):
+    names = ["abc" * 2, "def" * 3, "Li", "of", "to", "x9", "the"]
+    own = [(i, "\n".join(" ".join(rng.choices(names, k=5)) for _ in range(200))) for i in range(20)]
+    own.append((100, "the to\nJo Vu of Pax\nticket 90417 to zed@mail.example.org of the\nof Klio\nthe last one, of Jo"))
+    own += [(200 + i, f"of to\nthe copy{i} of\nroom 7 at 10.0.0.7 of copy{i}\n\nof") for i in range(9)]
+    own += [(300 + i, "to\nhall 9 at 10.0.0.9 of the\nto") for i in range(9)]
+    docs = frame(own)
+    got = {r.doc_id: r for r in find_personal(docs, min_support=1, around=1, doubt=1, term=ANY_TERM).collect()}
+    terms = around_terms(own, 0.9)
+    assert terms[100].keys() >= {"vu", "pax", "ticket", "90417", "klio"} and not terms[100].keys() & {"of", "the", "to"}
+    assert terms[200].keys() >= {"room", "7"} and not terms[200].keys() & {"of", "the"}
+    assert not terms.get(300)  # copies of a line are one
+    for i, text in own:
+        base = personal(text)
+        spans = list(base)
+        for t, share in terms.get(i, {}).items():
+            for m in re.finditer(rf"(?i)(?<![^\W_]){t}(?![^\W_])", text):
+                if not any(m.start() < e and s < m.end() for s, _, e in base):
+                    spans.append((m.start(), "quasi" if share >= 0.99 else "term", m.end()))
+        assert got[i].spans == ",".join(f"{k}:{s}:{e}" for s, k, e in sorted(spans))
+    assert "[TERM] [TERM] to [EMAIL]" in got[100].sanitised
+    assert "[TERM]" not in {r.doc_id: r for r in find_personal(docs).collect()}[100].sanitised
+
+
 def test_odd_rows_and_whole_texts(frame, rows, odd):
     own = [*rows, *((100_000 + i if i else i, t) for i, t in odd), (None, "x@y.zz"), (900, "me@h.org " * 500)]
     got = find_personal(frame(own)).collect()
