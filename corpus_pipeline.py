@@ -10,7 +10,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import bpe, decontaminate, line_dedup, ngram_join, quality
-from eventide.llm.frames import table, without
+from eventide.llm.frames import Bitmap, table, without
 from eventide.storage import materialize
 
 #: No SQL: compression, edit distances and byte-pair merges are beyond it.
@@ -33,10 +33,16 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of documents with much the same n-grams."""
+    """One document, that of the smallest id, of each group of documents with much the same n-grams.
+
+    Of rows with one id and one text, one stays.
+    """
     classes = ngram_join.jaccard_classes(docs)
     copies = materialize(classes.where("component_id != doc_id").select("doc_id"), "copies")
-    return without(docs, "doc_id", copies)
+    left = without(docs, "doc_id", copies)
+    repeated = left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    maybe = Bitmap(repeated).has(left.doc_id)
+    return left.where(~maybe).unionByName(left.where(maybe).dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -229,6 +229,17 @@ def _near(columns: dict, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarr
     return use
 
 
+def _of_one_id(sets: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the classes of the rows of each id that has different sets."""
+    differs = F.min("set_a").alias("low"), F.max("set_a").alias("high"), F.min("set_b").alias("l"), F.max("set_b").alias("h")
+    several = sets.groupBy("doc_id").agg(*differs).where("low != high or l != h").select("doc_id")
+    several = scratch.write(several, "join-several")
+    own = sets.join(several, "doc_id", "left_semi").join(classes, ["n_shingles", "set_a", "set_b"])
+    own = scratch.write(own.select("doc_id", "class").distinct(), "join-own")
+    low = own.groupBy("doc_id").agg(F.min("class").alias("a"))
+    return own.join(low, "doc_id").where("class != a").select("a", F.col("class").alias("b"))
+
+
 def jaccard_classes(
     docs: DataFrame,
     n: int = 5,
@@ -258,7 +269,8 @@ def jaccard_classes(
     low = scratch.write(shared.groupBy("sig").agg(F.min("doc_id").alias("a")), "join-low")
     pairs = shared.join(low, "sig").where("doc_id != a").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a"))
     pairs = scratch.write(pairs.select("a", "b"), "join-pairs")
-    links = scratch.write(_linked(pairs, texts, n, percent), "join-links")
+    links = _linked(pairs, texts, n, percent).unionByName(_of_one_id(sets, classes, scratch))
+    links = scratch.write(links, "join-links")
     found = scratch.write(connected_components(links, scratch.write), "join-found")
 
     # Then all pairs that share a signature and are not yet connected.

@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from eventide.llm.arrow import pieces
 from eventide.llm.components import connected_components
 from eventide.llm.ngram_join import jaccard_classes, shingle_sets, signatures, sketches
@@ -60,6 +61,20 @@ def test_rows_without_id_and_repeated_rows(frame, odd):
     assert found == [(0, 0, 0), (0, 4, 0), (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (9, 1, 4), (9, 1, 4)]
 
 
+def test_an_id_with_two_texts_links_their_classes(spark, frame):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven twelve", "quite another text of some words")
+    own = [(1, a), (2, b), (5, a), (5, b), (5, b), (7, c), (8, c), (8, ""), (9, b), (9, a + " more"), (None, a)]
+    got = jaccard_classes(frame(own), 3, 90).collect()
+    assert len(got) == len(own)
+    assert {(r.doc_id, r.component_id) for r in got if r.n_shingles and r.doc_id} == {
+        (1, 1), (2, 1), (5, 1), (7, 7), (8, 7), (9, 1)
+    }
+    kept = corpus_pipeline.near_copies(spark, frame([*own, (1, a), (7, c), (7, b + " end"), (None, a)]), "")
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
+        [(0, a), (0, a), (1, a), (7, c), (7, b + " end")]
+    )
+
+
 def test_empty_table(spark):
     assert jaccard_classes(spark.createDataFrame([], DOCS)).count() == 0
 
