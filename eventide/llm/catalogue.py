@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import string
+
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import (
     bpe,
     decontaminate,
+    fill_middle,
     line_dedup,
+    merkle,
     ngram_join,
     pii,
     quality,
     rules,
+    simhash,
     substring_dedup,
     token_counts,
     url_filter,
@@ -86,6 +91,30 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.document_fingerprints(table(spark, sf_dir, "documents"))
+    return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(restored, 256)}
+    return made.withColumns(digests).drop("output")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = merkle.leaf_digest([docs[c] for c in columns[:-1]] + [lowered])
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    proven = merkle.manifest(docs, columns, also={"tampered": F.when(hit, tampered)})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    proven = proven.withColumns({"proof_sha256": merkle.proof_digest(F.col("proof")), "folded_root": folded})
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root")).drop("proof", "tampered")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,5 +128,8 @@ QUERIES = {
         op8_substring_dedup,
         op9_pii,
         op10_quality_rules,
+        op11_simhash,
+        op12_fill_in_middle,
+        op13_merkle_manifest,
     )
 }

@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventide.llm.arrow import mix
+from eventide.operators.keyed import small_side
 from eventide.storage import materialize, remove_path, scratch_path
 
 
@@ -41,6 +42,35 @@ def map_batches(
     return df.mapInArrow(run, fields)
 
 
+def numbered(
+    df: DataFrame,
+    group: str,
+    order: list[Column],
+    write: Callable[[DataFrame, str], DataFrame] = materialize,
+) -> DataFrame:
+    """Add `index`, the place of each row in its group from 0, and `total`, the rows of the group.
+
+    `group` is a column without NULL. Rows are sorted by ranges of (group, order), so a hot group lies in many
+    tasks; a row's place is its place in the range plus the rows of the group in the ranges before. `order`
+    leaves only rows equal that may change places.
+    """
+    at = F.monotonically_increasing_id()  # the range in the upper bits, the row in it in the lower 33
+    ranged = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order).withColumn("at", at)
+    rows = write(ranged.withColumn("slice", F.shiftright("at", 33)), "numbered")
+    slices = rows.groupBy(group, "slice").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    across = Window.partitionBy(group)
+    earlier = across.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select(
+        F.col(group).alias("group_of"),
+        F.col("slice").alias("slice_of"),
+        (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("rows").over(across).alias("total"),
+    )
+    edges = small_side(write(slices, "numbered-slices"))
+    joined = rows.join(edges, (F.col(group) == F.col("group_of")) & (F.col("slice") == F.col("slice_of")))
+    return joined.select(*df.columns, (F.col("at") + F.col("shift")).alias("index"), "total")
+
+
 class Scratch:
     """Tables in shared storage that nothing needs any more once an operator has its result."""
 

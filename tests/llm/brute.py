@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -154,3 +156,91 @@ def personal(text: str | None) -> list[tuple[int, str, int]]:
             if valid[kind]():
                 out.append((m.start(), order, kind, m.end()))
     return [(s, k, e) for s, _, k, e in sorted(out)]
+
+
+def fingerprint(text: str | None) -> int:
+    """Signs of the bit votes of neighbouring words' hashes; 0 without words."""
+    words = [w.encode() for w in WORD.findall((text or "").lower())]
+    votes = [0] * 64
+    for i, w in enumerate(words):
+        h = xxhash.xxh64_intdigest(w, seed=42)
+        if i + 1 < len(words):
+            h = xxhash.xxh64_intdigest(words[i + 1], seed=h)
+        for j in range(64):
+            votes[j] += 1 if h >> j & 1 else -1
+    return sum(1 << j for j in range(64) if votes[j] > 0)
+
+
+def edited_texts(rows: list[tuple[int, str | None]]) -> dict:
+    """doc_id -> the text with its last half replaced from the next document, by descending id."""
+    order = sorted(((i, t or "") for i, t in rows), reverse=True)
+    out = {}
+    for k, (i, text) in enumerate(order):
+        half = len(text) // 2
+        out[i] = text[: len(text) - half] + order[(k + 1) % len(order)][1][:half]
+    return out
+
+
+def near_classes(prints: dict[int, int | None], radius: int) -> dict:
+    """doc_id -> smallest id reachable over fingerprints at most `radius` bits apart."""
+    found = Sets(prints)
+    some = sorted(i for i in prints if prints[i] is not None)
+    for k, i in enumerate(some):
+        for j in some[k + 1 :]:
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                found.join(i, j)
+    return {i: found.find(i) for i in prints}
+
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_in_middle(doc_id: int | None, text: str | None) -> tuple:
+    """(units, form, characters of prefix and middle, output)."""
+    text = text or ""
+    units = UNIT.findall(text)
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    a, b, c, d = (int(digest[i : i + 8], 16) for i in range(0, 32, 8))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or c % 100 >= 50:
+        return len(units), "plain", None, None, text
+    low, high = sorted((a % (len(units) + 1), b % (len(units) + 1)))
+    p, m, s = "".join(units[:low]), "".join(units[low:high]), "".join(units[high:])
+    form = "spm" if d % 100 < 80 else "psm"
+    output = f"<S>{s}<P>{p}<M>{m}" if form == "spm" else f"<P>{p}<S>{s}<M>{m}"
+    return len(units), form, len(p), len(m), output
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle_paths(nodes: list[str], fanout: int) -> tuple[str, list[list[tuple[str, str]]]]:
+    """The root over some nodes, and the siblings before and after each on every level."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, k in enumerate(at):
+            run = k - k % fanout
+            paths[i].append(("".join(nodes[run:k]), "".join(nodes[k + 1 : run + fanout])))
+        nodes = [sha("".join(nodes[k : k + fanout])) for k in range(0, len(nodes), fanout)]
+        at = [k // fanout for k in at]
+    return nodes[0], paths
+
+
+def merkle_manifest(rows: list[tuple], fanout: int) -> list[tuple]:
+    """(doc_id, leaf, subroot, root, siblings) for rows of (doc_id, source, text)."""
+    by_source = defaultdict(list)
+    for row in rows:
+        values = [None if v is None else str(v) for v in row]
+        leaf = sha("".join("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+        by_source[row[1]].append((row[0] is not None, row[0] or 0, leaf))
+    names = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = []
+    for s in names:
+        own = sorted(by_source[s])
+        trees.append((own, *merkle_paths([leaf for *_, leaf in own], fanout)))
+    root, tops = merkle_paths([subroot for _, subroot, _ in trees], fanout) if trees else ("", [])
+    return [
+        (i if known else None, leaf, subroot, root, path + top)
+        for (own, subroot, paths), top in zip(trees, tops, strict=True)
+        for (known, i, leaf), path in zip(own, paths, strict=True)
+    ]

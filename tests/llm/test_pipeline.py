@@ -12,7 +12,7 @@ from tests.conftest import SMALL
 
 def test_registered():
     names = set(entry.queries())
-    assert {q.split("_")[0] for q in catalogue.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in catalogue.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(catalogue.QUERIES) | {"pipeline"} <= names
     assert set(catalogue.ORACLES) <= set(catalogue.QUERIES)
 
