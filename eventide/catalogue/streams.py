@@ -13,7 +13,7 @@ from eventide.functions import json_scalar, parse_payload
 from eventide.operators.history import read_as_of, read_log
 from eventide.schemas import STREAM_EVENTS_SCHEMA
 from eventide.sources.lake import read_table
-from eventide.storage import scratch_path
+from eventide.storage import materialize, scratch_path
 from eventide.streaming.ingest import (
     append_files,
     daily_counts,
@@ -23,8 +23,11 @@ from eventide.streaming.ingest import (
     without_personal_data,
     without_replays,
 )
+from eventide.streaming.late import daily_totals, read_routed, route_late, settle_days
 
 
+_STREAM = "event_id string, event_timestamp timestamp, user_id string, event_type string, payload string"
+
 
 def _batch_time(batch: int) -> dt.datetime:
     return dt.datetime(2024, 2, 1) + dt.timedelta(hours=batch)
@@ -128,3 +131,54 @@ def stream_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     drain(append_files(events, table, f"{table}-checkpoint"))
     return read_table(spark, table, "event_id string, event_type string, payload string, user_id_hash string")
+
+
+#: Landings of the late stream: all events of some days, but errors arrive with the third landing and sign-ups with the
+#: last. Against the limit of the landing before, those of the last three days are in time.
+_LANDINGS = """landed AS (
+  SELECT event_id, event_timestamp, CAST(event_timestamp AS DATE) AS event_date, CASE
+      WHEN kind = 'error' THEN greatest(3, CAST(ceil(day(event_timestamp) / 6) AS INTEGER))
+      WHEN kind = 'signup' THEN 5 ELSE CAST(ceil(day(event_timestamp) / 6) AS INTEGER) END AS landing
+  FROM raw
+), limits AS (
+  SELECT landing, max(max(event_timestamp)) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL 3 DAY AS low FROM landed GROUP BY landing
+), routed AS (
+  SELECT l.*, coalesce(event_timestamp < low, FALSE) AS late FROM landed l JOIN limits USING (landing)
+)"""
+
+
+def _late_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Five landings, each a run of the stream that takes what has landed as one batch."""
+    folder, landing = scratch_path(spark, "late-stream"), scratch_path(spark, "landing")
+    kind, usual = F.col("kind"), F.ceil(F.dayofmonth("event_timestamp") / 6)
+    number = F.when(kind == "error", F.greatest(F.lit(3), usual)).when(kind == "signup", 5).otherwise(usual)
+    events = materialize(roles.raw_events(spark, sf_dir).withColumn("landing", number), "landings")
+    for n in range(1, 6):
+        own = events.filter(F.col("landing") == n).select(*STREAM_EVENTS_SCHEMA.names)
+        own.write.mode("append").json(landing, timestampFormat=roles.JSON_TIME)
+        drain(route_late(read_files(spark, landing), folder, f"{folder}-checkpoint"))
+    return folder
+
+
+@query(f"WITH {roles.RAW_SQL}, {_LANDINGS} SELECT event_id, event_timestamp, late FROM routed")
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is in one of two tables: on time, or late and beside the stream."""
+    folder = _late_stream(spark, sf_dir)
+    both = [
+        read_routed(spark, folder, name, _STREAM).select("event_id", "event_timestamp", F.lit(late).alias("late"))
+        for name, late in (("on_time", False), ("late", True))
+    ]
+    return both[0].unionByName(both[1])
+
+
+@query(
+    f"""WITH {roles.RAW_SQL}, {_LANDINGS}
+    SELECT event_date, count(*) AS row_count, count(*) FILTER (late) AS late_count FROM routed GROUP BY 1"""
+)
+def stream_settled_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the stream, then corrected for the days of late events."""
+    folder, totals = _late_stream(spark, sf_dir), scratch_path(spark, "totals")
+    daily_totals(spark, folder, totals, _STREAM)
+    settle_days(spark, folder, totals, _STREAM)
+    return read_table(spark, totals, "row_count long, late_count long, event_date date")

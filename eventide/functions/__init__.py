@@ -1,6 +1,6 @@
 """Column helpers. All of them are Spark expressions; none needs Python on the executors."""
 
-from eventide.functions.hashing import no_salt, salt_where_null, sha256_hex, surrogate_key
+from eventide.functions.hashing import no_salt, row_hashes, salt_where_null, sha256_hex, surrogate_key
 from eventide.functions.moments import (
     hour_floor,
     in_days,
@@ -18,6 +18,7 @@ __all__ = [
     "json_scalar",
     "no_salt",
     "parse_payload",
+    "row_hashes",
     "salt_where_null",
     "sha256_hex",
     "surrogate_key",

@@ -39,3 +39,13 @@ def salt_where_null(keys: Sequence[str], spread_by: Sequence[str]) -> Column:
 def no_salt(keys: Sequence[str]) -> Column:
     """0, computed from the keys: the optimizer would turn a plain 0 into a filter, not a join key."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(1)).cast("long")
+
+
+def row_hashes(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a row's values in order; NULL differs from every value.
+
+    Spark's hash passes NULLs over, so which values are missing is hashed as well.
+    """
+    missing = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    values = [F.col(c) for c in columns]
+    return F.xxhash64(missing, *values), F.xxhash64(F.lit(1), *reversed(values), missing)

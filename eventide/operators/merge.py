@@ -1,4 +1,4 @@
-"""Upsert: matched rows take the new values, unmatched source rows are added, all others stay."""
+"""Merge: matched rows take the new values or go, unmatched source rows are added, all others stay."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,10 @@ from eventide.sources.lake import read_table
 from eventide.storage import materialize, read_back, remove_path, scratch_path, table_exists
 
 
+# Distinct partition values that one merge lists in a filter; a year of days fits.
+MAX_LISTED = 1_000
+
+
 class AmbiguousSource(ValueError):
     """Several source rows want to change the same target row."""
 
@@ -34,10 +38,13 @@ def ambiguous_keys(source: DataFrame, keys: Sequence[str], target: DataFrame | N
     return repeated.join(target.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The merged table with a column `_action`: keep, update or insert.
+def merge_actions(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], deletes: DataFrame | None = None
+) -> DataFrame:
+    """The merged table with a column `_action`: keep, update, insert or delete.
 
-    Source rows are unique per key. A key with NULL matches nothing, so such source rows are inserted and
+    Source rows are unique per key. `deletes` holds keys whose target rows go; a key that the source has as
+    well is updated. Rows to delete are in the result with their old values. A key with NULL matches nothing, so such source rows are inserted and
     such target rows kept. Target rows go through one left join, which Spark broadcasts for a small
     source and splits for a hot key; rows with a NULL key are spread by a salt. A full join would read the
     target once only, but Spark can't split a hot key of a full join.
@@ -46,42 +53,63 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     if set(source.columns) != set(columns):
         raise ValueError(f"merge needs equal columns: {columns} and {source.columns}")
     complete = source.filter(~any_null(keys))
-    changes = complete.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        no_salt(keys).alias("_zero"),
-        F.struct(*columns).alias("_new"),
-    )
+    named = [F.col(k).alias(f"_key_{k}") for k in keys]
+    changes = complete.select(*named, no_salt(keys).alias("_zero"), F.struct(*columns).alias("_new"))
+    changes = changes.withColumn("_gone", F.lit(False))
+    if deletes is not None:
+        gone = deletes.select(*keys).filter(~any_null(keys)).distinct()
+        gone = gone.join(complete.select(*keys).distinct(), list(keys), "left_anti")
+        none = F.lit(None).cast(changes.schema["_new"].dataType)
+        gone = gone.select(*named, no_salt(keys).alias("_zero"), none.alias("_new"), F.lit(True).alias("_gone"))
+        changes = changes.unionByName(gone)
     salted = target.withColumn("_salt", salt_where_null(keys, columns))
     matches = [F.col(k) == F.col(f"_key_{k}") for k in keys] + [F.col("_salt") == F.col("_zero")]
     changed = F.col("_new").isNotNull()
+    action = F.when(F.col("_gone"), "delete").when(changed, "update").otherwise("keep")
     kept = salted.join(changes, reduce(lambda a, b: a & b, matches), "left").select(
         *[F.when(changed, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in columns],
-        F.when(changed, F.lit("update")).otherwise(F.lit("keep")).alias("_action"),
+        action.alias("_action"),
     )
     known = target.select(*keys).filter(~any_null(keys)).distinct()
     added = complete.join(known, list(keys), "left_anti").unionByName(source.filter(any_null(keys)))
     return kept.unionByName(added.select(*columns, F.lit("insert").alias("_action")))
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return merge_actions(target, source, keys).drop("_action")
+def merge_frames(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], deletes: DataFrame | None = None
+) -> DataFrame:
+    return merge_actions(target, source, keys, deletes).filter("_action != 'delete'").drop("_action")
+
+
+def _counts() -> list[Column]:
+    done = {"rows_inserted": "insert", "rows_updated": "update", "rows_deleted": "delete"}
+    return [F.count_if(F.col("_action") == action).alias(name) for name, action in done.items()]
 
 
 def merge_metrics(actions: DataFrame) -> DataFrame:
-    """Rows inserted, updated and deleted (a merge deletes none)."""
-    return actions.agg(
-        F.count_if(F.col("_action") == "insert").alias("rows_inserted"),
-        F.count_if(F.col("_action") == "update").alias("rows_updated"),
-        F.lit(0).cast("long").alias("rows_deleted"),
-    )
+    """Rows inserted, updated and deleted."""
+    return actions.agg(*_counts())
 
 
-def _touched(target: DataFrame, updates: DataFrame, column: str) -> DataFrame:
-    """The rows of the target's partitions that occur in the updates. Spark prunes them by the join."""
-    values = updates.select(column).distinct()
-    named = target.join(values.where(F.col(column).isNotNull()), column, "left_semi")
-    without = values.where(F.col(column).isNull()).limit(1).count()  # these are in a partition of their own
-    return named.unionByName(target.where(F.col(column).isNull())) if without else named
+def touched_partitions(
+    target: DataFrame, changes: DataFrame, column: str, most: int = MAX_LISTED
+) -> tuple[DataFrame, list[Any] | None]:
+    """The rows of the target's partitions that occur in the changes, and these partitions' values.
+
+    Spark prunes by values it knows when it plans, so up to `most` distinct ones are fetched and listed in
+    the filter. Of more, only the least and the largest bound the scan and a semi join does the rest; the
+    values are None then.
+    """
+    found = changes.select(column).distinct().limit(most + 1).collect()
+    values = [r[0] for r in found]
+    some = [v for v in values if v is not None]
+    if len(values) <= most:
+        wanted = F.col(column).isin(some) if some else F.lit(False)
+        return target.where(wanted | F.col(column).isNull() if None in values else wanted), values
+    bounds = changes.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull())).first()
+    named = target.where(F.col(column).between(F.lit(bounds[0]), F.lit(bounds[1])))
+    named = named.join(changes.select(column).distinct(), column, "left_semi")
+    return (named.unionByName(target.where(F.col(column).isNull())) if bounds[2] else named), None
 
 
 def upsert_table(
@@ -93,11 +121,13 @@ def upsert_table(
     evolve: bool = False,
     newest_by: str | None = None,
     schema: T.StructType | None = None,
+    deletes: DataFrame | None = None,
 ) -> dict[str, Any]:
     """Merge rows into the Parquet table at `path` and return what was done.
 
-    A missing table is created from the rows as they are. When the partition column is a key, only the
-    partitions that occur in the updates are read and rewritten. The merged rows are written to a staging
+    A missing table is created from the rows as they are. `deletes` holds keys whose rows go. When the
+    partition column is a key, only the partitions that occur in the updates or deletes are read and
+    rewritten, and one that loses all its rows is dropped. The merged rows are written to a staging
     folder first, since a folder cannot be overwritten while it is read; a reader that runs during
     the second write may see the table between two states, and a failed second write leaves the staging
     folder behind with all merged rows. `evolve` gives the table the columns of the
@@ -125,21 +155,39 @@ def upsert_table(
         raise AmbiguousSource(f"several source rows match one target row: {[r.asDict() for r in doubled]}")
 
     pruned = partition_by in keys and not evolve
+    touched = None
     if pruned:
-        target = _touched(target, updates, partition_by)
+        changes = updates.select(partition_by)
+        if deletes is not None:
+            changes = changes.unionByName(deletes.select(partition_by).dropna())
+        target, touched = touched_partitions(target, changes, partition_by)
 
-    actions = merge_actions(target, updates, keys).observe(
-        seen,
-        F.count_if(F.col("_action") == "insert").alias("rows_inserted"),
-        F.count_if(F.col("_action") == "update").alias("rows_updated"),
-    )
+    actions = merge_actions(target, updates, keys, deletes).observe(seen, *_counts())
     staging = scratch_path(spark, "merge")
-    merged = actions.drop("_action")
+    merged = actions.filter("_action != 'delete'").drop("_action")
     merged.write.parquet(staging)
-    _write(read_back(spark, staging, merged.schema), path, partition_by, pruned)
+    merged = read_back(spark, staging, merged.schema)
+    _write(merged, path, partition_by, pruned)
+    if pruned and seen.get["rows_deleted"]:
+        _drop_emptied(spark, path, merged, partition_by, touched, deletes)
     for used in (staging, copy):
         remove_path(spark, used)
-    return {"created": False, "rows_deleted": 0, **seen.get}
+    return {"created": False, **seen.get}
+
+
+def _drop_emptied(
+    spark: SparkSession, path: str, merged: DataFrame, column: str, touched: list[Any] | None, deletes: DataFrame
+) -> None:
+    """Remove the folders of partitions that lost all rows: a dynamic overwrite leaves what it has no rows for."""
+    left = {r[0] for r in merged.select(F.col(column).cast("string")).distinct().collect()}  # one per partition
+    if touched is None:
+        values = {r[0] for r in deletes.select(F.col(column).cast("string")).dropna().distinct().collect()}
+    else:
+        listed = spark.createDataFrame([(v,) for v in touched], merged.select(column).schema)
+        values = {r[0] for r in listed.select(F.col(column).cast("string")).dropna().collect()}
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values - left:
+        remove_path(spark, f"{path}/{column}={escape(value)}")
 
 
 def _write(

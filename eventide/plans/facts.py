@@ -12,6 +12,7 @@ from eventide.context import RunContext
 from eventide.functions import surrogate_key, whole_seconds_between
 from eventide.operators.enrich import join_customers, join_daily_spend
 from eventide.operators.keyed import MAX_GROUP_ROWS, with_neighbours
+from eventide.plans.sessions import continue_sessions
 from eventide.schemas import CUSTOMERS_SCHEMA
 
 # The columns of the fact table, in order.
@@ -74,18 +75,23 @@ def fct_events(
     incremental: bool = False,
     lookback_days: int = LOOKBACK_DAYS,
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """One row per event with customer, session and same-day purchase.
 
     An incremental run computes the last days only; sessions that reach back further are then counted
-    from the first of those days. `customers` holds a user at most once (gated by a uniqueness test),
+    from the first of those days, or with `earlier` (`sessions.state_before` that day) from their
+    beginning. `customers` holds a user at most once (gated by a uniqueness test),
     so looking them up does not change sessions and comes after the session shuffle.
     """
     if incremental:
         staged = recent(staged, "event_date", ctx, lookback_days)
         transactions = recent(transactions, "transaction_date", ctx, lookback_days)
     carried = staged.drop("seconds_into_hour", "page_url", "referrer", "dbt_invocation_id")
-    sessions = session_columns(carried, max_group_rows)
+    if earlier is None:
+        sessions = session_columns(carried, max_group_rows)
+    else:
+        sessions = continue_sessions(carried, earlier, max_group_rows)
     known = customers.select(*CUSTOMERS_SCHEMA.names)
     enriched = join_daily_spend(join_customers(sessions, known), transactions)
     return enriched.withColumn("event_key", surrogate_key(["event_id"])).select(*FACT_COLUMNS)

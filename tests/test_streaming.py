@@ -124,3 +124,39 @@ def test_personal_data_never_lands(spark, folder):
     stored = spark.read.parquet(f"{folder}/t")
     assert sorted(stored.columns) == ["event_id", "event_timestamp", "payload", "user_id_hash"]
     assert len(stored.first().user_id_hash) == 64
+
+
+def test_late_events_go_beside_the_stream_and_into_their_days(spark, folder):
+    from eventide.streaming.late import daily_totals, read_routed, route_late, settle_days
+
+    schema = "event_id string, event_timestamp timestamp, user_id string, event_type string, payload string"
+    raw, out = f"{folder}/raw", f"{folder}/out"
+    land(raw, "1.json", ("a", "2024-01-10T00:00:00", "view"), ("old", "2024-01-01T00:00:00", "view"))
+    land(raw, "2.json", ("two", "2024-01-08T00:00:00", "view"), ("four", "2024-01-06T00:00:00", "view"))
+    land(raw, "3.json", ("five", "2024-01-06T12:00:00", "view"), ("edge", "2024-01-07T00:00:00", "view"))
+    events = read_files(spark, raw, files_per_batch=1)
+    drain(route_late(events, out, f"{out}-c"))
+    # The first batch has no limit; two days late is in time, four are not, three exactly are.
+    on_time = read_routed(spark, out, "on_time", schema)
+    assert rows(on_time.select("event_id")) == [("a",), ("edge",), ("old",), ("two",)]
+    late = read_routed(spark, out, "late", schema)
+    assert rows(late.select("event_id", "batch")) == [("five", 2), ("four", 1)]
+    daily_totals(spark, out, f"{out}-t", schema)
+    totals = "row_count long, late_count long, event_date date"
+    for _ in range(2):
+        settle_days(spark, out, f"{out}-t", schema)
+        stored = spark.read.schema(totals).parquet(f"{out}-t").select("event_date", "row_count", "late_count")
+        assert [(d.day, n, m) for d, n, m in rows(stored)] == [(1, 1, 0), (6, 2, 2), (7, 1, 0), (8, 1, 0), (10, 1, 0)]
+    assert settle_days(spark, out, f"{out}-t", schema, since_batch=3).count() == 0
+
+
+def test_a_batch_that_runs_again_has_its_old_limit(spark, folder):
+    from eventide.streaming.late import _limit_before
+
+    for batch, before, through in ((4, "2024-01-01", "2024-01-05"), (5, "2024-01-05", "2024-01-09")):
+        state = spark.createDataFrame([(before, through)], "b string, t string")
+        state = state.selectExpr("cast(b as timestamp) as before", "cast(t as timestamp) as through")
+        state.write.parquet(f"{folder}/batch={batch}")
+    assert _limit_before(spark, folder, 5) == dt.datetime(2024, 1, 5)
+    assert _limit_before(spark, folder, 6) == dt.datetime(2024, 1, 9)
+    assert _limit_before(spark, f"{folder}/none", 0) is None
