@@ -14,8 +14,6 @@ import hashlib
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import pairwise
-from operator import itemgetter
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +22,16 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from eventide.llm.arrow import FIRST, pieces
+from eventide.llm.arrow import FIRST, Words, pieces
 from eventide.llm.frames import map_batches, two_columns
-from eventide.llm.units import TwoGenerations, UnitCache, units
+from eventide.llm.units import FlatCache, spread, units
 
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
-#: Large pieces give the queue many pre-tokens at once.
-PIECE_BYTES = 1 << 22
+#: Large pieces give the queue many pre-tokens at once; ids are put together for fewer documents at a time.
+PIECE_BYTES = 1 << 21
+PART_BYTES = 1 << 19
+#: Units that a worker remembers, some 32 bytes each.
+CACHED = 250_000
 #: Pre-tokens of more bytes go through the queue one at a time.
 LONG = 64
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -75,6 +76,20 @@ class RankQueue:
         return self.buckets.pop(rank)
 
 
+class Strings:
+    """Short byte strings by number, in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array([len(x) for x in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def join(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strings of some numbers end to end, and where each begins, with the end of all."""
+        sizes = self.sizes[numbers]
+        return self.data[spread(self.starts[numbers], sizes)], np.append(0, np.cumsum(sizes))
+
+
 class Encoder:
     """Ranks of a vocabulary, the merges of pre-tokens, and the way back."""
 
@@ -82,10 +97,11 @@ class Encoder:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         most = max(ranks.values())
-        self.bytes_of = [b""] * (most + 1)
+        by_rank = [b""] * (most + 1)
         for token, rank in ranks.items():
-            self.bytes_of[rank] = token
-        self.text_of = [f" {i}" for i in range(most + 1)]
+            by_rank[rank] = token
+        self.tokens = Strings(by_rank)
+        self.decimals = Strings([b" %d" % i for i in range(most + 1)])
         self.queue = RankQueue(most)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         joins = {
@@ -96,7 +112,6 @@ class Encoder:
         }
         self.pairs = np.sort(np.fromiter(joins, np.int64, len(joins)))
         self.pair_ranks = np.array([joins[k] for k in self.pairs.tolist()] + [-1], np.int64)
-        self.known = TwoGenerations(100_000)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids put together, -1 where that is no token."""
@@ -105,8 +120,8 @@ class Encoder:
         at[at == len(self.pairs)] = 0
         return np.where(self.pairs[at] == keys, self.pair_ranks[at], -1)
 
-    def encode_all(self, tokens: list[bytes]) -> list[list[int]]:
-        """Ids of each pre-token: always merge the adjacent pair of lowest rank, the leftmost of equals.
+    def encode_all(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each pre-token has, and the ids of all: always merge the adjacent pair of lowest rank, the leftmost of equals.
 
         All pre-tokens share one linked list, cut between them, and one queue. A step takes the lowest bucket
         and merges the leftmost valid entry of every pre-token that has one, since a merge may make a pair of
@@ -153,9 +168,7 @@ class Encoder:
             for r, i in zip(new.tolist(), at.tolist(), strict=True):
                 if r >= 0:
                     queue.push(r, [i])
-        first = np.append(0, np.cumsum(np.add.reduceat(alive[:n], edges - lengths, dtype=np.int64)))
-        flat = ids[:n][alive[:n]].tolist()
-        return [flat[a:b] for a, b in pairwise(first.tolist())]
+        return np.add.reduceat(alive[:n], edges - lengths, dtype=np.int64), ids[:n][alive[:n]]
 
     def encode_long(self, token: bytes) -> list[int]:
         """`encode_all` for one long pre-token: buckets are heaps, and each step takes one entry."""
@@ -194,41 +207,44 @@ class Encoder:
             i = after[i]
         return ids
 
-    def encode(self, tokens: list[str]) -> list[list[int]]:
-        """Ids of each pre-token. One that is a token itself needs no merge."""
-        out: list[list[int] | None] = []
-        missing: dict[str, list[int]] = {}
-        for i, token in enumerate(tokens):
-            ids = self.known.get(token)
-            if ids is None:
-                rank = self.ranks.get(whole := token.encode("utf-8"))
-                if rank is not None:
-                    ids = [rank]
-                    self.known.put(token, ids)
-                elif len(whole) > LONG:
-                    ids = self.encode_long(whole)
-                else:
-                    missing.setdefault(token, []).append(i)
-            out.append(ids)
-        if missing:
-            for token, ids in zip(missing, self.encode_all([t.encode("utf-8") for t in missing]), strict=True):
-                for i in missing[token]:
-                    out[i] = ids
-                self.known.put(token, ids)
-        return out
-
-    def encode_units(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
-        """Ids of texts, packed and as decimals with a space before each; each match of the pattern is cut off."""
+    def encode(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """`encode_all` for any pre-tokens: those that are tokens themselves need no merge, long ones go alone."""
+        counts = np.ones(len(tokens), np.int64)
+        ranks = np.fromiter(map(self.ranks.get, tokens, [-1] * len(tokens)), np.int64, len(tokens))
+        open_at = np.flatnonzero(ranks < 0).tolist()
+        short = [i for i in open_at if len(tokens[i]) <= LONG]
+        if not open_at:
+            return counts, ranks
+        merged = {i: self.encode_long(tokens[i]) for i in open_at if len(tokens[i]) > LONG}
+        for i, ids in merged.items():
+            counts[i] = len(ids)
+        together = np.empty(0, np.int64)
+        if short:
+            counts[short], together = self.encode_all([tokens[i] for i in short])
+        first = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int64)
+        out[first] = ranks
+        out[spread(first[short], counts[short])] = together
+        for i, ids in merged.items():
+            out[first[i] : first[i] + len(ids)] = ids
+        return counts, out
+
+    def encode_units(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and the ids of all; each match of the pattern is merged separately.
+
+        Pre-tokens that several texts share are merged once.
+        """
         cut = [self.pattern.findall(t.decode("utf-8")) for t in texts]
-        ids = iter(self.encode([token for tokens in cut for token in tokens]))
-        out = []
-        for tokens in cut:
-            own = next(ids) if len(tokens) == 1 else [i for _ in tokens for i in next(ids)]
-            out.append((pack(f"{len(own)}i", *own), "".join(map(self.text_of.__getitem__, own))))
-        return out
+        number: dict[str, int] = {}
+        which = np.array([number.setdefault(token, len(number)) for tokens in cut for token in tokens], np.int64)
+        counts, ids = self.encode([token.encode("utf-8") for token in number])
+        first = np.cumsum(counts) - counts
+        edges = np.append(0, np.cumsum([len(tokens) for tokens in cut]))
+        ends = np.append(0, np.cumsum(counts[which]))
+        return np.diff(ends[edges]), ids[spread(first[which], counts[which])]
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        return self.tokens.join(np.array(ids, np.int64))[0].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -240,8 +256,8 @@ def load_encoder(path: str, pattern: str) -> Encoder:
 
 
 @lru_cache(maxsize=2)
-def _cache(path: str, most: int) -> UnitCache:
-    return UnitCache(most)
+def _cache(path: str, most: int) -> FlatCache:
+    return FlatCache(most)
 
 
 def shared_file(spark, path: str) -> str:
@@ -254,24 +270,39 @@ def worker_path(name: str) -> str:
     return SparkFiles.get(name)
 
 
-def _batches(docs: DataFrame, path: str, pattern: str, schema: str, row, size: int, most: int) -> DataFrame:
+def _parts(found: Words, offsets: np.ndarray):
+    """Ranges of documents of about `PART_BYTES` together."""
+    at, n = 0, len(found.first) - 1
+    while at < n:
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PART_BYTES, "right")) - 1)
+        yield at, min(stop, n)
+        at = stop
+
+
+def _batches(docs: DataFrame, path: str, pattern: str, schema: str, columns) -> DataFrame:
+    """`columns` gets the encoder, the ids of some documents, and where the ids of each begin."""
     name = shared_file(docs.sparkSession, path)
 
     def work(batch: pa.RecordBatch):
-        encoder, cache = load_encoder(worker_path(name), pattern), _cache(name, most)
+        encoder, cache = load_encoder(worker_path(name), pattern), _cache(name, CACHED)
 
-        for piece in pieces(batch.column(1), size):
+        for piece in pieces(batch.column(1), PIECE_BYTES):
             found = units(piece, encoder.pattern)
             hashes = FIRST.ranges(piece.data, found.starts, found.ends)
-            values, where = cache.look_up(piece, found, hashes, encoder.encode_units)
-            where = where.tolist()
-            rows = []
-            for a, b in pairwise(found.first.tolist()):
-                own = list(map(values.__getitem__, where[a:b]))
-                packed = np.frombuffer(b"".join(map(itemgetter(0), own)), np.int32)
-                rows.append(row(encoder, packed, own))
-            ids = batch.column(0).slice(piece.row, len(piece))
-            yield {"doc_id": ids, **{k: [r[k] for r in rows] for k in rows[0]}}
+            distinct, at, where = np.unique(hashes, return_index=True, return_inverse=True)
+            missing = np.flatnonzero(cache.find(distinct) < 0)
+            if len(missing):
+                at = at[missing]
+                ranges = zip(found.starts[at].tolist(), found.ends[at].tolist(), strict=True)
+                cache.add(distinct[missing], *encoder.encode_units([piece.data[a:b].tobytes() for a, b in ranges]))
+            entries = cache.find(distinct)
+            for a, b in _parts(found, piece.offsets):
+                own = entries[where[found.first[a] : found.first[b]]]
+                before = np.append(0, np.cumsum(cache.counts[own], dtype=np.int64))
+                edges = before[found.first[a : b + 1] - found.first[a]]
+                ids = batch.column(0).slice(piece.row + a, b - a)
+                yield {"doc_id": ids, **columns(encoder, cache.take(own), edges)}
+            cache.trim()
 
     return map_batches(two_columns(docs, "doc_id", "text"), schema, work)
 
@@ -286,10 +317,13 @@ def encode_documents(
     empty table gives an empty result, and only the two named columns are read.
     """
 
-    def row(encoder: Encoder, ids: np.ndarray, units: list) -> dict:
-        return {"ids": ids, "decoded": encoder.decode(ids.tolist())}
+    def columns(encoder: Encoder, ids: np.ndarray, edges: np.ndarray) -> dict:
+        decoded, begins = encoder.tokens.join(ids)
+        cuts = pa.py_buffer(begins[edges].astype(np.int32).tobytes())
+        texts = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, cuts, pa.py_buffer(decoded.tobytes())])
+        return {"ids": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32())), "decoded": texts}
 
-    return _batches(two_columns(docs, id_col, text_col), path, pattern, SCHEMA, row, PIECE_BYTES // 4, 40_000)
+    return _batches(two_columns(docs, id_col, text_col), path, pattern, SCHEMA, columns)
 
 
 def digest_documents(
@@ -297,15 +331,19 @@ def digest_documents(
 ) -> DataFrame:
     """`encode_documents` with digests of ids and decoded bytes, taken before the rows leave the worker."""
 
-    def row(encoder: Encoder, ids: np.ndarray, units: list) -> dict:
-        decimals = "".join(map(itemgetter(1), units))[1:]
+    def digests(strings: Strings, ids: np.ndarray, edges: np.ndarray, skip: int) -> list[str]:
+        body, begins = strings.join(ids)
+        view = memoryview(body)
+        return [hashlib.sha256(view[a + skip : b]).hexdigest() for a, b in pairwise(begins[edges].tolist())]
+
+    def columns(encoder: Encoder, ids: np.ndarray, edges: np.ndarray) -> dict:
         return {
-            "n_tokens": len(ids),
-            "ids_sha256": hashlib.sha256(decimals.encode()).hexdigest(),
-            "decoded_sha256": hashlib.sha256(encoder.decode(ids.tolist())).hexdigest(),
+            "n_tokens": np.diff(edges),
+            "ids_sha256": digests(encoder.decimals, ids, edges, 1),  # no space before the first
+            "decoded_sha256": digests(encoder.tokens, ids, edges, 0),
         }
 
-    return _batches(two_columns(docs, id_col, text_col), path, pattern, DIGESTS, row, PIECE_BYTES, 120_000)
+    return _batches(two_columns(docs, id_col, text_col), path, pattern, DIGESTS, columns)
 
 
 def decode_documents(tokens: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -119,3 +119,59 @@ class UnitCache:
             if b - a <= self.longest:
                 self.known.put(int(distinct[i]), value)
         return values, where
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The indices of many ranges, one after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class FlatCache:
+    """Lists of numbers by 64-bit hashes in a few flat arrays: some 20 bytes for an entry and four for a number.
+
+    `trim` keeps at most `most` entries: of those that were looked up since the last time, then any. Lists of more
+    than `longest` numbers are forgotten by it.
+    """
+
+    def __init__(self, most: int, longest: int = 32):
+        self.most, self.longest = most, longest
+        self.hashes, self.used = np.empty(0, np.uint64), np.empty(0, bool)
+        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.numbers = np.empty(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash, -1 where there is none."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        known = self.hashes[at] == hashes
+        self.used[at[known]] = True
+        return np.where(known, at, -1)
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, numbers: np.ndarray) -> None:
+        """New entries, with their lists end to end."""
+        starts = np.cumsum(counts) - counts + len(self.numbers)
+        order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
+        for name, new in (("hashes", hashes), ("starts", starts), ("counts", counts), ("used", np.ones(len(hashes), bool))):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, new.astype(old.dtype)])[order])
+        self.numbers = np.concatenate([self.numbers, numbers.astype(np.int32)])
+
+    def take(self, entries: np.ndarray) -> np.ndarray:
+        """The lists of some entries, end to end."""
+        return self.numbers[spread(self.starts[entries], self.counts[entries].astype(np.int64))]
+
+    def trim(self) -> None:
+        keep = self.counts <= self.longest
+        if len(self.hashes) <= self.most and keep.all():
+            return
+        if int(keep.sum()) > self.most:
+            keep &= self.used
+            self.used[:] = False
+        entries = np.flatnonzero(keep)[: self.most]
+        numbers = self.take(entries)
+        self.hashes, self.used = self.hashes[entries], self.used[entries]
+        self.counts = self.counts[entries]
+        self.starts = np.cumsum(self.counts, dtype=np.int64) - self.counts
+        self.numbers = numbers

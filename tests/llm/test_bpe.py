@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers as public
 import pytest
 import tiktoken
@@ -7,6 +8,7 @@ import tiktoken
 from eventide.llm import bpe
 from eventide.llm.arrow import pieces
 from eventide.llm.token_counts import _tokenizer, count_tokens
+from eventide.llm.units import FlatCache
 from tests.llm.conftest import DOCS
 
 PATH, JSON = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
@@ -46,7 +48,27 @@ def test_pre_tokens_together_and_alone_have_the_ids_of_the_library(library, rng)
     packed = [t.encode() for t in tokens]
     expected = [library.encode_ordinary(t) for t in tokens]
     assert [encoder.encode_long(t) for t in packed] == expected
-    assert encoder.encode_all(packed) == expected
+    counts, ids = encoder.encode_all(packed)
+    assert np.split(ids, np.cumsum(counts)[:-1])[0].tolist() == expected[0]
+    assert counts.tolist() == [len(x) for x in expected] and ids.tolist() == [i for x in expected for i in x]
+    counts, ids = encoder.encode(packed)
+    assert counts.tolist() == [len(x) for x in expected] and ids.tolist() == [i for x in expected for i in x]
+
+
+def test_cache_keeps_what_is_used_and_forgets_long_lists(rng):
+    cache, lists = FlatCache(100, longest=5), {}
+    for step in range(30):
+        keys = np.unique(np.array([rng.randrange(400) for _ in range(60)], np.uint64))
+        missing = keys[cache.find(keys) < 0]
+        new = [[step, *range(rng.randrange(9))] for _ in missing]
+        lists.update(zip(missing.tolist(), new, strict=True))
+        cache.add(missing, np.array([len(x) for x in new]), np.array([i for x in new for i in x]))
+        entries = cache.find(keys)
+        assert cache.take(entries).tolist() == [i for k in keys.tolist() for i in lists[k]]
+        cache.trim()
+        assert len(cache.hashes) <= 100 and (cache.counts <= 5).all()
+        assert len(cache.numbers) == cache.counts.sum()
+    assert cache.take(np.empty(0, np.int64)).tolist() == []
 
 
 def test_documents_have_the_ids_of_the_library_and_decode_to_themselves(spark, library, frame, rng, odd, rows):
