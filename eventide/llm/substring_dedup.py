@@ -1,14 +1,15 @@
 """Substring deduplication by repeated-phrase automata (operator 8).
 
 Every window of `window` words has an anchor: of the phrases of three tenths as many words inside it, the one of
-smallest hash. Equal windows have equal anchors, so only windows whose anchor occurs elsewhere can repeat.
+smallest hash. Equal windows have equal anchors, so only windows whose anchor occurs elsewhere can repeat. A phrase is
+written as the codes of its words, 16 bits each.
 
 1. Whole texts that equal an earlier one are set aside; all their words go, if there are enough for a window.
-2. Anchors of all other documents are counted by hash; those found twice or more are the recurring phrases.
-3. Documents are dealt into shards of some MB. A shard gets the recurring phrases that occur in it and compiles
-   them into an Aho-Corasick automaton over words; its documents run through it, which locates every
-   occurrence. A document is read by one automaton only, whatever the number of phrases.
-4. Windows around located anchors are compared by 128-bit hashes over all shards, which leaves the first
+2. Anchors of all other documents are counted; those found twice or more are the recurring phrases.
+3. Documents are dealt into shards of a MB. A shard gets those recurring phrases that are anchors in one of its
+   documents and compiles them into an Aho-Corasick automaton; the shard's documents, as word codes, stream through
+   it, which locates every occurrence. So a document is read by one automaton only, whatever the number of phrases.
+4. Windows whose anchor was located are compared by 128-bit hashes over all shards, which leaves the first
    document of each, and the words of all later occurrences are removed.
 """
 
@@ -21,21 +22,22 @@ from itertools import compress, pairwise
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from eventide.llm.arrow import FIRST, SECOND, Piece, Words, mix, pieces, whole_runs, words
-from eventide.llm.frames import Bitmap, map_batches, two_columns
+from eventide.llm.arrow import FIRST, SECOND, Piece, Words, pieces, whole_runs, words
+from eventide.llm.frames import Bitmap, Scratch, map_batches, two_columns
 from eventide.storage import materialize
 
-SHARD_BYTES = 2 << 20
-#: `done` is the result of a document without open windows, and only the others carry their text along.
-LOCATED = (
-    "doc_id long, text string, n_words int, done string, starts array<int>, seen array<boolean>, "
-    "a array<long>, b array<long>"
-)
+SHARD_BYTES = 1 << 20
+KEY = ["place", "mark"]
+#: Open windows of a text: first words, whether the text has an equal one before, and two hashes.
+WINDOWS = "place long, mark long, starts array<int>, seen array<boolean>, a array<long>, b array<long>"
+WINDOWS_COLUMNS = [*KEY, "starts", "seen", "a", "b"]
+RESULT = "doc_id long, n_words long, n_removed long, kept string"
+#: Rows without an id have places in the last 2^56, by their texts.
+_LAST = (1 << 63) - 1
 
 
 @dataclass
@@ -44,10 +46,17 @@ class Anchored:
 
     found: Words
     hashes: np.ndarray
-    phrases: np.ndarray
     windows: np.ndarray
     anchors: np.ndarray
 
+    def codes(self) -> np.ndarray:
+        """16 bits of the hash of each word."""
+        return (self.hashes >> np.uint64(48)).astype(np.uint16)
+
+    def phrases(self, at: np.ndarray, size: int) -> np.ndarray:
+        """The phrases that begin at some words, a row of codes each."""
+        return self.codes()[at[:, None] + np.arange(size)]
+
 
 def phrase_words(window: int) -> int:
     return max(1, window * 3 // 10)
@@ -60,66 +69,75 @@ def anchored(piece: Piece, window: int) -> Anchored:
     windows = whole_runs(found, window)
     phrases = FIRST.runs(hashes, size)
     if not len(windows):
-        return Anchored(found, hashes, phrases, windows, windows)
+        return Anchored(found, hashes, windows, windows)
     inside = np.lib.stride_tricks.sliding_window_view(phrases, window - size + 1)
     anchors = windows + inside.argmin(1)[windows]
-    return Anchored(found, hashes, phrases, windows, anchors)
+    return Anchored(found, hashes, windows, anchors)
 
 
 def _shard(shards: int):
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
+    return F.pmod(F.xxhash64(*KEY), F.lit(shards)).cast("int")
 
 
 def _anchor_rows(texts: DataFrame, window: int) -> DataFrame:
-    """(anchor, shard, times): each anchor of each shard in each piece."""
+    """(phrase, shard, times): each anchor of each shard in each piece."""
+    size = phrase_words(window)
 
     def work(batch: pa.RecordBatch):
         home = batch.column(1).to_numpy()
         for piece in pieces(batch.column(0)):
             own = anchored(piece, window)
             at = np.unique(own.anchors)
-            shard = home[piece.row + own.found.owners()[at]]
-            anchor = own.phrases[at]
-            key = mix(anchor + shard.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            _, one, times = np.unique(key, return_index=True, return_counts=True)
-            yield {"anchor": anchor[one].view(np.int64), "shard": shard[one], "times": times.astype(np.int32)}
+            rows = np.empty((len(at), 2 * size + 4), np.uint8)
+            rows[:, : 2 * size] = own.phrases(at, size).view(np.uint8)
+            rows[:, 2 * size :] = home[piece.row + own.found.owners()[at]].astype(np.int32).view(np.uint8).reshape(-1, 4)
+            rows = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel()
+            _, one, times = np.unique(rows, return_index=True, return_counts=True)
+            phrases = own.phrases(at[one], size)
+            cuts = pa.py_buffer((np.arange(len(one) + 1, dtype=np.int32) * (2 * size)).tobytes())
+            packed = pa.BinaryArray.from_buffers(pa.binary(), len(one), [None, cuts, pa.py_buffer(phrases.tobytes())])
+            shard = home[piece.row + own.found.owners()[at[one]]]
+            yield {"phrase": packed, "shard": shard, "times": times.astype(np.int32)}
 
-    return map_batches(texts.select("text", "shard"), "anchor long, shard int, times int", work)
+    return map_batches(texts.select("text", "shard"), "phrase binary, shard int, times int", work)
 
 
 class PhraseAutomaton:
-    """Phrases of words as an automaton over the word numbers of some documents.
+    """Phrases of words as an automaton over the 16-bit codes of words.
 
-    A word is written as the hexadecimal digits of its number. Digits of each position have symbols of their
+    A word is written as the four hexadecimal digits of its code. Digits of each position have symbols of their
     own, so a phrase is found at words only; and a state has few followers, which the automaton tries in turn.
     """
 
-    def __init__(self, numbers: np.ndarray, first: np.ndarray, size: int):
-        self.size = size
-        self.digits = max(1, -(-int(numbers.max(initial=0)).bit_length() // 4))
-        owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        self.place = np.arange(len(numbers)) + owner  # a separator stands after each document
-        symbols = np.zeros((len(numbers) + len(first) - 1, self.digits), np.uint8)
-        for i in range(self.digits):
-            symbols[self.place, i] = (numbers >> (4 * i) & 15) + 16 * i + 1
-        self.text = symbols.tobytes().decode("latin-1")
-        self.word_at = np.full(len(symbols), -1, np.int64)
-        self.word_at[self.place] = np.arange(len(numbers))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-
-    def add(self, starts: np.ndarray) -> None:
-        """Compile the phrases that begin at these words."""
-        for at in (self.place[starts] * self.digits).tolist():
-            self.automaton.add_word(self.text[at : at + self.size * self.digits], at)
-        if len(starts):
-            self.automaton.make_automaton()
+    DIGITS = 4
 
-    def locate(self) -> np.ndarray:
-        """For each word, whether a phrase begins there."""
-        hit = np.zeros(len(self.place), bool)
+    def __init__(self, phrases: np.ndarray):
+        """`phrases` has a row of codes for each."""
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        self.size = phrases.shape[1]
+        text, step = self._written(phrases), self.size * self.DIGITS
+        for at in range(0, len(text), step):
+            self.automaton.add_word(text[at : at + step])
         if len(self.automaton):
-            ends = np.fromiter((end for end, _ in self.automaton.iter(self.text)), np.int64)
-            hit[self.word_at[(ends + 1) // self.digits - self.size]] = True
+            self.automaton.make_automaton()
+
+    def _written(self, codes: np.ndarray) -> str:
+        symbols = np.empty((codes.size, self.DIGITS), np.uint8)
+        for i in range(self.DIGITS):
+            symbols[:, i] = (codes.ravel() >> np.uint16(4 * i) & np.uint16(15)) + 16 * i + 1
+        return symbols.tobytes().decode("latin-1")
+
+    def locate(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """For each word of some documents, whether a phrase begins there; `first` is the first word of each."""
+        hit = np.zeros(len(codes), bool)
+        if not len(self.automaton):
+            return hit
+        text = self._written(codes)
+        for a, b in pairwise(first.tolist()):
+            if b - a >= self.size:
+                found = self.automaton.iter(text, a * self.DIGITS, b * self.DIGITS)
+                ends = np.fromiter((end for end, _ in found), np.int64)
+                hit[(ends + 1) // self.DIGITS - self.size] = True
         return hit
 
 
@@ -128,74 +146,102 @@ def _one_piece(column: pa.ChunkedArray) -> Piece:
     return whole[0] if whole else Piece(0, np.empty(0, np.uint8), np.zeros(1, np.int64))
 
 
-def _locate(docs: pa.Table, phrases: pa.Table, window: int, finish) -> pa.Table:
-    """The documents of one shard, with the windows whose anchor is a recurring phrase."""
+def _locate(docs: pa.Table, phrases: pa.Table, window: int) -> pa.Table:
+    """The windows of one shard's documents whose anchor is a recurring phrase."""
     size = phrase_words(window)
     piece = _one_piece(docs["text"])
     own = anchored(piece, window)
-    known = np.sort(phrases["anchor"].to_numpy().view(np.uint64))
-    at = np.unique(own.anchors)
-    at = at[np.isin(own.phrases[at], known)]
-    _, numbers = np.unique(own.hashes, return_inverse=True)
-    automaton = PhraseAutomaton(numbers, own.found.first, size)
-    _, one = np.unique(own.phrases[at], return_index=True)
-    automaton.add(at[one])
-    open_at = own.windows[automaton.locate()[own.anchors]]
+    packed = b"".join(phrases["phrase"].to_pylist())
+    automaton = PhraseAutomaton(np.frombuffer(packed, np.uint16).reshape(-1, size))
+    open_at = own.windows[automaton.locate(own.codes(), own.found.first)[own.anchors]]
+    del automaton
     second = SECOND.ranges(piece.data, own.found.starts, own.found.ends)
     a = FIRST.ranges(own.hashes, open_at, open_at + window).view(np.int64)
     b = SECOND.ranges(second, open_at, open_at + window).view(np.int64)
     owner = own.found.owners()[open_at]
     # In its own document, only the first of equal windows can be the first of all.
-    key = mix(a.view(np.uint64) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(key, kind="stable")
-    seen = np.zeros(len(key), bool)
-    seen[order[1:]] = key[order][1:] == key[order][:-1]
+    order = np.lexsort((b, a, owner))
+    seen = np.zeros(len(a), bool)
+    x, y = order[1:], order[:-1]
+    seen[x] = (owner[x] == owner[y]) & (a[x] == a[y]) & (b[x] == b[y])
     cuts = np.searchsorted(owner, np.arange(len(piece) + 1)).astype(np.int32)
+    some = pa.array(np.diff(cuts) > 0)
     starts = (open_at - own.found.first[owner]).astype(np.int32)
     lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (starts, seen, a, b)]
-    texts, open_docs = docs["text"].combine_chunks(), np.diff(cuts) > 0
-    bodies = [piece.data[x:y].tobytes() for x, y in pairwise(piece.offsets.tolist())]
-    done = [None if more else finish(body.split()) for body, more in zip(bodies, open_docs, strict=True)]
-    columns = [
-        docs["doc_id"].combine_chunks(),
-        pc.if_else(pa.array(open_docs), texts, pa.scalar(None, texts.type)),
-        pa.array(own.found.counts, pa.int32()),
-        pa.array(done, pa.string()),
-    ]
-    names = ("doc_id", "text", "n_words", "done", "starts", "seen", "a", "b")
-    return pa.table(dict(zip(names, columns + lists, strict=True)))
-
-
-def _located(texts: DataFrame, window: int, shard_bytes: int, finish) -> DataFrame:
+    names = WINDOWS_COLUMNS
+    columns = [docs[k].combine_chunks() for k in KEY] + lists
+    return pa.table(dict(zip(names, columns, strict=True))).filter(some)
+
+
+def _windows(texts: DataFrame, window: int, shard_bytes: int, write) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     dealt = texts.withColumn("shard", _shard(int(size // shard_bytes) + 1))
     rows = _anchor_rows(dealt, window)
-    recurring = rows.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1").select("anchor")
-    recurring = materialize(recurring, "substring-recurring")
-    phrases = rows.select("anchor", "shard").join(recurring, "anchor", "left_semi").distinct()
-    schema = texts.sparkSession.createDataFrame([], LOCATED).schema
+    recurring = rows.groupBy("phrase").agg(F.sum("times").alias("times")).where("times > 1").select("phrase")
+    recurring = write(recurring, "substring-recurring")
+    phrases = rows.select("phrase", "shard").join(recurring, "phrase", "left_semi").distinct()
+    schema = texts.sparkSession.createDataFrame([], WINDOWS).schema
     arrow = to_arrow_schema(schema)
-    both = dealt.groupBy("shard").cogroup(phrases.groupBy("shard"))
-    return both.applyInArrow(lambda x, y: _locate(x, y, window, finish).cast(arrow), schema)
-
-
-def _cut(batch: pa.RecordBatch, window: int, finish):
-    """Drop the words of windows that another document, or an earlier place of this one, has first."""
-    texts, counts = batch.column(1), batch.column(2).to_pylist()
-    starts, seen, hashes, first = (batch.column(i) for i in range(3, 7))
-    removed, results = [], []
-    for i, n in enumerate(counts):
-        begin, a = starts[i].values.to_numpy(), hashes[i].values.to_numpy()
-        own = first[i].values
-        later = seen[i].values.to_numpy(zero_copy_only=False)
-        later = later | ~np.isin(a, own.to_numpy() if own is not None else np.empty(0, np.int64))
-        change = np.zeros(n + 1, np.int64)
-        np.add.at(change, begin[later], 1)
-        np.add.at(change, begin[later] + window, -1)
-        kept = np.cumsum(change)[:n] == 0
-        removed.append(n - int(kept.sum()))
-        results.append(finish(list(compress(texts[i].as_py().encode().split(), kept))))
-    yield {"doc_id": batch.column(0), "n_words": counts, "n_removed": removed, "done": results}
+    both = dealt.select(*KEY, "text", "shard").groupBy("shard").cogroup(phrases.groupBy("shard"))
+    return both.applyInArrow(lambda x, y: _locate(x, y, window).cast(arrow), schema)
+
+
+def _later(batch: pa.RecordBatch, window: int):
+    """Words to remove: those of windows that another document, or an earlier place of this one, has first.
+
+    `gone` has the first word and the one after the last of each run of them.
+    """
+    starts, seen, a, b = (batch.column(i) for i in range(2, 6))
+    edges = starts.offsets.to_numpy().astype(np.int64)
+    edges, low = edges - edges[0], edges[0]
+    n = int(edges[-1])
+    begin = starts.values.to_numpy()[low : low + n]
+    seen = seen.values.to_numpy(zero_copy_only=False)[low : low + n]
+    doc = np.repeat(np.arange(len(batch)), np.diff(edges))
+    first = batch.column(6)  # hashes of windows that this document is the first to have
+    own = first.flatten()
+    sizes = np.array([0 if x is None else x for x in first.value_lengths().to_pylist()], np.int64)
+    own_doc = np.repeat(np.arange(len(batch)), sizes)
+    own_a, own_b = (own.field(k).to_numpy() for k in ("a", "b"))
+    # A window is first if its document and hashes are among these, which sort before it.
+    docs = np.concatenate([own_doc, doc])
+    both_a = np.concatenate([own_a, a.values.to_numpy()[low : low + n]])
+    both_b = np.concatenate([own_b, b.values.to_numpy()[low : low + n]])
+    order = np.lexsort((np.arange(len(docs)), both_b, both_a, docs))
+    new = np.ones(len(order), bool)
+    x, y = order[1:], order[:-1]
+    new[1:] = (docs[x] != docs[y]) | (both_a[x] != both_a[y]) | (both_b[x] != both_b[y])
+    leads = order < len(own_doc)  # the group begins with one of the document's own
+    known = np.empty(len(order), bool)
+    known[order] = leads[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else leads
+    later = seen | ~known[len(own_doc) :]
+    begin, doc = begin[later], doc[later]
+    # Windows come in order; a run ends where the next one does not touch it.
+    fresh = np.ones(len(begin), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (begin[1:] > begin[:-1] + window)
+    last = np.append(fresh[1:], True) if len(fresh) else fresh
+    runs = np.stack([begin[fresh], begin[last] + window], 1).ravel().astype(np.int32)
+    cuts = 2 * np.searchsorted(doc[fresh], np.arange(len(batch) + 1))
+    gone = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(runs))
+    keep = pa.array(np.diff(cuts) > 0)
+    yield {"place": batch.column(0).filter(keep), "mark": batch.column(1).filter(keep), "gone": gone.filter(keep)}
+
+
+def _copies(texts: DataFrame, write) -> tuple[DataFrame, DataFrame]:
+    """The texts to search, each once, and the keys of those that equal the text of a smaller place."""
+    names = texts.where("text is not null").select(*KEY, F.unhex(F.md5("text")).alias("name"))
+    names = write(names, "substring-names")
+    first = names.groupBy("name").agg(F.min("place").alias("first"), F.count("*").alias("times"))
+    first = write(first.where("times > 1").select("name", "first"), "substring-firsts")
+    several = names.join(first, "name").groupBy(*KEY).agg(
+        F.max(F.col("place") > F.col("first")).alias("copy"), F.count("*").alias("rows")
+    )
+    several = write(several.where("copy or rows > 1").select(*KEY, "copy"), "substring-several")
+    maybe = Bitmap(several.select(F.xxhash64(*KEY))).has(F.xxhash64(*KEY))
+    some = write(texts.where(maybe).join(several, KEY, "left"), "substring-some")
+    once = some.where("not copy").drop("copy").dropDuplicates(KEY)  # rows that repeat are searched once
+    left = texts.where(~maybe).unionByName(some.where("copy is null").drop("copy")).unionByName(once)
+    return left.where("text is not null"), several.where("copy").select(*KEY)
 
 
 def dedup_substrings(
@@ -213,7 +259,8 @@ def dedup_substrings(
     `digest`, `kept` is the SHA-256 of the words in its place.
 
     One row per row of `docs`. A NULL text has no words. Rows of one id count as one document and do not
-    repeat each other; those without an id come after all others. An empty table gives an empty result, and only
+    repeat each other. Rows without an id come after all others, ordered by a hash of the text, those of equal text
+    as one document (ids among the last 2^56 numbers are not told apart from them). An empty table gives an empty result, and only
     the two named columns are read.
     """
 
@@ -221,48 +268,44 @@ def dedup_substrings(
         body = b" ".join(kept)
         return hashlib.sha256(body).hexdigest() if digest else body.decode("utf-8", "replace")
 
-    last = (1 << 63) - 1
+    scratch = Scratch(docs.sparkSession)
     texts = two_columns(docs, id_col, text_col)
-    texts = texts.withColumn("place", F.coalesce("doc_id", F.lit(last)))
-    texts, copies = _without_copies(texts)
-    located = materialize(_located(texts, window, shard_bytes, finish), "substring-located")
-    open_docs = located.where(F.size("starts") > 0).withColumn("place", F.coalesce("doc_id", F.lit(last)))
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    unnamed = F.lit(_LAST) - F.shiftrightunsigned("mark", 8)
+    texts = texts.withColumn("place", F.coalesce("doc_id", unnamed))
+    left, copies = _copies(texts.select(*KEY, "text"), scratch.write)
+    windows = scratch.write(_windows(left, window, shard_bytes, scratch.write), "substring-windows")
     # In a document only the first of equal windows can be the first of all.
-    windows = F.filter(F.arrays_zip("a", "b", "seen"), lambda x: ~x["seen"])
-    each = open_docs.select("place", F.explode(windows).alias("w")).select("place", "w.a", "w.b")
-    first = materialize(each.groupBy("a", "b").agg(F.min("place").alias("place")), "substring-first")
-    first = first.groupBy("place").agg(F.collect_list("a").alias("first"))  # as many as the document has windows
-    some = open_docs.join(first, "place", "left")
-    some = some.select("doc_id", "text", "n_words", "starts", "seen", "a", "first")
-    schema = "doc_id long, n_words long, n_removed long, done string"
-    some = map_batches(some, schema, lambda batch: _cut(batch, window, finish))
-    rest = located.where(F.size("starts") == 0)
-    rest = rest.select("doc_id", F.col("n_words").cast("long"), F.lit(0).cast("long").alias("n_removed"), "done")
-    copies = map_batches(copies, schema, lambda batch: _copies(batch, window, finish))
-    return rest.unionByName(some).unionByName(copies).withColumnRenamed("done", "kept")
-
-
-def _without_copies(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The texts without those that equal the text of a smaller place, and (doc_id, text) of these."""
-    named = texts.where("text is not null").withColumn("name", F.unhex(F.md5("text")))
-    named = named.withColumn("key", F.xxhash64("place", "text"))
-    names = materialize(named.select("place", "key", "name"), "substring-names")
-    first = names.groupBy("name").agg(F.min("place").alias("first"), F.count("*").alias("times"))
-    first = materialize(first.where("times > 1").select("name", "first"), "substring-firsts")
-    copies = names.join(first, "name").where("place > first").select("place", "key", "name").distinct()
-    copies = materialize(copies, "substring-copies")
-    maybe = Bitmap(copies.select("key")).has(F.xxhash64("place", "text"))
-    same = copies.select("place", "name", F.lit(True).alias("copy"))
-    some = named.where(maybe).join(same, ["place", "name"], "left").select("doc_id", "text", "place", "copy")
-    some = materialize(some, "substring-some")
-    left = texts.where(F.col("text").isNull() | ~maybe)
-    left = left.unionByName(some.where("copy is null").drop("copy"))
-    return left, some.where("copy").select("doc_id", "text")
-
-
-def _copies(batch: pa.RecordBatch, window: int, finish):
-    """Copies go as a whole, if they have a window."""
-    cut = [t.encode().split() for t in batch.column(1).to_pylist()]
-    gone = [len(w) if len(w) >= window else 0 for w in cut]
-    done = [finish(w[n:]) for w, n in zip(cut, gone, strict=True)]
-    yield {"doc_id": batch.column(0), "n_words": [len(w) for w in cut], "n_removed": gone, "done": done}
+    mine = F.filter(F.arrays_zip("a", "b", "seen"), lambda x: ~x["seen"])
+    each = windows.select("place", F.explode(mine).alias("w")).select("place", "w.a", "w.b")
+    first = scratch.write(each.groupBy("a", "b").agg(F.min("place").alias("place")), "substring-first")
+    first = first.groupBy("place").agg(F.collect_list(F.struct("a", "b")).alias("first"))  # as many as its windows
+    some = windows.join(first, "place", "left").select(*WINDOWS_COLUMNS, "first")
+    gone = map_batches(some, "place long, mark long, gone array<int>", lambda batch: _later(batch, window))
+    whole = copies.withColumn("gone", F.array().cast("array<int>"))  # nothing listed: all of it
+    gone = materialize(gone.unionByName(whole), "substring-gone")
+    scratch.clear()
+
+    def cut(batch: pa.RecordBatch):
+        listed = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(batch)
+        n_words, n_removed, kept = [], [], []
+        for text, runs in zip(batch.column(1).to_pylist(), listed, strict=True):
+            own = (text or "").encode().split()
+            n = len(own)
+            if runs is not None and not runs:  # a copy goes as a whole, if it has a window
+                runs = [0, n] if n >= window else None
+            left_over = own
+            if runs:
+                keep = np.ones(n, bool)
+                for a, b in zip(runs[::2], runs[1::2], strict=True):
+                    keep[a:b] = False
+                left_over = list(compress(own, keep))
+            n_words.append(n)
+            n_removed.append(n - len(left_over))
+            kept.append(finish(left_over))
+        yield {"doc_id": batch.column(0), "n_words": n_words, "n_removed": n_removed, "kept": kept}
+
+    maybe = Bitmap(gone.select(F.xxhash64(*KEY))).has(F.xxhash64(*KEY))
+    shortened = texts.where(maybe).join(gone, KEY, "left").select("doc_id", "text", "gone")
+    rest = map_batches(texts.where(~maybe).select("doc_id", "text"), RESULT, cut)
+    return rest.unionByName(map_batches(shortened, RESULT, cut))

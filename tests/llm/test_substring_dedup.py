@@ -1,25 +1,37 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from eventide.llm.substring_dedup import PhraseAutomaton, dedup_substrings
+from eventide.llm.arrow import pieces
+from eventide.llm.substring_dedup import PhraseAutomaton, _locate, anchored, dedup_substrings
 from tests.llm.brute import substring_dedup
 from tests.llm.conftest import DOCS
 
 
-@pytest.mark.parametrize("spread", [1, 50_000])
+@pytest.mark.parametrize("spread", [1, 9_000])
 def test_automaton_locates_every_occurrence(rng, spread):
-    numbers = np.array([rng.randrange(6) * spread * 7 for _ in range(600)])
+    codes = np.array([rng.randrange(6) * spread for _ in range(600)], np.uint16)
     first = np.array([0, 0, 100, 350, 600])
-    automaton = PhraseAutomaton(numbers, first, 3)
-    assert automaton.digits == (2 if spread == 1 else 6)
-    starts = np.array([5, 120, 400])
-    automaton.add(starts)
-    known = {tuple(numbers[s : s + 3]) for s in starts}
+    phrases = np.stack([codes[s : s + 3] for s in (5, 120, 400)])
+    known = {tuple(p) for p in phrases.tolist()}
     expected = [
-        any(a <= i and i + 3 <= b for a, b in zip(first, first[1:])) and tuple(numbers[i : i + 3]) in known
+        any(a <= i and i + 3 <= b for a, b in zip(first, first[1:])) and tuple(codes[i : i + 3].tolist()) in known
         for i in range(600)
     ]
-    assert automaton.locate().tolist() == expected
+    assert PhraseAutomaton(phrases).locate(codes, first).tolist() == expected
+    assert not PhraseAutomaton(phrases[:0]).locate(codes, first).any()
+
+
+def test_only_what_the_automaton_locates_is_removed(monkeypatch):
+    passage = " ".join(f"w{i}" for i in range(40))
+    docs = pa.table({"place": [1, 2], "mark": [1, 2], "text": [passage, f"a b {passage}"]})
+    own = anchored(next(pieces(docs["text"])), 20)
+    recurring = np.unique(own.phrases(np.unique(own.anchors), 6), axis=0)
+    packed = pa.table({"phrase": pa.array([p.tobytes() for p in recurring], pa.binary())})
+    assert [len(x) for x in _locate(docs, packed, 20)["starts"].to_pylist()] == [21, 23]
+    assert len(_locate(docs, packed.slice(0, 0), 20)) == 0
+    monkeypatch.setattr(PhraseAutomaton, "locate", lambda self, codes, first: np.zeros(len(codes), bool))
+    assert len(_locate(docs, packed, 20)) == 0
 
 
 @pytest.mark.parametrize(("window", "shard_bytes"), [(20, 4 << 20), (20, 1 << 15), (4, 1 << 16)])
@@ -43,5 +55,21 @@ def test_kept_text_repeated_rows_and_rows_without_id(frame, odd):
     assert len(out) == len(odd) + 4
 
 
+def test_rows_without_id_are_documents_of_their_own(frame):
+    passage = " ".join(f"w{i}" for i in range(25))
+    own = [(None, f"{n} {passage} {n}") for n in range(6)] + [(None, f"0 {passage} 0")] * 3
+    out = dedup_substrings(frame(own)).collect()
+    removed = sorted(r.n_removed for r in out)
+    # One text keeps the passage, in all its rows; the other texts lose it.
+    keeping = 4 if len({r.n_removed for r in out if r.kept.startswith("0 w0")}) else 1
+    assert removed == [0] * keeping + [25] * (9 - keeping)
+
+
+def test_one_row_many_times(frame):
+    passage = " ".join(f"w{i}" for i in range(25))
+    out = dedup_substrings(frame([(3, passage)] * 50 + [(5, f"{passage} end")] * 50)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in out) == [(3, 0)] * 50 + [(5, 25)] * 50
+
+
 def test_empty_table(spark):
     assert dedup_substrings(spark.createDataFrame([], DOCS)).count() == 0
