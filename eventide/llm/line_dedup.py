@@ -26,6 +26,12 @@ EDITS = 2
 MIN_CHARS = 24
 #: Rows of a key that are compared at once; larger groups are cut into blocks of this size.
 TILE = 4_096
+#: Rounds in which the lines of a key are compared with one of them only.
+STARS = 2
+#: Part of the documents whose keys tell which ones are frequent, how often such a key is in it, and how many are told.
+SAMPLE, OFTEN, MOST_HOT = 0.02, 20, 100_000
+#: Tasks that a frequent key is dealt to.
+SALTS = 64
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,19 +126,40 @@ def _line_facts(texts: DataFrame, min_chars: int) -> DataFrame:
     return map_batches(texts, "line binary, node long, doc_id long, number long", work)
 
 
-def _key_rows(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
+def _key_rows(texts: DataFrame, edits: int, min_chars: int, hot=None) -> DataFrame:
+    """(key, member, salt); the salt is 0 but for hot keys, a sorted array that was broadcast."""
+
     def work(batch: pa.RecordBatch):
         for piece in pieces(batch.column(1)):
             own = Lines(piece, min_chars)
             key, member = keys(own, _distinct(own, np.flatnonzero(own.long)), edits, min_chars)
-            yield {"key": key, "member": member}
+            salt = np.zeros(len(key), np.int32)
+            if hot is not None:
+                some = _among(hot.value, key)
+                salt[some] = mix(member[some].view(np.uint64)) % np.uint64(SALTS)
+            yield {"key": key, "member": member, "salt": salt}
+
+    return map_batches(texts, "key long, member long, salt int", work)
+
+
+def _among(known: np.ndarray, key: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(key), bool)
+    return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
 
-    return map_batches(texts, "key long, member long", work)
 
+def _meeting(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """(key, member) rows whose key other lines have too, and some that only seem so.
 
-def _meeting(rows: DataFrame) -> DataFrame:
-    """Rows whose key other lines have too, and some that only seem so; ranges split keys with many rows."""
-    dealt = rows.select("key", "member").repartitionByRange("key", "member").sortWithinPartitions("key", "member")
+    Rows are dealt by key. Keys that a sample of the documents holds often are dealt to several tasks and all their
+    rows are kept; the sample decides where rows go, never which pairs are found.
+    """
+    sample = _key_rows(texts.sample(SAMPLE, 7), edits, min_chars)
+    often = sample.groupBy("key").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count")).limit(MOST_HOT)
+    hot = np.sort(often.select("key").toArrow()["key"].to_numpy())
+    hot = texts.sparkSession.sparkContext.broadcast(hot)
+    rows = _key_rows(texts, edits, min_chars, hot)
+    dealt = rows.repartition("key", "salt").sortWithinPartitions("key", "member").select("key", "member")
 
     def work(batch: pa.RecordBatch):
         key, member = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -141,17 +168,48 @@ def _meeting(rows: DataFrame) -> DataFrame:
         key, member = key[new], member[new]
         same = np.ones(len(key) + 1, bool)
         same[1:-1] = key[1:] == key[:-1]
-        keep = same[1:] | same[:-1]
+        keep = same[1:] | same[:-1] | _among(hot.value, key)
         yield {"key": key[keep], "member": member[keep]}
 
     return map_batches(dealt, "key long, member long", work)
 
 
 def _near(columns: dict, i: np.ndarray, j: np.ndarray, edits: int) -> np.ndarray:
-    """One of the two is indexed, and their bigrams allow so few edits. An edit changes four parities at most."""
-    member = columns["member"]
+    """Of two classes, one of them indexed, and bigrams that allow so few edits. An edit changes four parities at most."""
+    member, label = columns["member"], columns["class"]
     apart = np.bitwise_count(((member[i] ^ member[j]) >> 32).astype(np.uint32))
-    return ((member[i] | member[j]) & 1 == 1) & (apart <= 4 * edits) & (member[i] >> 1 != member[j] >> 1)
+    return ((member[i] | member[j]) & 1 == 1) & (apart <= 4 * edits) & (label[i] != label[j])
+
+
+def _classes(nodes: DataFrame, links: DataFrame, write) -> DataFrame:
+    """(node, class): nodes of lines that links connect have equal classes, others don't.
+
+    `nodes` has line, node and `twin`, whether other lines share the node; these are in a class of their own.
+    """
+    found = connected_components(links, write).withColumnRenamed("node", "line")
+    held = nodes.where("not twin").join(found, "line").select("node", "component")
+    least = held.groupBy("component").agg(F.min("node").alias("class"))
+    return held.join(least, "component").select("node", "class")
+
+
+def _labelled(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """Rows of keys that lines of several classes have, with node and class."""
+    rows = rows.withColumn("node", F.shiftrightunsigned("member", 1))
+    if classes is None:
+        return rows.withColumn("class", F.col("node"))
+    rows = rows.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    several = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return rows.join(several.where("low != high").select("key"), "key")
+
+
+def _star(rows: DataFrame, edits: int) -> DataFrame:
+    """Pairs (a, b) of each key: an indexed line of the last class, and those of other classes."""
+    centre = rows.where(F.col("member").bitwiseAND(F.lit(1)) == 1).groupBy("key")
+    centre = centre.agg(F.max(F.struct("class", F.col("node").alias("other"))).alias("c"))
+    both = rows.join(centre.select("key", F.col("c.class").alias("beside"), "c.other"), "key")
+    apart = F.bit_count(F.shiftrightunsigned(F.col("node").bitwiseXOR(F.col("other")), 31))
+    both = both.where((F.col("class") != F.col("beside")) & (apart <= 4 * edits))
+    return both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def _line_texts(texts: DataFrame, nodes: Bitmap, min_chars: int) -> DataFrame:
@@ -247,16 +305,31 @@ def near_lines(
     tile: int = TILE,
     write: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
-    """Links (a, b) between the names of near lines, from (doc_id, text) rows and their `_line_facts`."""
-    rows = write(_meeting(_key_rows(docs, edits, min_chars)), "line-keys")
-    pairs = candidate_pairs(rows, lambda c, i, j: _near(c, i, j, edits), tile, write)
-    pairs = pairs.select(F.shiftrightunsigned("a", 1).alias("a"), F.shiftrightunsigned("b", 1).alias("b"))
-    twins = facts.where("node is not null").groupBy("node").count().where("count > 1")  # share a number
-    pairs = pairs.unionByName(twins.select(F.col("node").alias("a"), F.col("node").alias("b")))
-    pairs = write(pairs.distinct(), "line-pairs")
-    nodes = Bitmap(pairs.select(F.explode(F.array("a", "b"))))
-    bodies = write(_line_texts(docs, nodes, min_chars), "line-texts")
-    return write(_verified(pairs, bodies, edits), "line-links")
+    """Links (a, b) between names of near lines that connect all of them, from (doc_id, text) rows and `_line_facts`.
+
+    The lines of a key are first compared with one of them. What is connected then is not compared any more, so a
+    large group of near copies costs its size; all other pairs that share a key are.
+    """
+    rows = write(_meeting(docs, edits, min_chars), "line-keys")
+    nodes = facts.where("node is not null").select("line", "node")
+    twins = nodes.groupBy("node").count().where("count > 1").select("node")
+    met = rows.select(F.shiftrightunsigned("member", 1).alias("node")).unionByName(twins).distinct()
+    bodies = write(_line_texts(docs, Bitmap(met), min_chars), "line-texts")
+    nodes = write(nodes.join(met, "node").join(twins.withColumn("twin", F.lit(True)), "node", "left"), "line-nodes")
+    nodes = nodes.withColumn("twin", F.coalesce("twin", F.lit(False)))
+
+    pairs = twins.select(F.col("node").alias("a"), F.col("node").alias("b"))  # lines that share a number
+    open_rows, links = _labelled(rows, None), None
+    for _ in range(STARS):
+        stars = write(_star(open_rows, edits).unionByName(pairs), "line-stars")
+        found = _verified(stars, bodies, edits)
+        links = write(found if links is None else links.unionByName(found), "line-links")
+        open_rows = write(_labelled(rows, _classes(nodes, links, write)), "line-open")
+        pairs = pairs.limit(0)
+    members = open_rows.select("key", "member", "class")
+    rest = candidate_pairs(members, lambda c, i, j: _near(c, i, j, edits), tile, write)
+    rest = rest.select(F.shiftrightunsigned("a", 1).alias("a"), F.shiftrightunsigned("b", 1).alias("b")).distinct()
+    return write(links.unionByName(_verified(write(rest, "line-pairs"), bodies, edits)), "line-links")
 
 
 def first_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, tile: int = TILE) -> DataFrame:

@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from eventide.llm import line_dedup as line_dedup_module
 from eventide.llm.arrow import pieces
 from eventide.llm.line_dedup import Lines, dedup_lines, keys, within
 from tests.llm.brute import distance, line_dedup
@@ -53,6 +54,15 @@ def test_texts_are_those_of_brute_force(frame, rng, rows, edits, min_chars, tile
     assert got[2003] == "short\nshorx"
 
 
+def test_frequent_keys_are_dealt_out_and_lose_nothing(frame, rng, monkeypatch):
+    monkeypatch.setattr(line_dedup_module, "SAMPLE", 1.0)
+    monkeypatch.setattr(line_dedup_module, "OFTEN", 2)
+    base = ["the same beginning of many lines " + "".join(rng.choices("abcd", k=12)) for _ in range(12)]
+    own = [(i, edited(rng, rng.choice(base), rng.randint(0, 2), "abcd")) for i in range(120)]
+    got = {r.doc_id: r.text for r in dedup_lines(frame(own), tile=16).collect()}
+    assert got == line_dedup(own, 2, 24)
+
+
 def test_repeated_rows_and_rows_without_id(frame, odd):
     line = "a line that is long enough to be near"
     own = [*odd, (8, line), (8, line), (9, line + "!"), (None, line)]
