@@ -92,8 +92,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.document_fingerprints(table(spark, sf_dir, "documents"))
-    return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+    found = simhash.document_fingerprints(table(spark, sf_dir, "documents"), digest=True)
+    return found.withColumnRenamed("edited", "edited_sha256")
 
 
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,14 +42,14 @@ def terms(text: Column) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: Column) -> DataFrame:
-    """`keys` and `fingerprint`, for the keys whose text has words. Votes are added up before the shuffle.
+    """`keys` and `fingerprint`; 0 for a text without words. Votes are added up before the shuffle.
 
     One sum counts two bits, one in each half of a long: a text may have up to 2^31 terms.
     """
-    votes = texts.select(*keys, F.explode(terms(text)).alias("term"))
+    votes = texts.select(*keys, F.explode_outer(terms(text)).alias("term"))
     halves = [F.shiftrightunsigned("term", j).bitwiseAND(F.lit(_LOW)) for j in range(32)]
     counted = votes.groupBy(*keys).agg(
-        F.count("*").alias("cast_votes"), *[F.sum(x).alias(f"votes_{j}") for j, x in enumerate(halves)]
+        F.count("term").alias("cast_votes"), *[F.sum(x).alias(f"votes_{j}") for j, x in enumerate(halves)]
     )
     bits = []
     for j in range(32):
@@ -57,7 +57,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text: Column) -> DataFrame:
         for bit, count in ((j, low), (j + 32, high)):
             bits.append(F.when(count * 2 > F.col("cast_votes"), F.lit(_signed(1 << bit))).otherwise(F.lit(0)))
     one = reduce(lambda a, b: a.bitwiseOR(b), bits)
-    return counted.select(*keys, one.cast("long").alias("fingerprint"))
+    return counted.select(*keys, one.cast("long").alias("fingerprint"), (F.col("cast_votes") > 0).alias("has_words"))
 
 
 def _signed(bits: int) -> int:
@@ -130,14 +130,20 @@ def _next_rows(rows: DataFrame, write) -> DataFrame:
 
 
 def document_fingerprints(
-    docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    radius: int = RADIUS,
+    blocks: int = BLOCKS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digest: bool = False,
 ) -> DataFrame:
     """Fingerprints of texts and of their edited texts, and classes of near ones; a row per row of `docs`.
 
     Columns: doc_id, n_chars, edited (text), fingerprint, edited_fingerprint (16 hexadecimal digits), near_edited
     and near_next (`likeness` to the edited and the next text), class_id (the smallest id within `radius`, also by
     way of others). In the edited text the last half of the characters has given way to as many first ones of the next
-    document, by descending id, or to all that it has; after the last comes the first.
+    document, by descending id, or to all that it has; after the last comes the first. With `digest`, `edited` is its SHA-256,
+    so that edited texts are not carried on.
 
     NULL texts count as empty. Texts without words have a fingerprint of zeros and are in a class of
     their own. Rows of one id are ordered by a hash of the text, equal ones count once and have equal results;
@@ -161,26 +167,32 @@ def document_fingerprints(
         F.col("for_id").alias("id"), F.col("for_mark").alias("mark"), "n_chars", F.substring("text", F.lit(1), half).alias("head")
     )
     left = F.substring(F.col("text"), F.lit(1), F.col("n_chars") - half)
-    edited = once.join(heads, key).select(*key, F.concat(left, "head").alias("edited"))
-    edited = materialize(edited, "simhash-edited")
+    edited = once.join(heads, key).select(*key, F.concat(left, "head").alias("text"))
+    if digest:  # texts go straight into the votes
+        edited = edited.withColumn("edited", F.unhex(F.sha2("text", 256)))
+        changed = fingerprints(edited, [*key, "edited"], F.col("text"))
+        changed = changed.withColumn("edited", F.lower(F.hex("edited")))
+    else:
+        edited = materialize(edited, "simhash-edited")
+        changed = fingerprints(edited, key, F.col("text"))
+    changed = write(changed.drop("has_words").withColumnRenamed("fingerprint", "edited_fingerprint"), "simhash-changed")
 
     own = write(fingerprints(texts, key, F.col("text")), "simhash-texts")
-    changed = fingerprints(edited, key, F.col("edited")).withColumnRenamed("fingerprint", "edited_fingerprint")
     following = own.select(
         F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("fingerprint").alias("next_fingerprint")
     )
-    links = near_links(own.select("fingerprint").distinct(), radius, blocks, write)
+    links = near_links(own.where("has_words").select("fingerprint").distinct(), radius, blocks, write)
     classes = connected_components(links, write)
-    found = order.join(own, key, "left").join(changed, key, "left").join(following, ["next_id", "next_mark"], "left")
-    zero = lambda name: F.coalesce(name, F.lit(0).cast("long"))
+    found = order.join(own, key).join(changed, key).join(following, ["next_id", "next_mark"])
     found = found.select(
         *key,
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
-        zero("fingerprint").alias("own"),
-        zero("edited_fingerprint").alias("changed"),
-        zero("next_fingerprint").alias("following"),
-        F.col("fingerprint").alias("near"),
+        F.col("fingerprint").alias("own"),
+        F.col("edited_fingerprint").alias("changed"),
+        F.col("next_fingerprint").alias("following"),
+        F.when(F.col("has_words"), F.col("fingerprint")).alias("near"),
+        *(["edited"] if digest else []),
     )
     found = write(found, "simhash-found")
     named = found.join(classes, F.col("near") == F.col("node"), "left").withColumn("c", F.coalesce("component", "near"))
@@ -194,10 +206,13 @@ def document_fingerprints(
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), F.col("following")).alias("near_next"),
         F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        *(["edited"] if digest else []),
     )
     result = materialize(result, "simhash-result")
     scratch.clear()
-    rows = texts.select("doc_id", *key).join(result, key).join(edited, key)
+    rows = texts.select("doc_id", *key).join(result, key)
+    if not digest:
+        rows = rows.join(edited.withColumnRenamed("text", "edited"), key)
     return rows.select(
         "doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id"
     )
