@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from eventide.functions import any_null, no_salt, salt_where_null
 from eventide.operators.evolve import sync_columns
 from eventide.operators.keyed import first_per_key
+from eventide.operators.layout import clustered
 from eventide.sources.lake import read_table
 from eventide.storage import materialize, read_back, remove_path, scratch_path, table_exists
 
@@ -122,6 +123,7 @@ def upsert_table(
     newest_by: str | None = None,
     schema: T.StructType | None = None,
     deletes: DataFrame | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> dict[str, Any]:
     """Merge rows into the Parquet table at `path` and return what was done.
 
@@ -131,7 +133,8 @@ def upsert_table(
     folder first, since a folder cannot be overwritten while it is read; a reader that runs during
     the second write may see the table between two states, and a failed second write leaves the staging
     folder behind with all merged rows. `evolve` gives the table the columns of the
-    updates (new ones added, missing ones dropped). With `newest_by` only the newest of several updates
+    updates (new ones added, missing ones dropped); where `schema` names them, untouched partitions stay as they
+    are, since reading them by the schema does the same. Rows of a partition are laid out by `cluster_by`. With `newest_by` only the newest of several updates
     of one key counts; otherwise several updates of one target row are refused. `schema` is that of the
     table; without it the footers of all its files are read to find out.
     """
@@ -140,7 +143,8 @@ def upsert_table(
         updates = complete.unionByName(updates.filter(any_null(keys)))
     seen = Observation()
     if not table_exists(spark, path):
-        _write(updates, path, partition_by, False, (seen, F.count(F.lit(1)).alias("rows_inserted")))
+        counted = (seen, F.count(F.lit(1)).alias("rows_inserted"))
+        _write(updates, path, partition_by, False, counted, cluster_by)
         return {"created": True, "rows_inserted": seen.get["rows_inserted"]}
 
     copy = scratch_path(spark, "updates")
@@ -154,7 +158,7 @@ def upsert_table(
     if doubled:
         raise AmbiguousSource(f"several source rows match one target row: {[r.asDict() for r in doubled]}")
 
-    pruned = partition_by in keys and not evolve
+    pruned = partition_by in keys and (not evolve or schema is not None)
     touched = None
     if pruned:
         changes = updates.select(partition_by)
@@ -167,7 +171,7 @@ def upsert_table(
     merged = actions.filter("_action != 'delete'").drop("_action")
     merged.write.parquet(staging)
     merged = read_back(spark, staging, merged.schema)
-    _write(merged, path, partition_by, pruned)
+    _write(merged, path, partition_by, pruned, cluster_by=cluster_by)
     if pruned and seen.get["rows_deleted"]:
         _drop_emptied(spark, path, merged, partition_by, touched, deletes)
     for used in (staging, copy):
@@ -191,13 +195,21 @@ def _drop_emptied(
 
 
 def _write(
-    df: DataFrame, path: str, partition_by: str | None, dynamic: bool, counted: tuple | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: str | None,
+    dynamic: bool,
+    counted: tuple | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Overwrite a table or, if dynamic, its partitions that occur in `df`.
 
     Rows are counted after the last shuffle, where a task that runs again is not counted twice.
     """
-    df = df.hint("rebalance", F.col(partition_by)) if partition_by else df
+    if partition_by and cluster_by:
+        df = clustered(df, partition_by, cluster_by)
+    elif partition_by:
+        df = df.hint("rebalance", F.col(partition_by))
     df = df.observe(*counted) if counted else df
     writer = df.write.mode("overwrite")
     if partition_by:

@@ -42,6 +42,51 @@ def test_day_runs_and_runs_again(spark, folder):
     assert spark.read.parquet(lake.path("gold", "ml_predictions")).count() == first["scored"]
 
 
+def raw_customers(spark):
+    known = spark.read.parquet(f"{SMALL}/customer.parquet")
+    return known.select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.sha2("c_name", 256).alias("email_hash"),
+        F.lit("2024-01-01").cast("date").alias("created_at"),
+        F.lit("2024-01-16 01:00:00").cast("timestamp").alias("_ingestion_timestamp"),
+    )
+
+
+def test_days_in_order_have_the_sessions_of_a_full_refresh(spark, folder):
+    lake, (raw, streamed, people, bought) = Lake(folder), inputs(spark)
+    # One session per user for all days: events keep their id and user, the payload names the session.
+    session = F.concat(F.lit('{"session_id":"u'), "user_id", F.lit('"}'))
+    raw, streamed = raw.withColumn("payload", session), streamed.withColumn("payload", session)
+    seen = []
+    for day in ("2024-01-04", "2024-01-07", "2024-01-08"):
+        ctx = RunContext.of(day, f"{day} 23:30:00", "test")
+        own = raw.filter(F.col("_partition_date") <= day)
+        paid = bought.filter(F.col("transaction_date") <= day)
+        seen.append(run_day(spark, lake, own, streamed, people, paid, ctx, None, OPEN, raw_customers=raw_customers(spark)))
+    assert seen[0]["recounted"] == 0 and seen[1]["recounted"] > 0
+    tables = {r["table_name"] for r in seen[2]["tests"]}
+    assert tables == {"raw_events", "raw_customers", "transactions", "events"}
+    assert {r["table_name"] for r in seen[2]["tests"] if r["test"] == "freshness"} == tables - {"events"}
+    assert {r["status"] for r in seen[2]["tests"]} <= {"pass", "warn"}
+    staged = stage_events(raw, streamed, ctx, None).filter("event_date between '2024-01-01' and '2024-01-08'")
+    full = fct_events(staged, people, bought)
+    columns = ["event_id", "session_event_count", "session_event_sequence", "prev_event_type", "seconds_since_prev_event"]
+    mart = spark.read.parquet(lake.path("gold", "fct_events"))
+    assert rows(mart.select(*columns)) == rows(full.select(*columns))
+
+
+def test_day_stops_at_known_ids_and_stale_sources(spark, folder):
+    lake, (raw, streamed, people, bought) = Lake(folder), inputs(spark)
+    replay = raw.filter("_partition_date = '2024-01-10'").withColumn("_partition_date", F.lit("2024-01-15").cast("date"))
+    old = RunContext.of("2024-01-10", "2024-01-11 03:00:00", "test")
+    run_day(spark, lake, raw.filter("_partition_date <= '2024-01-10'"), streamed, people, bought, old, None, OPEN)
+    with pytest.raises(GateFailed, match="known from earlier days"):
+        run_day(spark, lake, raw.unionByName(replay), streamed, people, bought, CTX, None, OPEN)
+    stale = raw.withColumn("_ingestion_timestamp", F.lit("2023-01-01").cast("timestamp"))
+    with pytest.raises(GateFailed, match="raw_events is stale"):
+        run_day(spark, Lake(f"{folder}-2"), stale, streamed, people, bought, CTX, None, OPEN)
+
+
 def test_day_stops_at_a_failed_data_test(spark, folder):
     with pytest.raises(GateFailed, match="accepted_values"):
         run_day(spark, Lake(folder), *inputs(spark, known_users=False), CTX, None, OPEN)
