@@ -17,6 +17,7 @@ from eventide.operators.metrics import METRICS_SCHEMA, merge_and_count
 from eventide.operators.snapshots import snapshot_amend, snapshot_history, vanished_keys
 from eventide.plans.sessions import run_sessions
 from eventide.sources.lake import read_table
+from eventide.sources.switch import create_table, remove_unused, switch_table, upsert_switched
 from eventide.storage import materialize, scratch_path
 
 # ---- sessions over days -----------------------------------------------------------------------
@@ -281,3 +282,39 @@ def scd2_vanished(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = materialize(snapshot_amend(snapshot, rows.limit(0), *order, vanished=gone), "spans")
     later = rows.filter(at >= F.lit("1999-01-01").cast("timestamp"))
     return snapshot_amend(snapshot, later, *order).drop("o_orderdate")
+
+
+# ---- tables switched as a whole ---------------------------------------------------------------
+
+
+@query(f"WITH {_EXTRACTS} SELECT *, year(o_orderdate)::INTEGER AS o_year FROM new")
+def switched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of `merge_deletes` in the catalog, its years switched to folders written beside the old ones."""
+    old, new = (x.withColumn("o_year", F.year("o_orderdate")) for x in _extracts(spark, sf_dir))
+    root, keys = scratch_path(spark, "switched"), ["o_year", "o_orderkey"]
+    name = "switched_" + root.rsplit("-", 1)[1]
+    create_table(spark, name, old.schema, root, "o_year")
+    upsert_switched(spark, name, old, keys, "o_year", root)
+    changes = materialize(snapshot_changes(spark.table(name), new, keys), "order-changes")
+    gone = F.col("_change") == "delete"
+    deletes = changes.filter(gone).select(*keys)
+    upsert_switched(spark, name, changes.filter(~gone).drop("_change"), keys, "o_year", root, deletes, ["o_custkey"])
+    remove_unused(spark, name, root)
+    result = materialize(spark.table(name), "switched-rows")
+    spark.sql(f"DROP TABLE {name}")
+    return result
+
+
+@query("SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders")
+def switched_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose rows are computed from itself and then replaced at once."""
+    rows = roles.orders(spark, sf_dir).select("o_orderkey", "o_totalprice")
+    root = scratch_path(spark, "switched")
+    name = "switched_" + root.rsplit("-", 1)[1]
+    create_table(spark, name, rows.schema, root)
+    switch_table(spark, name, rows, root)
+    switch_table(spark, name, spark.table(name).withColumn("o_totalprice", F.col("o_totalprice") * 2), root)
+    remove_unused(spark, name, root)
+    result = materialize(spark.table(name), "switched-rows")
+    spark.sql(f"DROP TABLE {name}")
+    return result
