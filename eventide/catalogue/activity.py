@@ -19,6 +19,7 @@ from eventide.functions import (
 from eventide.functions import surrogate_key as key_of
 from eventide.operators.enrich import join_customers, join_daily_spend
 from eventide.operators.metrics import daily_user_metrics as metrics_by_day
+from eventide.operators.payloads import choose_columns, discover, typed_payload
 from eventide.plans.facts import fct_events as fact_rows
 from eventide.plans.facts import session_columns
 from eventide.plans.staging import earliest_copies, stage_events, union_sources
@@ -226,3 +227,56 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.upper("event_type")).alias("whispered"),
         F.coalesce(known, F.lit("unknown")).alias("known_type"),
     )
+
+
+_PAYLOADS = """payloads AS (
+  SELECT event_id, CASE event_type
+    WHEN 'purchase' THEN '{"k":' || k || ',"value":' || CAST(round(value) AS BIGINT) || '.5,"paid":true}'
+    WHEN 'view' THEN '{"k":' || k || ',"page":"p' || k || '","tags":["a","b"]}'
+    WHEN 'click' THEN '{"k":"' || k || '","at":{"x":' || k || '}}'
+    WHEN 'signup' THEN '{"k":' || k || ',"page":null}' ELSE 'no json' END AS payload
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+)"""
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of five kinds, with numbers, texts, flags, lists, objects, nulls, and some that are no JSON."""
+    k, kind = F.get_json_object("props", "$.k"), F.col("event_type")
+    text = (
+        F.when(kind == "purchase", F.concat(F.lit('{"k":'), k, F.lit(',"value":'), F.round("value").cast("long"), F.lit('.5,"paid":true}')))
+        .when(kind == "view", F.concat(F.lit('{"k":'), k, F.lit(',"page":"p'), k, F.lit('","tags":["a","b"]}')))
+        .when(kind == "click", F.concat(F.lit('{"k":"'), k, F.lit('","at":{"x":'), k, F.lit("}}")))
+        .when(kind == "signup", F.concat(F.lit('{"k":'), k, F.lit(',"page":null}')))
+        .otherwise("no json")
+    )
+    return roles.events(spark, sf_dir).select("event_id", text.alias("payload"))
+
+
+@query(
+    f"""WITH {_PAYLOADS}, good AS (SELECT * FROM payloads WHERE json_valid(payload)),
+    entries AS (SELECT unnest(json_keys(payload)) AS key, payload FROM good)
+    SELECT key, CASE json_type(payload, '$.' || key) WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING'
+        WHEN 'DOUBLE' THEN 'DECIMAL' WHEN 'NULL' THEN 'VOID' ELSE json_type(payload, '$.' || key) END AS kind, count(*) AS rows
+    FROM entries GROUP BY 1, 2"""
+)
+def payload_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of all payloads, with the kinds of their values."""
+    return discover(_payloads(spark, sf_dir), "payload")
+
+
+@query(
+    f"""WITH {_PAYLOADS}
+    SELECT event_id, json_extract_string(payload, '$.page') AS page,
+      CAST(json_extract(payload, '$.value') AS DOUBLE) AS value, CAST(json_extract(payload, '$.paid') AS BOOLEAN) AS paid,
+      CASE WHEN payload LIKE '%"tags"%' THEN '{{"k":' || json_extract(payload, '$.k') || ',"tags":["a","b"]}}'
+        WHEN payload LIKE '%"at"%' THEN payload
+        WHEN payload LIKE '%"page":null%' THEN '{{"k":' || json_extract(payload, '$.k') || ',"page":null}}'
+        ELSE '{{"k":' || json_extract(payload, '$.k') || '}}' END AS payload_rest
+    FROM (SELECT * FROM payloads WHERE json_valid(payload))
+    UNION ALL SELECT event_id, NULL, NULL, NULL, payload FROM payloads WHERE NOT json_valid(payload)"""
+)
+def payload_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns for keys of one type that a tenth of the payloads hold; all else is kept as JSON."""
+    rows = materialize(_payloads(spark, sf_dir), "payloads")
+    columns = choose_columns(discover(rows, "payload"), rows.count())
+    return typed_payload(rows, "payload", columns).drop("payload")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventide.catalogue import roles
 from eventide.catalogue.activity import facts
 from eventide.catalogue.registry import query
+from eventide.operators.ranking import evaluate
 from eventide.operators.scoring import fixed_churn, score, train_churn, user_features
 from eventide.storage import materialize
 
@@ -90,3 +91,32 @@ def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         probs[1]["prob"].alias("stay_probability"),
         "scored_at",
     )
+
+
+@query(
+    f"""WITH {_FEATURES_SQL}, scored AS (
+      SELECT round(1 / (1 + exp(-({" + ".join(f"{w!r} * {c}" for c, w in WEIGHTS.items())} + {INTERCEPT!r}))), 6) AS score,
+        user_id NOT IN (SELECT user_id FROM days WHERE event_date >= DATE '{CHURNED_BEFORE}') AS churned
+      FROM features
+    ), counted AS (
+      SELECT score, count(*) FILTER (churned) AS p, count(*) FILTER (NOT churned) AS n FROM scored GROUP BY score
+    ), ranked AS (
+      SELECT *, p + n AS here, coalesce(sum(p + n) OVER w, 0) AS above, coalesce(sum(n) OVER w, 0) AS n_above
+      FROM counted WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), totals AS (SELECT sum(p) AS all_p, sum(n) AS all_n, sum(p * (n_above + n / 2)) AS beaten FROM ranked),
+    parts AS (
+      SELECT b, p / here AS share,
+        greatest(0, least(above + here, (b + 1) * (all_p + all_n) / 10) - greatest(above, b * (all_p + all_n) / 10)) AS part
+      FROM ranked, totals, (SELECT unnest(range(10)) AS b)
+    )
+    SELECT CAST(b + 1 AS INTEGER) AS bucket, round(sum(part), 6) AS rows, round(sum(part * share), 6) AS positives,
+      round(sum(part * share) / sum(part) / (any_value(all_p) / any_value(all_p + all_n)), 6) AS lift,
+      round(any_value(1 - beaten / (all_p * all_n)), 6) AS auc
+    FROM parts, totals GROUP BY b"""
+)
+def churn_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC and lift of the model of given weights: features before the cut, labels after it."""
+    features = materialize(user_features(facts(spark, sf_dir), CHURNED_BEFORE), "features")
+    churn = fixed_churn(WEIGHTS, INTERCEPT).transform(features).withColumn("_churn", F.round("_churn", 6))
+    found = evaluate(churn, "_churn", "label")
+    return found.select("bucket", *[F.round(c, 6).alias(c) for c in ("rows", "positives", "lift", "auc")])
