@@ -56,7 +56,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = pii.find_personal(docs, min_support=1, around=1, doubt=1, term=pii.ANY_TERM)
+    found = pii.find_personal(docs, around=1, term=pii.ANY_TERM)
     return found.drop("sanitised")
 
 

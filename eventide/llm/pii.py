@@ -1,15 +1,18 @@
 """Personal data, with information-theoretic sanitisation (operator 9).
 
 Protected entities are the e-mail addresses, IP addresses, card and phone numbers in the texts. How much a term
-tells about an entity is estimated from the whole corpus: over lines, the pointwise mutual information of
-term and entity, log2(c(t, e) N / (c(t) c(e))), divided by the entity's information, log2(N / c(e)). One
-means that the term occurs nowhere without the entity. Lines next to an entity's own can count as its lines, and
-a share is made less by how few different lines tell of it. In documents that hold the entity, terms from
-one threshold on are generalised, and from a higher one on removed. Only DataFrame functions are used.
+tells about an entity is estimated from the whole corpus: of the lines that hold the term, the share that hold
+the entity, made less by how few different lines tell of it. Minus its logarithm is how many bits about the
+entity are left to who knows the term: none if the term stands nowhere else, on many different lines. Lines next to an
+entity's own can count as its lines. The share does not depend on how many lines without the term there are. In
+documents that hold the entity, terms from one threshold on are generalised, and from a higher one on removed. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
@@ -30,24 +33,54 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone
 TERM = r"\p{L}{3,}"
 #: Short words, names and numbers as well.
 ANY_TERM = r"[\p{L}\p{N}]+"
+#: Matches that are placed together at least.
+GROUP = 64
 SPAN = "struct<start:int,kind:int,end:int,match:string>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once, wherever and how often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def spans(text: Column, pattern: Column, kind: Column) -> Column:
-    """All matches of a pattern with their places in characters, from the lengths of what is between them."""
+    """All matches of a pattern with their places in characters, from the lengths of what is between them.
+
+    An array grows by copying it, so matches are taken in groups of about the root of their number: the lengths of
+    whole groups give the place where each begins, and within it places are added up.
+    """
     between, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def length(x: Column) -> Column:
+        return F.length(x["between"]) + F.length(x["match"])
 
     def add(done: Column, x: Column) -> Column:
         start = done["at"] + F.length(x["between"])
         end = start + F.length(x["match"])
         one = F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"), x["match"].alias("match"))
-        return F.when(x["match"].isNull(), done).otherwise(
-            F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
-        )
+        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
+
+    def of_group(group: Column, at: Column) -> Column:
+        return F.aggregate(group, F.struct(at.alias("at"), none.alias("out")), add)["out"]
+
+    def starts(groups: Column) -> Column:
+        def next_start(done: Column, group: Column) -> Column:
+            end = F.aggregate(group, F.element_at(done, -1), lambda n, x: n + length(x))
+            return F.concat(done, F.array(end))
+
+        return F.slice(F.aggregate(groups, F.array(F.lit(0)), next_start), F.lit(1), F.size(groups))
+
+    def placed(found: Column) -> Column:
+        n = F.size(found)
+        step = F.greatest(F.lit(GROUP), F.ceil(F.sqrt(n)).cast("int"))
+        groups = F.transform(F.sequence(F.lit(1), n, step), lambda i: F.slice(found, i, step))
+        each = let(groups, lambda g: F.zip_with(g, starts(g), of_group))
+        return F.when(n > 0, F.flatten(each)).otherwise(none)
 
     zipped = F.arrays_zip(between.alias("between"), matches.alias("match"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    return F.aggregate(zipped, begin, add)["out"]
+    # What is after the last match has none.
+    return let(zipped, lambda z: let(F.filter(z, lambda x: x["match"].isNotNull()), placed))
 
 
 def _digits(match: Column) -> Column:
@@ -106,89 +139,72 @@ def _terms(line: Column, term: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(term), F.lit(0)))
 
 
+def _without_matches(line: Column) -> Column:
+    """A line without what looks like an entity, valid or not."""
+    for kind in KINDS:
+        line = F.when(line.rlike(HINTS[kind]), F.regexp_replace(line, PATTERNS[kind], " ")).otherwise(line)
+    return line
+
+
+def entity_lines(base: DataFrame, around: int) -> DataFrame:
+    """(bare, near): each line that an entity is on, or is at most `around` lines away from, and all these entities."""
+    entities = lambda line: F.array_distinct(F.transform(base_spans(line), lambda s: F.lower(s["match"])))
+    lines = F.split("text", "\n")
+
+    def near(own: Column, i: Column) -> Column:
+        first = F.greatest(i - around, F.lit(0))
+        return F.array_distinct(F.flatten(F.slice(own, first + 1, i + around - first + 1)))
+
+    def each(own: Column) -> Column:
+        both = F.zip_with(lines, F.transform(own, lambda _, i: near(own, i)), lambda x, n: F.struct(x.alias("line"), n.alias("near")))
+        return F.filter(both, lambda x: F.size(x["near"]) > 0)
+
+    held = base.select(F.explode(let(F.transform(lines, entities), each)).alias("x"))
+    return held.select(_without_matches(F.col("x.line")).alias("bare"), F.col("x.near").alias("near"))
+
+
 def disclosing_terms(
     base: DataFrame, texts: DataFrame, generalise_at: float, min_support: int, around: int, doubt: float, term: str
-) -> tuple[DataFrame, DataFrame]:
-    """(entity, term, share) from `generalise_at` on, and the documents (doc_id, entity) of each entity.
+) -> DataFrame:
+    """(entity, term, share) from `generalise_at` on.
 
-    `base` has doc_id, text and found. An entity's lines are those that hold it and `around` lines before and
-    after. A pair counts as evidence if at least `min_support` different ones of them hold the term, so that copies
-    of one line are none, and with n different ones its count is taken as n / (n + doubt) of what it is. Counts
-    are over all lines of all texts.
+    `base` has texts with entities. Of the c(t) lines of all texts with the term, c(t, e) are lines of the entity, on n
+    different ones: the share is c(t, e) / c(t) * n / (n + doubt). Copies of a line are one line in n, and a pair on fewer
+    than `min_support` different lines is none.
     """
-    span = F.col("span")
-    before = F.substring("text", F.lit(1), span["start"])
-    after = F.substring(F.col("text"), span["end"] + 1, F.length("text"))
-    line = F.concat_ws(" ", F.substring_index(before, "\n", -1), F.substring_index(after, "\n", 1))
-    held = base.select("doc_id", "text", F.explode("found").alias("span")).select(
-        "doc_id",
-        F.lower(span["match"]).alias("entity"),
-        (span["start"] - F.length(F.substring_index(before, "\n", -1))).alias("at"),
-        line.alias("line"),
-        *_lines_around(before, after, around),
+    lines = materialize(entity_lines(base, around), "pii-lines")
+    terms = lines.select(
+        F.xxhash64("bare").alias("mark"), F.explode("near").alias("entity"), _terms(F.col("bare"), term).alias("terms")
     )
-    held = materialize(held.dropDuplicates(["doc_id", "entity", "at"]), "pii-lines")
-    own = held.select("doc_id", "entity", "at", "line")
-    if around:
-        next_to = held.select("doc_id", "entity", F.explode("near").alias("near"))
-        next_to = next_to.select("doc_id", "entity", "near.at", "near.line").dropDuplicates(["doc_id", "entity", "at"])
-        next_to = next_to.join(own.select("doc_id", "entity", "at"), ["doc_id", "entity", "at"], "left_anti")
-        own = materialize(own.unionByName(next_to), "pii-near")
-    entities = own.groupBy("entity").agg(F.count("*").alias("c_e"))
-    both = own.select("entity", F.xxhash64("line").alias("mark"), F.explode(_terms(F.col("line"), term)).alias("term"))
+    both = terms.select("entity", "mark", F.explode("terms").alias("term"))
     both = both.groupBy("entity", "term", "mark").agg(F.count("*").alias("times"))
     both = both.groupBy("entity", "term").agg(F.sum("times").alias("c_te"), F.count("*").alias("support"))
     both = materialize(both.where(F.col("support") >= min_support), "pii-pairs")
-    lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
-    total = lines.count()
-    counted = lines.select(F.explode(_terms(F.col("line"), term)).alias("term")).groupBy("term").agg(F.count("*").alias("c_t"))
-    wanted = both.select("term").distinct()
-    counted = materialize(counted.join(wanted, "term", "left_semi"), "pii-terms")
-    entities = materialize(entities.join(both.select("entity").distinct(), "entity", "left_semi"), "pii-entities")
-    all_lines = F.lit(float(max(total, 1)))
+    every = texts.select(F.explode(F.split("text", "\n")).alias("line"))
+    counted = every.select(F.explode(_terms(F.col("line"), term)).alias("term")).groupBy("term").agg(F.count("*").alias("c_t"))
+    counted = materialize(counted.join(both.select("term").distinct(), "term", "left_semi"), "pii-terms")
     sure = F.col("support") / (F.col("support") + F.lit(float(doubt)))
-    told = F.log2(sure * F.col("c_te") * all_lines / (F.col("c_t") * F.col("c_e")))
-    whole = F.log2(all_lines / F.col("c_e"))
-    share = F.when(whole > 0, told / whole)
-    shares = both.join(counted, "term").join(entities, "entity").select("entity", "term", share.alias("share"))
-    return shares.where(F.col("share") >= generalise_at), held.select("doc_id", "entity").distinct()
-
-
-def _lines_around(before: Column, after: Column, around: int) -> list[Column]:
-    """`near`: where the lines next to the one between `before` and `after` begin, and what they are."""
-    if not around:
-        return []
-    above, below = F.split(before, "\n"), F.split(after, "\n")
-    # Of the lines above, the last is the entity's own; of those below, the first.
-    above = F.reverse(F.slice(F.reverse(above), 2, around))
-    below = F.slice(below, 2, around)
-    first = F.length(before) - F.length(F.substring_index(before, "\n", -(around + 1)))
-    next_one = F.length("text") - F.length(after) + F.length(F.substring_index(after, "\n", 1)) + 1
-
-    def begins(start: Column, some: Column) -> Column:
-        earlier = lambda i: F.aggregate(F.slice(some, F.lit(1), i), start, lambda n, x: n + F.length(x) + 1)
-        return F.transform(some, lambda x, i: F.struct(earlier(i).alias("at"), x.alias("line")))
-
-    return [F.concat(begins(first, above), begins(next_one, below)).alias("near")]
+    shares = both.join(counted, "term").select("entity", "term", (sure * (F.col("c_te") / F.col("c_t"))).alias("share"))
+    return shares.where(F.col("share") >= generalise_at)
 
 
 def find_personal(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    generalise_at: float = 0.9,
-    remove_at: float = 0.99,
-    min_support: int = 3,
+    generalise_at: float = 0.5,
+    remove_at: float = 0.75,
+    min_support: int = 1,
     around: int = 0,
-    doubt: float = 0.0,
+    doubt: float = 1.0,
     term: str = TERM,
 ) -> DataFrame:
     """Counts of base matches, spans and the sanitised text; one row per row of `docs`.
 
-    `spans` adds to the base spans those of kind term, which are generalised to [TERM], and of kind quasi,
-    which are removed; entities become [EMAIL], [IP], [CARD] and [PHONE]. Spans count characters, the end is
-    exclusive, and a term inside a base span is part of that. `term` is the pattern of a term; for `min_support`,
-    `around` and `doubt` see `disclosing_terms`. A NULL or empty text has no spans. Rows of
+    `spans` adds to the base spans those of kind term, which are generalised to [TERM] (from `generalise_at` on; a half
+    leaves one bit), and of kind quasi, which are removed (from `remove_at` on); entities become [EMAIL], [IP], [CARD] and [PHONE]. Spans count characters, the end is
+    exclusive, and a term inside a base span is part of that. `term` is the pattern of a term; for `min_support`
+    and `doubt` see `disclosing_terms`, for `around` `entity_lines`. A NULL or empty text has no spans. Rows of
     one id count as one document; a row without an id gets base spans only. An empty table gives an empty
     result, and only the two named columns are read.
     """
@@ -196,8 +212,9 @@ def find_personal(
     found = texts.select("doc_id", "text", base_spans(F.col("text")).alias("found"))
     base = materialize(found.withColumn("personal", F.size("found") > 0), "pii-base")
     own = base.where("personal")
-    shares, held = disclosing_terms(own, texts, generalise_at, min_support, around, doubt, term)
-    shares = materialize(shares, "pii-shares")
+    shares = materialize(disclosing_terms(own, texts, generalise_at, min_support, around, doubt, term), "pii-shares")
+    named = F.array_distinct(F.transform("found", lambda s: F.lower(s["match"])))
+    held = own.where("doc_id is not null").select("doc_id", F.explode(named).alias("entity")).distinct()
     worst = held.join(shares, "entity").groupBy("doc_id", "term").agg(F.max("share").alias("share"))
     by_doc = worst.groupBy("doc_id").agg(
         *(
