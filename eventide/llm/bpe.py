@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import pairwise
 
@@ -23,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from eventide.llm.arrow import FIRST, Words, pieces
-from eventide.llm.frames import map_batches, two_columns
+from eventide.llm.frames import kept, map_batches, two_columns
 from eventide.llm.units import FlatCache, spread, units
 
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
@@ -247,17 +246,15 @@ class Encoder:
         return self.tokens.join(np.array(ids, np.int64))[0].tobytes()
 
 
-@lru_cache(maxsize=2)
 def load_encoder(path: str, pattern: str) -> Encoder:
-    """From a file of lines `base64-bytes rank`. Once per worker."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return Encoder(ranks, pattern)
+    """From a file of lines `base64-bytes rank`. Once per task."""
 
+    def load() -> Encoder:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return Encoder(ranks, pattern)
 
-@lru_cache(maxsize=2)
-def _cache(path: str, most: int) -> FlatCache:
-    return FlatCache(most)
+    return kept(("encoder", path, pattern), load)
 
 
 def shared_file(spark, path: str) -> str:
@@ -284,7 +281,7 @@ def _batches(docs: DataFrame, path: str, pattern: str, schema: str, columns) ->
     name = shared_file(docs.sparkSession, path)
 
     def work(batch: pa.RecordBatch):
-        encoder, cache = load_encoder(worker_path(name), pattern), _cache(name, CACHED)
+        encoder, cache = load_encoder(worker_path(name), pattern), kept(("units", name), lambda: FlatCache(CACHED))
 
         for piece in pieces(batch.column(1), PIECE_BYTES):
             found = units(piece, encoder.pattern)

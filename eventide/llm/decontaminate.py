@@ -20,7 +20,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
 from eventide.llm.arrow import pieces
-from eventide.llm.frames import map_batches, two_columns
+from eventide.llm.frames import give_back, kept, map_batches, two_columns
 
 SCHEMA = "doc_id long, item_id long, start long, end long, distance int"
 
@@ -211,9 +211,13 @@ def holds_item(
 
 
 def _any_match(shared):
-    def work(texts: pa.Array) -> pa.Array:
-        finder = _finder(shared)
-        return pa.array([bool(t) and bool(finder.matches(t)) for t in texts.to_pylist()], pa.bool_())
+    def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            finder = _finder(shared)
+            for texts in batches:
+                yield pa.array([bool(t) and bool(finder.matches(t)) for t in texts.to_pylist()], pa.bool_())
+        finally:
+            give_back()
 
     return F.arrow_udf(work, "boolean")
 
@@ -246,12 +250,7 @@ def _search(texts: DataFrame, items: list[tuple[int, str]], percent: int) -> Dat
     return map_batches(texts, SCHEMA, work)
 
 
-_LAST: list = [None, None]
-
-
 def _finder(shared) -> FoldingFinder:
-    """The automata of a broadcast, built once per worker."""
+    """The automata of a broadcast, built once per task."""
     items, percent = shared.value
-    if _LAST[0] is not items:
-        _LAST[:] = items, FoldingFinder(items, percent)
-    return _LAST[1]
+    return kept(("finder", id(items)), lambda: FoldingFinder(items, percent))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +35,37 @@ def map_batches(
     arrow = to_arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for columns in work(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], f.type) for f in arrow], schema=arrow
-                )
+        try:
+            for batch in batches:
+                for columns in work(batch):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[f.name], f.type) for f in arrow], schema=arrow
+                    )
+        finally:
+            give_back()
 
     return df.mapInArrow(run, fields)
 
 
+_KEPT: dict = {}
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """What a task makes once and uses for all its batches."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def give_back() -> None:
+    """At the end of a task: forget what it kept, and return free memory, since workers wait for other tasks."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+    if trim:
+        trim(0)
+
+
 def numbered(
     df: DataFrame,
     group: str,

@@ -26,17 +26,29 @@ EDITS = 2
 MIN_CHARS = 24
 #: Rows of a key that are compared at once; larger groups are cut into blocks of this size.
 TILE = 4_096
-#: Rounds in which the lines of a key are compared with one of them only.
-STARS = 2
-#: Part of the documents whose keys tell which ones are frequent, how often such a key is in it, and how many are told.
-SAMPLE, OFTEN, MOST_HOT = 0.02, 20, 100_000
-#: Tasks that a frequent key is dealt to.
-SALTS = 64
+#: Steps that classes are carried on after the lines of each key have been compared with one of them.
+STEPS = 4
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Lines:
+class NamedRanges:
+    """Byte ranges, ordered by start, with hashes."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.data, self.starts, self.ends = data, starts, ends
+        self.a = FIRST.ranges(data, starts, ends)
+
+    def names(self, which: np.ndarray) -> list[bytes]:
+        """128 bits of each."""
+        order = np.argsort(self.starts[which], kind="stable")
+        second = np.empty(len(which), np.uint64)
+        second[order] = SECOND.ranges(self.data, self.starts[which][order], self.ends[which][order])
+        packed = np.stack([self.a[which], second], 1).astype(">u8").tobytes()
+        return [packed[i : i + 16] for i in range(0, len(packed), 16)]
+
+
+class Lines(NamedRanges):
     """The lines with a word of a piece, with a 128-bit name for each text and, for long ones, a node number.
 
     A node number has 32 parity bits of the line's bigrams, which say how far apart two lines are at least,
@@ -47,11 +59,10 @@ class Lines:
         before = code_points(piece)
         starts, ends, owner, number = lines(piece)
         some = with_word(piece, starts, ends)
-        self.data = piece.data
-        self.starts, self.ends, self.owner, self.number = (x[some] for x in (starts, ends, owner, number))
+        super().__init__(piece.data, starts[some], ends[some])
+        self.owner, self.number = owner[some], number[some]
         self.first = np.searchsorted(self.owner, np.arange(len(piece) + 1))
         self.chars = before[self.ends] - before[self.starts]
-        self.a = FIRST.ranges(piece.data, self.starts, self.ends)
         self.long = self.chars >= min_chars
         self.symbols = np.frombuffer(
             piece.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32
@@ -68,13 +79,6 @@ class Lines:
         last = np.maximum(self.at + self.chars - 1, self.at)
         return (total[last] ^ total[self.at]).astype(np.uint64)
 
-    def names(self, which: np.ndarray) -> list[bytes]:
-        order = np.argsort(self.starts[which], kind="stable")
-        second = np.empty(len(which), np.uint64)
-        second[order] = SECOND.ranges(self.data, self.starts[which][order], self.ends[which][order])
-        packed = np.stack([self.a[which], second], 1).astype(">u8").tobytes()
-        return [packed[i : i + 16] for i in range(0, len(packed), 16)]
-
 
 def segment(length: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
     """Where segment i of a line of this length starts, and how long it is; the last ones may be longer."""
@@ -83,35 +87,42 @@ def segment(length: np.ndarray, i: int, edits: int) -> tuple[np.ndarray, np.ndar
     return i * size + before, size + (i >= edits + 1 - longer)
 
 
-def keys(own: Lines, which: np.ndarray, edits: int, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, member) rows of lines. A member is the node number with a last bit that says: indexed here."""
-    at, length, node = own.at[which], own.chars[which], own.node[which]
-    begins, sizes, tags, members = [], [], [], []
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(characters less, segment, shift) of each key of a line; the first edits + 1 index it, the others probe."""
+    out = [(0, i, 0) for i in range(edits + 1)]
     for less in range(edits + 1):
         for i in range(edits + 1):
-            start, size = segment(length - less, i, edits)
             # Edits before the segment shift it by i at most, those after it by edits - i.
             for place in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                index = less == 0 and place == 0
-                ok = (length - less >= min_chars) & (start + place >= 0) & (start + place + size <= length)
-                begins.append((at + start + place)[ok])
-                sizes.append(size[ok])
-                tags.append(((length - less) * (edits + 1) + i)[ok].astype(np.uint64))
-                members.append(node[ok] << np.uint64(1) | np.uint64(index))
-    begins, sizes, tags, members = (np.concatenate(x) for x in (begins, sizes, tags, members))
-    order = np.argsort(begins, kind="stable")
-    begins, sizes, tags, members = (x[order] for x in (begins, sizes, tags, members))
-    hashes = FIRST.ranges(own.symbols, begins, begins + sizes)
-    return mix(hashes + mix(tags + _ODD)).view(np.int64), members.view(np.int64)
+                if less or place:
+                    out.append((less, i, place))
+    return out
 
 
-def _distinct(own: Lines, which: np.ndarray) -> np.ndarray:
-    _, one = np.unique(own.a[which], return_index=True)
-    return which[np.sort(one)]
+def keys(own: Lines, which: np.ndarray, edits: int, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of keys for each line, in the order of `probes`, and which of them there are."""
+    at, length = own.at[which], own.chars[which]
+    every = probes(edits)
+    begins, sizes = np.zeros((2, len(every), len(which)), np.int64)
+    tags, there = np.zeros((len(every), len(which)), np.uint64), np.zeros((len(every), len(which)), bool)
+    for n, (less, i, place) in enumerate(every):
+        start, size = segment(length - less, i, edits)
+        there[n] = (length - less >= min_chars) & (start + place >= 0) & (start + place + size <= length)
+        begins[n], sizes[n] = at + start + place, size
+        tags[n] = ((length - less) * (edits + 1) + i).astype(np.uint64)
+    flat = np.flatnonzero(there.ravel())
+    begins, sizes, tags = begins.ravel()[flat], sizes.ravel()[flat], tags.ravel()[flat]
+    order = np.argsort(begins, kind="stable")
+    hashes = np.empty(len(flat), np.uint64)
+    hashes[order] = FIRST.ranges(own.symbols, begins[order], (begins + sizes)[order])
+    out = np.zeros(there.size, np.int64)
+    out[flat] = mix(hashes + mix(tags + _ODD)).view(np.int64)
+    return out.reshape(there.shape).T, there.T
 
 
-def _line_facts(texts: DataFrame, min_chars: int) -> DataFrame:
-    """(line, node, doc_id, number): the first place of each line in each piece; node only for long ones."""
+def _line_rows(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """(line, node, keys, doc_id, number): the first place of each line in each piece; node and keys of long ones."""
+    width = len(probes(edits))
 
     def work(batch: pa.RecordBatch):
         for piece in pieces(batch.column(1)):
@@ -120,46 +131,30 @@ def _line_facts(texts: DataFrame, min_chars: int) -> DataFrame:
             order = np.lexsort((own.number, ids))
             _, one = np.unique(own.a[order], return_index=True)
             which = order[one]
-            node = pa.array(own.node[which].astype(np.int64), mask=~own.long[which])
-            yield {"line": own.names(which), "node": node, "doc_id": ids[which], "number": own.number[which]}
+            long = own.long[which]
+            key, there = keys(own, which[long], edits, min_chars)
+            ends = np.append(0, np.cumsum(long * width))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key.ravel(), mask=~there.ravel()))
+            yield {
+                "line": own.names(which),
+                "node": pa.array(own.node[which].astype(np.int64), mask=~long),
+                "keys": lists,
+                "doc_id": ids[which],
+                "number": own.number[which],
+            }
 
-    return map_batches(texts, "line binary, node long, doc_id long, number long", work)
+    return map_batches(texts, "line binary, node long, keys array<long>, doc_id long, number long", work)
 
 
-def _key_rows(texts: DataFrame, edits: int, min_chars: int, hot=None) -> DataFrame:
-    """(key, member, salt); the salt is 0 but for hot keys, a sorted array that was broadcast."""
+def _meeting(lines: DataFrame, edits: int) -> DataFrame:
+    """(key, member) rows whose key other lines have too, and some that only seem so; ranges split keys with many rows.
 
-    def work(batch: pa.RecordBatch):
-        for piece in pieces(batch.column(1)):
-            own = Lines(piece, min_chars)
-            key, member = keys(own, _distinct(own, np.flatnonzero(own.long)), edits, min_chars)
-            salt = np.zeros(len(key), np.int32)
-            if hot is not None:
-                some = _among(hot.value, key)
-                salt[some] = mix(member[some].view(np.uint64)) % np.uint64(SALTS)
-            yield {"key": key, "member": member, "salt": salt}
-
-    return map_batches(texts, "key long, member long, salt int", work)
-
-
-def _among(known: np.ndarray, key: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(key), bool)
-    return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
-
-
-def _meeting(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """(key, member) rows whose key other lines have too, and some that only seem so.
-
-    Rows are dealt by key. Keys that a sample of the documents holds often are dealt to several tasks and all their
-    rows are kept; the sample decides where rows go, never which pairs are found.
+    A member is the node number with a last bit that says: indexed here.
     """
-    sample = _key_rows(texts.sample(SAMPLE, 7), edits, min_chars)
-    often = sample.groupBy("key").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count")).limit(MOST_HOT)
-    hot = np.sort(often.select("key").toArrow()["key"].to_numpy())
-    hot = texts.sparkSession.sparkContext.broadcast(hot)
-    rows = _key_rows(texts, edits, min_chars, hot)
-    dealt = rows.repartition("key", "salt").sortWithinPartitions("key", "member").select("key", "member")
+    each = lines.where("node is not null").select("node", F.posexplode("keys").alias("n", "key")).where("key is not null")
+    indexed = F.when(F.col("n") <= edits, 1).otherwise(0).cast("long")
+    rows = each.select("key", F.shiftleft("node", 1).bitwiseOR(indexed).alias("member"))
+    dealt = rows.repartitionByRange("key", "member").sortWithinPartitions("key", "member")
 
     def work(batch: pa.RecordBatch):
         key, member = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -168,7 +163,7 @@ def _meeting(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
         key, member = key[new], member[new]
         same = np.ones(len(key) + 1, bool)
         same[1:-1] = key[1:] == key[:-1]
-        keep = same[1:] | same[:-1] | _among(hot.value, key)
+        keep = same[1:] | same[:-1]
         yield {"key": key[keep], "member": member[keep]}
 
     return map_batches(dealt, "key long, member long", work)
@@ -181,48 +176,69 @@ def _near(columns: dict, i: np.ndarray, j: np.ndarray, edits: int) -> np.ndarray
     return ((member[i] | member[j]) & 1 == 1) & (apart <= 4 * edits) & (label[i] != label[j])
 
 
-def _classes(nodes: DataFrame, links: DataFrame, write) -> DataFrame:
-    """(node, class): nodes of lines that links connect have equal classes, others don't.
+def _classes(links: DataFrame, twins: DataFrame, write) -> DataFrame:
+    """(node, class): nodes of one class are connected by these links, of node_a and node_b; there may be fewer classes.
 
-    `nodes` has line, node and `twin`, whether other lines share the node; these are in a class of their own.
+    Every node takes the largest class among those it is linked with, `STEPS` times. Nodes that several lines share are
+    left out, as such a line need not be connected with what another one is linked with.
     """
-    found = connected_components(links, write).withColumnRenamed("node", "line")
-    held = nodes.where("not twin").join(found, "line").select("node", "component")
-    least = held.groupBy("component").agg(F.min("node").alias("class"))
-    return held.join(least, "component").select("node", "class")
-
-
-def _labelled(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Rows of keys that lines of several classes have, with node and class."""
-    rows = rows.withColumn("node", F.shiftrightunsigned("member", 1))
-    if classes is None:
-        return rows.withColumn("class", F.col("node"))
-    rows = rows.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    several = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    return rows.join(several.where("low != high").select("key"), "key")
+    ends = links.select("node_a", "node_b").where("node_a != node_b").distinct()
+    ends = ends.join(twins.toDF("node_a"), "node_a", "left_anti").join(twins.toDF("node_b"), "node_b", "left_anti")
+    pair = lambda x, y: F.struct(F.col(x).alias("node"), F.col(y).alias("beside"))
+    both = F.array(pair("node_a", "node_b"), pair("node_b", "node_a"), pair("node_a", "node_a"), pair("node_b", "node_b"))
+    ends = write(ends.select(F.explode(both).alias("e")).select("e.*").distinct(), "line-ends")
+    found = ends.groupBy("node").agg(F.max("beside").alias("class"))
+    for _ in range(STEPS):
+        found = write(found, "line-classes").withColumnRenamed("node", "beside")
+        found = ends.join(found, "beside").groupBy("node").agg(F.max("class").alias("class"))
+    return found
+
+
+def _weighed(met: DataFrame) -> DataFrame:
+    """(key, member, node, weight): the weight of a line is how many lines it shares its keys with, all together."""
+    met = met.withColumn("node", F.shiftrightunsigned("member", 1))
+    sizes = met.groupBy("key").agg(F.count("*").alias("size"))
+    weights = met.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("weight"))
+    return met.join(weights, "node")
 
 
 def _star(rows: DataFrame, edits: int) -> DataFrame:
-    """Pairs (a, b) of each key: an indexed line of the last class, and those of other classes."""
+    """Pairs (a, b): the indexed line of most weight of each key, and those that it may be near to.
+
+    In a group of near copies of one line, that line is the one that shares most keys, and most others are near to it.
+    """
     centre = rows.where(F.col("member").bitwiseAND(F.lit(1)) == 1).groupBy("key")
-    centre = centre.agg(F.max(F.struct("class", F.col("node").alias("other"))).alias("c"))
-    both = rows.join(centre.select("key", F.col("c.class").alias("beside"), "c.other"), "key")
+    centre = centre.agg(F.max(F.struct("weight", F.col("node").alias("other"))).alias("c"))
+    both = rows.join(centre.select("key", "c.other"), "key").where("node != other")
     apart = F.bit_count(F.shiftrightunsigned(F.col("node").bitwiseXOR(F.col("other")), 31))
-    both = both.where((F.col("class") != F.col("beside")) & (apart <= 4 * edits))
+    both = both.where(apart <= 4 * edits)
     return both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _line_texts(texts: DataFrame, nodes: Bitmap, min_chars: int) -> DataFrame:
+def _of_several_classes(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, member, class) of the keys that lines of several classes have."""
+    rows = met.join(classes, "node", "left").select("key", "member", F.coalesce("class", "node").alias("class"))
+    several = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return rows.join(several.where("low != high").select("key"), "key")
+
+
+def _line_texts(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(line, node, body) of the lines in `names`, which has line and node."""
+    first = F.conv(F.hex(F.substring("line", 1, 8)), 16, -10).cast("long")
+    wanted = Bitmap(names.select(first))
+
     def work(batch: pa.RecordBatch):
         for piece in pieces(batch.column(1)):
-            own = Lines(piece, min_chars)
-            which = _distinct(own, np.flatnonzero(own.long))
-            which = which[nodes.test(own.node[which].astype(np.int64))]
-            bodies = [piece.data[a:b].tobytes() for a, b in zip(own.starts[which], own.ends[which], strict=True)]
-            yield {"line": own.names(which), "node": own.node[which].astype(np.int64), "body": bodies}
+            starts, ends, owner, number = lines(piece)
+            own = NamedRanges(piece.data, starts, ends)
+            which = np.flatnonzero(wanted.test(own.a.view(np.int64)))
+            _, one = np.unique(own.a[which], return_index=True)
+            which = which[one]
+            bodies = [piece.data[a:b].tobytes() for a, b in zip(starts[which], ends[which], strict=True)]
+            yield {"line": own.names(which), "body": bodies}
 
-    found = map_batches(texts, "line binary, node long, body string", work)
-    return found.dropDuplicates(["line"])
+    found = map_batches(texts, "line binary, body string", work).dropDuplicates(["line"])
+    return found.join(names, "line")
 
 
 def within(left: list[str], right: list[str], edits: int) -> np.ndarray:
@@ -286,59 +302,53 @@ def distance(a: str, b: str) -> int:
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame, edits: int) -> DataFrame:
+    """(a, b, node_a, node_b): names and nodes of the lines of these pairs that are near."""
     left = bodies.select(F.col("node").alias("a"), F.col("line").alias("line_a"), F.col("body").alias("body_a"))
     right = bodies.select(F.col("node").alias("b"), F.col("line").alias("line_b"), F.col("body").alias("body_b"))
-    both = pairs.join(left, "a").join(right, "b").select("line_a", "line_b", "body_a", "body_b")
+    both = pairs.join(left, "a").join(right, "b").select("line_a", "line_b", "a", "b", "body_a", "body_b")
 
     def work(batch: pa.RecordBatch):
-        keep = pa.array(within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), edits))
-        yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+        keep = pa.array(within(batch.column(4).to_pylist(), batch.column(5).to_pylist(), edits))
+        yield {n: batch.column(i).filter(keep) for i, n in enumerate(("a", "b", "node_a", "node_b"))}
 
-    return map_batches(both, "a binary, b binary", work)
+    return map_batches(both, "a binary, b binary, node_a long, node_b long", work)
 
 
 def near_lines(
     docs: DataFrame,
-    facts: DataFrame,
+    rows: DataFrame,
     edits: int = EDITS,
-    min_chars: int = MIN_CHARS,
     tile: int = TILE,
     write: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
-    """Links (a, b) between names of near lines that connect all of them, from (doc_id, text) rows and `_line_facts`.
+    """Links (a, b) between names of near lines that connect all of them, from (doc_id, text) rows and `_line_rows`.
 
     The lines of a key are first compared with one of them. What is connected then is not compared any more, so a
     large group of near copies costs its size; all other pairs that share a key are.
     """
-    rows = write(_meeting(docs, edits, min_chars), "line-keys")
-    nodes = facts.where("node is not null").select("line", "node")
-    twins = nodes.groupBy("node").count().where("count > 1").select("node")
-    met = rows.select(F.shiftrightunsigned("member", 1).alias("node")).unionByName(twins).distinct()
-    bodies = write(_line_texts(docs, Bitmap(met), min_chars), "line-texts")
-    nodes = write(nodes.join(met, "node").join(twins.withColumn("twin", F.lit(True)), "node", "left"), "line-nodes")
-    nodes = nodes.withColumn("twin", F.coalesce("twin", F.lit(False)))
+    met = write(_weighed(write(_meeting(rows, edits), "line-keys")), "line-weights")
+    nodes = rows.where("node is not null").select("line", "node").distinct()
+    twins = write(nodes.groupBy("node").count().where("count > 1").select("node"), "line-twins")
+    wanted = met.select("node").unionByName(twins).distinct()
+    bodies = write(_line_texts(docs, write(nodes.join(wanted, "node"), "line-nodes")), "line-texts")
 
     pairs = twins.select(F.col("node").alias("a"), F.col("node").alias("b"))  # lines that share a number
-    open_rows, links = _labelled(rows, None), None
-    for _ in range(STARS):
-        stars = write(_star(open_rows, edits).unionByName(pairs), "line-stars")
-        found = _verified(stars, bodies, edits)
-        links = write(found if links is None else links.unionByName(found), "line-links")
-        open_rows = write(_labelled(rows, _classes(nodes, links, write)), "line-open")
-        pairs = pairs.limit(0)
-    members = open_rows.select("key", "member", "class")
+    stars = write(_star(met, edits).unionByName(pairs), "line-stars")
+    links = write(_verified(stars, bodies, edits), "line-links")
+    members = write(_of_several_classes(met, _classes(links, twins, write)), "line-open")
     rest = candidate_pairs(members, lambda c, i, j: _near(c, i, j, edits), tile, write)
     rest = rest.select(F.shiftrightunsigned("a", 1).alias("a"), F.shiftrightunsigned("b", 1).alias("b")).distinct()
-    return write(links.unionByName(_verified(write(rest, "line-pairs"), bodies, edits)), "line-links")
+    links = links.unionByName(_verified(write(rest, "line-pairs"), bodies, edits))
+    return write(links.select("a", "b"), "line-links")
 
 
 def first_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, tile: int = TILE) -> DataFrame:
     """(doc_id, first): for each document the numbers of its lines that are the first of their class."""
     scratch = Scratch(docs.sparkSession)
-    facts = _line_facts(docs, min_chars)
-    facts = facts.groupBy("line", "node").agg(F.min(F.struct("doc_id", "number")).alias("place"))
+    rows = scratch.write(_line_rows(docs, edits, min_chars), "line-rows")
+    facts = rows.groupBy("line").agg(F.min(F.struct("doc_id", "number")).alias("place"))
     facts = scratch.write(facts, "line-facts")
-    links = near_lines(docs, facts, edits, min_chars, tile, scratch.write)
+    links = near_lines(docs, rows, edits, tile, scratch.write)
     classes = connected_components(links, scratch.write).withColumnRenamed("node", "line")
     classes = scratch.write(classes, "line-classes")
     alone = facts.join(classes, "line", "left_anti").select("place")

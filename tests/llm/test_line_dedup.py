@@ -2,9 +2,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from eventide.llm import line_dedup as line_dedup_module
 from eventide.llm.arrow import pieces
-from eventide.llm.line_dedup import Lines, dedup_lines, keys, within
+from eventide.llm.components import connected_components
+from eventide.llm.line_dedup import Lines, _line_rows, dedup_lines, keys, near_lines, within
+from eventide.storage import materialize
 from tests.llm.brute import distance, line_dedup
 from tests.llm.conftest import DOCS
 from tests.llm.test_decontaminate import edited
@@ -23,18 +24,14 @@ def test_near_lines_meet(rng, edits):
     texts = [edited(rng, x, rng.randint(0, edits), "abcdé ").replace("\n", " ") for x in base for _ in range(4)]
     texts = [t for t in texts if t.strip()]
     own = Lines(next(pieces(pa.array(["\n".join(texts)]))), 10)
-    where = np.arange(len(texts))
-    key, member = keys(own, where, edits, 10)
-    held = {}
+    key, there = keys(own, np.arange(len(texts)), edits, 10)
+    held = [set(k[t].tolist()) for k, t in zip(key, there)]
+    indexed = [set(k[: edits + 1][t[: edits + 1]].tolist()) for k, t in zip(key, there)]
     node = own.node.astype(np.uint64)
-    for k, m in zip(key.tolist(), member.view(np.uint64).tolist()):
-        held.setdefault(m >> 1, set()).add((k, m & 1))
     for i in range(len(texts)):
         for j in range(i):
             if min(len(texts[i]), len(texts[j])) >= 10 and distance(texts[i], texts[j]) <= edits:
-                a, b = held[int(node[i])], held[int(node[j])]
-                met = {k for k, _ in a} & {k for k, _ in b}
-                assert node[i] == node[j] or any((k, 1) in a or (k, 1) in b for k in met)
+                assert node[i] == node[j] or held[i] & indexed[j] or held[j] & indexed[i]
                 assert np.bitwise_count((node[i] ^ node[j]) >> np.uint64(31)) <= 4 * edits
 
 
@@ -54,13 +51,24 @@ def test_texts_are_those_of_brute_force(frame, rng, rows, edits, min_chars, tile
     assert got[2003] == "short\nshorx"
 
 
-def test_frequent_keys_are_dealt_out_and_lose_nothing(frame, rng, monkeypatch):
-    monkeypatch.setattr(line_dedup_module, "SAMPLE", 1.0)
-    monkeypatch.setattr(line_dedup_module, "OFTEN", 2)
-    base = ["the same beginning of many lines " + "".join(rng.choices("abcd", k=12)) for _ in range(12)]
-    own = [(i, edited(rng, rng.choice(base), rng.randint(0, 2), "abcd")) for i in range(120)]
-    got = {r.doc_id: r.text for r in dedup_lines(frame(own), tile=16).collect()}
-    assert got == line_dedup(own, 2, 24)
+def test_a_dense_group_is_compared_with_few_of_its_lines(spark, rng):
+    base = "the same beginning of many lines and then some more of it"
+    texts = [edited(rng, base, rng.randint(0, 2), "abcd") for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    asked = []
+
+    def write(df, name):
+        df = materialize(df, name)
+        if name in ("line-stars", "line-pairs"):
+            asked.append(df.count())
+        return df
+
+    rows = materialize(_line_rows(docs, 2, 24), "line-rows")
+    links = near_lines(docs, rows, 2, 64, write)
+    found = connected_components(links).groupBy("component").count().collect()
+    distinct = len({t for t in texts if len(t) >= 24})
+    assert len(found) == 1 and found[0]["count"] == distinct
+    assert sum(asked) < 12 * distinct
 
 
 def test_repeated_rows_and_rows_without_id(frame, odd):
