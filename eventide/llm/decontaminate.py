@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from eventide.llm.arrow import pieces
 from eventide.llm.frames import give_back, kept, map_batches, two_columns
 
+#: Text of the items of a shard; their automata take some hundred times as much in a worker.
+SHARD_BYTES = 1 << 20
 SCHEMA = "doc_id long, item_id long, start long, end long, distance int"
 
 
@@ -176,7 +178,7 @@ def contaminated(
     percent: int = 5,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shard_bytes: int = 16 << 20,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """The documents that hold a passage of an item, with the best passage for each such item.
 
@@ -199,7 +201,7 @@ def contaminated(
 
 
 def holds_item(
-    text: Column, items: DataFrame, percent: int = 5, shard_bytes: int = 16 << 20
+    text: Column, items: DataFrame, percent: int = 5, shard_bytes: int = SHARD_BYTES
 ) -> Column:
     """Whether a text holds a passage of any item; false for NULL. See `contaminated`."""
     spark, found = items.sparkSession, F.lit(False)

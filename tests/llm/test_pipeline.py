@@ -49,3 +49,29 @@ def test_stages_keep_the_columns_and_follow_their_operators(spark, tmp_path):
     assert {r.doc_id: r.text for r in last.collect()} == texts
     lengths = seen[2].where("text is not null and n_chars != length(text)")
     assert lengths.count() == 0
+
+
+def test_stages_on_an_empty_table_and_on_odd_rows(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("score", F.lit(1))
+    odd = [(1, "", None, None, None, 1), (2, None, "en", "s", 0, 2), (None, "some words here", None, None, None, 3),
+           (4, " \n\t", "en", "s", 3, 4), (4, " \n\t", "en", "s", 3, 4), (5, "x" * 300_000, None, "s", 1, 5)]
+    for rows in ([], odd):
+        before = spark.createDataFrame(rows, docs.schema)
+        for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            path = f"{tmp_path}/{len(rows)}-{name}"
+            stage(spark, before, SMALL).write.parquet(path)
+            after = spark.read.parquet(path)
+            assert n == 4 or after.columns == docs.columns
+            assert after.count() <= before.count()
+            before = after
+        assert before.columns == ["doc_id", "n_tokens", "ids", "text"]
+        left = {(r.doc_id, len(r.text)) for r in before.collect()}
+        assert left <= {(1, 0), (2, 0), (None, 15), (4, 3), (5, 300_000)} and (not rows or (None, 15) in left)
+
+
+def test_one_of_several_rows_of_an_id_and_text_stays_the_same(spark):
+    docs = spark.createDataFrame([(1, "a b", s) for s in "xyz"] * 3, "doc_id long, text string, source string")
+    kept = [
+        corpus_pipeline.near_copies(spark, d, SMALL).collect() for d in (docs, docs.repartition(5), docs.orderBy("source"))
+    ]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]

@@ -1,11 +1,14 @@
+import math
 import zlib
 from statistics import NormalDist
 
 import numpy as np
 import pyspark.sql.functions as F
 import pytest
+import zstandard
 
-from eventide.llm import quality
+from eventide.llm import catalogue, quality
+from tests.conftest import SMALL
 from tests.llm.conftest import DOCS
 
 FOLDER = "/root/testdata/sf0.01"
@@ -77,3 +80,26 @@ def test_missing_labels(spark, frame):
     assert all(r.score > 0.99 for r in quality.score(docs, quality.train(docs, good)).collect())
     few = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
     assert all(0 <= r.score <= 1 for r in quality.score(docs, quality.train(docs, few)).collect())
+
+
+def test_scores_are_those_of_plain_compression(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    crc = {i: zlib.crc32(str(i).encode()) % 3 for i in rows}
+    learned = labels.where(~labels.doc_id.isin([i for i in crc if crc[i] == 1]))
+    learned = learned.select("doc_id", F.col("quality").alias("label"))
+    model = quality.train(docs, learned)
+    compress = [
+        zstandard.ZstdCompressor(
+            level=3, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False
+        ).compress
+        for d in (model.good, model.bad)
+    ]
+    out = {r.doc_id: r for r in catalogue.op2_quality_classifier(spark, SMALL).collect()}
+    assert out.keys() == rows.keys()
+    for i, text in rows.items():
+        data = text.encode()
+        good, bad = (sum(len(c(data[k : k + 1024])) for k in range(0, len(data), 1024)) for c in compress)
+        score = 1 / (1 + math.exp(-(model.slope * (good - bad) / max(good + bad, 1) + model.intercept)))
+        assert abs(out[i].score - score) < 1e-9
+        assert out[i].held_out == (crc[i] == 1) and out[i].predicted == int(out[i].score >= 0.5)
