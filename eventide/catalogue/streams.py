@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from eventide.catalogue import roles
 from eventide.catalogue.registry import query
 from eventide.functions import json_scalar, parse_payload
-from eventide.operators.history import read_as_of, read_log
 from eventide.schemas import STREAM_EVENTS_SCHEMA
 from eventide.sources.lake import read_table
 from eventide.storage import materialize, scratch_path
@@ -18,8 +17,10 @@ from eventide.streaming.ingest import (
     append_files,
     daily_counts,
     drain,
+    latest_rows,
+    read_batches,
     read_files,
-    upsert_log,
+    upsert_batches,
     without_personal_data,
     without_replays,
 )
@@ -71,21 +72,21 @@ def stream_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "stream-log")
     events = read_files(spark, _landed(spark, sf_dir, replay=True), files_per_batch=1)
     order = [F.desc("event_timestamp")]
-    drain(upsert_log(events, log, f"{log}-checkpoint", ["event_id"], order, _batch_time))
-    latest = read_as_of(read_log(spark, log), ["event_id"])
+    drain(upsert_batches(events, log, f"{log}-checkpoint", ["event_id"], order, _batch_time))
+    latest = latest_rows(read_batches(spark, log, _STREAM), ["event_id"])
     return latest.select("event_id", "event_timestamp", "user_id", "event_type")
 
 
 @query(f"WITH {roles.RAW_SQL} SELECT event_id, event_timestamp, user_id, event_type FROM raw")
 def stream_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two streams, of even and of odd event ids, into one log: neither replaces the other's commits."""
+    """Two streams, each of half of the event ids, into one table: neither replaces the other's rows."""
     log = scratch_path(spark, "shared-log")
     landed = _landed(spark, sf_dir, replay=True)
     for name, odd in (("even", 0), ("odd", 1)):
         events = read_files(spark, landed).filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == odd)
         order = [F.desc("event_timestamp")]
-        drain(upsert_log(events, log, f"{log}-{name}", ["event_id"], order, _batch_time, writer=name))
-    latest = read_as_of(read_log(spark, log), ["event_id"])
+        drain(upsert_batches(events, log, f"{log}-{name}", ["event_id"], order, _batch_time))
+    latest = latest_rows(read_batches(spark, log, _STREAM), ["event_id"])
     return latest.select("event_id", "event_timestamp", "user_id", "event_type")
 
 
@@ -100,7 +101,7 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "count-log")
     counts = daily_counts(read_files(spark, _landed(spark, sf_dir, replay=False)))
     drain(
-        upsert_log(
+        upsert_batches(
             counts,
             log,
             f"{log}-checkpoint",
@@ -110,7 +111,8 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             output_mode="update",
         )
     )
-    return read_as_of(read_log(spark, log), ["event_date"]).select("event_date", "row_count", "null_users")
+    stored = read_batches(spark, log, "event_date date, row_count long, null_users long")
+    return latest_rows(stored, ["event_date"]).select("event_date", "row_count", "null_users")
 
 
 @query(

@@ -87,21 +87,6 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return list(_data_files(spark, path))
 
 
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files in a folder, hidden ones too."""
-    fs, target = _file_system(spark, path)
-    if not fs.exists(target):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
-
-
-def create_file(spark: SparkSession, path: str) -> None:
-    """An empty file; one that exists stays."""
-    fs, target = _file_system(spark, path)
-    if not fs.exists(target):
-        fs.create(target, False).close()
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)

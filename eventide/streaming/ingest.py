@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.constants import LOOKBACK_DAYS
+from eventide.context import utc_literal
 from eventide.functions import any_null
-from eventide.operators.history import append_commit, claim_commit
 from eventide.operators.keyed import first_per_key
 from eventide.operators.privacy import pseudonymize, redact_payload
 from eventide.schemas import STREAM_EVENTS_SCHEMA
+from eventide.sources.lake import read_table
 from eventide.storage import materialize, remove_path, scratch_path
 
 
@@ -91,7 +92,10 @@ def append_files(events: DataFrame, path: str, checkpoint: str, partition_by: st
     return writer.trigger(availableNow=True).start(path)
 
 
-def upsert_log(
+WRITER, BATCH, COMMITTED = "_writer", "_batch", "_commit_ts"
+
+
+def upsert_batches(
     events: DataFrame,
     path: str,
     checkpoint: str,
@@ -99,28 +103,53 @@ def upsert_log(
     order_by: Sequence[Column],
     clock: Callable[[int], dt.datetime],
     output_mode: str = "append",
-    writer: str = "stream",
 ) -> StreamingQuery:
-    """Write each batch as one commit of a change log, keyed by `keys`.
+    """Write each batch's rows, one per key, to a table partitioned by writer and batch; see `latest_rows`.
 
-    A batch that is run again with the same rows replaces its own commit and no other, so several streams
-    can feed one log, one after the other; `writer` names this one. The newest version of the log holds one row per key. A batch is written down before it is used
-    twice, since computing it again would run the stream's state again.
+    The writer is the query's own id, which is kept in its checkpoint. A batch that is run again therefore replaces its
+    own rows and no others, and a stream that has lost its checkpoint, or another stream, writes beside them, so any
+    number of streams can feed one table at the same time. A batch is written down before it is used twice, since
+    computing it again would run the stream's state again.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        copy = scratch_path(batch.sparkSession, "batch")
+        spark = batch.sparkSession
+        writer = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        copy = scratch_path(spark, "batch")
         taken = materialize(batch, "batch", copy)
         complete = first_per_key(taken.filter(~any_null(keys)), keys, order_by)
         rows = complete.unionByName(taken.filter(any_null(keys)))
-        version = claim_commit(batch.sparkSession, path, writer, batch_id, taken)
-        append_commit(rows, path, version, clock(batch_id))
-        remove_path(batch.sparkSession, copy)
+        rows = rows.withColumns({COMMITTED: utc_literal(clock(batch_id)), WRITER: F.lit(writer), BATCH: F.lit(batch_id)})
+        sink = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        sink.partitionBy(WRITER, BATCH).parquet(path)
+        remove_path(spark, copy)
 
     sink = events.writeStream.foreachBatch(commit).outputMode(output_mode)
     return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """All rows that streams have written to a table, with their writer, batch and commit time."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if schema is not None:
+        own = [T.StructField(COMMITTED, T.TimestampType()), T.StructField(WRITER, T.StringType())]
+        schema = T.StructType([*schema, *own, T.StructField(BATCH, T.LongType())])
+    return read_table(spark, path, schema).withColumn(BATCH, F.col(BATCH).cast("long"))
+
+
+def latest_rows(batches: DataFrame, keys: Sequence[str], until: dt.datetime | None = None) -> DataFrame:
+    """The newest row of each key, by commit time, then batch, then writer; as of a moment if one is given.
+
+    Rows with a NULL in their key never replace each other.
+    """
+    if until is not None:
+        batches = batches.filter(F.col(COMMITTED) <= utc_literal(until))
+    order = [F.desc(COMMITTED), F.desc(BATCH), F.desc(WRITER)]
+    newest = first_per_key(batches.filter(~any_null(keys)), keys, order)
+    return newest.unionByName(batches.filter(any_null(keys))).drop(COMMITTED, WRITER, BATCH)
+
+
 def daily_counts(events: DataFrame, delay: str = f"{LOOKBACK_DAYS} days") -> DataFrame:
     """Events per day and how many of them lack a user, kept open for late events."""
     at = F.col("event_timestamp").cast("timestamp")

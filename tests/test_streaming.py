@@ -4,14 +4,15 @@ import time
 
 from pyspark.sql import functions as F
 
-from eventide.operators.history import read_as_of, read_log
 from eventide.storage import list_files
 from eventide.streaming.ingest import (
     append_files,
     daily_counts,
     drain,
+    latest_rows,
+    read_batches,
     read_files,
-    upsert_log,
+    upsert_batches,
     without_personal_data,
     without_replays,
 )
@@ -75,10 +76,10 @@ def test_batches_are_merged_and_the_newest_counts(spark, folder):
     land(raw, "1.json", ("a", "2024-01-10T00:00:00", "view"), ("a", "2024-01-10T00:00:01", "click"))
     land(raw, "2.json", ("a", "2024-01-10T00:00:02", "purchase"), ("b", "2024-01-10T00:00:00", "view"))
     stream = read_files(spark, raw, files_per_batch=1)
-    drain(upsert_log(stream, f"{folder}/log", f"{folder}/c", ["event_id"], [F.desc("event_timestamp")], _clock))
-    log = read_log(spark, f"{folder}/log")
-    assert rows(read_as_of(log, ["event_id"]).select("event_id", "event_type")) == [("a", "purchase"), ("b", "view")]
-    first = read_as_of(log, ["event_id"], version=0)
+    drain(upsert_batches(stream, f"{folder}/log", f"{folder}/c", ["event_id"], [F.desc("event_timestamp")], _clock))
+    log = read_batches(spark, f"{folder}/log")
+    assert rows(latest_rows(log, ["event_id"]).select("event_id", "event_type")) == [("a", "purchase"), ("b", "view")]
+    first = latest_rows(log, ["event_id"], until=_clock(0))
     assert rows(first.select("event_id", "event_type")) == [("a", "click")]
 
 
@@ -87,20 +88,34 @@ def test_batch_run_again_after_a_lost_checkpoint_changes_nothing(spark, folder):
     land(raw, "1.json", ("a", "2024-01-10T00:00:00", "view"))
     for checkpoint in ("c1", "c2"):
         stream = read_files(spark, raw)
-        drain(
-            upsert_log(stream, f"{folder}/log", f"{folder}/{checkpoint}", ["event_id"], [F.desc("event_timestamp")], _clock)
-        )
-    assert read_log(spark, f"{folder}/log").count() == 1
+        order = [F.desc("event_timestamp")]
+        drain(upsert_batches(stream, f"{folder}/log", f"{folder}/{checkpoint}", ["event_id"], order, _clock))
+    assert latest_rows(read_batches(spark, f"{folder}/log"), ["event_id"]).count() == 1
 
 
-def test_streams_on_one_log_do_not_replace_each_other(spark, folder):
-    for name, writer in (("a", "one"), ("b", "two"), ("c", "one")):  # the last one has lost its checkpoint
+def test_a_batch_that_is_run_again_replaces_its_own_rows(spark, folder):
+    raw, order = f"{folder}/raw", [F.desc("event_timestamp")]
+    for i in (1, 2):
+        land(raw, f"{i}.json", (f"e{i}", "2024-01-10T00:00:00", "view"))
+        drain(upsert_batches(read_files(spark, raw), f"{folder}/log", f"{folder}/c", ["event_id"], order, _clock))
+    before = rows(read_batches(spark, f"{folder}/log").select("event_id", "_batch", "_writer"))
+    fs = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    for name in ("1", ".1.crc"):  # as if the driver had been lost before it noted the last batch
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/c/commits/{name}"), False)
+    drain(upsert_batches(read_files(spark, raw), f"{folder}/log", f"{folder}/c", ["event_id"], order, _clock))
+    assert rows(read_batches(spark, f"{folder}/log").select("event_id", "_batch", "_writer")) == before
+    assert len({w for _, _, w in before}) == 1
+
+
+def test_streams_on_one_table_do_not_replace_each_other(spark, folder):
+    for name in ("a", "b", "c"):  # each has a checkpoint, and so an id, of its own
         land(f"{folder}/{name}", "1.json", (name, "2024-01-10T00:00:00", "view"))
         stream = read_files(spark, f"{folder}/{name}")
         order = [F.desc("event_timestamp")]
-        drain(upsert_log(stream, f"{folder}/log", f"{folder}/c-{name}", ["event_id"], order, _clock, writer=writer))
-    log = read_log(spark, f"{folder}/log")
-    assert rows(log.select("event_id", "_commit_version")) == [("a", 0), ("b", 1), ("c", 2)]
+        drain(upsert_batches(stream, f"{folder}/log", f"{folder}/c-{name}", ["event_id"], order, _clock))
+    log = read_batches(spark, f"{folder}/log", "event_id string")
+    assert rows(log.select("event_id", "_batch")) == [("a", 0), ("b", 0), ("c", 0)]
+    assert log.select("_writer").distinct().count() == 3
 
 
 def test_daily_counts_take_late_events(spark, folder):
@@ -108,11 +123,11 @@ def test_daily_counts_take_late_events(spark, folder):
     land(raw, "1.json", ("a", "2024-01-09T10:00:00", "view"), ("b", "2024-01-10T10:00:00", "view"))
     land(raw, "2.json", ("c", "2024-01-09T23:00:00", "view"))
     counts = daily_counts(read_files(spark, raw, files_per_batch=1))
-    query = upsert_log(
+    query = upsert_batches(
         counts, f"{folder}/log", f"{folder}/c", ["event_date"], [F.desc("row_count")], _clock, output_mode="update"
     )
     drain(query)
-    latest = read_as_of(read_log(spark, f"{folder}/log"), ["event_date"])
+    latest = latest_rows(read_batches(spark, f"{folder}/log"), ["event_date"])
     assert rows(latest.select(F.col("event_date").cast("string"), "row_count")) == [("2024-01-09", 2), ("2024-01-10", 1)]
 
 
