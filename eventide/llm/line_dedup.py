@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
-from eventide.llm.arrow import FIRST, SECOND, Piece, code_points, lines, mix, pieces, sums, with_word
+from eventide.llm.arrow import FIRST, SECOND, Piece, code_points, lines, mix, pieces, with_word
 from eventide.llm.components import connected_components
 from eventide.llm.frames import Bitmap, Scratch, candidate_pairs, map_batches, two_columns
 from eventide.storage import materialize
@@ -27,7 +27,7 @@ MIN_CHARS = 24
 #: Rows of a key that are compared at once; larger groups are cut into blocks of this size.
 TILE = 4_096
 #: Steps that classes are carried on after the lines of each key have been compared with one of them.
-STEPS = 4
+STEPS = 3
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,7 +121,10 @@ def keys(own: Lines, which: np.ndarray, edits: int, min_chars: int) -> tuple[np.
 
 
 def _line_rows(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """(line, node, keys, doc_id, number): the first place of each line in each piece; node and keys of long ones."""
+    """(line, node, keys, doc_id, number): the first place of each line in each piece; node and keys of long ones.
+
+    A row without `line` says in `number` how many lines with a word a document has.
+    """
     width = len(probes(edits))
 
     def work(batch: pa.RecordBatch):
@@ -142,6 +145,8 @@ def _line_rows(texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
                 "doc_id": ids[which],
                 "number": own.number[which],
             }
+            n, every = len(piece), batch.column(0).slice(piece.row, len(piece))
+            yield {"line": [None] * n, "node": [None] * n, "keys": [None] * n, "doc_id": every, "number": np.diff(own.first)}
 
     return map_batches(texts, "line binary, node long, keys array<long>, doc_id long, number long", work)
 
@@ -317,17 +322,19 @@ def _verified(pairs: DataFrame, bodies: DataFrame, edits: int) -> DataFrame:
 def near_lines(
     docs: DataFrame,
     rows: DataFrame,
+    facts: DataFrame,
     edits: int = EDITS,
     tile: int = TILE,
     write: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> DataFrame:
-    """Links (a, b) between names of near lines that connect all of them, from (doc_id, text) rows and `_line_rows`.
+    """Links (a, b) between names of near lines that connect all of them.
 
-    The lines of a key are first compared with one of them. What is connected then is not compared any more, so a
-    large group of near copies costs its size; all other pairs that share a key are.
+    It gets (doc_id, text) rows, their `_line_rows`, and (line, node) of each line. The lines of a key are first
+    compared with one of them. What is connected then is not compared any more, so a large group of near copies costs
+    its size; all other pairs that share a key are.
     """
     met = write(_weighed(write(_meeting(rows, edits), "line-keys")), "line-weights")
-    nodes = rows.where("node is not null").select("line", "node").distinct()
+    nodes = facts.where("node is not null").select("line", "node")
     twins = write(nodes.groupBy("node").count().where("count > 1").select("node"), "line-twins")
     wanted = met.select("node").unionByName(twins).distinct()
     bodies = write(_line_texts(docs, write(nodes.join(wanted, "node"), "line-nodes")), "line-texts")
@@ -342,21 +349,39 @@ def near_lines(
     return write(links.select("a", "b"), "line-links")
 
 
-def first_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, tile: int = TILE) -> DataFrame:
-    """(doc_id, first): for each document the numbers of its lines that are the first of their class."""
+#: A place is one number, ordered by document and then line, as Spark adds up numbers without sorting.
+_LINES = 1 << 31
+
+
+def _place(doc_id: Column, number: Column) -> Column:
+    return doc_id.cast("decimal(20,0)") * F.lit(_LINES) + number.cast("decimal(10,0)")
+
+
+def first_lines(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, tile: int = TILE
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, first): for each document the numbers of its lines that are the first of their class.
+
+    And (doc_id, lines): how many lines with a word each row of `docs` has.
+    """
     scratch = Scratch(docs.sparkSession)
     rows = scratch.write(_line_rows(docs, edits, min_chars), "line-rows")
-    facts = rows.groupBy("line").agg(F.min(F.struct("doc_id", "number")).alias("place"))
+    counts = materialize(rows.where("line is null").select("doc_id", F.col("number").alias("lines")), "line-counts")
+    rows = rows.where("line is not null")
+    facts = rows.groupBy("line", "node").agg(F.min(_place(F.col("doc_id"), F.col("number"))).alias("place"))
     facts = scratch.write(facts, "line-facts")
-    links = near_lines(docs, rows, edits, tile, scratch.write)
+    links = near_lines(docs, rows, facts, edits, tile, scratch.write)
     classes = connected_components(links, scratch.write).withColumnRenamed("node", "line")
     classes = scratch.write(classes, "line-classes")
     alone = facts.join(classes, "line", "left_anti").select("place")
     joined = facts.join(classes, "line").groupBy("component").agg(F.min("place").alias("place")).select("place")
-    kept = alone.unionByName(joined).groupBy("place.doc_id")
-    first = materialize(kept.agg(F.collect_list("place.number").alias("first")), "line-first")
+    number = F.pmod("place", F.lit(_LINES))
+    kept = alone.unionByName(joined).select(
+        ((F.col("place") - number) / F.lit(_LINES)).cast("long").alias("doc_id"), number.cast("long").alias("number")
+    )
+    first = materialize(kept.groupBy("doc_id").agg(F.collect_list("number").alias("first")), "line-first")
     scratch.clear()
-    return first
+    return first, counts
 
 
 def dedup_lines(
@@ -393,16 +418,7 @@ def dedup_lines(
 def _decide(docs, edits, min_chars, id_col, text_col, tile) -> tuple[DataFrame, Column]:
     """First lines by document, and a filter that all rows of `docs` with a line to drop pass."""
     texts = two_columns(docs, id_col, text_col).where("doc_id is not null")
-    first = first_lines(texts, edits, min_chars, tile)
-
-    def work(batch: pa.RecordBatch):
-        for piece in pieces(batch.column(1)):
-            starts, ends, owner, _ = lines(piece)
-            some = with_word(piece, starts, ends)
-            count = sums(some, np.searchsorted(owner, np.arange(len(piece) + 1)))
-            yield {"doc_id": batch.column(0).slice(piece.row, len(piece)), "lines": count}
-
-    counts = map_batches(texts, "doc_id long, lines long", work)
+    first, counts = first_lines(texts, edits, min_chars, tile)
     changed = counts.join(first.select("doc_id", F.size("first").alias("firsts")), "doc_id", "left")
     changed = changed.where(F.col("lines") > F.coalesce("firsts", F.lit(0))).select("doc_id")
     return first, Bitmap(changed).has(docs[id_col])

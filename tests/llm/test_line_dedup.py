@@ -64,13 +64,21 @@ def test_a_dense_group_is_compared_with_few_of_its_lines(spark, rng):
         return df
 
     rows = materialize(_line_rows(docs, 2, 24), "line-rows")
-    links = near_lines(docs, rows, 2, 64, write)
+    facts = rows.where("line is not null").select("line", "node").distinct()
+    links = near_lines(docs, rows, facts, 2, 64, write)
     found = connected_components(links).groupBy("component").count().collect()
     distinct = len({t for t in texts if len(t) >= 24})
     assert len(found) == 1 and found[0]["count"] == distinct
     assert sum(asked) < 12 * distinct
 
 
+def test_ids_of_any_size(frame):
+    line = "a line that is long enough to be near"
+    ids = [-(1 << 63), -5, 0, 7, (1 << 63) - 1]
+    got = {r.doc_id: r.text for r in dedup_lines(frame([(i, f"x\n{line}\n{line}!\n{i}") for i in ids])).collect()}
+    assert got == {i: (f"x\n{line}\n{i}" if i == ids[0] else str(i)) for i in ids}
+
+
 def test_repeated_rows_and_rows_without_id(frame, odd):
     line = "a line that is long enough to be near"
     own = [*odd, (8, line), (8, line), (9, line + "!"), (None, line)]
