@@ -65,24 +65,22 @@ def clustered(
 
 
 def column_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[Any]]:
-    """Values that cut each column into about even buckets, from one aggregation over all rows.
+    """Values that cut each column into about even buckets.
 
-    Numbers and times are cut at approximate percentiles. Text has none in Spark, so it is cut at those of
-    the number that its first bytes make up, which has the same order; values that share them go together.
+    Numbers and times are cut at approximate percentiles, all of them in one aggregation. Text has none in Spark: it is
+    dealt into ranges, which Spark cuts by a sample of the values, and the least value of each range is a bound.
     """
     shares = [i / buckets for i in range(1, buckets)]
     types = dict(df.dtypes)
-    picks = [
-        F.percentile_approx(_prefix(c) if types[c] == "string" else F.col(c), shares).alias(c) for c in columns
-    ]
-    found = df.agg(*picks).first()
-    return {c: sorted(set(found[c] or [])) for c in columns}
+    numbers = [c for c in columns if types[c] != "string"]
+    found = df.agg(*[F.percentile_approx(c, shares).alias(c) for c in numbers]).first() if numbers else {}
+    return {c: sorted(set(found[c] or [])) if c in numbers else _text_bounds(df, c, buckets) for c in columns}
 
 
-def _prefix(column: str) -> Column:
-    """The first seven bytes of a text as a number."""
-    first = F.rpad(F.substring(F.hex(F.col(column)), 1, 14), 14, "0")
-    return F.conv(first, 16, 10).cast("long")
+def _text_bounds(df: DataFrame, column: str, buckets: int) -> list[str]:
+    ranged = df.select(column).dropna().repartitionByRange(buckets, column)
+    lowest = ranged.groupBy(F.spark_partition_id()).agg(F.min(column).alias("low")).collect()  # a row for each bucket
+    return sorted(r.low for r in lowest)[1:]
 
 
 def bucket_of(column: str | Column, bounds: Sequence[Any]) -> Column:
@@ -127,8 +125,8 @@ def z_ordered(
     if bits is None:
         parts = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         bits = max(1, math.ceil(math.log2(4 * parts) / len(columns)))
-    bounds, types = column_bounds(df, columns, 2**bits), dict(df.dtypes)
-    z = z_value([bucket_of(_prefix(c) if types[c] == "string" else c, bounds[c]) for c in columns], bits)
+    bounds = column_bounds(df, columns, 2**bits)
+    z = z_value([bucket_of(c, bounds[c]) for c in columns], bits)
     with_z = df.withColumns({"_z": z, "_last": _last_key(df, stored)})
     order = [*[F.col(c) for c in within], F.col("_z"), *[F.col(c) for c in columns], F.col("_last")]
     ranged = with_z.repartitionByRange(files, *order) if files else with_z.repartitionByRange(*order)

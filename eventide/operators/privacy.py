@@ -47,9 +47,14 @@ def redact_payload(df: DataFrame, payload: str, denied: Sequence[str]) -> DataFr
     inside = r'(?i)"(?:' + "|".join(map(re.escape, denied)) + r')"\s*:'
 
     def allowed(key: Column, value: Column) -> Column:
-        return ~F.lower(key).isin(names_denied) & ~F.coalesce(F.to_json(value).rlike(inside), F.lit(False))
+        return ~F.lower(key).isin(names_denied)
 
-    kept = F.map_filter("_fields", allowed)
+    def allowed_whole(key: Column, value: Column) -> Column:
+        return allowed(key, value) & ~F.coalesce(F.to_json(value).rlike(inside), F.lit(False))
+
+    # Only where a bracket opens after the first can a value hold keys of its own.
+    nested = text.rlike(r"^\s*\{[^\[{]*[\[{]")
+    kept = F.when(nested, F.map_filter("_fields", allowed_whole)).otherwise(F.map_filter("_fields", allowed))
     rewritten = F.to_json(kept, {"ignoreNullFields": "false"})
     clean = F.when(F.col("_fields").isNull(), F.lit(None)).when(suspect, rewritten).otherwise(text)
     return parsed.withColumn(payload, clean).select(*names)

@@ -342,3 +342,13 @@ def test_conversions_that_would_lose_digits_are_refused(spark):
     assert kept([1.0, 1.5], "double", "int") == ([1], 1)
     times = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 5)]
     assert kept(times, "timestamp", "date") == ([dt.date(2024, 1, 1)], 1)
+
+
+def test_text_is_cut_at_its_quantiles(spark):
+    ids = spark.range(1000).selectExpr("concat('user_', lpad(id, 6, '0')) as u", "id % 7 as n").repartition(5)
+    bounds = column_bounds(ids, ["u", "n"], 8)["u"]
+    assert len(bounds) == 7 and bounds == sorted(bounds)
+    sizes = [r["count"] for r in ids.groupBy(bucket_of("u", bounds)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 250
+    assert column_bounds(ids.filter("n > 9"), ["u"], 8) == {"u": []}
+    assert len(column_bounds(ids.withColumn("u", F.lit("same")), ["u"], 8)["u"]) <= 1
