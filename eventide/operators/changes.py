@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions import any_null, row_hashes
-from eventide.operators.keyed import first_per_key, small_side
+from eventide.operators.keyed import first_per_key
 from eventide.operators.merge import AmbiguousSource, merge_frames
 from eventide.storage import materialize
 
@@ -61,10 +61,9 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     doubled = changed.filter(F.col(CHANGE) == "ambiguous").limit(5).collect()
     if doubled:
         raise AmbiguousSource(f"different rows of one key: {[r.asDict() for r in doubled]}")
-    few = small_side(changed)
     named = [F.lit(kind).alias(CHANGE) for kind in ("insert", "delete")]
     parts = [
-        first_per_key(side.select(*columns).join(few.filter(kinds), list(keys)), keys, [])
+        first_per_key(side.select(*columns).join(changed.filter(kinds), list(keys)), keys, [])
         for side, kinds in ((new, f"{CHANGE} != 'delete'"), (old, f"{CHANGE} = 'delete'"))
     ]
     without = [side.filter(any_null(keys)).select(*columns) for side in (old, new)]

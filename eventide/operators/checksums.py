@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import row_hashes
 from eventide.operators.changes import key_states
-from eventide.operators.keyed import same_keys, small_side
+from eventide.operators.keyed import same_keys
 from eventide.operators.merge import touched_partitions
 from eventide.storage import materialize
 
@@ -63,8 +63,7 @@ def differing_blocks(left: DataFrame, right: DataFrame) -> DataFrame:
     days = materialize(_unequal(_day_sums(left), _day_sums(right), ["day"]), "unequal-days")
     if not days.limit(1).count():
         return days.withColumn("bucket", F.lit(0)).limit(0)
-    few = small_side(days)
-    sides = [s.alias("s").join(few.alias("d"), same_keys("s", "d", ["day"]), "left_semi") for s in (left, right)]
+    sides = [s.alias("s").join(days.alias("d"), same_keys("s", "d", ["day"]), "left_semi") for s in (left, right)]
     return _unequal(*sides, ["day", "bucket"])
 
 
@@ -84,13 +83,12 @@ def reconcile_rows(
     """
     sums = [materialize(block_sums(s, day, keys, columns, buckets), "block-sums") for s in (left, right)]
     blocks = materialize(differing_blocks(*sums), "unequal-blocks")
-    few = small_side(blocks)
     sides = []
     for side in (left, right):
         rows, _ = touched_partitions(side, blocks.select(F.col("day").alias(day)), day)
         rows = rows.select(*dict.fromkeys([day, *keys, *columns])).withColumn("bucket", _bucket(keys, buckets))
         rows = rows.withColumn("day", F.col(day)).alias("s")
-        near = rows.join(few.alias("b"), same_keys("s", "b", ["day", "bucket"]), "left_semi")
+        near = rows.join(blocks.alias("b"), same_keys("s", "b", ["day", "bucket"]), "left_semi")
         sides.append(near.select(*dict.fromkeys([day, *keys, *columns])))
     states = key_states(*sides, [day, *[k for k in keys if k != day]])
     ends = [f"{h}{end}" for h in ("a", "b") for end in ("", "_last")]

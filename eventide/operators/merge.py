@@ -92,6 +92,13 @@ def merge_metrics(actions: DataFrame) -> DataFrame:
     return actions.agg(*_counts())
 
 
+def on_values(target: DataFrame, column: str, values: Sequence[Any]) -> DataFrame:
+    """The rows with one of these values; None stands for NULL."""
+    some = [v for v in values if v is not None]
+    wanted = F.col(column).isin(some) if some else F.lit(False)
+    return target.where(wanted | F.col(column).isNull() if None in values else wanted)
+
+
 def touched_partitions(
     target: DataFrame, changes: DataFrame, column: str, most: int = MAX_LISTED
 ) -> tuple[DataFrame, list[Any] | None]:
@@ -103,10 +110,8 @@ def touched_partitions(
     """
     found = changes.select(column).distinct().limit(most + 1).collect()
     values = [r[0] for r in found]
-    some = [v for v in values if v is not None]
     if len(values) <= most:
-        wanted = F.col(column).isin(some) if some else F.lit(False)
-        return target.where(wanted | F.col(column).isNull() if None in values else wanted), values
+        return on_values(target, column, values), values
     bounds = changes.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull())).first()
     named = target.where(F.col(column).between(F.lit(bounds[0]), F.lit(bounds[1])))
     named = named.join(changes.select(column).distinct(), column, "left_semi")

@@ -8,8 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.operators.keyed import same_keys, small_side
-from eventide.operators.merge import touched_partitions, upsert_table
+from eventide.operators.keyed import same_keys
+from eventide.operators.merge import on_values, touched_partitions, upsert_table
 from eventide.sources.lake import read_table, replace_days
 from eventide.storage import materialize, table_exists
 
@@ -103,9 +103,8 @@ def retract(
         F.max(F.when(came, at)).alias("new_last"),
     )
     groups = materialize(groups, "metric-groups")
-    few = small_side(groups)
 
-    def of_groups(rows: DataFrame, some: DataFrame = few) -> DataFrame:
+    def of_groups(rows: DataFrame, some: DataFrame = groups) -> DataFrame:
         return rows.alias("r").join(some.alias("g"), same_keys("r", "g", GROUP), "left_semi")
 
     summed = of_groups(parts).select(*PART, "events", "amounts", "amount").unionByName(delta)
@@ -118,7 +117,7 @@ def retract(
     summed = summed.withColumn("events", F.when(F.col("events") < 0, wrong).otherwise(F.col("events")))
     fresh = materialize(summed.filter("events != 0"), "metric-parts")
 
-    held = metrics.alias("m").join(few.alias("g"), same_keys("m", "g", GROUP), "right")
+    held = metrics.alias("m").join(groups.alias("g"), same_keys("m", "g", GROUP), "right")
     held = held.select(*[F.col(f"g.{c}") for c in groups.columns], "m.first_event_at", "m.last_event_at")
     edge = (F.col("lost_first") <= F.col("first_event_at")) | (F.col("lost_last") >= F.col("last_event_at"))
     held = materialize(held.withColumn("edge", F.coalesce(edge, F.lit(False))), "metric-bounds")
@@ -127,7 +126,7 @@ def retract(
         F.least("first_event_at", "new_first").alias("first_event_at"),
         F.greatest("last_event_at", "new_last").alias("last_event_at"),
     )
-    looked_up = bounds_of(of_groups(events, small_side(held.filter("edge").select(*GROUP))))
+    looked_up = bounds_of(of_groups(events, held.filter("edge").select(*GROUP)))
     return fresh, metrics_of_parts(fresh, kept.unionByName(looked_up))
 
 
@@ -136,16 +135,19 @@ def update_daily_metrics(
 ) -> list[Any]:
     """Bring the stored metrics and counted sets up to date with `signed_changes`; gives the days touched.
 
-    Only these days are read, of `events` too, and written. Other groups of these days are copied. Tables that
+    `changes` is used several times and should be a table. Only these days are read, of `events` too, and written. Other groups of these days are copied. Tables that
     are missing are made from the changes alone.
     """
-    changes = materialize(changes, "metric-changes")
     events, days = touched_partitions(events, changes, "event_date")
-    if not changes.limit(1).count():
+    if days == []:
         return []
-    stored = [read_table(spark, p, s) if table_exists(spark, p) else spark.createDataFrame([], s)
-              for p, s in ((parts_path, PARTS_SCHEMA), (metrics_path, METRICS_SCHEMA))]
-    own = [touched_partitions(rows, changes, "event_date")[0] for rows in stored]
+    own = []
+    for path, schema in ((parts_path, PARTS_SCHEMA), (metrics_path, METRICS_SCHEMA)):
+        stored = read_table(spark, path, schema) if table_exists(spark, path) else spark.createDataFrame([], schema)
+        if days is None:
+            own.append(touched_partitions(stored, changes, "event_date")[0])
+        else:
+            own.append(on_values(stored, "event_date", days))
     parts, metrics = retract(*own, changes, events)
     groups = changes.select(*GROUP).distinct()
     for path, old, new in ((parts_path, own[0], parts), (metrics_path, own[1], metrics)):

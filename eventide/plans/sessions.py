@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.functions import whole_seconds_between
-from eventide.operators.keyed import MAX_GROUP_ROWS, same_keys, small_side, with_neighbours
+from eventide.operators.keyed import MAX_GROUP_ROWS, same_keys, with_neighbours
 from eventide.operators.merge import touched_partitions
 from eventide.sources.lake import read_table, replace_days
 from eventide.storage import materialize, table_exists
@@ -70,7 +70,7 @@ def continue_sessions(
     )
     here = events.select("session_id").distinct()
     known = before.alias("b").join(here.alias("h"), same_keys("b", "h", ["session_id"]), "left_semi")
-    known = small_side(materialize(known, "session-offsets"))
+    known = materialize(known, "session-offsets")
     both = rows.alias("r").join(known.alias("k"), same_keys("r", "k", ["session_id"]), "left")
     earlier = F.coalesce("k.so_far", F.lit(0))
     first = F.col("r._place") == 1
@@ -137,7 +137,7 @@ def recount(
     older = F.col("event_date") < F.lit(first.isoformat()).cast("date")
     days = state.filter(older).alias("s").join(changed.alias("c"), same_keys("s", "c", ["session_id"]), "left_semi")
     facts, _ = touched_partitions(facts.filter(older), days, "event_date")
-    both = facts.alias("f").join(small_side(changed).alias("c"), same_keys("f", "c", ["session_id"]))
+    both = facts.alias("f").join(changed.alias("c"), same_keys("f", "c", ["session_id"]))
     both = both.filter("f.session_event_count != c.total")
     count = F.col("c.total").alias("session_event_count")
     return both.select(*[count if c == "session_event_count" else F.col(f"f.{c}") for c in facts.columns])
@@ -145,7 +145,7 @@ def recount(
 
 def current_counts(facts: DataFrame, state: DataFrame) -> DataFrame:
     """Facts with the sizes that their sessions have by now, looked up when they are read."""
-    latest = small_side(state_before(state, None).select("session_id", "so_far"))
+    latest = state_before(state, None).select("session_id", "so_far")
     both = facts.alias("f").join(latest.alias("l"), same_keys("f", "l", ["session_id"]), "left")
     count = F.coalesce("l.so_far", "f.session_event_count").alias("session_event_count")
     return both.select(*[count if c == "session_event_count" else F.col(f"f.{c}") for c in facts.columns])
