@@ -28,6 +28,8 @@ from eventide.storage import materialize
 BAND_RATIO = 1.25
 #: Members of a signature that are compared at once; larger groups are cut into blocks of this size.
 TILE = 4_096
+#: Parity bits that pairs are compared by before their texts are; they tell sets of some thousand elements apart.
+WIDE = 2048
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -142,14 +144,14 @@ def _sign(tag: np.ndarray, left: int, agreed: np.ndarray) -> np.ndarray:
     return mix(tag * _ODD[1] + agreed + np.uint64(left))
 
 
-def sketches(values: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """512 parity bits of each set. Two sets that differ in d elements differ in at most d bits."""
-    count = len(first) - 1
+def sketches(values: np.ndarray, first: np.ndarray, bits: int = 512) -> list[bytes]:
+    """Parity bits of each set. Two sets that differ in d elements differ in at most d bits."""
+    count, size = len(first) - 1, bits // 8
     home = np.repeat(np.arange(count), np.diff(first))
-    at = (mix(values ^ _ODD[2]) % np.uint64(512)).astype(np.int64) + 512 * home
-    parity = (np.bincount(at, minlength=512 * count) & 1).astype(np.uint8)
+    at = (mix(values ^ _ODD[2]) % np.uint64(bits)).astype(np.int64) + bits * home
+    parity = (np.bincount(at, minlength=bits * count) & 1).astype(np.uint8)
     packed = np.packbits(parity, bitorder="little").tobytes()
-    return [packed[64 * i : 64 * i + 64] for i in range(count)]
+    return [packed[size * i : size * i + size] for i in range(count)]
 
 
 def _features(texts: DataFrame, n: int) -> DataFrame:
@@ -162,9 +164,11 @@ def _features(texts: DataFrame, n: int) -> DataFrame:
                 "set_a": _wrapped_sums(mix(values), first).view(np.int64),
                 "set_b": _wrapped_sums(mix(values ^ _ODD[1]), first).view(np.int64),
                 "sketch": sketches(values, first),
+                "wide": sketches(values, first, WIDE),
             }
 
-    return map_batches(texts, "doc_id long, n_shingles long, set_a long, set_b long, sketch binary", work)
+    columns = "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, wide binary"
+    return map_batches(texts, columns, work)
 
 
 def _signed(texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -197,6 +201,25 @@ def _shared(signed: DataFrame) -> DataFrame:
     return map_batches(dealt, "sig long, doc_id long", work)
 
 
+def _plausible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ids that sizes and wide sketches do not rule out; far fewer texts are fetched then.
+
+    `marks` has doc_id, n_shingles and wide; where an id has several rows, a pair stays if any two of them may be similar.
+    """
+    left, right = (marks.toDF(end, f"n_{end}", f"wide_{end}") for end in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "wide_a", "wide_b")
+
+    def work(batch: pa.RecordBatch):
+        sizes = [batch.column(i).to_numpy() for i in (2, 3)]
+        bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(batch), -1) for i in (4, 5)]
+        small, large = np.minimum(*sizes), np.maximum(*sizes)
+        apart = np.bitwise_count(bits[0] ^ bits[1]).sum(1, dtype=np.int64)
+        keep = pa.array((100 * small >= percent * large) & (apart <= most_apart(small + large, percent)))
+        yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+
+    return map_batches(both, "a long, b long", work).distinct()
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose whole texts are similar."""
     known = Bitmap(pairs.select(F.explode(F.array("a", "b"))))
@@ -268,7 +291,9 @@ def jaccard_classes(
     # One pair for each document first: with the smallest that shares a signature with it.
     low = scratch.write(shared.groupBy("sig").agg(F.min("doc_id").alias("a")), "join-low")
     pairs = shared.join(low, "sig").where("doc_id != a").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a"))
-    pairs = scratch.write(pairs.select("a", "b"), "join-pairs")
+    marks = sets.select("doc_id", "n_shingles", "wide").join(lead, ["doc_id", "n_shingles"], "left_semi")
+    wide = scratch.write(marks.dropDuplicates(["doc_id", "wide"]), "join-marks")
+    pairs = scratch.write(_plausible(pairs.select("a", "b"), wide, percent), "join-pairs")
     links = _linked(pairs, texts, n, percent).unionByName(_of_one_id(sets, classes, scratch))
     links = scratch.write(links, "join-links")
     found = scratch.write(connected_components(links, scratch.write), "join-found")
@@ -284,7 +309,8 @@ def jaccard_classes(
     members = members.withColumnsRenamed({"sig": "key", "doc_id": "member"})
     members = scratch.write(members, "join-members")
     near = candidate_pairs(members, lambda c, i, j: _near(c, i, j, percent), tile, scratch.write)
-    near = scratch.write(near.join(pairs, ["a", "b"], "left_anti"), "join-near")
+    near = _plausible(near.join(pairs, ["a", "b"], "left_anti"), wide, percent)
+    near = scratch.write(near, "join-near")
     links = scratch.write(links.unionByName(_linked(near, texts, n, percent)), "join-all-links")
     found = materialize(connected_components(links, scratch.write), "join-found")
     scratch.clear()
