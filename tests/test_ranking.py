@@ -140,3 +140,26 @@ def test_numbers_of_two_kinds_make_a_double_and_names_that_are_taken_are_refused
 def test_a_frequent_key_is_counted_in_map_tasks(spark):
     plan = discover(frame(spark), "payload")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "Python" not in plan
+
+
+def test_a_trained_model_ranks_planted_churners_first(spark):
+    from eventide.operators.scoring import FEATURES, train_churn
+
+    rng = random.Random(4)
+    data = []
+    for i in range(400):
+        churned = int(rng.random() < 0.3)
+        active = rng.randint(1, 6) if churned else rng.randint(4, 25)
+        data.append((f"u{i}", active * 3, active, active // 2, active * 10.0, rng.randint(0, 900), i % 2, churned))
+    schema = "user_id string, " + ", ".join(
+        f"{c} {'double' if c == 'spend_usd' else 'long'}" for c in FEATURES
+    ) + ", label int"
+    features = spark.createDataFrame(data, schema)
+    model = train_churn(features)
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(features).withColumn("p", vector_to_array("_probability")[1])
+    rows_of = [(r.p, r.label) for r in scored.select("p", "label").collect()]
+    found = evaluate(scored, "p", "label").collect()
+    assert found[0].auc == pytest.approx(auc(rows_of)) and found[0].auc > 0.95
+    assert max(r.lift for r in found) == next(r.lift for r in found if r.bucket == 1) > 2.5
