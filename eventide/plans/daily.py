@@ -21,7 +21,7 @@ from eventide.functions import in_days, utc_day
 from eventide.operators.checksums import reconcile_rows
 from eventide.operators.membership import repeated_in_history, store_filters
 from eventide.operators.merge import upsert_table
-from eventide.operators.privacy import require_impersonal
+from eventide.operators.privacy import require_impersonal, scan_text
 from eventide.operators.quality import (
     SOURCE_TESTS,
     GateFailed,
@@ -109,6 +109,29 @@ def test_history(spark: SparkSession, lake: Lake, raw: DataFrame, ctx: RunContex
     return [{**line, "severity": severity, "status": severity if failures else "pass"}]
 
 
+def test_impersonal(rows: DataFrame, table: str, severity: str) -> list[dict]:
+    """No text of a table may look like personal data: one result for each column and pattern that does.
+
+    All texts of the rows are read. Keys are left out: digits of a digest may look like anything.
+    """
+    columns = [n for n, t in rows.dtypes if t == "string" and not n.endswith(("_key", "_id", "_hash"))]
+    found = scan_text(rows, columns).filter("matching_rows > 0").collect()  # a row per column and pattern at most
+    results = [
+        {
+            "test": f"no_{r.pattern}",
+            "table_name": table,
+            "column_name": r.column_name,
+            "failures": r.matching_rows,
+            "severity": severity,
+            "status": severity,
+        }
+        for r in found
+    ]
+    if results and severity == "error":
+        raise GateFailed(f"texts that look like personal data: {results}")
+    return results
+
+
 def run_day(
     spark: SparkSession,
     lake: Lake,
@@ -130,8 +153,8 @@ def run_day(
     clustered and takes over new columns. Sessions that reach back further are continued from the session state, and older
     fact rows of a session that grew take its new size (events without a session are left as they were, see
     `sessions.current_counts`); days run in order. If the declared tests and freshness of all source tables hold (`raw_customers` as
-    declared, with customer_id, if given), and the day's event ids are new, the day is loaded into the served table and scored. Gates judge it last, and
-    the served rows must be those of the mart. Give `features` where user features are kept in a table;
+    declared, with customer_id, if given), the day's event ids are new, and none of its fact rows' texts looks like personal data, the day is loaded into the served table
+    and scored. Gates judge it last, and the served rows must be those of the mart. Give `features` where user features are kept in a table;
     otherwise they are computed from the whole mart.
     """
     day, first = ctx.ds.isoformat(), ctx.ds - dt.timedelta(days=lookback_days)
@@ -162,6 +185,7 @@ def run_day(
 
     served = lake.path("gold", "fact_events")
     mart_day = read_table(spark, mart, shape, [("event_date", "=", ctx.ds)])
+    tests += test_impersonal(mart_day, "fct_events", severity)
     loaded = replace_days(mart_day, served, "event_date", [day], cluster_by=["event_type", "user_id"])
 
     scored = None

@@ -11,6 +11,7 @@ from eventide.plans.daily import GateLimits, append_predictions, materialize_mod
 from eventide.plans.facts import fct_events
 from eventide.plans.staging import stage_events
 from eventide.sources.lake import Lake
+from eventide.storage import table_exists
 from tests.conftest import SMALL, rows
 
 CTX = RunContext.of("2024-01-15", "2024-01-16 03:00:00", "test")
@@ -87,6 +88,14 @@ def test_day_stops_at_known_ids_and_stale_sources(spark, folder):
         run_day(spark, Lake(f"{folder}-2"), stale, streamed, people, bought, CTX, None, OPEN)
 
 
+def test_day_stops_at_texts_that_look_like_personal_data(spark, folder):
+    raw, streamed, people, bought = inputs(spark)
+    named = F.regexp_replace("payload", "https://view", "https://jane.doe@mail")
+    with pytest.raises(GateFailed, match="no_email.*page_domain"):
+        run_day(spark, Lake(folder), raw.withColumn("payload", named), streamed.limit(0), people, bought, CTX, None, OPEN)
+    assert not table_exists(spark, f"{folder}/gold/fact_events")
+
+
 def test_day_stops_at_a_failed_data_test(spark, folder):
     with pytest.raises(GateFailed, match="accepted_values"):
         run_day(spark, Lake(folder), *inputs(spark, known_users=False), CTX, None, OPEN)
