@@ -7,6 +7,9 @@ called besides doc_id and text; other columns may be NULL. Of an empty table eve
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +21,27 @@ from eventide.storage import materialize
 #: No SQL: compression, edit distances and byte-pair merges are beyond it.
 ORACLE_SQL = None
 
+#: Rows of an Arrow batch. Whole texts go through it, and both of its sides hold a batch outside Spark's memory.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _small_batches(stage: Stage) -> Stage:
+    """The stage, in a session whose Arrow batches have `BATCH_ROWS` at most; the setting stays, as rows are computed later."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows = int(spark.conf.get(_BATCH_SETTING))
+        if not 0 < rows <= BATCH_ROWS:  # none or less is without bound
+            spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@_small_batches
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier scores 0.5 or more. Its labels are all of the table's.
 
@@ -30,6 +53,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.where(quality.probability(spark, F.col("text"), model) >= 0.5)
 
 
+@_small_batches
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat another one, exactly or nearly; n_chars follows the text.
 
@@ -42,6 +66,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return left
 
 
+@_small_batches
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of documents with much the same n-grams.
 
@@ -56,6 +81,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.where(~maybe).unionByName(first_per_key(left.where(maybe), ["doc_id", "text"], []))
 
 
+@_small_batches
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item. NULL and empty texts hold none, and rows that repeat or lack
     an id are judged one by one.
@@ -63,6 +89,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.where(~decontaminate.holds_item(F.col("text"), table(spark, sf_dir, "benchmark")))
 
 
+@_small_batches
 def byte_pairs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token ids, and the text that they decode to, a row for each row.
 
