@@ -144,14 +144,40 @@ def _sign(tag: np.ndarray, left: int, agreed: np.ndarray) -> np.ndarray:
     return mix(tag * _ODD[1] + agreed + np.uint64(left))
 
 
-def sketches(values: np.ndarray, first: np.ndarray, bits: int = 512) -> list[bytes]:
-    """Parity bits of each set. Two sets that differ in d elements differ in at most d bits."""
-    count, size = len(first) - 1, bits // 8
-    home = np.repeat(np.arange(count), np.diff(first))
-    at = (mix(values ^ _ODD[2]) % np.uint64(bits)).astype(np.int64) + bits * home
-    parity = (np.bincount(at, minlength=bits * count) & 1).astype(np.uint8)
+def sketches(values: np.ndarray, first: np.ndarray, bits: int | np.ndarray = 512) -> list[bytes]:
+    """Parity bits of each set, as many for all or some for each. Two sets that differ in d elements differ in at most d bits."""
+    count = len(first) - 1
+    bits = np.broadcast_to(np.asarray(bits, np.int64), count)
+    begin, home = _starts(bits), np.repeat(np.arange(count), np.diff(first))
+    at = (mix(values ^ _ODD[2]) % bits[home].astype(np.uint64)).astype(np.int64) + begin[home]
+    parity = (np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8)
     packed = np.packbits(parity, bitorder="little").tobytes()
-    return [packed[size * i : size * i + size] for i in range(count)]
+    return [packed[i // 8 : j // 8] for i, j in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+
+
+def _sized(values: np.ndarray, first: np.ndarray) -> list[bytes | None]:
+    """A sketch of at least two bits for each element; none for sets that `WIDE` bits do for."""
+    sizes = np.diff(first)
+    large = np.flatnonzero(2 * sizes > WIDE)
+    bits = 1 << np.ceil(np.log2(2 * sizes[large])).astype(np.int64)
+    own, home = _spread(values, first, large)
+    out = [None] * len(sizes)
+    for i, sketch in zip(large.tolist(), sketches(own, np.searchsorted(home, np.arange(len(large) + 1)), bits), strict=True):
+        out[i] = sketch
+    return out
+
+
+def bits_apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """In how many bits the sketches of each pair differ. The longer one, its bits a power of two times the other's, is folded."""
+    lengths = np.array([[len(x) for x in left], [len(x) for x in right]], np.int64).reshape(2, -1)
+    apart = np.zeros(len(left), np.int64)
+    for both in np.unique(lengths, axis=1).T:
+        rows = np.flatnonzero((lengths == both[:, None]).all(0))
+        words = [np.frombuffer(b"".join([side[i] for i in rows]), np.uint64) for side in (left, right)]
+        short = both.min() // 8
+        one, other = (np.bitwise_xor.reduce(w.reshape(len(rows), -1, short), 1) for w in words)
+        apart[rows] = np.bitwise_count(one ^ other).sum(1, dtype=np.int64)
+    return apart
 
 
 def _features(texts: DataFrame, n: int) -> DataFrame:
@@ -165,9 +191,10 @@ def _features(texts: DataFrame, n: int) -> DataFrame:
                 "set_b": _wrapped_sums(mix(values ^ _ODD[1]), first).view(np.int64),
                 "sketch": sketches(values, first),
                 "wide": sketches(values, first, WIDE),
+                "sized": _sized(values, first),
             }
 
-    columns = "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, wide binary"
+    columns = "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, wide binary, sized binary"
     return map_batches(texts, columns, work)
 
 
@@ -202,22 +229,28 @@ def _shared(signed: DataFrame) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids that sizes and wide sketches do not rule out; far fewer texts are fetched then.
+    """The pairs (a, b) of ids that sizes and sketches do not rule out; far fewer texts are fetched then.
 
-    `marks` has doc_id, n_shingles and wide; where an id has several rows, a pair stays if any two of them may be similar.
+    `marks` has doc_id, n_shingles, wide and sized; where an id has several rows, a pair stays if any two of them may be
+    similar. Wide sketches come first, and only the pairs they leave fetch those that grow with the set.
     """
-    left, right = (marks.toDF(end, f"n_{end}", f"wide_{end}") for end in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "wide_a", "wide_b")
+    wide = _not_apart(pairs, marks.select("doc_id", "n_shingles", "wide"), percent)
+    sized = marks.select("doc_id", "n_shingles", F.coalesce("sized", "wide"))
+    return _not_apart(wide.distinct(), sized, percent).distinct()
+
+
+def _not_apart(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    left, right = (marks.toDF(end, f"n_{end}", f"bits_{end}") for end in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
 
     def work(batch: pa.RecordBatch):
         sizes = [batch.column(i).to_numpy() for i in (2, 3)]
-        bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(batch), -1) for i in (4, 5)]
         small, large = np.minimum(*sizes), np.maximum(*sizes)
-        apart = np.bitwise_count(bits[0] ^ bits[1]).sum(1, dtype=np.int64)
+        apart = bits_apart(batch.column(4).to_pylist(), batch.column(5).to_pylist())
         keep = pa.array((100 * small >= percent * large) & (apart <= most_apart(small + large, percent)))
         yield {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
-    return map_batches(both, "a long, b long", work).distinct()
+    return map_batches(both, "a long, b long", work)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -291,8 +324,8 @@ def jaccard_classes(
     # One pair for each document first: with the smallest that shares a signature with it.
     low = scratch.write(shared.groupBy("sig").agg(F.min("doc_id").alias("a")), "join-low")
     pairs = shared.join(low, "sig").where("doc_id != a").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a"))
-    marks = sets.select("doc_id", "n_shingles", "wide").join(lead, ["doc_id", "n_shingles"], "left_semi")
-    wide = scratch.write(marks.dropDuplicates(["doc_id", "wide"]), "join-marks")
+    marks = sets.select("doc_id", *key, "wide", "sized").join(lead, ["doc_id", "n_shingles"], "left_semi")
+    wide = scratch.write(marks.dropDuplicates(["doc_id", *key]).drop("set_a", "set_b"), "join-marks")
     pairs = scratch.write(_plausible(pairs.select("a", "b"), wide, percent), "join-pairs")
     links = _linked(pairs, texts, n, percent).unionByName(_of_one_id(sets, classes, scratch))
     links = scratch.write(links, "join-links")

@@ -3,6 +3,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from eventide.llm import ngram_join
 from eventide.llm.arrow import pieces
 from eventide.llm.components import connected_components
 from eventide.llm.ngram_join import jaccard_classes, shingle_sets, signatures, sketches
@@ -55,6 +56,33 @@ def test_classes_are_those_of_brute_force(frame, rng, rows, n, percent, tile):
     assert got[5001][1] == 5000 and got[6001] == (0, 6001)
 
 
+def test_longer_sketches_fold_to_shorter_ones(rng):
+    sets = [np.unique(np.array(rng.choices(range(1 << 60), k=n), np.uint64)) for n in (900, 3000, 9000)]
+    sets.append(np.concatenate([sets[1], sets[2][:500]]))
+    first = np.cumsum([0, *map(len, sets)])
+    short, long = (sketches(np.concatenate(sets), first, bits) for bits in (2048, np.array([4096, 8192, 32768, 16384])))
+    assert [len(x) for x in long] == [512, 1024, 4096, 2048]
+    assert list(ngram_join.bits_apart(long, short)) == [0] * 4
+    apart = ngram_join.bits_apart([long[1], long[3], long[2]], [long[3], long[1], long[1]])
+    assert apart[0] == apart[1] and 300 < apart[0] <= 500 < 3000 < apart[2]
+
+
+def test_long_texts_that_differ_are_not_fetched(frame, rng, monkeypatch):
+    common = [f"c{i}" for i in range(4000)]
+    own = [(i, " ".join(common + [f"w{i}-{j}" for j in range(4000)])) for i in range(8)]
+    own += [(20 + i, own[i][1] + " more" * i) for i in (1, 2)]
+    fetched, linked = [], ngram_join._linked
+
+    def counted(pairs, *rest):
+        fetched.extend((r.a, r.b) for r in pairs.collect())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    got = {r.doc_id: r.component_id for r in jaccard_classes(frame(own), 5, 80).collect()}
+    assert got == {**{i: i for i in range(8)}, 21: 1, 22: 2}
+    assert sorted(fetched) == [(1, 21), (2, 22)]
+
+
 def test_rows_without_id_and_repeated_rows(frame, odd):
     got = jaccard_classes(frame([*odd, (9, "one"), (9, "one")]), 3, 90).collect()
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got)
