@@ -129,6 +129,7 @@ def upsert_table(
     schema: T.StructType | None = None,
     deletes: DataFrame | None = None,
     cluster_by: Sequence[str] = (),
+    stored: bool = False,
 ) -> dict[str, Any]:
     """Merge rows into the Parquet table at `path` and return what was done.
 
@@ -141,7 +142,8 @@ def upsert_table(
     updates (new ones added, missing ones dropped); where `schema` names them, untouched partitions stay as they
     are, since reading them by the schema does the same. Rows of a partition are laid out by `cluster_by`. With `newest_by` only the newest of several updates
     of one key counts; otherwise several updates of one target row are refused. `schema` is that of the
-    table; without it the footers of all its files are read to find out.
+    table; without it the footers of all its files are read to find out. `stored` says that the updates are a
+    table as read from its files, which needs no copy.
     """
     if newest_by:
         complete = first_per_key(updates.filter(~any_null(keys)), keys, [F.desc(newest_by)])
@@ -153,7 +155,8 @@ def upsert_table(
         return {"created": True, "rows_inserted": seen.get["rows_inserted"]}
 
     copy = scratch_path(spark, "updates")
-    updates = materialize(updates, "updates", copy)  # used several times below
+    if newest_by or not stored:
+        updates = materialize(updates, "updates", copy)  # used several times below
     target = read_table(spark, path, schema)
     if evolve:
         target = sync_columns(target, updates.schema)

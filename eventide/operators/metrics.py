@@ -141,9 +141,9 @@ def update_daily_metrics(
     events, days = touched_partitions(events, changes, "event_date")
     if days == []:
         return []
-    own = []
+    own, there = [], {path: table_exists(spark, path) for path in (parts_path, metrics_path)}
     for path, schema in ((parts_path, PARTS_SCHEMA), (metrics_path, METRICS_SCHEMA)):
-        stored = read_table(spark, path, schema) if table_exists(spark, path) else spark.createDataFrame([], schema)
+        stored = read_table(spark, path, schema) if there[path] else spark.createDataFrame([], schema)
         if days is None:
             own.append(touched_partitions(stored, changes, "event_date")[0])
         else:
@@ -151,8 +151,10 @@ def update_daily_metrics(
     parts, metrics = retract(*own, changes, events)
     groups = changes.select(*GROUP).distinct()
     for path, old, new in ((parts_path, own[0], parts), (metrics_path, own[1], metrics)):
-        others = old.alias("r").join(groups.alias("g"), same_keys("r", "g", GROUP), "left_anti")
-        rows = materialize(others.unionByName(new), "metric-days")
+        rows = new
+        if there[path]:  # a folder can't be overwritten while it is read
+            others = old.alias("r").join(groups.alias("g"), same_keys("r", "g", GROUP), "left_anti")
+            rows = materialize(others.unionByName(new), "metric-days")
         # Days that lose all rows have to be named; a table has as many as it has day folders.
         listed = days if days is not None else [r[0] for r in changes.select("event_date").distinct().collect()]
         listed = [d.isoformat() for d in listed]
@@ -174,16 +176,17 @@ def merge_and_count(
     `keys` hold event_date, so an event that moves to another day is deleted there and inserted here.
     """
     updates = materialize(updates, "metric-updates")
-    before = spark.createDataFrame([], updates.schema)
     if table_exists(spark, facts_path):
         moved = updates.select(*keys)
         if deletes is not None:
             moved = moved.unionByName(deletes.select(*keys))
         stored, _ = touched_partitions(read_table(spark, facts_path, updates.schema), moved, "event_date")
         before = stored.join(moved.dropna().distinct(), list(keys), "left_semi")
-    changes = materialize(signed_changes(before, updates), "metric-changes")
+        changes = materialize(signed_changes(before, updates), "metric-changes")
+    else:  # all rows come, and none cancels out
+        changes = updates.select(*MEASURED, F.lit(1).alias("weight"))
     done = upsert_table(
-        spark, facts_path, updates, keys, partition_by="event_date", schema=updates.schema, deletes=deletes
+        spark, facts_path, updates, keys, partition_by="event_date", schema=updates.schema, deletes=deletes, stored=True
     )
     facts = read_table(spark, facts_path, updates.schema)
     return {**done, "days": update_daily_metrics(spark, metrics_path, parts_path, changes, facts)}

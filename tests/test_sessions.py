@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventide.catalogue import roles
 from eventide.context import RunContext
+from eventide.operators import merge
 from eventide.operators.metrics import (
     GROUP,
     METRICS_SCHEMA,
@@ -149,6 +150,16 @@ def test_metrics_follow_merges(spark, folder):
     assert merge_and_count(spark, *paths, before.limit(0), keys)["days"] == []
 
 
+def test_stored_updates_are_not_copied_again(spark, folder, monkeypatch):
+    copied = []
+    monkeypatch.setattr(merge, "materialize", lambda df, name, *path: copied.append(name) or materialize(df, name, *path))
+    paths = [f"{folder}/{n}" for n in "fmp"]
+    for some in (range(30), range(20, 50)):
+        merge_and_count(spark, *paths, measured(spark, 1, some), ["event_date", "event_id"])
+    assert copied == []
+    assert spark.read.parquet(paths[0]).count() == 50
+
+
 def test_rows_that_do_not_change_touch_nothing(spark):
     facts = measured(spark, 1, range(30))
     assert signed_changes(facts, facts).count() == 0
