@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.functions import whole_seconds_between
-from eventide.operators.keyed import MAX_GROUP_ROWS, same_keys, with_neighbours
+from eventide.operators.keyed import MAX_GROUP_ROWS, same_keys, small_side, with_neighbours
 from eventide.operators.merge import touched_partitions
 from eventide.sources.lake import read_table, replace_days
 from eventide.storage import materialize, table_exists
@@ -143,6 +143,20 @@ def recount(
     return both.select(*[count if c == "session_event_count" else F.col(f"f.{c}") for c in facts.columns])
 
 
+def recounted_days(facts: DataFrame, changed: DataFrame, state: DataFrame, first: dt.date) -> DataFrame:
+    """All fact rows of the days before `first` on which sessions that changed their size were active, with the new sizes.
+
+    `_corrected` says which rows differ from the old ones.
+    """
+    older = F.col("event_date") < F.lit(first.isoformat()).cast("date")
+    days = state.filter(older).alias("s").join(changed.alias("c"), same_keys("s", "c", ["session_id"]), "left_semi")
+    facts, _ = touched_partitions(facts.filter(older), days, "event_date")
+    both = facts.alias("f").join(small_side(changed).alias("c"), same_keys("f", "c", ["session_id"]), "left")
+    count = F.coalesce("c.total", "f.session_event_count").alias("session_event_count")
+    columns = [count if c == "session_event_count" else F.col(f"f.{c}") for c in facts.columns]
+    return both.select(*columns, F.coalesce(F.col("f.session_event_count") != F.col("c.total"), F.lit(False)).alias("_corrected"))
+
+
 def current_counts(facts: DataFrame, state: DataFrame) -> DataFrame:
     """Facts with the sizes that their sessions have by now, looked up when they are read."""
     latest = state_before(state, None).select("session_id", "so_far")
@@ -170,11 +184,10 @@ def run_sessions(
     written = replace_days(rows, facts_path, "event_date", days)
     changed = write_state(spark, state_path, events, first, days)
     facts = read_table(spark, facts_path, rows.schema)
-    keys = ["event_id"]
-    old = materialize(recount(facts, changed, read_state(spark, state_path), first), "recounted")
-    older, _ = touched_partitions(facts, old, "event_date")
-    rest = older.join(old.select(*keys), keys, "left_anti")
-    corrected = old.count()
+    if not changed.limit(1).count():
+        return {"rows": written, "corrected": 0}
+    older = materialize(recounted_days(facts, changed, read_state(spark, state_path), first), "corrected-days")
+    corrected = older.filter("_corrected").count()
     if corrected:
-        replace_days(materialize(rest.unionByName(old), "corrected-days"), facts_path, "event_date")
+        replace_days(older.drop("_corrected"), facts_path, "event_date")
     return {"rows": written, "corrected": corrected}

@@ -68,6 +68,18 @@ def test_runs_give_the_numbers_of_a_full_refresh(spark, folder, max_group_rows):
     assert rows(spark.read.parquet(f"{folder}/f").select("event_id", *COLUMNS)) == rows(full)
 
 
+def test_corrected_days_keep_rows_of_one_id_and_of_none(spark, folder):
+    """Events without an id, and one id in two sessions of which one grows: each row stays, once."""
+    first = [(None, "a"), ("x", "a"), ("x", "b"), (None, "b"), ("y", None)]
+    data = [(i, s, ts(f"2024-01-01T0{n}:00:00"), "view", dt.date(2024, 1, 1)) for n, (i, s) in enumerate(first)]
+    more = [("z", "a", ts("2024-01-02T00:00:00"), "view", dt.date(2024, 1, 2))]
+    run_sessions(spark, materialize(spark.createDataFrame(data, EVENTS), "v"), f"{folder}/f", f"{folder}/s", days(1, 1))
+    done = run_sessions(spark, materialize(spark.createDataFrame(more, EVENTS), "v"), f"{folder}/f", f"{folder}/s", days(2, 2))
+    assert done == {"rows": 1, "corrected": 2}
+    got = spark.read.parquet(f"{folder}/f").select("event_id", "session_id", "session_event_count")
+    assert rows(got) == rows(spark.createDataFrame([(None, "a", 3), ("x", "a", 3), ("x", "b", 2), (None, "b", 2), ("y", None, 1), ("z", "a", 3)], got.schema))
+
+
 def test_counts_looked_up_at_reading_time(spark):
     events = materialize(visits(spark, 4), "visits")
     whole = advance_state(session_days(events), state_before(read_state(spark, "/nowhere"), None))
