@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.constants import COMPACT_TARGET_MB, RETENTION_HOURS
+from eventide.constants import COMPACT_TARGET_MB, RETENTION_HOURS, ROWS_PER_FILE
 from eventide.functions import all_of
 from eventide.operators.history import (
     LOG_COLUMNS,
@@ -139,9 +140,11 @@ class VersionedTable:
         target_mb: int = COMPACT_TARGET_MB,
         retention_hours: int = RETENTION_HOURS,
         enforce: bool = True,
+        rows_per_file: int = ROWS_PER_FILE,
     ) -> dict[str, int]:
         """Drop replaced rows older than the retention period, and write the rest in few, ordered files.
 
+        A task sorts the rows of one file, which are bounded too: small files may hold very many rows.
         The new files are written beside the old ones first; a failed second write leaves them behind.
         """
         before = list_files(self.spark, self.path)
@@ -150,7 +153,7 @@ class VersionedTable:
         copy = scratch_path(self.spark, "maintenance")
         kept = materialize(kept, "maintenance", copy)
         rows_before, rows_after = old.count(), kept.count()
-        files = max(1, round(sum(size for _, size in before) / (target_mb * 1024 * 1024)))
+        files = max(1, round(sum(size for _, size in before) / (target_mb * 1024 * 1024)), math.ceil(rows_after / rows_per_file))
         if z_columns:
             laid_out = z_ordered(kept, z_columns, files=files, within=[VERSION], stored=True)
         else:

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.operators.merge import AmbiguousSource
@@ -77,6 +78,16 @@ def test_care_keeps_the_period_readable(spark, folder):
         table.read(version=1)
 
 
+def test_care_bounds_the_rows_that_a_task_sorts(spark, folder):
+    table = VersionedTable(spark, folder, ["k"], data(spark).schema)
+    table.upsert(data(spark, *[(i, f"v{i}") for i in range(90)]), day(1))
+    latest = rows(table.read())
+    done = table.optimize_and_vacuum(dt.datetime(2024, 1, 9, 12), ["k"], rows_per_file=10)
+    sizes = [r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()]
+    assert done["files_after"] == len(sizes) >= 9 and max(sizes) < 20
+    assert rows(table.read()) == latest
+
+
 def test_table_without_keys_grows(spark, folder):
     table = VersionedTable(spark, folder)
     for n in (1, 2):
