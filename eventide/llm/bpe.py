@@ -22,13 +22,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from eventide.llm.arrow import FIRST, Words, pieces
-from eventide.llm.frames import kept, map_batches, two_columns
+from eventide.llm.frames import kept, map_batches, return_free, two_columns
 from eventide.llm.units import FlatCache, spread, units
 
 SCHEMA = "doc_id long, ids array<int>, decoded binary"
-#: Large pieces give the queue many pre-tokens at once; ids are put together for fewer documents at a time.
-PIECE_BYTES = 1 << 21
-PART_BYTES = 1 << 19
+#: Large pieces give the queue many pre-tokens at once, but take some hundred times their bytes while it works.
+PIECE_BYTES = 1 << 19
+#: Ids are put together for fewer documents at a time.
+PART_BYTES = 1 << 18
 #: Units that a worker remembers, some 32 bytes each.
 CACHED = 250_000
 #: Pre-tokens of more bytes go through the queue one at a time.
@@ -300,6 +301,7 @@ def _batches(docs: DataFrame, path: str, pattern: str, schema: str, columns) ->
                 ids = batch.column(0).slice(piece.row + a, b - a)
                 yield {"doc_id": ids, **columns(encoder, cache.take(own), edges)}
             cache.trim()
+        return_free()
 
     return map_batches(two_columns(docs, "doc_id", "text"), schema, work)
 

@@ -60,6 +60,11 @@ def kept(key: tuple, make: Callable[[], Any]) -> Any:
 def give_back() -> None:
     """At the end of a task: forget what it kept, and return free memory, since workers wait for other tasks."""
     _KEPT.clear()
+    return_free()
+
+
+def return_free() -> None:
+    """Give memory that is not in use back to the system."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
     if trim:

@@ -189,12 +189,11 @@ def _features(texts: DataFrame, n: int) -> DataFrame:
                 "n_shingles": np.diff(first),
                 "set_a": _wrapped_sums(mix(values), first).view(np.int64),
                 "set_b": _wrapped_sums(mix(values ^ _ODD[1]), first).view(np.int64),
-                "sketch": sketches(values, first),
                 "wide": sketches(values, first, WIDE),
                 "sized": _sized(values, first),
             }
 
-    columns = "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, wide binary, sized binary"
+    columns = "doc_id long, n_shingles long, set_a long, set_b long, wide binary, sized binary"
     return map_batches(texts, columns, work)
 
 
@@ -228,6 +227,18 @@ def _shared(signed: DataFrame) -> DataFrame:
     return map_batches(dealt, "sig long, doc_id long", work)
 
 
+def _groups(shared: DataFrame) -> DataFrame:
+    """(sig, a): the signatures that different documents share, with the smallest of these; of those that the same documents share, one.
+
+    Near documents share most of their signatures, and each would give the same pairs again. Sets of documents are told
+    apart by their number and 96 bits.
+    """
+    marks = (F.sum(F.shiftright(F.xxhash64("doc_id", F.lit(i)), 16)).alias(f"mark_{i}") for i in range(2))
+    ends = F.min("doc_id").alias("a"), F.max("doc_id").alias("z")
+    groups = shared.groupBy("sig").agg(*ends, F.count("*").alias("rows"), *marks).where("a != z")
+    return groups.groupBy("rows", "mark_0", "mark_1").agg(F.min("sig").alias("sig"), F.min("a").alias("a")).select("sig", "a")
+
+
 def _plausible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ids that sizes and sketches do not rule out; far fewer texts are fetched then.
 
@@ -235,8 +246,11 @@ def _plausible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     similar. Wide sketches come first, and only the pairs they leave fetch those that grow with the set.
     """
     wide = _not_apart(pairs, marks.select("doc_id", "n_shingles", "wide"), percent)
-    sized = marks.select("doc_id", "n_shingles", F.coalesce("sized", "wide"))
-    return _not_apart(wide.distinct(), sized, percent).distinct()
+    return _not_apart(wide.distinct(), _sized_marks(marks), percent).distinct()
+
+
+def _sized_marks(marks: DataFrame) -> DataFrame:
+    return marks.select("doc_id", "n_shingles", F.coalesce("sized", "wide"))
 
 
 def _not_apart(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
@@ -277,7 +291,7 @@ def _near(columns: dict, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarr
     """Pairs of different components that sizes and sketches do not rule out."""
     sizes, component = columns["n_shingles"], columns["component"]
     if "bits" not in columns:
-        columns["bits"] = np.frombuffer(b"".join(columns["sketch"]), np.uint64).reshape(-1, 8)
+        columns["bits"] = np.frombuffer(b"".join(columns["wide"]), np.uint64).reshape(-1, WIDE // 64)
     small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
     use = (component[i] != component[j]) & (100 * small >= percent * large)
     apart = np.bitwise_count(columns["bits"][i[use]] ^ columns["bits"][j[use]]).sum(1)
@@ -321,28 +335,28 @@ def jaccard_classes(
     texts = texts.where("doc_id is not null")
     shared = scratch.write(_shared(_signed(without(texts, "doc_id", copies), n, percent)), "join-shared")
 
-    # One pair for each document first: with the smallest that shares a signature with it.
-    low = scratch.write(shared.groupBy("sig").agg(F.min("doc_id").alias("a")), "join-low")
-    pairs = shared.join(low, "sig").where("doc_id != a").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a"))
+    # First each document with the smallest of every group that shares a signature; groups of the same documents count once.
+    low = scratch.write(_groups(shared), "join-low")
+    shared = scratch.write(shared.join(low, "sig").distinct(), "join-grouped")
+    pairs = shared.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct()
     marks = sets.select("doc_id", *key, "wide", "sized").join(lead, ["doc_id", "n_shingles"], "left_semi")
     wide = scratch.write(marks.dropDuplicates(["doc_id", *key]).drop("set_a", "set_b"), "join-marks")
-    pairs = scratch.write(_plausible(pairs.select("a", "b"), wide, percent), "join-pairs")
+    pairs = scratch.write(_plausible(pairs, wide, percent), "join-pairs")
     links = _linked(pairs, texts, n, percent).unionByName(_of_one_id(sets, classes, scratch))
     links = scratch.write(links, "join-links")
     found = scratch.write(connected_components(links, scratch.write), "join-found")
 
     # Then all pairs that share a signature and are not yet connected.
     member = found.withColumnRenamed("node", "doc_id")
-    labelled = shared.join(member, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    labelled = shared.drop("a").join(member, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     labelled = scratch.write(labelled, "join-labelled")
     open_sigs = labelled.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_sigs = scratch.write(open_sigs.where("x != y").select("sig"), "join-open")
-    marks = sets.select("doc_id", "n_shingles", "sketch").join(lead, ["doc_id", "n_shingles"], "left_semi")
-    members = labelled.join(open_sigs, "sig", "left_semi").distinct().join(marks, "doc_id")
+    members = labelled.join(open_sigs, "sig", "left_semi").join(wide.select("doc_id", "n_shingles", "wide"), "doc_id")
     members = members.withColumnsRenamed({"sig": "key", "doc_id": "member"})
     members = scratch.write(members, "join-members")
     near = candidate_pairs(members, lambda c, i, j: _near(c, i, j, percent), tile, scratch.write)
-    near = _plausible(near.join(pairs, ["a", "b"], "left_anti"), wide, percent)
+    near = _not_apart(near.join(pairs, ["a", "b"], "left_anti"), _sized_marks(wide), percent).distinct()
     near = scratch.write(near, "join-near")
     links = scratch.write(links.unionByName(_linked(near, texts, n, percent)), "join-all-links")
     found = materialize(connected_components(links, scratch.write), "join-found")

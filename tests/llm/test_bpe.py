@@ -1,12 +1,16 @@
 import hashlib
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from eventide.llm import bpe
 from eventide.llm.arrow import pieces
+from eventide.llm.frames import give_back
 from eventide.llm.token_counts import _tokenizer, count_tokens
 from eventide.llm.units import FlatCache
 from tests.llm.conftest import DOCS
@@ -110,3 +114,22 @@ def test_pieces_hold_whole_documents():
     cut = list(pieces(pa.array(["a" * 10, None, "b" * 50, "c"]).slice(1), 20))
     assert [p.text(i) for p in cut for i in range(len(p))] == ["", "b" * 50, "c"]
     assert [p.row for p in cut] == [0, 1, 2]
+
+
+def test_memory_of_a_batch_of_new_words_is_bounded(rng, monkeypatch):
+    made = []
+    monkeypatch.setattr(bpe, "map_batches", lambda docs, schema, work: made.append(work))
+    monkeypatch.setattr(bpe, "two_columns", lambda docs, *names: docs)
+    monkeypatch.setattr(bpe, "shared_file", lambda spark, path: path)
+    monkeypatch.setattr(bpe, "worker_path", lambda name: name)
+    bpe.encode_documents(SimpleNamespace(sparkSession=None), PATH, public.PATTERN)
+    docs = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(1_000)) for _ in range(200)]  # 2 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(docs)], ["doc_id", "text"])
+    bpe.load_encoder(PATH, public.PATTERN)
+    tracemalloc.start()
+    decoded = [x for columns in made[0](batch) for x in columns["decoded"].to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    give_back()
+    assert decoded == [d.encode() for d in docs]
+    assert peak < 80 << 20

@@ -83,6 +83,27 @@ def test_long_texts_that_differ_are_not_fetched(frame, rng, monkeypatch):
     assert sorted(fetched) == [(1, 21), (2, 22)]
 
 
+def test_pairs_of_signatures_that_the_same_documents_share_are_made_once(frame, rng, monkeypatch):
+    rows = []
+    for i in range(60):  # pairs under the threshold, so that no link leaves them out
+        text = [f"{i}-{rng.random()}" for _ in range(100)]
+        rows.append((2 * i, " ".join(text)))
+        text[30] = text[70] = "other"
+        rows.append((2 * i + 1, " ".join(text)))
+    real, seen = ngram_join.candidate_pairs, []
+
+    def note(members, *more):
+        seen.extend((r.key, r.member) for r in members.select("key", "member").collect())
+        return real(members, *more)
+
+    monkeypatch.setattr(ngram_join, "candidate_pairs", note)
+    found = jaccard_classes(frame(rows), 3, 90).collect()
+    assert all(r.component_id == r.doc_id for r in found)
+    groups = {key: frozenset(m for k, m in seen if k == key) for key, _ in seen}
+    assert len(groups) > 10
+    assert len(set(groups.values())) == len(groups)
+
+
 def test_rows_without_id_and_repeated_rows(frame, odd):
     got = jaccard_classes(frame([*odd, (9, "one"), (9, "one")]), 3, 90).collect()
     found = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got)
